@@ -1,6 +1,6 @@
 """Statistics and decisions over a log of API responses.
 
-Log columns: endpoint, seq (1, 2, ... per endpoint), status, headers map, latency_ms, body, error
+Log columns: endpoint, seq (increasing per endpoint), status, headers map, latency_ms, body, error
 (text of a transport error, else null); fetch logs add kind, day and dataset_id.
 """
 
@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.headers import quota_headers, retry_after_text
 from tidemark.functions.payloads import event_fields
+from tidemark.operators.ranking import first_per_key
 from tidemark.operators.transform import keep_tracked
-from tidemark.session import small_side
+from tidemark.session import materialize, small_side
 
 OK, SKIP_EMPTY, DENIED_EMPTY, THROTTLED, FAILED = "ok", "skip_empty", "denied_empty", "throttled", "failed"
 BURST_LIMIT = 50
@@ -66,9 +67,12 @@ def loadable_days(
 
 def until_first_stop(log: DataFrame, max_requests: int | None = None) -> DataFrame:
     """Responses of each endpoint up to and including the first 429, other 4xx/5xx or transport
-    error. The stop positions are a per-endpoint minimum, so endpoints are never sorted whole."""
+    error. The stop positions are a per-endpoint minimum, so endpoints are never sorted whole.
+
+    ``max_requests`` is the size of the burst: the first so many responses of an endpoint.
+    """
     if max_requests is not None:
-        log = log.filter(F.col("seq") <= max_requests)
+        log = first_per_key(log, ["endpoint"], [F.col("seq").asc()], max_requests)
     stops = (F.col("status") >= 400) | F.col("error").isNotNull()
     ends = log.filter(stops).groupBy("endpoint").agg(F.min("seq").alias("stop_seq"))
     return (
@@ -90,25 +94,26 @@ def status_counts(log: DataFrame) -> DataFrame:
 
 
 def _stop_error() -> Column:
-    number = F.col("seq").cast("string")
-    status = F.concat(F.lit("HTTP "), F.col("status").cast("string"))
+    """Text for the response that ended the burst; a 429 is not an error."""
+    status = F.concat(F.lit("HTTP "), F.col("last.status").cast("string"))
     # Texts of the report.
-    denied = F.concat(
-        status,
-        F.lit(
-            " - authenticated but not authorized for this endpoint"
-            " (check tenant setting / workspace access)."
-        ),
+    denied = F.lit(
+        " - authenticated but not authorized for this endpoint (check tenant setting / workspace access)."
     )
     return (
         F.when(
-            F.col("error").isNotNull(),
-            F.concat(F.lit("request #"), number, F.lit(" raised: "), F.col("error")),
+            F.col("last.error").isNotNull(),
+            F.concat(
+                F.lit("request #"),
+                (F.col("requests_made") + 1).cast("string"),
+                F.lit(" raised: "),
+                F.col("last.error"),
+            ),
         )
-        .when(F.col("status").isin(401, 403), denied)
+        .when(F.col("last.status").isin(401, 403), F.concat(status, denied))
         .when(
-            (F.col("status") >= 400) & (F.col("status") != 429),
-            F.concat(status, F.lit(": "), F.substring(F.coalesce("body", F.lit("")), 1, 200)),
+            (F.col("last.status") >= 400) & ~F.col("throttled"),
+            F.concat(status, F.lit(": "), F.substring(F.coalesce("last.body", F.lit("")), 1, 200)),
         )
     )
 
@@ -116,29 +121,39 @@ def _stop_error() -> Column:
 def endpoint_stats(log: DataFrame, max_requests: int | None = BURST_LIMIT) -> DataFrame:
     """Per endpoint: how many requests ran before it throttled or failed, and how fast they were.
 
-    ``max_requests`` is the size of the burst. Latencies are rounded to one digit before and after
-    averaging; a transport error counts neither as a request nor as a latency.
+    Latencies are rounded to one digit before and after averaging; a transport error counts
+    neither as a request nor as a latency. The quota headers are those of the 429, else of the
+    first response.
     """
-    burst = until_first_stop(log, max_requests)
+    burst = materialize(until_first_stop(log, max_requests))
     answered = F.col("error").isNull()
     latency = F.when(answered, F.bround("latency_ms", 1))
-    throttled = F.col("status") == 429
     quota = quota_headers(F.col("headers"))
     stats = burst.groupBy("endpoint").agg(
-        F.count(F.when(answered, 1)).alias("requests_made"),
-        F.coalesce(F.max(throttled), F.lit(False)).alias("throttled"),
-        F.min(F.when(throttled, F.col("seq"))).alias("first_429_at_request"),
-        F.max(F.when(throttled, retry_after_text(F.col("headers")))).alias("retry_after_seconds"),
-        F.min_by(
-            F.when(throttled | (F.col("seq") == 1), quota),
-            F.when(throttled, F.lit(0)).when(F.col("seq") == 1, F.lit(1)),
-        ).alias("rate_limit_headers"),
+        F.count_if(answered).alias("requests_made"),
+        F.min_by(quota, F.when(answered, F.col("seq"))).alias("first_quota"),
+        F.max_by(F.struct("status", "error", "body", "headers"), F.col("seq")).alias("last"),
         F.min(latency).alias("min_latency_ms"),
         F.max(latency).alias("max_latency_ms"),
         F.bround(F.avg(latency), 1).alias("avg_latency_ms"),
-        F.min(_stop_error()).alias("error"),
     )
-    return stats.join(status_counts(burst.filter(answered)), "endpoint", "left")
+    stats = stats.withColumn("throttled", F.coalesce(F.col("last.status") == 429, F.lit(False)))
+    throttled = F.col("throttled")
+    return stats.join(status_counts(burst.filter(answered)), "endpoint", "left").select(
+        "endpoint",
+        "requests_made",
+        "throttled",
+        F.when(throttled, F.col("requests_made")).alias("first_429_at_request"),
+        F.when(throttled, retry_after_text(F.col("last.headers"))).alias("retry_after_seconds"),
+        F.when(throttled, quota_headers(F.col("last.headers")))
+        .otherwise(F.col("first_quota"))
+        .alias("rate_limit_headers"),
+        "min_latency_ms",
+        "max_latency_ms",
+        "avg_latency_ms",
+        "status_counts",
+        _stop_error().alias("error"),
+    )
 
 
 def run_stats(registry: DataFrame, new_rows: DataFrame, failed: DataFrame) -> DataFrame:

@@ -74,17 +74,16 @@ def run_refresh(
     alert_settings: AlertSettings | None = None,
     location: str | None = None,
     top: int | None = None,
-) -> int:
-    """Load landed refresh envelopes and raise alerts; returns the number of changed days.
+) -> None:
+    """Load landed refresh envelopes and raise alerts.
 
     Alerts are checked on every run, so staleness shows even when nothing arrives.
     """
     tables.create_table(spark, table, tables.REFRESH_TABLE, location)
     rows = new_refresh_rows(spark, landed, datasets, table, run_at, incremental_mode, top)
-    changed = tables.commit_refresh(spark, table, rows)
+    tables.commit_refresh(spark, table, rows)
     if alerts_path is not None:
         tables.append_alerts(all_alerts(spark.table(table), run_at.date(), run_at, alert_settings), alerts_path)
-    return changed
 
 
 def run_usage(
@@ -97,8 +96,8 @@ def run_usage(
     settings: UsageSettings = UsageSettings(),
     completed: DataFrame | None = None,
     location: str | None = None,
-) -> int:
-    """Load the landed activity pages of the due days; returns the number of inserted events.
+) -> None:
+    """Load the landed activity pages of the due days.
 
     ``fetch_log`` holds this run's responses (day, kind, status, error). Loading ends before the
     first day that was throttled, failed, not fetched or cut off between pages; that day is due
@@ -121,18 +120,18 @@ def run_usage(
     due = triage.loadable_days(window, fetch_log, cut_off, settings.stop_on_denied)
     whole = landing.follow_continuation(incremental.only_days(pages, due))
     rows = transform.activity_rows(landing.page_events(whole), run_at, list(settings.tracked_activities))
-    return tables.commit_events(spark, table, rows)
+    tables.commit_events(spark, table, rows)
 
 
 def run_probes(
     spark: SparkSession, responses: DataFrame, probes: DataFrame, table: str, location: str | None = None
-) -> int:
-    """Append the measurements of the active probes; returns how many."""
+) -> None:
+    """Append the measurements of the active probes."""
     tables.create_table(spark, table, tables.PROBE_TABLE, location)
     keys = ["workspace_id", "dataset_id", "query_label"]
     names = registry.active_only(probes).select(*keys, "workspace_name", "dataset_name", "is_critical")
     rows = transform.probe_rows(responses.join(small_side(names), keys))
-    return tables.append_probes(spark, table, rows)
+    tables.append_probes(spark, table, rows)
 
 
 def probe_summary(probes: DataFrame) -> DataFrame:

@@ -116,29 +116,35 @@ def freshness(refresh: DataFrame, as_of_ts: datetime) -> DataFrame:
     )
 
 
-def week_over_week(refresh: DataFrame, as_of: date) -> DataFrame:
-    """Datasets whose mean duration rose from the week before last to the last one.
+def weekly_means(refresh: DataFrame, as_of: date) -> DataFrame:
+    """Mean duration of the last week and of the one before, for datasets that ran in both.
 
-    Both weeks come from one pass; a mean of zero gives no percentage.
+    Both weeks come from one pass, which replaces a self-join of the weekly means.
     """
     this_week = F.col("start_time") >= _instant_before(as_of, 7)
-    means = (
+    return (
         _completed(refresh)
         .filter(F.col("start_time") >= _instant_before(as_of, 14))
         .groupBy("dataset_name")
         .agg(
-            F.avg(F.when(this_week, F.col("duration_seconds"))).alias("now"),
-            F.avg(F.when(~this_week, F.col("duration_seconds"))).alias("before"),
+            F.avg(F.when(~this_week, F.col("duration_seconds"))).alias("last_week_mean"),
+            F.avg(F.when(this_week, F.col("duration_seconds"))).alias("this_week_mean"),
         )
+        .filter(F.col("last_week_mean").isNotNull() & F.col("this_week_mean").isNotNull())
     )
-    change = F.try_divide(F.col("now") - F.col("before"), F.col("before")) * 100
+
+
+def week_over_week(refresh: DataFrame, as_of: date) -> DataFrame:
+    """Datasets whose mean duration rose; a mean of zero gives no percentage."""
+    before, now = F.col("last_week_mean"), F.col("this_week_mean")
     return (
-        means.filter(F.col("now") > F.col("before"))
+        weekly_means(refresh, as_of)
+        .filter(now > before)
         .select(
             "dataset_name",
-            minutes(F.col("before")).alias("last_week_avg_min"),
-            minutes(F.col("now")).alias("this_week_avg_min"),
-            F.round(change, 1).alias("pct_change"),
+            minutes(before).alias("last_week_avg_min"),
+            minutes(now).alias("this_week_avg_min"),
+            F.round(F.try_divide(now - before, before) * 100, 1).alias("pct_change"),
         )
         .orderBy(F.desc("pct_change"))
     )

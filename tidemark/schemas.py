@@ -2,7 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import (
+    BooleanType,
+    DateType,
+    DoubleType,
+    IntegerType,
+    MapType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
+
+_TYPES = {
+    "string": StringType(),
+    "timestamp": TimestampType(),
+    "date": DateType(),
+    "double": DoubleType(),
+    "int": IntegerType(),
+    "boolean": BooleanType(),
+}
 
 # Column names, order, types and required columns of the stored tables.
 _REFRESH = [
@@ -65,12 +84,8 @@ _ACTIVITY = [
 
 
 def _table(columns) -> StructType:
-    ddl = StructType.fromDDL(", ".join(f"{name} {kind}" for name, kind, _, _ in columns))
     return StructType(
-        [
-            StructField(field.name, field.dataType, not required, {"comment": comment})
-            for field, (_, _, required, comment) in zip(ddl.fields, columns)
-        ]
+        [StructField(name, _TYPES[kind], not required, {"comment": text}) for name, kind, required, text in columns]
     )
 
 
@@ -78,9 +93,16 @@ REFRESH_HISTORY = _table(_REFRESH)
 QUERY_PERFORMANCE = _table(_PROBE)
 ACTIVITY_EVENTS = _table(_ACTIVITY)
 
-ALERTS = StructType.fromDDL(
-    "severity string, alert_type string, dataset_name string, workspace_name string, "
-    "message string, details map<string,string>, alert_time timestamp"
+ALERTS = StructType(
+    [
+        StructField("severity", StringType()),
+        StructField("alert_type", StringType()),
+        StructField("dataset_name", StringType()),
+        StructField("workspace_name", StringType()),
+        StructField("message", StringType()),
+        StructField("details", MapType(StringType(), StringType())),
+        StructField("alert_time", TimestampType()),
+    ]
 )
 
 CORRUPT = "_corrupt_record"

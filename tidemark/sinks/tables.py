@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from tidemark import schemas
@@ -69,21 +69,19 @@ def _spread(rows: DataFrame, partition: str) -> DataFrame:
     return rows.hint("rebalance", F.col(partition))
 
 
-def append(spark: SparkSession, name: str, rows: DataFrame, spec: TableSpec) -> int:
-    """Append rows and return how many; nothing happens for none."""
-    seen = Observation()
-    counted = _checked(rows, spec).observe(seen, F.count(F.lit(1)).alias("n"))
-    _spread(counted, spec.partition).select(spark.table(name).columns).write.insertInto(name)
-    return seen.get["n"]
+def append(spark: SparkSession, name: str, rows: DataFrame, spec: TableSpec) -> None:
+    """Append rows; nothing happens for none."""
+    spread = _spread(_checked(rows, spec), spec.partition)
+    spread.select(spark.table(name).columns).write.insertInto(name)
 
 
-def append_probes(spark: SparkSession, name: str, rows: DataFrame) -> int:
+def append_probes(spark: SparkSession, name: str, rows: DataFrame) -> None:
     """Append probe measurements; each run is a new measurement."""
-    return append(spark, name, rows, PROBE_TABLE)
+    append(spark, name, rows, PROBE_TABLE)
 
 
-def commit_events(spark: SparkSession, name: str, source: DataFrame, immutable_days: bool = False) -> int:
-    """Insert unseen events and return how many; a repeated run inserts none.
+def commit_events(spark: SparkSession, name: str, source: DataFrame, immutable_days: bool = False) -> None:
+    """Insert unseen events; a repeated run inserts none.
 
     ``immutable_days`` states that an event keeps its creation day, so only the days of the batch
     are searched for known ids; otherwise the id column of the whole table is.
@@ -92,15 +90,15 @@ def commit_events(spark: SparkSession, name: str, source: DataFrame, immutable_d
     target = spark.table(name)
     if immutable_days:
         target = only_days(target, batch, ACTIVITY_TABLE.partition)
-    return append(spark, name, merge.unseen(target, batch, "event_id"), ACTIVITY_TABLE)
+    append(spark, name, merge.unseen(target, batch, "event_id"), ACTIVITY_TABLE)
 
 
-def commit_refresh(spark: SparkSession, name: str, source: DataFrame) -> int:
+def commit_refresh(spark: SparkSession, name: str, source: DataFrame) -> None:
     """Merge refresh rows into the table, rewriting only the days that change.
 
     Stored requests of the batch are found through a scan of two columns. The changed days, with
     updates and inserts applied, replace their partitions in one dynamic overwrite, which commits
-    after all tasks are done; a repeated run gives the same table. Returns the changed day count.
+    after all tasks are done; a repeated run gives the same table.
     """
     day = REFRESH_TABLE.partition
     batch = materialize(merge.one_per_request(source))
@@ -112,7 +110,7 @@ def commit_refresh(spark: SparkSession, name: str, source: DataFrame) -> int:
     inserted = batch.join(stored.select("request_id"), "request_id", "left_anti")
     changed = materialize(updated_days.union(inserted.select(day)).distinct())
     if changed.isEmpty():
-        return 0
+        return
 
     touched = only_days(target, changed, day)
     # A request stored on an untouched day is not updated, so it must not be inserted either.
@@ -121,7 +119,6 @@ def commit_refresh(spark: SparkSession, name: str, source: DataFrame) -> int:
     with session_conf(spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
         _spread(_checked(rows, REFRESH_TABLE), day).select(target.columns).write.insertInto(name, overwrite=True)
     spark.catalog.refreshTable(name)
-    return changed.count()
 
 
 def append_alerts(alerts: DataFrame, path: str) -> None:
