@@ -132,17 +132,21 @@ QUOTA = """CASE WHEN status = 429 THEN 'RateLimit-Remaining=0;Retry-After=' || w
 
 STOPS = "(status >= 400 OR error IS NOT NULL)"
 
+# Quotient of two non-negative integers, rounded to the nearest, ties to even.
+HALF_EVEN = """({0} // {1} + CASE WHEN 2 * ({0} % {1}) > {1}
+  OR (2 * ({0} % {1}) = {1} AND ({0} // {1}) % 2 = 1) THEN 1 ELSE 0 END)"""
+
 BURST = f"""{L},
 n AS (SELECT *, row_number() OVER (PARTITION BY endpoint ORDER BY seq) AS i FROM l),
 f AS (SELECT endpoint, min(i) AS stop_i FROM n WHERE i <= 50 AND {STOPS} GROUP BY endpoint),
-t AS (SELECT n.* FROM n LEFT JOIN f USING (endpoint) WHERE i <= 50 AND (stop_i IS NULL OR i <= stop_i)),
+t AS (SELECT n.*, {HALF_EVEN.format('cast(round(latency_ms * 100) AS bigint)', '10')} AS tenths FROM n LEFT JOIN f USING (endpoint) WHERE i <= 50 AND (stop_i IS NULL OR i <= stop_i)),
 z AS (SELECT endpoint, count(*) FILTER (WHERE error IS NULL) AS requests_made,
   max(i) AS last_i,
-  min(round_even(latency_ms, 1)) FILTER (WHERE error IS NULL) AS min_latency_ms,
-  max(round_even(latency_ms, 1)) FILTER (WHERE error IS NULL) AS max_latency_ms,
-  round_even(avg(round_even(latency_ms, 1)) FILTER (WHERE error IS NULL), 1) AS avg_latency_ms
+  min(tenths) FILTER (WHERE error IS NULL) / 10.0::double AS min_latency_ms,
+  max(tenths) FILTER (WHERE error IS NULL) / 10.0::double AS max_latency_ms,
+  sum(tenths) FILTER (WHERE error IS NULL)::bigint AS total
   FROM t GROUP BY endpoint),
-y AS (SELECT z.*, t.status, t.error, t.body, t.wait, coalesce(t.status = 429, false) AS throttled
+y AS (SELECT z.*, {HALF_EVEN.format('total', 'requests_made')} / 10.0::double AS avg_latency_ms, t.status, t.error, t.body, t.wait, coalesce(t.status = 429, false) AS throttled
   FROM z JOIN t ON z.endpoint = t.endpoint AND z.last_i = t.i)"""
 
 STATS_ERROR = """CASE WHEN y.error IS NOT NULL THEN 'request #' || (requests_made + 1) || ' raised: ' || y.error

@@ -127,15 +127,16 @@ def endpoint_stats(log: DataFrame, max_requests: int | None = BURST_LIMIT) -> Da
     """
     burst = materialize(until_first_stop(log, max_requests))
     answered = F.col("error").isNull()
-    latency = F.when(answered, F.bround("latency_ms", 1))
+    # Whole tenths add up exactly, so the mean does not depend on the order of the rows.
+    tenths = F.when(answered, F.bround(F.bround("latency_ms", 1) * 10, 0).cast("bigint"))
     quota = quota_headers(F.col("headers"))
     stats = burst.groupBy("endpoint").agg(
         F.count_if(answered).alias("requests_made"),
         F.min_by(quota, F.when(answered, F.col("seq"))).alias("first_quota"),
         F.max_by(F.struct("status", "error", "body", "headers"), F.col("seq")).alias("last"),
-        F.min(latency).alias("min_latency_ms"),
-        F.max(latency).alias("max_latency_ms"),
-        F.bround(F.avg(latency), 1).alias("avg_latency_ms"),
+        (F.min(tenths) / 10).alias("min_latency_ms"),
+        (F.max(tenths) / 10).alias("max_latency_ms"),
+        (F.bround(F.try_divide(F.sum(tenths), F.count(tenths)), 0) / 10).alias("avg_latency_ms"),
     )
     stats = stats.withColumn("throttled", F.coalesce(F.col("last.status") == 429, F.lit(False)))
     throttled = F.col("throttled")
