@@ -85,17 +85,16 @@ def max_completed_day(fetch_log: DataFrame) -> DataFrame:
     Unlike the newest stored day it moves past days without events.
     """
     open_day = fetch_log.filter(F.col("outcome") != "ok").agg(F.min("day")).scalar()
-    done = fetch_log.filter(F.col("outcome") == "ok").filter(open_day.isNull() | (F.col("day") < open_day))
+    before_open = F.col("day") < F.coalesce(open_day, F.lit(date.max))
+    done = fetch_log.filter((F.col("outcome") == "ok") & before_open)
     return done.agg(F.max("day").alias("max_date"))
 
 
 def _day_rows(one_row: DataFrame, first: Column, last: Column) -> DataFrame:
-    # sequence() rejects reversed bounds, so the guard comes first.
-    return (
-        one_row.select(first.alias("first"), last.alias("last"))
-        .filter(F.col("first") <= F.col("last"))
-        .select(F.explode(F.sequence("first", "last", F.expr("interval 1 day"))).alias("day"))
-    )
+    # sequence() rejects reversed bounds, also while constants are folded, so the upper bound is
+    # lifted first and the filter comes after.
+    spread = F.sequence(first, F.greatest(first, last), F.expr("interval 1 day"))
+    return one_row.select(F.explode(spread).alias("day"), last.alias("last")).filter("day <= last").select("day")
 
 
 def dates_to_fetch(last_loaded: DataFrame, lookback_days: int, today: date) -> DataFrame:

@@ -40,23 +40,41 @@ def finished(status: Column) -> Column:
     return F.coalesce(status != RUNNING, F.lit(False))
 
 
-def merge_refresh(target: DataFrame, source: DataFrame) -> DataFrame:
-    """Update stored requests that have finished since, insert unseen ones.
-
-    Matched rows take the update columns as they are, nulls included, and keep everything else.
-    """
-    old, new = target.alias("old"), one_per_request(source).alias("new")
+def _merged(columns: list[str]) -> list[Column]:
+    """Columns of a joined ``old`` and ``new`` row: the stored values, updates, or a new row."""
     stored = F.col("old.request_id").isNotNull()
     updated = stored & F.col("new.request_id").isNotNull() & finished(F.col("new.status"))
 
     def merged(name: str) -> Column:
         kept = F.when(stored, F.col(f"old.{name}")).otherwise(F.col(f"new.{name}"))
         if name in REFRESH_UPDATES:
-            return F.when(updated, F.col(f"new.{name}")).otherwise(kept).alias(name)
+            kept = F.when(updated, F.col(f"new.{name}")).otherwise(kept)
         return kept.alias(name)
 
-    joined = old.join(new, F.col("old.request_id") == F.col("new.request_id"), "full_outer")
-    return joined.select(*[merged(name) for name in target.columns])
+    return [merged(name) for name in columns]
+
+
+def _same_request() -> Column:
+    return F.col("old.request_id") == F.col("new.request_id")
+
+
+def merge_refresh(target: DataFrame, source: DataFrame) -> DataFrame:
+    """Update stored requests that have finished since, insert unseen ones.
+
+    Matched rows take the update columns as they are, nulls included, and keep everything else.
+    """
+    new = one_per_request(source).alias("new")
+    joined = target.alias("old").join(new, _same_request(), "full_outer")
+    return joined.select(_merged(target.columns))
+
+
+def apply_updates(target: DataFrame, batch: DataFrame) -> DataFrame:
+    """The update half of ``merge_refresh`` for a batch of one row per request.
+
+    The target is the outer side, so a batch marked for broadcast leaves it unshuffled.
+    """
+    joined = target.alias("old").join(batch.alias("new"), _same_request(), "left")
+    return joined.select(_merged(target.columns))
 
 
 def known_ids(target: DataFrame, source: DataFrame, key: str, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -64,12 +82,12 @@ def known_ids(target: DataFrame, source: DataFrame, key: str, carry: tuple[str,
 
     The scan reads the key (and carried) columns only; the result is no larger than the source.
     """
-    return target.select(key, *carry).join(source.select(key), key, "left_semi")
+    return target.select(key, *carry).join(source, key, "left_semi")
 
 
 def unseen(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """Source rows whose key is not stored; the target is only ever streamed past the source."""
-    return source.join(known_ids(target, source, key), key, "left_anti")
+    return source.join(known_ids(target, source.select(key), key), key, "left_anti")
 
 
 def new_events(target: DataFrame, source: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark import schemas
 from tidemark.functions import instants, payloads
@@ -78,12 +78,17 @@ def parsed_events(raw_events: DataFrame) -> DataFrame:
     )
 
 
-def keep_tracked(rows: DataFrame, activities: list[str] | None, column: str = "activity") -> DataFrame:
-    """Keep the listed activities, ignoring case; no list or an empty one keeps all rows."""
+def tracked_activity(activity: Column, activities: list[str] | None) -> Column:
+    """Whether an activity is listed, ignoring case; no list or an empty one accepts all."""
     if not activities:
-        return rows
+        return F.lit(True)
     wanted = sorted({name.lower() for name in activities})
-    return rows.filter(F.lower(F.coalesce(F.col(column), F.lit(""))).isin(wanted))
+    return F.lower(F.coalesce(activity, F.lit(""))).isin(wanted)
+
+
+def keep_tracked(rows: DataFrame, activities: list[str] | None, column: str = "activity") -> DataFrame:
+    """Keep the rows of the listed activities."""
+    return rows.filter(tracked_activity(F.col(column), activities))
 
 
 def activity_rows(

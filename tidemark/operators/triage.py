@@ -6,17 +6,20 @@ Log columns: endpoint, seq (increasing per endpoint), status, headers map, laten
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from datetime import date
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.headers import quota_headers, retry_after_text
 from tidemark.functions.payloads import event_fields
 from tidemark.operators.ranking import first_per_key
-from tidemark.operators.transform import keep_tracked
+from tidemark.operators.transform import tracked_activity
 from tidemark.session import materialize, small_side
 
 OK, SKIP_EMPTY, DENIED_EMPTY, THROTTLED, FAILED = "ok", "skip_empty", "denied_empty", "throttled", "failed"
 BURST_LIMIT = 50
 ADMIN_BURST_LIMIT = 30
+NO_DAY = date.max
 
 
 def fetch_outcome(kind: Column, status: Column, error: Column) -> Column:
@@ -44,7 +47,7 @@ def before_throttling(log: DataFrame, stop_on_denied: bool = False) -> DataFrame
     if stop_on_denied:
         stops = stops | F.col("status").isin(401, 403)
     cutoff = log.filter(stops).agg(F.min("day")).scalar()
-    return log.filter(cutoff.isNull() | (F.col("day") < cutoff))
+    return log.filter(F.col("day") < F.coalesce(cutoff, F.lit(NO_DAY)))
 
 
 def loadable_days(
@@ -62,7 +65,7 @@ def loadable_days(
     )
     is_open = F.coalesce("stopped", F.lit(True)) | F.coalesce("cut_off", F.lit(False))
     first_open = state.filter(is_open).agg(F.min("day")).scalar()
-    return days.filter(first_open.isNull() | (F.col("day") < first_open))
+    return days.filter(F.col("day") < F.coalesce(first_open, F.lit(NO_DAY)))
 
 
 def until_first_stop(log: DataFrame, max_requests: int | None = None) -> DataFrame:
@@ -182,16 +185,23 @@ def day_counts(raw_events: DataFrame, known_ids: DataFrame, tracked: list[str] |
     events = raw_events.withColumn("fields", event_fields(F.col("raw"))).select(
         "fetch_day", F.col("fields")["Id"].alias("event_id"), F.col("fields")["Activity"].alias("activity")
     )
-    kept = keep_tracked(events.filter(F.coalesce("event_id", F.lit("")) != ""), tracked)
-    first_day = kept.groupBy("event_id").agg(F.min("fetch_day").alias("fetch_day"))
-    new = first_day.join(known_ids.select("event_id"), "event_id", "left_anti")
-
-    def per_day(rows: DataFrame, name: str) -> DataFrame:
-        return rows.groupBy("fetch_day").agg(F.count(F.lit(1)).alias(name))
-
+    has_id = F.coalesce("event_id", F.lit("")) != ""
+    kept = has_id & tracked_activity(F.col("activity"), tracked)
+    # One scan: copies collapse to a row per id and day before anything is compared.
+    per_id = events.groupBy("event_id", "fetch_day").agg(
+        F.count(F.lit(1)).alias("n_raw"), F.count_if(kept).alias("n_kept")
+    )
+    known = known_ids.select("event_id").distinct().withColumn("known", F.lit(True))
+    earlier = Window.partitionBy("event_id").orderBy("fetch_day").rowsBetween(Window.unboundedPreceding, -1)
+    kept_before = F.coalesce(F.sum("n_kept").over(earlier), F.lit(0)) > 0
+    is_new = (F.col("n_kept") > 0) & ~kept_before & F.col("known").isNull()
     return (
-        per_day(events, "n_raw")
-        .join(per_day(kept, "n_kept"), "fetch_day", "left")
-        .join(per_day(new, "n_new"), "fetch_day", "left")
-        .na.fill(0, ["n_kept", "n_new"])
+        per_id.join(known, "event_id", "left")
+        .withColumn("is_new", is_new)
+        .groupBy("fetch_day")
+        .agg(
+            F.sum("n_raw").alias("n_raw"),
+            F.sum("n_kept").alias("n_kept"),
+            F.count_if("is_new").alias("n_new"),
+        )
     )

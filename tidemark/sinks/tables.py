@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 from tidemark import schemas
 from tidemark.operators import merge
 from tidemark.operators.incremental import only_days
-from tidemark.session import materialize, session_conf
+from tidemark.session import materialize, session_conf, small_side
 
 
 @dataclass(frozen=True)
@@ -90,32 +90,32 @@ def commit_events(spark: SparkSession, name: str, source: DataFrame, immutable_d
     target = spark.table(name)
     if immutable_days:
         target = only_days(target, batch, ACTIVITY_TABLE.partition)
-    append(spark, name, merge.unseen(target, batch, "event_id"), ACTIVITY_TABLE)
+    stored = merge.known_ids(target, small_side(batch.select("event_id")), "event_id")
+    append(spark, name, batch.join(stored, "event_id", "left_anti"), ACTIVITY_TABLE)
 
 
 def commit_refresh(spark: SparkSession, name: str, source: DataFrame) -> None:
     """Merge refresh rows into the table, rewriting only the days that change.
 
-    Stored requests of the batch are found through a scan of two columns. The changed days, with
-    updates and inserts applied, replace their partitions in one dynamic overwrite, which commits
-    after all tasks are done; a repeated run gives the same table.
+    Stored requests of the batch are found through a scan of two columns, past a broadcast of the
+    batch's ids where they are few. The changed days, with updates and inserts applied, replace
+    their partitions in one dynamic overwrite, which commits after all tasks are done; a repeated
+    run gives the same table.
     """
     day = REFRESH_TABLE.partition
-    batch = materialize(merge.one_per_request(source))
+    batch = small_side(merge.one_per_request(source))
     target = spark.table(name)
-    stored = materialize(merge.known_ids(target, batch, "request_id", carry=(day,)))
+    keys = small_side(batch.select("request_id"))
+    stored = materialize(merge.known_ids(target, keys, "request_id", carry=(day,)))
 
     finished = batch.filter(merge.finished(F.col("status"))).select("request_id")
     updated_days = stored.join(finished, "request_id", "left_semi").select(day)
-    inserted = batch.join(stored.select("request_id"), "request_id", "left_anti")
+    inserted = batch.join(stored, "request_id", "left_anti").select(target.columns)
     changed = materialize(updated_days.union(inserted.select(day)).distinct())
     if changed.isEmpty():
         return
 
-    touched = only_days(target, changed, day)
-    # A request stored on an untouched day is not updated, so it must not be inserted either.
-    elsewhere = stored.join(changed, day, "left_anti").select("request_id")
-    rows = merge.merge_refresh(touched, batch.join(elsewhere, "request_id", "left_anti"))
+    rows = merge.apply_updates(only_days(target, changed, day), batch).unionByName(inserted)
     with session_conf(spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
         _spread(_checked(rows, REFRESH_TABLE), day).select(target.columns).write.insertInto(name, overwrite=True)
     spark.catalog.refreshTable(name)
