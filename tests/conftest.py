@@ -45,4 +45,6 @@ def values(frame, expression):
 
 
 def plan_text(frame):
-    return frame._jdf.queryExecution().executedPlan().toString()
+    """The formatted physical plan, with full pushed filters."""
+    execution = frame._jdf.queryExecution()
+    return frame.sparkSession._jvm.PythonSQLUtils.explainString(execution, "formatted")

@@ -63,7 +63,9 @@ def test_error_code(spark):
         "[]": None,
         "null": None,
     }
-    assert values(column(spark, list(cases)), payloads.error_code(F.col("v"))) == list(cases.values())
+    frame = column(spark, list(cases))
+    assert values(frame, payloads.error_code(F.col("v"))) == list(cases.values())
+    assert values(payloads.with_error_code(frame, "v"), "error_code") == list(cases.values())
 
 
 def test_attempts(spark):

@@ -7,7 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.instants import seconds_between
-from tidemark.functions.payloads import error_code
+from tidemark.functions.payloads import with_error_code
 from tidemark.session import scratch_path
 
 AS_OF = date(2024, 1, 30)
@@ -69,7 +69,7 @@ def _refresh_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def refresh_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored refresh rows, ingested on the day they started."""
-    return _refresh_base(spark, sf_dir).select(
+    return with_error_code(_refresh_base(spark, sf_dir), "service_exception_json").select(
         "request_id",
         "dataset_id",
         "dataset_name",
@@ -81,7 +81,7 @@ def refresh_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         "end_time",
         seconds_between(F.col("start_time"), F.col("end_time")).alias("duration_seconds"),
         "service_exception_json",
-        error_code(F.col("service_exception_json")).alias("error_code"),
+        "error_code",
         "refresh_attempts_json",
         "attempt_count",
         "is_critical",
@@ -100,11 +100,10 @@ def refresh_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest = latest.withColumn("ingestion_timestamp", F.lit(RUN_AT).cast("timestamp"))
     older = base.withColumn("status", F.lit("Unknown")).withColumn("end_time", F.lit(None).cast("timestamp"))
     older = older.withColumn("ingestion_timestamp", F.lit(RUN_AT).cast("timestamp") - F.expr("interval 1 day"))
-    both = latest.unionByName(older)
+    both = with_error_code(latest.unionByName(older), "service_exception_json")
     return (
         both.withColumn("ingestion_date", F.lit(RUN_AT.date()))
         .withColumn("duration_seconds", seconds_between(F.col("start_time"), F.col("end_time")))
-        .withColumn("error_code", error_code(F.col("service_exception_json")))
         .select(refresh_history(spark, sf_dir).columns)
     )
 

@@ -200,7 +200,7 @@ def tr_duration_seconds(spark, sf):
 @register
 def tr_error_code(spark, sf):
     raw = a.raw_refresh(spark, sf)
-    return raw.select("requestId", payloads.error_code(F.col("serviceExceptionJson")).alias("error_code"))
+    return payloads.with_error_code(raw, "serviceExceptionJson").select("requestId", "error_code")
 
 
 @register

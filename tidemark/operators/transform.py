@@ -51,7 +51,8 @@ def refresh_rows(records: DataFrame, run_at: datetime) -> DataFrame:
     """Landed refresh records, already joined with the registry, as table rows."""
     start, end = instants.parse_instant(F.col("startTime")), instants.parse_instant(F.col("endTime"))
     attempts = F.col("refreshAttempts")
-    rows = require_id(records, "requestId").select(
+    coded = payloads.with_error_code(require_id(records, "requestId"), "serviceExceptionJson")
+    rows = coded.select(
         F.col("requestId").alias("request_id"),
         "dataset_id",
         "dataset_name",
@@ -63,7 +64,7 @@ def refresh_rows(records: DataFrame, run_at: datetime) -> DataFrame:
         end.alias("end_time"),
         instants.seconds_between(start, end).alias("duration_seconds"),
         F.col("serviceExceptionJson").alias("service_exception_json"),
-        payloads.error_code(F.col("serviceExceptionJson")).alias("error_code"),
+        "error_code",
         payloads.attempts_json(attempts).alias("refresh_attempts_json"),
         payloads.attempt_count(attempts).alias("attempt_count"),
         "is_critical",

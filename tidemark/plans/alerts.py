@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date, datetime, timedelta
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark import schemas
 from tidemark.functions.instants import instant_text
-from tidemark.operators.incremental import as_instant
 from tidemark.operators.rolling import MAX_ROWS_PER_TASK, mean_of_previous
+from tidemark.plans.reports import started_since
 
 # The rolling mean covers four rows per day of its window.
 ROWS_PER_DAY = 4
@@ -89,14 +89,14 @@ def duration_anomalies(
     threshold_multiplier: float = 1.5,
     rolling_window_days: int = 7,
     max_rows_per_task: int = MAX_ROWS_PER_TASK,
+    ingested_after_start: bool = False,
 ) -> DataFrame:
-    """Today's refreshes that took longer than a multiple of the rolling mean of their dataset."""
-    since = as_instant(as_of - timedelta(days=rolling_window_days + 1))
-    recent = refresh.filter(
-        (F.col("status") == "Completed")
-        & F.col("duration_seconds").isNotNull()
-        & (F.col("start_time") >= F.lit(since).cast("timestamp"))
-    ).select(
+    """Today's refreshes that took longer than a multiple of the rolling mean of their dataset.
+
+    ``ingested_after_start`` prunes old partitions, see ``reports.started_since``.
+    """
+    measured = refresh.filter((F.col("status") == "Completed") & F.col("duration_seconds").isNotNull())
+    recent = started_since(measured, as_of, rolling_window_days + 1, ingested_after_start).select(
         "request_id", "dataset_id", "dataset_name", "workspace_name", "start_time", "duration_seconds", "ingestion_date"
     )
     rolling = mean_of_previous(
@@ -163,7 +163,13 @@ def stale_data(
     return alerts.unionByName(_alerts(never, F.lit("critical"), "stale_data", message, nothing, at))
 
 
-def all_alerts(refresh: DataFrame, as_of: date, at: datetime, settings: AlertSettings | None = None) -> DataFrame:
+def all_alerts(
+    refresh: DataFrame,
+    as_of: date,
+    at: datetime,
+    settings: AlertSettings | None = None,
+    ingested_after_start: bool = False,
+) -> DataFrame:
     """The selected checks as one frame."""
     chosen = settings or AlertSettings()
     alerts = refresh.sparkSession.createDataFrame([], schemas.ALERTS)
@@ -172,7 +178,12 @@ def all_alerts(refresh: DataFrame, as_of: date, at: datetime, settings: AlertSet
     if chosen.check_duration_anomalies:
         alerts = alerts.unionByName(
             duration_anomalies(
-                refresh, as_of, at, chosen.threshold_multiplier, chosen.rolling_window_days
+                refresh,
+                as_of,
+                at,
+                chosen.threshold_multiplier,
+                chosen.rolling_window_days,
+                ingested_after_start=ingested_after_start,
             )
         )
     if chosen.check_stale_data:

@@ -29,6 +29,16 @@ def _completed(refresh: DataFrame) -> DataFrame:
     return refresh.filter(F.col("status") == "Completed")
 
 
+def started_since(refresh: DataFrame, as_of: date, days: int, ingested_after_start: bool = False) -> DataFrame:
+    """Refreshes that started at most ``days`` before today.
+
+    The table is partitioned by ingestion day. ``ingested_after_start`` states that no row was
+    ingested more than a day before it started, so older partitions are not read.
+    """
+    recent = refresh.filter(F.col("start_time") >= _instant_before(as_of, days))
+    return recent.filter(F.col("ingestion_date") >= _days_before(as_of, days + 1)) if ingested_after_start else recent
+
+
 def latest_status(refresh: DataFrame) -> DataFrame:
     """Newest refresh of each dataset, critical datasets first."""
     return (
@@ -57,12 +67,13 @@ def daily_status_counts(refresh: DataFrame, as_of: date, days: int = 30) -> Data
     )
 
 
-def average_duration(refresh: DataFrame, as_of: date, days: int = 7) -> DataFrame:
+def average_duration(
+    refresh: DataFrame, as_of: date, days: int = 7, ingested_after_start: bool = False
+) -> DataFrame:
     """Mean, longest and shortest completed refresh per dataset."""
     duration = F.col("duration_seconds")
     return (
-        _completed(refresh)
-        .filter(F.col("start_time") >= _instant_before(as_of, days))
+        started_since(_completed(refresh), as_of, days, ingested_after_start)
         .groupBy("dataset_name", "workspace_name")
         .agg(
             F.count(F.lit(1)).alias("completed_refreshes"),
@@ -74,12 +85,13 @@ def average_duration(refresh: DataFrame, as_of: date, days: int = 7) -> DataFram
     )
 
 
-def duration_trend(refresh: DataFrame, dataset_name: str, as_of: date, days: int = 30) -> DataFrame:
+def duration_trend(
+    refresh: DataFrame, dataset_name: str, as_of: date, days: int = 30, ingested_after_start: bool = False
+) -> DataFrame:
     """Mean duration of one dataset per day."""
     return (
-        _completed(refresh)
+        started_since(_completed(refresh), as_of, days, ingested_after_start)
         .filter(F.col("dataset_name") == dataset_name)
-        .filter(F.col("start_time") >= _instant_before(as_of, days))
         .groupBy(F.to_date("start_time").alias("refresh_date"))
         .agg(
             minutes(F.avg("duration_seconds")).alias("avg_duration_minutes"),
@@ -89,11 +101,10 @@ def duration_trend(refresh: DataFrame, dataset_name: str, as_of: date, days: int
     )
 
 
-def failures(refresh: DataFrame, as_of: date, days: int = 7) -> DataFrame:
+def failures(refresh: DataFrame, as_of: date, days: int = 7, ingested_after_start: bool = False) -> DataFrame:
     """Failed refreshes with their error, critical ones first."""
     return (
-        refresh.filter(F.col("status") == "Failed")
-        .filter(F.col("start_time") >= _instant_before(as_of, days))
+        started_since(refresh.filter(F.col("status") == "Failed"), as_of, days, ingested_after_start)
         .select(
             "dataset_name", "workspace_name", "start_time", "error_code", "service_exception_json", "is_critical"
         )
@@ -116,15 +127,14 @@ def freshness(refresh: DataFrame, as_of_ts: datetime) -> DataFrame:
     )
 
 
-def weekly_means(refresh: DataFrame, as_of: date) -> DataFrame:
+def weekly_means(refresh: DataFrame, as_of: date, ingested_after_start: bool = False) -> DataFrame:
     """Mean duration of the last week and of the one before, for datasets that ran in both.
 
     Both weeks come from one pass, which replaces a self-join of the weekly means.
     """
     this_week = F.col("start_time") >= _instant_before(as_of, 7)
     return (
-        _completed(refresh)
-        .filter(F.col("start_time") >= _instant_before(as_of, 14))
+        started_since(_completed(refresh), as_of, 14, ingested_after_start)
         .groupBy("dataset_name")
         .agg(
             F.avg(F.when(~this_week, F.col("duration_seconds"))).alias("last_week_mean"),
@@ -134,11 +144,11 @@ def weekly_means(refresh: DataFrame, as_of: date) -> DataFrame:
     )
 
 
-def week_over_week(refresh: DataFrame, as_of: date) -> DataFrame:
+def week_over_week(refresh: DataFrame, as_of: date, ingested_after_start: bool = False) -> DataFrame:
     """Datasets whose mean duration rose; a mean of zero gives no percentage."""
     before, now = F.col("last_week_mean"), F.col("this_week_mean")
     return (
-        weekly_means(refresh, as_of)
+        weekly_means(refresh, as_of, ingested_after_start)
         .filter(now > before)
         .select(
             "dataset_name",

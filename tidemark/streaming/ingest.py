@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import schemas
 from tidemark.operators import registry, transform
@@ -26,10 +25,8 @@ def refresh_stream(spark: SparkSession, landed: str, max_files_per_batch: int =
     )
 
 
-def ingest_refresh(
-    spark: SparkSession, landed: str, datasets: DataFrame, table: str, progress_path: str
-) -> StreamingQuery:
-    """Merge all files not seen so far into the table, then stop.
+def ingest_refresh(spark: SparkSession, landed: str, datasets: DataFrame, table: str, progress_path: str) -> None:
+    """Merge all files not seen so far into the table.
 
     The stream's progress folder replaces the high-water mark. A batch repeated after a failure
     merges to the same table.
@@ -41,10 +38,13 @@ def ingest_refresh(
         rows = transform.refresh_rows(registry.enrich(batch, attributes), datetime.now(timezone.utc))
         tables.commit_refresh(batch.sparkSession, table, rows)
 
-    return (
+    query = (
         refresh_stream(spark, landed)
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", progress_path)
         .trigger(availableNow=True)
         .start()
     )
+    query.awaitTermination()
+    # Batches run in a session of their own, so the caller's list of files is renewed here.
+    spark.catalog.refreshTable(table)
