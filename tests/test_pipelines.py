@@ -4,12 +4,11 @@ from datetime import date, datetime, timedelta
 import pytest
 
 from tests.conftest import rows
-from tidemark.operators import incremental, registry
-from tidemark.plans import pipelines
+from tidemark.operators import incremental, registry, transform
+from tidemark.plans import pipelines, settings
 from tidemark.sources import config, landing, tables as stored
 from tidemark.sinks import files, tables
 from tidemark.streaming.ingest import ingest_refresh
-from tidemark.operators import transform
 
 RUN = datetime(2024, 6, 10, 3)
 
@@ -110,11 +109,11 @@ def test_capped_usage_moves_on_with_the_fetch_log(spark, tmp_path):
         ids = ["d5a"] if day == 5 else ["d9a"] if day == 9 else []
         write(land / f"day=2024-06-0{day}", "p.json", page(1, *ids, more=False))
     statuses = dict.fromkeys(range(5, 10), 200)
-    settings = pipelines.UsageSettings(lookback_days=5, max_days_per_run=2)
+    capped = pipelines.UsageSettings(lookback_days=5, max_days_per_run=2)
     done = None
     for _ in range(4):
         pipelines.run_usage(
-            spark, str(land), fetch_log(spark, statuses), "pipe_capped", RUN, date(2024, 6, 10), settings,
+            spark, str(land), fetch_log(spark, statuses), "pipe_capped", RUN, date(2024, 6, 10), capped,
             completed=done, location=str(tmp_path / "t"),
         )
         loaded = incremental.max_activity_date(spark.table("pipe_capped")) if done is None else done
@@ -181,6 +180,36 @@ def test_monthly_csv(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "refresh")).count() == 1
 
 
+def test_exports(spark, tmp_path):
+    write(tmp_path / "land", "x.json", envelope("a", record("a1", 1)), envelope("b", record("b1", 1), record("b2", 2)))
+    write(tmp_path / "list", "l.json", {"workspace_id": "ws", "value": [{"id": "a", "name": "Alpha"}, {"id": "b"}]})
+    listing = landing.dataset_listing(spark, str(tmp_path / "list"), name_by_id=True)
+    pipelines.export_refresh(spark, str(tmp_path / "land"), listing, str(tmp_path / "refresh"), RUN)
+    found = spark.read.option("header", True).csv(str(tmp_path / "refresh"))
+    assert rows(found, "request_id", "dataset_name") == [("a1", "Alpha"), ("b1", "b"), ("b2", "b")]
+
+    land = tmp_path / "pages"
+    write(land / "day=2024-06-05", "p.json", page(1, "d5a", "d5a", more=False))
+    write(land / "day=2024-06-06", "p.json", page(1, "d6a", "d5a", more=False))
+    for last in (date(2024, 6, 5), date(2024, 6, 6), date(2024, 6, 6)):
+        days = incremental.export_range(spark, date(2024, 6, 10), start=date(2024, 6, 5), end=last)
+        pipelines.export_activity(spark, str(land), days, str(tmp_path / "csv"), RUN)
+    assert [r[0] for r in rows(stored.csv_known_ids(spark, str(tmp_path / "csv")))] == ["d5a", "d6a"]
+    assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 2
+
+
+def test_settings():
+    names = {"delta_table": {"catalog": "c", "schema": "s", "table_name": "r"}, "query_performance_table": {"table_name": "p"}, "activity_events_table": {"schema": "s", "table_name": "a"}}
+    plain = settings.from_document(names)
+    assert (plain.refresh_table, plain.probe_table, plain.activity_table) == ("c.s.r", "p", "s.a")
+    assert plain.usage.max_days_per_run is None and not plain.alerts_enabled
+    full = settings.from_document(
+        {**names, "alerting": {"enabled": True, "teams_webhook_url": "https://x", "check_stale_data": False}, "usage": {"tracked_activities": ["ViewReport"], "max_backfill_days_per_run": 7}}
+    )
+    assert full.alerts_enabled and full.card_channel and not full.alerts.check_stale_data
+    assert full.usage.tracked_activities == ("ViewReport",) and full.usage.max_days_per_run == 7
+
+
 def test_stream_takes_each_file_once(spark, tmp_path, datasets):
     land, progress = tmp_path / "land", str(tmp_path / "progress")
     tables.create_table(spark, "stream_refresh", tables.REFRESH_TABLE, str(tmp_path / "t"))

@@ -40,7 +40,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id",
         "event_type",
         "value",
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
+        F.regexp_extract("props", r'"k":\s*(\d+)', 1).cast("int").alias("k"),
     )
 
 

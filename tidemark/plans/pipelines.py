@@ -12,7 +12,7 @@ from tidemark.functions.instants import parse_instant
 from tidemark.operators import incremental, merge, registry, transform, triage
 from tidemark.plans.alerts import AlertSettings, all_alerts
 from tidemark.session import materialize, small_side
-from tidemark.sinks import tables
+from tidemark.sinks import files, tables
 from tidemark.sources import landing
 from tidemark.sources.tables import scan_if_present
 
@@ -123,6 +123,25 @@ def run_usage(
     tables.commit_events(spark, table, rows)
 
 
+def export_refresh(spark: SparkSession, landed: str, listing: DataFrame, path: str, run_at: datetime) -> None:
+    """Replace the refresh export with all landed records of the listed datasets (id, name)."""
+    names = listing.select(
+        F.col("id").alias("dataset_id"),
+        F.col("name").alias("dataset_name"),
+        "workspace_id",
+        F.lit("").alias("workspace_name"),
+        F.lit(False).alias("is_critical"),
+    )
+    records = registry.enrich(landing.refresh_records(spark, landed), small_side(names))
+    files.write_refresh_csv(transform.refresh_rows(records, run_at), path)
+
+
+def export_activity(spark: SparkSession, landed: str, days: DataFrame, path: str, run_at: datetime) -> None:
+    """Append the events of the given days that were not exported before to the monthly files."""
+    pages = landing.follow_continuation(incremental.only_days(landing.activity_pages(spark, landed), days))
+    files.append_monthly_csv(transform.activity_rows(landing.page_events(pages), run_at), path)
+
+
 def run_probes(
     spark: SparkSession, responses: DataFrame, probes: DataFrame, table: str, location: str | None = None
 ) -> None:

@@ -5,8 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 from contextlib import contextmanager
+from functools import reduce
+from operator import add
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Largest side that may be sent to every executor.
 BROADCAST_MAX_ROWS = 200_000
@@ -63,6 +65,20 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _row_bytes(df: DataFrame) -> Column:
+    """Approximate width of a row: text by its length, nested values by their JSON, others fixed."""
+    widths = [F.lit(8)]
+    for name, kind in df.dtypes:
+        value = F.col(f"`{name}`")
+        if kind in ("string", "binary"):
+            widths.append(F.coalesce(F.octet_length(value), F.lit(0)))
+        elif "<" in kind:
+            widths.append(F.coalesce(F.octet_length(F.to_json(value)), F.lit(0)))
+        else:
+            widths.append(F.lit(8))
+    return reduce(add, widths)
+
+
 def sized_side(
     df: DataFrame,
     max_rows: int = BROADCAST_MAX_ROWS,
@@ -70,12 +86,11 @@ def sized_side(
 ) -> tuple[DataFrame, int]:
     """Materialize a join side and mark it for broadcast only if it is proven small.
 
-    Returns the side and its row count (``max_rows + 1`` stands for "more"). A side over either
-    bound comes back unhinted, so the join is shuffled and adaptive execution splits hot keys.
+    Returns the side and its row count. A side over either bound comes back unhinted, so the join
+    is shuffled and adaptive execution splits hot keys.
     """
     kept = materialize(df)
-    width = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in kept.columns])))
-    rows, size = kept.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(width)).first()
+    rows, size = kept.agg(F.count(F.lit(1)), F.sum(_row_bytes(kept))).first()
     if rows <= max_rows and (size or 0) <= max_bytes:
         return F.broadcast(kept), rows
     return kept, rows

@@ -37,14 +37,20 @@ def newest_per_dataset(records: DataFrame, instant: Column, tie: Column, top: in
     return first_per_key(records, ["dataset_id"], [instant.desc_nulls_last(), tie.asc()], top)
 
 
-def dataset_listing(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Datasets of each listed workspace with their position in the listing."""
+def dataset_listing(
+    spark: SparkSession, path: str, multi_line: bool = False, name_by_id: bool = False
+) -> DataFrame:
+    """Datasets of each listed workspace with their position in the listing.
+
+    A dataset without a name is called ``Unknown``, or by its id if ``name_by_id`` is set.
+    """
+    unnamed = F.col("item.id") if name_by_id else F.lit("Unknown")
     listing = read_json(spark, path, schemas.DATASET_LISTING, multi_line)
     return listing.select("workspace_id", F.posexplode("value").alias("item_pos", "item")).select(
         "workspace_id",
         "item_pos",
         F.col("item.id").alias("id"),
-        F.coalesce("item.name", F.lit("Unknown")).alias("name"),
+        F.coalesce("item.name", unnamed).alias("name"),
         F.col("item.isRefreshable").alias("is_refreshable"),
     )
 
