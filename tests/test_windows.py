@@ -40,13 +40,14 @@ any_interval = st.one_of(
     st.tuples(second, second),
     st.tuples(second, st.integers(0, 40)).map(lambda p: (p[0], p[0] + p[1])),
     st.tuples(second, st.integers(0, 40_000_000)).map(lambda p: (p[0], p[0] + p[1])),
+    st.tuples(second, st.integers(1, 9)).map(lambda p: (p[0], p[0] + p[1] / 100)),
     st.just((None, 5)),
     st.just((5, None)),
 )
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(any_interval, max_size=40), st.sampled_from([1, 16, 1000]), st.sampled_from([None, 0, 1500]))
+@given(st.lists(any_interval, max_size=40), st.sampled_from([1 / 64, 1, 1000]), st.sampled_from([None, 0, 1500]))
 def test_overlap_equals_theta_join(spark, data, finest, since_second):
     frame, made = intervals(spark, data)
     since = None if since_second is None else BASE + timedelta(seconds=since_second)
@@ -58,6 +59,12 @@ def test_overlap_edges(spark):
     assert found_pairs(frame) == brute_force(made)
 
 
+def test_overlap_of_a_burst(spark):
+    data = [(1 + i / 1000, 1 + i / 1000 + 0.003) for i in range(300)] + [(0, 100), (-10_000_000, 10_000_000)]
+    frame, made = intervals(spark, data)
+    assert found_pairs(frame) == brute_force(made)
+
+
 def test_overlap_plan_has_no_nested_loop(spark):
     frame, _ = intervals(spark, [(0, 10), (5, 20)])
     plan = plan_text(overlapping_pairs(frame, "id", "s", "e", []))

@@ -14,13 +14,15 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-FINEST_SECONDS = 16
-GROWTH = 8
-LEVELS = 7
+# Bin widths from 1/64 of a second to 48 days. Only widths that some interval needs are looked up,
+# and fine ones keep a burst of short intervals from meeting in one bin.
+FINEST_SECONDS = 1 / 64
+GROWTH = 16
+LEVELS = 8
 
 
-def _widths(finest_seconds: int) -> list[int]:
-    return [finest_seconds * 1_000_000 * GROWTH**level for level in range(LEVELS)]
+def _widths(finest_seconds: float) -> list[int]:
+    return [int(finest_seconds * 1_000_000) * GROWTH**level for level in range(LEVELS)]
 
 
 def _level(length: Column, widths: list[int]) -> Column:
@@ -45,7 +47,7 @@ def overlapping_pairs(
     end: str,
     carry: list[str],
     first_since: datetime | None = None,
-    finest_seconds: int = FINEST_SECONDS,
+    finest_seconds: float = FINEST_SECONDS,
 ) -> DataFrame:
     """Pairs ``a``, ``b`` (structs of id, start, end and carried columns) with
     ``a.id < b.id``, ``a.start < b.end`` and ``b.start < a.end``.
