@@ -1,3 +1,4 @@
+import shutil
 from datetime import datetime
 
 import pytest
@@ -73,6 +74,44 @@ def test_commit_equals_merge(spark, stored, batch, tmp_path):
     assert rows(spark.table("merge_commit"), *COLUMNS) == EXPECTED
 
 
+def test_commit_survives_a_crash_while_days_are_replaced(spark, stored, batch, tmp_path, monkeypatch):
+    place = tmp_path / "t"
+    tables.create_table(spark, "merge_crash", tables.REFRESH_TABLE, str(place))
+    tables.append(spark, "merge_crash", stored, tables.REFRESH_TABLE)
+    original = tables.finish_commit
+    calls = []
+
+    def die_on_second_call(session, name):
+        calls.append(name)
+        if len(calls) == 2:
+            raise RuntimeError("driver lost")
+        original(session, name)
+
+    monkeypatch.setattr(tables, "finish_commit", die_on_second_call)
+    with pytest.raises(RuntimeError):
+        tables.commit_refresh(spark, "merge_crash", batch)
+    monkeypatch.undo()
+    # The old files of a day are gone and the new ones are not in place yet.
+    shutil.move(place / "ingestion_date=2024-06-01", tmp_path / "gone")
+    spark.catalog.refreshTable("merge_crash")
+    assert spark.table("merge_crash").count() == 0
+
+    tables.commit_refresh(spark, "merge_crash", batch.limit(0))
+    assert rows(spark.table("merge_crash"), *COLUMNS) == EXPECTED
+    assert not (place / "_staged_merge").exists()
+    assert rows(spark.read.parquet(str(place)), *COLUMNS) == EXPECTED
+
+
+def test_incomplete_stage_is_ignored(spark, stored, batch, tmp_path):
+    place = tmp_path / "t"
+    tables.create_table(spark, "merge_partial", tables.REFRESH_TABLE, str(place))
+    tables.append(spark, "merge_partial", stored, tables.REFRESH_TABLE)
+    stored.limit(1).write.partitionBy("ingestion_date").parquet(str(place / "_staged_merge"))
+    (place / "_staged_merge" / "_SUCCESS").unlink()
+    tables.commit_refresh(spark, "merge_partial", batch)
+    assert rows(spark.table("merge_partial"), *COLUMNS) == EXPECTED
+
+
 def test_commit_leaves_other_days_alone(spark, stored, tmp_path):
     place = tmp_path / "t"
     tables.create_table(spark, "merge_days", tables.REFRESH_TABLE, str(place))

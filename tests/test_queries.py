@@ -119,8 +119,9 @@ def test_split_and_plain_paths_agree_with_forced_shuffles(spark, duck, monkeypat
     def never_small(df, **_):
         return session.materialize(df)
 
-    for module in ("operators.triage", "operators.incremental", "operators.registry", "sources.landing", "sinks.tables"):
+    for module in ("operators.triage", "operators.incremental", "operators.registry", "sources.landing"):
         monkeypatch.setattr(f"tidemark.{module}.small_side", never_small)
+    monkeypatch.setattr("tidemark.sinks.tables.measured", lambda kept: (kept, -1))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         for name in ("triage_take_while", "agg_midpoint_watermark", "join_registry_resolve", "src_activity_pages", "sink_merge_commit"):

@@ -137,18 +137,24 @@ def export_range(
     return days.withColumn("past_retention", F.col("day") < F.lit(today - timedelta(days=RETENTION_DAYS)))
 
 
-def only_days(rows: DataFrame, days: DataFrame, column: str = "day") -> DataFrame:
-    """Rows on the days listed in the same-named column of ``days``.
+def listed_days(days: DataFrame, column: str = "day") -> list[date | None] | None:
+    """The distinct days of a frame, or None for more than ``MAX_LISTED_DAYS`` of them."""
+    listed = [row[0] for row in days.select(column).distinct().limit(MAX_LISTED_DAYS + 1).collect()]
+    return listed if len(listed) <= MAX_LISTED_DAYS else None
 
-    Up to ``MAX_LISTED_DAYS`` days become literals, which prune partitions when the plan is made; a
-    longer list becomes a semi-join.
-    """
-    distinct = days.select(column).distinct()
-    listed = [row[0] for row in distinct.limit(MAX_LISTED_DAYS + 1).collect()]
-    if len(listed) > MAX_LISTED_DAYS:
-        return rows.join(distinct, column, "left_semi")
+
+def on_days(column: str, listed: list[date | None]) -> Column:
+    """Whether a day is in a list; literals prune partitions when the plan is made."""
     keep = F.col(column).isin([day for day in listed if day is not None])
-    return rows.filter(keep | F.col(column).isNull() if None in listed else keep)
+    return keep | F.col(column).isNull() if None in listed else keep
+
+
+def only_days(rows: DataFrame, days: DataFrame, column: str = "day") -> DataFrame:
+    """Rows on the days in the same-named column of ``days``: literals, or a semi-join for many."""
+    listed = listed_days(days, column)
+    if listed is None:
+        return rows.join(days.select(column).distinct(), column, "left_semi")
+    return rows.filter(on_days(column, listed))
 
 
 def as_instant(day: date) -> datetime:

@@ -79,28 +79,49 @@ def _row_bytes(df: DataFrame) -> Column:
     return reduce(add, widths)
 
 
-def sized_side(
-    df: DataFrame,
+def measured(
+    kept: DataFrame,
     max_rows: int = BROADCAST_MAX_ROWS,
     max_bytes: int = BROADCAST_MAX_BYTES,
 ) -> tuple[DataFrame, int]:
-    """Materialize a join side and mark it for broadcast only if it is proven small.
+    """Mark a materialized frame for broadcast only if it is proven small; also its row count.
 
-    Returns the side and its row count. A side over either bound comes back unhinted, so the join
-    is shuffled and adaptive execution splits hot keys.
+    A frame over either bound comes back unhinted, so joins with it are shuffled and adaptive
+    execution splits their hot keys.
     """
-    kept = materialize(df)
     rows, size = kept.agg(F.count(F.lit(1)), F.sum(_row_bytes(kept))).first()
     if rows <= max_rows and (size or 0) <= max_bytes:
         return F.broadcast(kept), rows
     return kept, rows
 
 
+def sized_side(df: DataFrame, **bounds: int) -> tuple[DataFrame, int]:
+    """Materialize a join side and measure it."""
+    return measured(materialize(df), **bounds)
+
+
 def small_side(df: DataFrame, **bounds: int) -> DataFrame:
-    """``sized_side`` without the count."""
+    """A materialized join side, marked for broadcast only if it is proven small."""
     return sized_side(df, **bounds)[0]
 
 
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists on the file system of its path."""
+    files, hadoop_path = _file_system(spark, path)
+    return files.exists(hadoop_path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library wrote."""
+    files, hadoop_path = _file_system(spark, path)
+    files.delete(hadoop_path, True)
+
+
 @contextmanager
 def session_conf(spark: SparkSession, **settings: str):
     """Set configuration keys (dots written as ``__``) for the duration of one action."""

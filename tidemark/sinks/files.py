@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.instants import month_bucket
 from tidemark.operators import merge
+from tidemark.session import path_exists
 from tidemark.sources.tables import csv_known_ids
 
 FILE_KEY = "file_key"
@@ -23,15 +24,10 @@ def new_for_export(events: DataFrame, known_ids: DataFrame) -> DataFrame:
     return merge.one_per_event(events).join(known_ids.select("event_id"), "event_id", "left_anti")
 
 
-def _folder_exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)
-
-
 def append_monthly_csv(events: DataFrame, path: str) -> None:
     """Append new events to the folder of their month, ``file_key=activity_events_YYYY_MM``."""
     spark = events.sparkSession
-    if _folder_exists(spark, path):
+    if path_exists(spark, path):
         new = new_for_export(events, csv_known_ids(spark, path))
     else:
         new = merge.one_per_event(events)

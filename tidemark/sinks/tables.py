@@ -9,8 +9,8 @@ from pyspark.sql.types import StructType
 
 from tidemark import schemas
 from tidemark.operators import merge
-from tidemark.operators.incremental import only_days
-from tidemark.session import materialize, session_conf, small_side
+from tidemark.operators.incremental import listed_days, on_days, only_days
+from tidemark.session import materialize, measured, path_exists, remove_folder, session_conf
 
 
 @dataclass(frozen=True)
@@ -90,35 +90,58 @@ def commit_events(spark: SparkSession, name: str, source: DataFrame, immutable_d
     target = spark.table(name)
     if immutable_days:
         target = only_days(target, batch, ACTIVITY_TABLE.partition)
-    stored = merge.known_ids(target, small_side(batch.select("event_id")), "event_id")
+    marked, _ = measured(batch)
+    stored = merge.known_ids(target, marked.select("event_id"), "event_id")
     append(spark, name, batch.join(stored, "event_id", "left_anti"), ACTIVITY_TABLE)
 
 
+def _staging(spark: SparkSession, name: str) -> str:
+    # Readers skip folders that start with an underscore.
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'")
+    return f"{described.first().data_type}/_staged_merge"
+
+
+def finish_commit(spark: SparkSession, name: str) -> None:
+    """Put staged days into place, if a complete stage is there.
+
+    Replacing partitions deletes the old files before it moves the new ones in. The staged copy
+    stays until that is done, so a run that died in between is completed by the next one.
+    """
+    staging = _staging(spark, name)
+    if not path_exists(spark, f"{staging}/_SUCCESS"):
+        return
+    staged = spark.read.schema(REFRESH_TABLE.schema).parquet(staging)
+    with session_conf(spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
+        staged.select(spark.table(name).columns).write.insertInto(name, overwrite=True)
+    remove_folder(spark, staging)
+    spark.catalog.refreshTable(name)
+
+
 def commit_refresh(spark: SparkSession, name: str, source: DataFrame) -> None:
     """Merge refresh rows into the table, rewriting only the days that change.
 
     Stored requests of the batch are found through a scan of two columns, past a broadcast of the
-    batch's ids where they are few. The changed days, with updates and inserts applied, replace
-    their partitions in one dynamic overwrite, which commits after all tasks are done; a repeated
-    run gives the same table.
+    batch's ids where they are few. The changed days, with updates and inserts applied, are staged
+    and then replace their partitions; a repeated run gives the same table.
     """
+    finish_commit(spark, name)
     day = REFRESH_TABLE.partition
-    batch = small_side(merge.one_per_request(source))
+    batch = materialize(merge.one_per_request(source))
+    marked, _ = measured(batch)
     target = spark.table(name)
-    keys = small_side(batch.select("request_id"))
-    stored = materialize(merge.known_ids(target, keys, "request_id", carry=(day,)))
+    stored = materialize(merge.known_ids(target, marked.select("request_id"), "request_id", carry=(day,)))
 
     finished = batch.filter(merge.finished(F.col("status"))).select("request_id")
     updated_days = stored.join(finished, "request_id", "left_semi").select(day)
     inserted = batch.join(stored, "request_id", "left_anti").select(target.columns)
-    changed = materialize(updated_days.union(inserted.select(day)).distinct())
-    if changed.isEmpty():
+    changed = updated_days.union(inserted.select(day))
+    listed = listed_days(changed, day)
+    if listed == []:
         return
-
-    rows = merge.apply_updates(only_days(target, changed, day), batch).unionByName(inserted)
-    with session_conf(spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
-        _spread(_checked(rows, REFRESH_TABLE), day).select(target.columns).write.insertInto(name, overwrite=True)
-    spark.catalog.refreshTable(name)
+    touched = target.filter(on_days(day, listed)) if listed else target.join(changed.distinct(), day, "left_semi")
+    rows = merge.apply_updates(touched, marked).unionByName(inserted)
+    _spread(_checked(rows, REFRESH_TABLE), day).write.mode("overwrite").partitionBy(day).parquet(_staging(spark, name))
+    finish_commit(spark, name)
 
 
 def append_alerts(alerts: DataFrame, path: str) -> None:
