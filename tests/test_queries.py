@@ -8,7 +8,7 @@ import __spark_entry__ as entry_module
 from tests.conftest import plan_text, rows
 from tidemark.checks import adapters
 from tidemark.checks.compare import connect, differences
-from tidemark.operators import transform
+from tidemark.operators import ranking, transform
 from tidemark.plans import reports
 from tidemark.session import sized_side
 from tidemark.sinks import tables
@@ -84,8 +84,15 @@ def test_start_bound_can_prune_ingestion_days(refresh_table, report):
     assert rows(pruned) == rows(report(refresh_table, today, 3))
 
 
-def test_latest_status_limits_groups_before_the_shuffle(refresh_table):
-    plan = plan_text(reports.latest_status(refresh_table))
+def test_latest_status_neither_sorts_nor_shuffles_whole_rows(refresh_table):
+    tree = plan_text(reports.latest_status(refresh_table)).split("\n\n", 1)[0]
+    below_output_order = tree.split("Exchange", 1)[1]
+    assert "BroadcastHashJoin LeftSemi" in below_output_order
+    assert below_output_order.count("Exchange") == 1 and "Sort" not in below_output_order
+
+
+def test_ranking_limits_groups_before_the_shuffle(refresh_table):
+    plan = plan_text(ranking.latest_with_ties(refresh_table, "dataset_id", "start_time"))
     tree = plan.split("\n\n", 1)[0]
     assert tree.count("WindowGroupLimit") == 2 and tree.count("Scan parquet") == 1
 
@@ -99,11 +106,11 @@ def test_large_side_is_not_broadcast(spark):
     big = spark.range(1000).withColumnRenamed("id", "k")
 
     def plan_with(**bounds):
-        marked, counted = sized_side(side, **bounds)
-        assert counted == 50
+        found = sized_side(side, **bounds)
+        assert found.rows == 50
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         try:
-            return plan_text(big.join(marked, "k"))
+            return plan_text(big.join(found.frame, "k"))
         finally:
             spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
@@ -121,10 +128,14 @@ def test_split_and_plain_paths_agree_with_forced_shuffles(spark, duck, monkeypat
 
     for module in ("operators.triage", "operators.incremental", "operators.registry", "sources.landing"):
         monkeypatch.setattr(f"tidemark.{module}.small_side", never_small)
-    monkeypatch.setattr("tidemark.sinks.tables.measured", lambda kept: (kept, -1))
+    def not_small(kept, **_):
+        return session.Side(kept, kept.count(), False)
+
+    monkeypatch.setattr("tidemark.sinks.tables.measured", not_small)
+    monkeypatch.setattr("tidemark.session.measured", not_small)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        for name in ("triage_take_while", "agg_midpoint_watermark", "join_registry_resolve", "src_activity_pages", "sink_merge_commit"):
+        for name in ("triage_take_while", "agg_midpoint_watermark", "join_registry_resolve", "src_activity_pages", "sink_merge_commit", "rpt_latest_status"):
             assert differences(spark, duck, name, SF) == []
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

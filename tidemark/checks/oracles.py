@@ -366,8 +366,8 @@ ORACLES = {
         WHERE (dataset_id, start_time) IN (SELECT (dataset_id, max(start_time)) FROM r GROUP BY dataset_id)""",
     "join_week_self": f"""WITH {R}, w AS (SELECT dataset_name, start_time >= {AS_OF} - INTERVAL 7 DAY AS recent,
           avg(duration_seconds) AS m FROM r WHERE {COMPLETED} AND start_time >= {AS_OF} - INTERVAL 14 DAY GROUP BY ALL)
-        SELECT tw.dataset_name, round(lw.m, 6) AS last_week_mean, round(tw.m, 6) AS this_week_mean
-        FROM w tw JOIN w lw ON tw.dataset_name = lw.dataset_name WHERE tw.recent AND NOT lw.recent""",
+        SELECT dataset_name, round(prev.m, 6) AS last_week_mean, round(cur.m, 6) AS this_week_mean
+        FROM w cur JOIN w prev USING (dataset_name) WHERE cur.recent AND NOT prev.recent""",
     "join_interval_overlap": f"""WITH {R} SELECT a.request_id AS a_id, b.request_id AS b_id,
         a.dataset_id AS a_dataset, b.dataset_id AS b_dataset
         FROM r a JOIN r b ON a.request_id < b.request_id AND a.start_time < b.end_time AND b.start_time < a.end_time
@@ -417,10 +417,10 @@ ORACLES = {
         ORDER BY is_critical DESC, hours_since_refresh DESC""",
     "rpt_week_over_week": f"""WITH {R}, w AS (SELECT dataset_name, start_time >= {AS_OF} - INTERVAL 7 DAY AS recent,
           avg(duration_seconds) AS m FROM r WHERE {COMPLETED} AND start_time >= {AS_OF} - INTERVAL 14 DAY GROUP BY ALL)
-        SELECT tw.dataset_name, {_minutes('lw.m')} AS last_week_avg_min, {_minutes('tw.m')} AS this_week_avg_min,
-          round((tw.m - lw.m) / nullif(lw.m, 0) * 100, 1) AS pct_change
-        FROM w tw JOIN w lw ON tw.dataset_name = lw.dataset_name
-        WHERE tw.recent AND NOT lw.recent AND tw.m > lw.m ORDER BY pct_change DESC""",
+        SELECT dataset_name, {_minutes('prev.m')} AS last_week_avg_min, {_minutes('cur.m')} AS this_week_avg_min,
+          round((cur.m - prev.m) / nullif(prev.m, 0) * 100, 1) AS pct_change
+        FROM w cur JOIN w prev USING (dataset_name)
+        WHERE cur.recent AND NOT prev.recent AND cur.m > prev.m ORDER BY pct_change DESC""",
     "rpt_overlap": f"""WITH {R} SELECT a.dataset_name AS dataset_a, b.dataset_name AS dataset_b,
         a.start_time AS a_start, a.end_time AS a_end, b.start_time AS b_start, b.end_time AS b_end
         FROM r a JOIN r b ON a.request_id < b.request_id AND a.start_time < b.end_time AND b.start_time < a.end_time

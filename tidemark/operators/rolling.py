@@ -52,14 +52,14 @@ def mean_of_previous(
     """
     plain = Window.partitionBy(key).orderBy(instant, tie).rowsBetween(-preceding, -1)
     sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    large, n_large = sized_side(sizes.filter(F.col("n") > max_rows_per_task).select(key))
-    if n_large == 0:
+    large = sized_side(sizes.filter(F.col("n") > max_rows_per_task).select(key))
+    if large.rows == 0:
         return rows.withColumn(out, F.avg(value).over(plain))
 
     chunk: Column = F.floor(F.unix_micros(instant) / F.lit(chunk_seconds * 1_000_000))
     chunked = rows.withColumn("chunk", chunk)
     blocks = small_side(
-        _blocks(chunked.join(large, key, "left_semi"), key, preceding, max_rows_per_task)
+        _blocks(chunked.join(large.frame, key, "left_semi"), key, preceding, max_rows_per_task)
     )
     in_block = Window.partitionBy(key, "block").orderBy(instant, tie).rowsBetween(-preceding, -1)
     return (

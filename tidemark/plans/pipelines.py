@@ -74,16 +74,19 @@ def run_refresh(
     alert_settings: AlertSettings | None = None,
     location: str | None = None,
     top: int | None = None,
+    ingested_after_start: bool = False,
 ) -> None:
     """Load landed refresh envelopes and raise alerts.
 
     Alerts are checked on every run, so staleness shows even when nothing arrives.
+    ``ingested_after_start`` prunes what they read, see ``reports.started_since``.
     """
     tables.create_table(spark, table, tables.REFRESH_TABLE, location)
     rows = new_refresh_rows(spark, landed, datasets, table, run_at, incremental_mode, top)
     tables.commit_refresh(spark, table, rows)
     if alerts_path is not None:
-        tables.append_alerts(all_alerts(spark.table(table), run_at.date(), run_at, alert_settings), alerts_path)
+        alerts = all_alerts(spark.table(table), run_at.date(), run_at, alert_settings, ingested_after_start)
+        tables.append_alerts(alerts, alerts_path)
 
 
 def run_usage(

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.functions.instants import minutes
 from tidemark.operators.incremental import as_instant
 from tidemark.operators.overlap import overlapping_pairs
-from tidemark.operators.ranking import latest_with_ties
+from tidemark.operators.ranking import latest_rows
 
 VIEW_ACTIVITY = "ViewReport"
 
@@ -42,7 +42,7 @@ def started_since(refresh: DataFrame, as_of: date, days: int, ingested_after_sta
 def latest_status(refresh: DataFrame) -> DataFrame:
     """Newest refresh of each dataset, critical datasets first."""
     return (
-        latest_with_ties(refresh, "dataset_id", "start_time")
+        latest_rows(refresh, "dataset_id", "start_time")
         .orderBy(F.desc("is_critical"), "dataset_name")
         .select(
             "dataset_name",

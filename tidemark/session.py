@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from contextlib import contextmanager
+from dataclasses import dataclass
 from functools import reduce
 from operator import add
 
@@ -79,30 +80,34 @@ def _row_bytes(df: DataFrame) -> Column:
     return reduce(add, widths)
 
 
-def measured(
-    kept: DataFrame,
-    max_rows: int = BROADCAST_MAX_ROWS,
-    max_bytes: int = BROADCAST_MAX_BYTES,
-) -> tuple[DataFrame, int]:
-    """Mark a materialized frame for broadcast only if it is proven small; also its row count.
+@dataclass(frozen=True)
+class Side:
+    """A materialized join side: its frame (marked for broadcast if small), and what was measured."""
 
-    A frame over either bound comes back unhinted, so joins with it are shuffled and adaptive
-    execution splits their hot keys.
+    frame: DataFrame
+    rows: int
+    small: bool
+
+
+def measured(kept: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> Side:
+    """Measure a materialized frame and mark it for broadcast only if it is proven small.
+
+    A frame over either bound stays unhinted, so joins with it are shuffled and adaptive execution
+    splits their hot keys.
     """
     rows, size = kept.agg(F.count(F.lit(1)), F.sum(_row_bytes(kept))).first()
-    if rows <= max_rows and (size or 0) <= max_bytes:
-        return F.broadcast(kept), rows
-    return kept, rows
+    small = rows <= max_rows and (size or 0) <= max_bytes
+    return Side(F.broadcast(kept) if small else kept, rows, small)
 
 
-def sized_side(df: DataFrame, **bounds: int) -> tuple[DataFrame, int]:
+def sized_side(df: DataFrame, **bounds: int) -> Side:
     """Materialize a join side and measure it."""
     return measured(materialize(df), **bounds)
 
 
 def small_side(df: DataFrame, **bounds: int) -> DataFrame:
     """A materialized join side, marked for broadcast only if it is proven small."""
-    return sized_side(df, **bounds)[0]
+    return sized_side(df, **bounds).frame
 
 
 def _file_system(spark: SparkSession, path: str):

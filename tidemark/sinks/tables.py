@@ -90,7 +90,7 @@ def commit_events(spark: SparkSession, name: str, source: DataFrame, immutable_d
     target = spark.table(name)
     if immutable_days:
         target = only_days(target, batch, ACTIVITY_TABLE.partition)
-    marked, _ = measured(batch)
+    marked = measured(batch).frame
     stored = merge.known_ids(target, marked.select("event_id"), "event_id")
     append(spark, name, batch.join(stored, "event_id", "left_anti"), ACTIVITY_TABLE)
 
@@ -127,7 +127,7 @@ def commit_refresh(spark: SparkSession, name: str, source: DataFrame) -> None:
     finish_commit(spark, name)
     day = REFRESH_TABLE.partition
     batch = materialize(merge.one_per_request(source))
-    marked, _ = measured(batch)
+    marked = measured(batch).frame
     target = spark.table(name)
     stored = materialize(merge.known_ids(target, marked.select("request_id"), "request_id", carry=(day,)))
 
