@@ -119,9 +119,9 @@ def run_usage(
         )
     )
     pages = incremental.only_days(landing.activity_pages(spark, landed), window)
-    cut_off = landing.unfinished_days(pages)
-    due = triage.loadable_days(window, fetch_log, cut_off, settings.stop_on_denied)
-    whole = landing.follow_continuation(incremental.only_days(pages, due))
+    index = landing.page_index(pages)
+    due = triage.loadable_days(window, fetch_log, landing.unfinished_days(index), settings.stop_on_denied)
+    whole = landing.follow_continuation(incremental.only_days(pages, due), index)
     rows = transform.activity_rows(landing.page_events(whole), run_at, list(settings.tracked_activities))
     tables.commit_events(spark, table, rows)
 

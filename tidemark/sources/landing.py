@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidemark import schemas
 from tidemark.functions.payloads import payload_row_count
 from tidemark.operators.ranking import first_per_key
-from tidemark.session import small_side
+from tidemark.session import materialize, small_side
 
 
 def read_json(spark: SparkSession, path: str, schema: str, multi_line: bool = False) -> DataFrame:
@@ -76,30 +76,39 @@ def _continues() -> Column:
     return F.coalesce((token != "") & (uri != ""), F.lit(False))
 
 
-def follow_continuation(pages: DataFrame) -> DataFrame:
+def page_index(pages: DataFrame) -> DataFrame:
+    """One row per day and page number, with whether the chain goes on after it.
+
+    Computed once: it is far smaller than the pages, whose text is then read only for the events.
+    A page fetched twice goes on if either copy does.
+    """
+    return materialize(pages.groupBy("day", "page_no").agg(F.max(_continues()).alias("goes_on")))
+
+
+def _chains(index: DataFrame) -> DataFrame:
+    return index.groupBy("day").agg(
+        F.min("page_no").alias("first_page"),
+        F.min(F.when(~F.col("goes_on"), F.col("page_no"))).alias("last_page"),
+    )
+
+
+def follow_continuation(pages: DataFrame, index: DataFrame | None = None) -> DataFrame:
     """Pages of each day up to and including the first one that does not continue.
 
     The end of each chain is a small per-day minimum, so no day is gathered in one task.
     """
-    ends = (
-        pages.filter(~_continues()).groupBy("day").agg(F.min("page_no").alias("last_page"))
-    )
+    chains = small_side(_chains(page_index(pages) if index is None else index))
     return (
-        pages.join(small_side(ends), "day", "left")
+        pages.join(chains.select("day", "last_page"), "day", "left")
         .filter(F.col("last_page").isNull() | (F.col("page_no") <= F.col("last_page")))
         .drop("last_page")
     )
 
 
-def unfinished_days(pages: DataFrame) -> DataFrame:
-    """Days whose chain has no last page or a gap: the fetch was cut off."""
-    numbered = pages.groupBy("day", "page_no").agg(F.max(_continues()).alias("goes_on"))
-    ends = numbered.groupBy("day").agg(
-        F.min(F.when(~F.col("goes_on"), F.col("page_no"))).alias("last_page"),
-        F.min("page_no").alias("first_page"),
-    )
+def unfinished_days(index: DataFrame) -> DataFrame:
+    """Days of a page index whose chain has no last page or a gap: the fetch was cut off."""
     spans = (
-        numbered.join(small_side(ends), "day")
+        index.join(small_side(_chains(index)), "day")
         .filter(F.col("last_page").isNull() | (F.col("page_no") <= F.col("last_page")))
         .groupBy("day", "first_page", "last_page")
         .agg(F.count(F.lit(1)).alias("n_pages"))
