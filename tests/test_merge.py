@@ -173,8 +173,3 @@ def test_created_tables_carry_partition_and_comments(spark, tmp_path):
         assert set(columns) == set(spec.schema.fieldNames())
         assert [c.name for c in columns.values() if c.isPartition] == [spec.partition]
         assert all(c.description for c in columns.values())
-
-
-def test_running_again(spark, stored):
-    records = spark.createDataFrame([("run",), ("done",), ("other",)], "requestId string")
-    assert rows(merge.running_again(records, stored)) == [("run",)]

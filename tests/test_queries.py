@@ -8,7 +8,7 @@ import __spark_entry__ as entry_module
 from tests.conftest import plan_text, rows
 from tidemark.checks import adapters
 from tidemark.checks.compare import connect, differences
-from tidemark.operators import ranking, transform
+from tidemark.operators import incremental, merge, ranking, transform
 from tidemark.plans import reports
 from tidemark.session import sized_side
 from tidemark.sinks import tables
@@ -101,6 +101,22 @@ def test_top_k_is_not_a_full_sort(activity_table):
     assert "TakeOrderedAndProject" in plan_text(reports.top_users(activity_table, date(2024, 1, 30)))
 
 
+def test_merge_finds_stored_ids_without_shuffling_the_table(refresh_table):
+    ids = sized_side(refresh_table.select("request_id").limit(20))
+    plan = plan_text(merge.known_ids(refresh_table, ids.frame, "request_id", carry=("ingestion_date",)))
+    assert "BroadcastHashJoin LeftSemi" in plan and "Exchange hashpartitioning" not in plan
+    assert scan_part(plan, "ReadSchema: ").startswith("struct<request_id:string>")
+
+
+def test_merge_reads_changed_days_only(spark, refresh_table):
+    changed = refresh_table.select("ingestion_date").filter("ingestion_date >= '2024-01-29'")
+    touched = incremental.only_days(refresh_table, changed, "ingestion_date")
+    batch = sized_side(refresh_table.limit(20))
+    plan = plan_text(merge.apply_updates(touched, batch.frame))
+    assert "ingestion_date" in scan_part(plan, "PartitionFilters: [")
+    assert "BroadcastHashJoin LeftOuter" in plan and "Exchange hashpartitioning" not in plan
+
+
 def test_large_side_is_not_broadcast(spark):
     side = spark.range(50).selectExpr("id AS k", "repeat('x', 100) AS text")
     big = spark.range(1000).withColumnRenamed("id", "k")

@@ -98,12 +98,3 @@ def new_events(target: DataFrame, source: DataFrame) -> DataFrame:
 def merge_events(target: DataFrame, source: DataFrame) -> DataFrame:
     """Stored events, untouched, and the new ones."""
     return target.unionByName(new_events(target, source))
-
-
-def running_again(records: DataFrame, refresh: DataFrame, id_column: str = "requestId") -> DataFrame:
-    """Records whose request is stored as still running.
-
-    A watermark alone would hide them: it is at least as new as their own start.
-    """
-    open_requests = refresh.filter(F.col("status") == RUNNING).select(F.col("request_id").alias(id_column))
-    return records.join(open_requests, id_column, "left_semi")

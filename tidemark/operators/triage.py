@@ -75,7 +75,7 @@ def until_first_stop(log: DataFrame, max_requests: int | None = None) -> DataFra
     ``max_requests`` is the size of the burst: the first so many responses of an endpoint.
     """
     if max_requests is not None:
-        log = first_per_key(log, ["endpoint"], [F.col("seq").asc()], max_requests)
+        log = materialize(first_per_key(log, ["endpoint"], [F.col("seq").asc()], max_requests))
     stops = (F.col("status") >= 400) | F.col("error").isNotNull()
     ends = log.filter(stops).groupBy("endpoint").agg(F.min("seq").alias("stop_seq"))
     return (
@@ -128,7 +128,7 @@ def endpoint_stats(log: DataFrame, max_requests: int | None = BURST_LIMIT) -> Da
     neither as a request nor as a latency. The quota headers are those of the 429, else of the
     first response.
     """
-    burst = materialize(until_first_stop(log, max_requests))
+    burst = until_first_stop(log, max_requests)
     answered = F.col("error").isNull()
     # Whole tenths add up exactly, so the mean does not depend on the order of the rows.
     tenths = F.when(answered, F.bround(F.bround("latency_ms", 1) * 10, 0).cast("bigint"))

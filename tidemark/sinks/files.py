@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.instants import month_bucket
 from tidemark.operators import merge
-from tidemark.session import path_exists
-from tidemark.sources.tables import csv_known_ids
+from tidemark.session import materialize, measured, path_exists
+from tidemark.sources.tables import csv_history
 
 FILE_KEY = "file_key"
 
@@ -25,12 +25,17 @@ def new_for_export(events: DataFrame, known_ids: DataFrame) -> DataFrame:
 
 
 def append_monthly_csv(events: DataFrame, path: str) -> None:
-    """Append new events to the folder of their month, ``file_key=activity_events_YYYY_MM``."""
+    """Append new events to the folder of their month, ``file_key=activity_events_YYYY_MM``.
+
+    The ids of the batch are looked up in the history, whose ids are only streamed past them.
+    """
     spark = events.sparkSession
+    new = merge.one_per_event(events)
     if path_exists(spark, path):
-        new = new_for_export(events, csv_known_ids(spark, path))
-    else:
-        new = merge.one_per_event(events)
+        batch = materialize(new)
+        ids = measured(batch).frame.select("event_id")
+        known = merge.known_ids(csv_history(spark, path), ids, "event_id")
+        new = batch.join(known, "event_id", "left_anti").select(events.columns)
     bucketed = new.withColumn(FILE_KEY, month_bucket(F.col("creation_date")))
     (
         bucketed.hint("rebalance", F.col(FILE_KEY))
@@ -43,9 +48,9 @@ def append_monthly_csv(events: DataFrame, path: str) -> None:
 
 def file_summary(spark: SparkSession, path: str) -> DataFrame:
     """Rows and size of every file of an export."""
-    files = spark.read.option("header", True).csv(path)
     return (
-        files.select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("size"))
+        csv_history(spark, path)
+        .select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("size"))
         .groupBy("file_path", "size")
         .agg(F.count(F.lit(1)).alias("n_rows"))
         .select("file_path", "n_rows", F.round(F.col("size") / F.lit(1024.0), 1).alias("size_kb"))

@@ -46,7 +46,11 @@ def split_on_required(rows: DataFrame, schema: StructType) -> tuple[DataFrame, D
     return rows.filter(required), rows.filter(~required)
 
 
+def csv_history(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of an earlier export as text; a file with other columns is an error."""
+    return spark.read.option("header", True).option("enforceSchema", False).csv(path)
+
+
 def csv_known_ids(spark: SparkSession, path: str, id_column: str = "event_id") -> DataFrame:
     """Distinct ids over all CSV files of an earlier export."""
-    history = spark.read.option("header", True).option("enforceSchema", False).csv(path)
-    return history.select(id_column).distinct()
+    return csv_history(spark, path).select(id_column).distinct()
