@@ -169,6 +169,7 @@ def test_monthly_csv(spark, tmp_path):
     path = str(tmp_path / "export")
     raw = [{"Id": f"e{i}", "CreationTime": f"2024-0{m}-01T00:00:00Z", "ReportName": 'a "b", c'} for i, m in enumerate([5, 5, 6, 6])]
     events = transform.activity_rows(spark.createDataFrame([(json.dumps(e),) for e in raw + raw[:1]], "raw string"), RUN)
+    files.append_monthly_csv(events.limit(0), path)
     files.append_monthly_csv(events.filter("event_id < 'e2'"), path)
     files.append_monthly_csv(events, path)
     assert [r[0] for r in rows(stored.csv_known_ids(spark, path))] == ["e0", "e1", "e2", "e3"]

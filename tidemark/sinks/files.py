@@ -34,7 +34,7 @@ def append_monthly_csv(events: DataFrame, path: str) -> None:
     if path_exists(spark, path):
         batch = materialize(new)
         ids = measured(batch).frame.select("event_id")
-        known = merge.known_ids(csv_history(spark, path), ids, "event_id")
+        known = merge.known_ids(csv_history(spark, path, events.columns), ids, "event_id")
         new = batch.join(known, "event_id", "left_anti").select(events.columns)
     bucketed = new.withColumn(FILE_KEY, month_bucket(F.col("creation_date")))
     (

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DateType, StructType, TimestampType
+from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampType
 
 from tidemark.functions.instants import parse_instant
 
@@ -46,9 +46,16 @@ def split_on_required(rows: DataFrame, schema: StructType) -> tuple[DataFrame, D
     return rows.filter(required), rows.filter(~required)
 
 
-def csv_history(spark: SparkSession, path: str) -> DataFrame:
-    """All rows of an earlier export as text; a file with other columns is an error."""
-    return spark.read.option("header", True).option("enforceSchema", False).csv(path)
+def csv_history(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+    """All rows of an earlier export as text; a file with other columns is an error.
+
+    With ``columns`` given the header of a file need not be looked up first, and an export without
+    rows reads as empty.
+    """
+    reader = spark.read.option("header", True).option("enforceSchema", False)
+    if columns is not None:
+        reader = reader.schema(StructType([StructField(name, StringType()) for name in columns]))
+    return reader.csv(path)
 
 
 def csv_known_ids(spark: SparkSession, path: str, id_column: str = "event_id") -> DataFrame:
