@@ -5,16 +5,31 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.pieces import piece_digests
 from tidemark.llm.tables import table
 from tidemark.llm.token_counts import count_tokens
+from tidemark.llm.token_files import read_token_files, write_token_files
+from tidemark.session import scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded texts of all documents, as digests."""
+    return piece_digests(table(spark, sf_dir, "documents"), PIECE_BPE)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents."""
     return count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE, limit=1024)
 
 
-QUERIES = {f.__name__: f for f in (op7_token_counts,)}
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents, written to compressed token files and read back."""
+    path = scratch_path(spark, "token-files")
+    write_token_files(table(spark, sf_dir, "documents"), BYTE_BPE, path)
+    return read_token_files(spark, path)
+
+
+QUERIES = {f.__name__: f for f in (op5_sentencepiece, op7_token_counts, op9_token_files)}
