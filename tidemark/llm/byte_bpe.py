@@ -1,8 +1,10 @@
-"""Byte-level BPE by pieces of text that the library encodes alike alone and in place.
+"""Byte-level BPE by stretches of text that the library encodes alike alone and in place.
 
 The pre-tokenizer always cuts before a space that a non-space follows, whatever surrounds it. So a text
-is cut there, and a worker encodes each distinct piece once. Texts that hold a special string go to the
-library whole, because it cuts those strings out before anything else.
+is cut into chunks there, and a worker encodes each distinct chunk once. A chunk it doesn't know is cut
+again where a cut is as certain (``SAFE``), since words recur more often than words with their
+punctuation. Texts that hold a special string go to the library whole, because it cuts those strings out
+before anything else.
 """
 
 from __future__ import annotations
@@ -13,14 +15,39 @@ from functools import lru_cache
 
 import numpy as np
 
-CACHED_PIECES = 400_000
+CACHED_CHUNKS = 200_000
+CACHED_PARTS = 150_000
 CACHED_LENGTH = 64
 AMBIGUOUS = re.compile(r" (?:\s|$)")
 CUT = re.compile(r" (?=\S)")
+_LETTER = "[A-Za-zÀ-ÖØ-öø-ÿ]"
+# Between a Latin letter and an ASCII character that is none, after a lone line break before a Latin
+# letter, and between ASCII punctuation and a line break.
+SAFE = re.compile(rf"(?<={_LETTER})(?=[\x00-@\[-`{{-\x7f])|(?<=\S\n)(?={_LETTER})|(?<=[!-/:-@])(?=\n)")
 
 
-class PieceEncoder:
-    """Encodes texts through a bounded cache of pieces; make one per worker with ``encoder``."""
+class Recent:
+    """A cache of two generations: values in use move from the older to the newer, the rest is forgotten."""
+
+    def __init__(self, size: int):
+        self.size, self.new, self.old = size, {}, {}
+
+    def put(self, key: str, value: bytes) -> None:
+        if len(self.new) >= self.size:
+            self.new, self.old = {}, self.new
+        self.new[key] = value
+
+    def find(self, key: str) -> bytes | None:
+        value = self.new.get(key)
+        if value is None:
+            value = self.old.get(key)
+            if value is not None:
+                self.put(key, value)
+        return value
+
+
+class ChunkEncoder:
+    """Encodes texts through bounded caches; make one per worker with ``encoder``."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -30,49 +57,63 @@ class PieceEncoder:
         added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, added))) if added else None
         self.width = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        self.ids: dict[str, bytes] = {}
+        self.chunk_ids, self.part_ids = Recent(CACHED_CHUNKS), Recent(CACHED_PARTS)
 
-    def pieces(self, text: str) -> list[str] | None:
-        """Pieces in order, all but the first without the space before them; None: not to be cut."""
+    def chunks(self, text: str) -> list[str] | None:
+        """Chunks in order, all but the first without the space before them; None: not to be cut."""
         if self.special is not None and self.special.search(text):
             return None
         return CUT.split(text) if AMBIGUOUS.search(text) else text.split(" ")
 
-    def whole(self, texts: list[str]) -> list[list[int]]:
-        """Ids as the library gives them."""
-        return [e.ids for e in self.library.encode_batch(texts, add_special_tokens=False)]
-
-    def learn(self, pieces: set[str]) -> None:
-        """Encode unknown pieces (each with its space) in one call and keep the short ones."""
-        new = [p for p in pieces if p not in self.ids]
-        if len(self.ids) + len(new) > CACHED_PIECES:
-            self.ids.clear()
-            new = list(pieces)
-        for start in range(0, len(new), 20_000):
-            part = new[start : start + 20_000]
-            for piece, ids in zip(part, self.whole([" " + p for p in part]), strict=True):
-                self.ids[piece] = np.array(ids, self.width).tobytes()
+    def whole(self, texts: list[str]) -> list[bytes]:
+        """Ids as the library gives them, as little-endian integers of ``width``."""
+        return [np.array(e.ids, self.width).tobytes() for e in self.library.encode_batch(texts, add_special_tokens=False)]
+
+    def lookup(self, chunks: set[str]) -> dict[str, bytes]:
+        """Ids of chunks with the space before each."""
+        found, cut, parts = {}, {}, {}
+        for chunk in chunks:
+            ids = self.chunk_ids.find(chunk)
+            if ids is None:
+                cut[chunk] = SAFE.split(" " + chunk)
+                for part in cut[chunk]:
+                    parts[part] = None
+            else:
+                found[chunk] = ids
+        unknown = []
+        for part in parts:
+            ids = self.part_ids.find(part)
+            if ids is None:
+                unknown.append(part)
+            else:
+                parts[part] = ids
+        for part, ids in zip(unknown, self.whole(unknown), strict=True):
+            parts[part] = ids
+            if len(part) <= CACHED_LENGTH:
+                self.part_ids.put(part, ids)
+        for chunk, own in cut.items():
+            ids = found[chunk] = parts[own[0]] if len(own) == 1 else b"".join(map(parts.__getitem__, own))
+            if len(chunk) <= CACHED_LENGTH:
+                self.chunk_ids.put(chunk, ids)
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text as little-endian integers of ``width``."""
-        cut = [self.pieces(t) for t in texts]
-        self.learn({p for ps in cut if ps for p in ps[1:] if len(p) <= CACHED_LENGTH})
+        cut = [self.chunks(t) for t in texts]
+        got = [None if chunks is None else list(map(self.chunk_ids.new.get, chunks[1:])) for chunks in cut]
+        unknown = {c for chunks, ids in zip(cut, got, strict=True) if ids and None in ids for c, i in zip(chunks[1:], ids, strict=True) if i is None}
+        found = self.lookup(unknown)
+        firsts = iter(self.whole([t if chunks is None else chunks[0] for t, chunks in zip(texts, cut, strict=True)]))
         out = []
-        for text, ps in zip(texts, cut, strict=True):
-            if ps is None:
-                out.append(np.array(self.whole([text])[0], self.width).tobytes())
-                continue
-            got = list(map(self.ids.get, ps))
-            got[0] = np.array(self.whole([ps[0]])[0], self.width).tobytes()
-            if None in got:
-                missing = [i for i, g in enumerate(got) if g is None]
-                for i, ids in zip(missing, self.whole([" " + ps[i] for i in missing]), strict=True):
-                    got[i] = np.array(ids, self.width).tobytes()
-            out.append(b"".join(got))
+        for chunks, ids in zip(cut, got, strict=True):
+            head = next(firsts)
+            if ids and None in ids:
+                ids = [found[c] if i is None else i for c, i in zip(chunks[1:], ids, strict=True)]
+            out.append(head + b"".join(ids) if ids else head)
         return out
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> PieceEncoder:
+def encoder(path: str) -> ChunkEncoder:
     """The encoder of this worker process."""
-    return PieceEncoder(path)
+    return ChunkEncoder(path)

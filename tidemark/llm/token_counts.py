@@ -1,8 +1,8 @@
 """Token counts by a map-side two-tier lookup.
 
-Tier 1 is a broadcast table from frequent pieces of text to their token counts. It is taken from a
+Tier 1 is a broadcast table from frequent chunks of text to their token counts. It is taken from a
 bounded sample and holds at most ``table_size`` entries, so its size is bounded; it changes the speed
-and never a count. Tier 2 is a bounded cache in every worker for the pieces the table lacks. No piece
+and never a count. Tier 2 is a bounded cache in every worker for the chunks the table lacks. No chunk
 is ever shuffled.
 """
 
@@ -14,38 +14,39 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.byte_bpe import CACHED_LENGTH, CACHED_PIECES, encoder
+from tidemark.llm.byte_bpe import CACHED_LENGTH, encoder
 
 TABLE_SIZE = 65_536
 SAMPLE_TEXTS = 2_000
 SAMPLE_CHARS = 4_000_000
+ROWS = 256
 
 
 def frequent_lengths(
     docs: DataFrame, tokenizer: str, text: str = "text", table_size: int = TABLE_SIZE, sample_texts: int = SAMPLE_TEXTS
 ) -> dict[str, int]:
-    """Token counts of the pieces that are frequent in a sample of at most ``sample_texts`` texts.
+    """Token counts of the chunks that are frequent in a sample of at most ``sample_texts`` texts.
 
     The sample only fills the table. Texts are read up to ``SAMPLE_CHARS`` characters in total here, so
     that very long ones can't make the table costly.
     """
 
-    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool, seen, left = encoder(tokenizer), Counter(), SAMPLE_CHARS
         for batch in batches:
             for value in batch.column(0).to_pylist():
                 if value and left > 0:
-                    seen.update(p for p in (tool.pieces(value[:left]) or [])[1:] if len(p) <= CACHED_LENGTH)
+                    seen.update(p for p in (tool.chunks(value[:left]) or [])[1:] if len(p) <= CACHED_LENGTH)
                     left -= len(value)
         top = sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:table_size]
         ids = tool.whole([" " + p for p, _ in top])
         yield pa.record_batch(
-            [pa.array([p for p, _ in top], pa.string()), pa.array([len(i) for i in ids], pa.int32())], names=["piece", "n"]
+            [pa.array([p for p, _ in top], pa.string()), pa.array([len(i) // tool.width.itemsize for i in ids], pa.int32())], names=["chunk", "n"]
         )
 
     # one small task: a limit of rows, moved to one partition
-    rows = docs.select(F.col(text)).limit(sample_texts).coalesce(1).mapInArrow(pieces, "piece string, n int").collect()
-    return {r["piece"]: r["n"] for r in rows}
+    rows = docs.select(F.col(text)).limit(sample_texts).coalesce(1).mapInArrow(frequent, "chunk string, n int").collect()
+    return {r["chunk"]: r["n"] for r in rows}
 
 
 def count_tokens(
@@ -57,37 +58,21 @@ def count_tokens(
     Rows are independent, so repeated rows repeat and hot sources cost nothing; other columns are not read.
     """
     table = docs.sparkSession.sparkContext.broadcast(frequent_lengths(docs, tokenizer, text, table_size))
-    cache: dict[str, int] = {}
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool, first_tier = encoder(tokenizer), table.value
         for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
+            for at in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(at, ROWS)
                 texts = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()]
+                cut = [tool.chunks(t) for t in texts]
+                got = [[] if chunks is None else list(map(first_tier.get, chunks[1:])) for chunks in cut]
+                missed = [[c for c, n in zip(chunks[1:], own, strict=True) if n is None] if None in own else [] for chunks, own in zip(cut, got, strict=True)]
+                second_tier = tool.lookup({c for own in missed for c in own})
+                heads = tool.whole([t if chunks is None else chunks[0] for t, chunks in zip(texts, cut, strict=True)])
                 counts = []
-                for value in texts:
-                    pieces = tool.pieces(value)
-                    if pieces is None:
-                        counts.append(len(tool.whole([value])[0]))
-                        continue
-                    got = list(map(first_tier.get, pieces))
-                    got[0] = len(tool.whole([pieces[0]])[0])
-                    if None in got:
-                        missed = [pieces[i] for i, n in enumerate(got) if n is None]
-                        new = [p for p in set(missed) if p not in cache]
-                        if new:
-                            if len(cache) + len(new) > CACHED_PIECES:
-                                cache.clear()
-                                new = list(set(missed))
-                            cache.update(zip(new, map(len, tool.whole([" " + p for p in new])), strict=True))
-                        total = sum(map(cache.__getitem__, missed)) + sum(filter(None, got))
-                        for p in new:
-                            if len(p) > CACHED_LENGTH:
-                                del cache[p]
-                    else:
-                        total = sum(got)
-                    counts.append(total)
+                for head, own, rest in zip(heads, got, missed, strict=True):
+                    encoded = len(head) + sum(len(second_tier[c]) for c in rest)
+                    counts.append(encoded // tool.width.itemsize + sum(filter(None, own)))
                 out = [batch.column(i) for i in range(len(keep))]
                 sizes = [len(t.encode()) for t in texts]
                 out += [pa.array(sizes, pa.int64()), pa.array(counts, pa.int64()), pa.array([c > limit for c in counts], pa.bool_())]
