@@ -1,3 +1,88 @@
 """SQL of the registered queries, where SQL can express them."""
 
-ORACLES: dict[str, str] = {}
+from __future__ import annotations
+
+from tidemark.llm import line_rules
+from tidemark.llm.line_rules import LineRules
+
+WORD = r"[^\x20\x09-\x0D]+"
+_R = LineRules()
+
+
+def _text(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def _words_like(pattern: str) -> str:
+    return f"len(list_filter(words, lambda x: regexp_matches(x, {_text(pattern)})))"
+
+
+QUALITY_RULES = rf"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{WORD}') AS words FROM documents),
+places AS (SELECT doc_id, words, unnest(range(1, len(words) - {line_rules.REPEAT_WIDTH - 2})) AS p FROM docs),
+windows AS (SELECT doc_id, p, array_to_string(words[p:p + {line_rules.REPEAT_WIDTH - 1}], ' ') AS w FROM places),
+twice AS (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, w) AS n FROM windows),
+repeated AS (
+  SELECT doc_id, count(DISTINCT q) AS n
+  FROM (SELECT doc_id, unnest(range(p, p + {line_rules.REPEAT_WIDTH})) AS q FROM twice WHERE n > 1) GROUP BY doc_id),
+cut AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs),
+lines AS (SELECT doc_id, line, regexp_extract_all(line, '{WORD}') AS words FROM cut),
+counted AS (
+  SELECT doc_id, line, len(words) AS n,
+    NOT (regexp_matches(line, {_text(line_rules.ENDS)}) OR regexp_matches(line, {_text(line_rules.SENTENCE)}))
+      OR {_words_like(line_rules.MARKS)} > {_R.marks_share} * len(words)
+      OR ({_words_like(line_rules.SEPARATOR)} >= {_R.separators} AND {_words_like(line_rules.SEPARATOR)} >= {_R.separator_share} * len(words))
+      OR (len(words) <= {_R.short_line} AND (regexp_matches(line, {_text(line_rules.NAVIGATION)}) OR regexp_matches(line, {_text(line_rules.BOILERPLATE)})))
+      OR {_words_like(line_rules.SYMBOL)} > {_R.symbol_share} * len(words) AS fails
+  FROM lines WHERE len(words) > 0),
+by_doc AS (
+  SELECT doc_id, sum(CASE WHEN fails THEN 0 ELSE n END) AS left_words, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM counted GROUP BY doc_id),
+base AS (
+  SELECT d.doc_id, len(d.words)::BIGINT AS n_words,
+    coalesce(list_sum(list_transform(d.words, lambda x: length(x))), 0)::BIGINT AS word_chars,
+    length(regexp_replace(d.text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+    coalesce(b.n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words,
+    coalesce(b.left_words, 0) AS left_words
+  FROM docs d LEFT JOIN by_doc b USING (doc_id) LEFT JOIN repeated r USING (doc_id)),
+judged AS (SELECT *, n_words < {_R.min_words} OR 100 * n_repeat_words > {_R.max_repeated_percent} * n_words AS base_failed FROM base)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND n_words - left_words <= {_R.max_lost} * n_words AS kept
+FROM judged
+"""
+
+SOURCE_MIX = rf"""
+WITH sized AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size FROM documents),
+totals AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
+weighted AS (
+  SELECT source, source_size, 2.0::DOUBLE * source_size AS most,
+    ([3, 1, 2])[((row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1)::INT]::DOUBLE AS weight FROM totals),
+-- Sources fill up in order of the level that fills them.
+levels AS (
+  SELECT *, coalesce(sum(most) OVER filled, 0) AS full_words, sum(weight) OVER rest AS free_weight,
+    1.5::DOUBLE * sum(source_size) OVER () AS budget
+  FROM weighted
+  WINDOW filled AS (ORDER BY most / weight, source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+    rest AS (ORDER BY most / weight, source IS NULL, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+level AS (
+  SELECT arg_min((budget - full_words) / free_weight, most / weight) AS level FROM levels
+  WHERE (budget - full_words) / free_weight <= most / weight),
+rated AS (
+  SELECT source, source_size, least(most, level * weight) AS target,
+    coalesce(floor(least(most, level * weight) / nullif(source_size, 0)), 0) AS certain
+  FROM weighted, level),
+ranked AS (
+  SELECT s.doc_id, s.size, r.source, r.source_size, r.target, r.certain,
+    coalesce(r.target / nullif(r.source_size, 0) - r.certain, 0) AS p,
+    (('0x' || substr(md5('17|' || coalesce(s.doc_id::VARCHAR, '')), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u
+  FROM sized s JOIN rated r ON s.source IS NOT DISTINCT FROM r.source),
+placed AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY CASE WHEN p > 0 THEN (u / (1 - u)) / (p / (1 - p)) END, doc_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS words_before
+  FROM ranked)
+SELECT doc_id, size, source_size, target,
+  (size * (certain + CASE WHEN p > 0 AND 2 * words_before + size <= 2 * (target - certain * source_size) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM placed
+"""
+
+ORACLES: dict[str, str] = {"op2_quality_rules": QUALITY_RULES, "op6_source_mix": SOURCE_MIX}

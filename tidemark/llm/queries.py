@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.llm import quality_model
+from tidemark.llm.line_rules import clean_lines
+from tidemark.llm.mixing import apply_mix, plan_mix, word_count
 from tidemark.llm.pieces import piece_digests
-from tidemark.llm.tables import table
+from tidemark.llm.tables import stored, table
 from tidemark.llm.token_counts import count_tokens
 from tidemark.llm.token_files import read_token_files, write_token_files
 from tidemark.session import scratch_path
@@ -15,11 +18,35 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdicts of the line rules for all documents."""
+    judged = clean_lines(table(spark, sf_dir, "documents"), keep=("doc_id",), with_text=False)
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents, learned from the labelled rows that are not held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    settings = quality_model.Settings()
+    sample = quality_model.sample_labelled(docs, labels.where(~held_out), "quality", settings.sample)
+    scored = quality_model.score(docs, quality_model.train(sample, settings=settings), ("doc_id",), settings=settings)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded texts of all documents, as digests."""
     return piece_digests(table(spark, sf_dir, "documents"), PIECE_BPE)
 
 
+def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix of all documents: sources weigh 3, 1, 2, share 150 % of all words, and repeat twice at most."""
+    docs = table(spark, sf_dir, "documents")
+    sized = stored(docs.select("doc_id", "source", word_count().alias("size")), "mix-sizes")
+    mixed = apply_mix(sized, plan_mix(sized))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents."""
     return count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE, limit=1024)
@@ -32,4 +59,4 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op5_sentencepiece, op7_token_counts, op9_token_files)}
+QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_quality_classifier, op5_sentencepiece, op6_source_mix, op7_token_counts, op9_token_files)}
