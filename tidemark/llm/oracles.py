@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import line_rules
+from tidemark.llm import chat_windows, line_rules
 from tidemark.llm.line_rules import LineRules
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -85,4 +85,38 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
-ORACLES: dict[str, str] = {"op2_quality_rules": QUALITY_RULES, "op6_source_mix": SOURCE_MIX}
+_TURN_CHARS = len(chat_windows.START) + len(chat_windows.END) + 2
+CHAT_WINDOWS = rf"""
+WITH said AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -1, i, (['user', 'assistant'])[i + 1], '<|im_end|><|im_start|>assistant ok' FROM range(2) t(i)),
+turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS seq,
+    count(*) OVER (PARTITION BY conv_id) AS n FROM said),
+sized AS (
+  SELECT *, len(regexp_extract_all(text, '{WORD}')) + {chat_windows.TURN_TOKENS} AS tokens,
+    {_TURN_CHARS} + length(replace(replace(replace(role, chr(92), chr(92) || chr(92)), '<|', '<' || chr(92) || '|'), chr(10), chr(92) || chr(10)))
+      + length(replace(replace(text, chr(92), chr(92) || chr(92)), '<|', '<' || chr(92) || '|')) AS chars,
+    seq = 1 AND role = 'system' AND n > 1 AS opens FROM turns),
+systems AS (SELECT conv_id, tokens, chars FROM sized WHERE opens),
+strides AS (
+  SELECT s.conv_id, s.seq, s.tokens, s.chars, coalesce(y.chars, 0) AS system_chars,
+    greatest({chat_windows.BUDGET // 4}, {chat_windows.BUDGET - chat_windows.HISTORY} - coalesce(y.tokens, 0)) AS stride,
+    (sum(s.tokens) OVER (PARTITION BY s.conv_id ORDER BY s.seq))::BIGINT AS stop
+  FROM sized s LEFT JOIN systems y ON s.conv_id IS NOT DISTINCT FROM y.conv_id WHERE NOT s.opens),
+cells AS (
+  SELECT *, stop - tokens AS start, 2 * ((stop - tokens) // stride) + ((stop - tokens) // stride <> (stop - 1) // stride)::INT AS cell FROM strides),
+placed AS (
+  SELECT *, coalesce(sum(chars) OVER (PARTITION BY conv_id ORDER BY start RANGE BETWEEN {chat_windows.HISTORY} PRECEDING AND 1 PRECEDING), 0) AS history_chars,
+    row_number() OVER (PARTITION BY conv_id, cell ORDER BY seq) = 1 AS leads FROM cells),
+written AS (
+  SELECT conv_id, sum(chars + CASE WHEN leads THEN history_chars + system_chars ELSE 0 END)::BIGINT AS formatted_chars FROM placed GROUP BY conv_id),
+whole AS (
+  SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY seq)) AS turns_sha256,
+    coalesce(string_agg(text, '' ORDER BY seq) FILTER (WHERE role = 'assistant'), '') AS loss FROM turns GROUP BY conv_id)
+SELECT w.conv_id, n_turns, turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars
+FROM whole w JOIN written f ON w.conv_id IS NOT DISTINCT FROM f.conv_id
+"""
+
+ORACLES: dict[str, str] = {"op2_quality_rules": QUALITY_RULES, "op6_source_mix": SOURCE_MIX, "op10_chat_windows": CHAT_WINDOWS}
