@@ -17,6 +17,18 @@ def _words_like(pattern: str) -> str:
     return f"len(list_filter(words, lambda x: regexp_matches(x, {_text(pattern)})))"
 
 
+VECTOR_SEARCH = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1]::HUGEINT * p[2]))::BIGINT AS score
+  FROM usable q JOIN usable c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scores)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
 QUALITY_RULES = rf"""
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{WORD}') AS words FROM documents),
 places AS (SELECT doc_id, words, unnest(range(1, len(words) - {line_rules.REPEAT_WIDTH - 2})) AS p FROM docs),
@@ -119,4 +131,4 @@ SELECT w.conv_id, n_turns, turns_sha256, length(loss)::BIGINT AS loss_chars, sha
 FROM whole w JOIN written f ON w.conv_id IS NOT DISTINCT FROM f.conv_id
 """
 
-ORACLES: dict[str, str] = {"op2_quality_rules": QUALITY_RULES, "op6_source_mix": SOURCE_MIX, "op10_chat_windows": CHAT_WINDOWS}
+ORACLES: dict[str, str] = {"op1_vector_search": VECTOR_SEARCH, "op2_quality_rules": QUALITY_RULES, "op6_source_mix": SOURCE_MIX, "op10_chat_windows": CHAT_WINDOWS}

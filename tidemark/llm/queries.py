@@ -13,12 +13,19 @@ from tidemark.llm.pieces import piece_digests
 from tidemark.llm.tables import stored, table
 from tidemark.llm.token_counts import count_tokens
 from tidemark.llm.token_files import read_token_files, write_token_files
+from tidemark.llm.va_search import VAFile, quantized, search
 from tidemark.session import scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth vector, among all others."""
+    vectors = quantized(table(spark, sf_dir, "embeddings"))
+    return search(VAFile(vectors), vectors.where(F.col("vec_id") % 100 == 0), k=10)
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdicts of the line rules for all documents."""
     judged = clean_lines(table(spark, sf_dir, "documents"), keep=("doc_id",), with_text=False)
@@ -70,4 +77,4 @@ def op10_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_digests(windows)
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op3_quality_classifier, op5_sentencepiece, op6_source_mix, op7_token_counts, op9_token_files, op10_chat_windows)}
+QUERIES = {f.__name__: f for f in (op1_vector_search, op2_quality_rules, op3_quality_classifier, op5_sentencepiece, op6_source_mix, op7_token_counts, op9_token_files, op10_chat_windows)}
