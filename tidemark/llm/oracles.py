@@ -97,6 +97,26 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
+JACCARD_JOIN = rf"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS words
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(words[p:p + 3], ' ') AS shingle
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 1) + 1)) AS p FROM docs WHERE len(words) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY ALL),
+links AS (
+  SELECT o.a, o.b FROM shared o JOIN sizes x ON x.doc_id = o.a JOIN sizes y ON y.doc_id = o.b
+  WHERE 100 * o.n >= 85 * (x.n + y.n - o.n)),
+reached AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+least AS (SELECT a, min(b) AS b FROM reached GROUP BY a)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(l.b, d.doc_id)) AS component_id
+FROM docs d LEFT JOIN sizes s USING (doc_id) LEFT JOIN least l ON l.a = d.doc_id
+"""
+
 _TURN_CHARS = len(chat_windows.START) + len(chat_windows.END) + 2
 CHAT_WINDOWS = rf"""
 WITH said AS (
@@ -131,4 +151,4 @@ SELECT w.conv_id, n_turns, turns_sha256, length(loss)::BIGINT AS loss_chars, sha
 FROM whole w JOIN written f ON w.conv_id IS NOT DISTINCT FROM f.conv_id
 """
 
-ORACLES: dict[str, str] = {"op1_vector_search": VECTOR_SEARCH, "op2_quality_rules": QUALITY_RULES, "op6_source_mix": SOURCE_MIX, "op10_chat_windows": CHAT_WINDOWS}
+ORACLES: dict[str, str] = {"op1_vector_search": VECTOR_SEARCH, "op2_quality_rules": QUALITY_RULES, "op6_source_mix": SOURCE_MIX, "op8_jaccard_join": JACCARD_JOIN, "op10_chat_windows": CHAT_WINDOWS}

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import quality_model
 from tidemark.llm.chat_windows import chat_windows, conversation_digests
+from tidemark.llm.jaccard_join import jaccard_components
 from tidemark.llm.line_rules import clean_lines
 from tidemark.llm.mixing import apply_mix, plan_mix, word_count
 from tidemark.llm.pieces import piece_digests
@@ -60,6 +61,11 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), BYTE_BPE, limit=1024)
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents that share 85 % of their four-word shingles."""
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents, written to compressed token files and read back."""
     path = scratch_path(spark, "token-files")
@@ -77,4 +83,4 @@ def op10_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_digests(windows)
 
 
-QUERIES = {f.__name__: f for f in (op1_vector_search, op2_quality_rules, op3_quality_classifier, op5_sentencepiece, op6_source_mix, op7_token_counts, op9_token_files, op10_chat_windows)}
+QUERIES = {f.__name__: f for f in (op1_vector_search, op2_quality_rules, op3_quality_classifier, op5_sentencepiece, op6_source_mix, op7_token_counts, op8_jaccard_join, op9_token_files, op10_chat_windows)}
