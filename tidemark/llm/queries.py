@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.llm import quality_model
 from tidemark.llm.chat_windows import chat_windows, conversation_digests
 from tidemark.llm.jaccard_join import jaccard_components
+from tidemark.llm.language_model import score_texts
 from tidemark.llm.line_rules import clean_lines
 from tidemark.llm.mixing import apply_mix, plan_mix, word_count
 from tidemark.llm.pieces import piece_digests
@@ -43,6 +44,14 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op4_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents by a word model and by context trees, learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    scored = score_texts(docs, ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded texts of all documents, as digests."""
     return piece_digests(table(spark, sf_dir, "documents"), PIECE_BPE)
@@ -83,4 +92,4 @@ def op10_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_digests(windows)
 
 
-QUERIES = {f.__name__: f for f in (op1_vector_search, op2_quality_rules, op3_quality_classifier, op5_sentencepiece, op6_source_mix, op7_token_counts, op8_jaccard_join, op9_token_files, op10_chat_windows)}
+QUERIES = {f.__name__: f for f in (op1_vector_search, op2_quality_rules, op3_quality_classifier, op4_language_model, op5_sentencepiece, op6_source_mix, op7_token_counts, op8_jaccard_join, op9_token_files, op10_chat_windows)}
