@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 from tidemark.llm.piece_bpe import tokenizer
 
@@ -30,8 +31,7 @@ def encode_pieces(docs: DataFrame, model: str, text: str = "text", ids: str = "p
                 yield pa.record_batch([*batch.columns, pa.array(got, pa.binary())], names=[*kept, ids])
 
     selected = docs.select(*[F.col(f"`{c}`") for c in kept])
-    schema = selected.schema.add(ids, "binary")
-    return selected.mapInArrow(run, schema)
+    return selected.mapInArrow(run, StructType([*selected.schema.fields, StructField(ids, BinaryType())]))
 
 
 def decode_pieces(encoded: DataFrame, model: str, ids: str = "piece_ids", text: str = "decoded") -> DataFrame:
@@ -50,7 +50,7 @@ def decode_pieces(encoded: DataFrame, model: str, ids: str = "piece_ids", text:
                 yield pa.record_batch([*batch.columns, pa.array(got, pa.string())], names=[*kept, text])
 
     selected = encoded.select(*[F.col(f"`{c}`") for c in kept])
-    return selected.mapInArrow(run, selected.schema.add(text, "string"))
+    return selected.mapInArrow(run, StructType([*selected.schema.fields, StructField(text, StringType())]))
 
 
 def piece_digests(docs: DataFrame, model: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
