@@ -3,14 +3,16 @@
 The pre-tokenizer always cuts before a space that a non-space follows, whatever surrounds it. So a text
 is cut into chunks there, and a worker encodes each distinct chunk once. A chunk it doesn't know is cut
 again where a cut is as certain (``SAFE``), since words recur more often than words with their
-punctuation. Texts that hold a special string go to the library whole, because it cuts those strings out
-before anything else.
+punctuation. A part that is a single word of Latin letters needs merges only: tiktoken does these over
+the ranks of the same vocabulary file, the tokenizers library encodes everything else. Texts that hold a
+special string go to that library whole, because it cuts those strings out before anything else.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -21,11 +23,22 @@ CACHED_LENGTH = 64
 AMBIGUOUS = re.compile(r" (?:\s|$)")
 CUT = re.compile(r" (?=\S)")
 _LETTER = "[A-Za-zÀ-ÖØ-öø-ÿ]"
+ONE_WORD = re.compile(rf" ?{_LETTER}+\Z")
 # Between a Latin letter and an ASCII character that is none, after a lone line break before a Latin
 # letter, and between ASCII punctuation and a line break.
 SAFE = re.compile(rf"(?<={_LETTER})(?=[\x00-@\[-`{{-\x7f])|(?<=\S\n)(?={_LETTER})|(?<=[!-/:-@])(?=\n)")
 
 
+def _byte_alphabet() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for: printable Latin-1 for itself, the rest from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(rest)}
+
+
+BYTE_OF = _byte_alphabet()
+
+
 class Recent:
     """A cache of two generations: values in use move from the older to the newer, the rest is forgotten."""
 
@@ -51,12 +64,16 @@ class ChunkEncoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        ranks = {bytes(map(BYTE_OF.__getitem__, t)): i for t, i in self.library.get_vocab(with_added_tokens=False).items()}
+        self.merges = tiktoken.Encoding("merges", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
         added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, added))) if added else None
         self.width = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.width.itemsize == 2 else "I"
         self.chunk_ids, self.part_ids = Recent(CACHED_CHUNKS), Recent(CACHED_PARTS)
 
     def chunks(self, text: str) -> list[str] | None:
@@ -69,32 +86,30 @@ class ChunkEncoder:
         """Ids as the library gives them, as little-endian integers of ``width``."""
         return [np.array(e.ids, self.width).tobytes() for e in self.library.encode_batch(texts, add_special_tokens=False)]
 
+    def _part(self, part: str) -> bytes:
+        """Ids of a part, which the older generation or nobody knows."""
+        ids = self.part_ids.old.get(part)
+        if ids is None:
+            if ONE_WORD.match(part):
+                ids = array(self.code, self.merges.encode_ordinary(part)).tobytes()
+            else:
+                ids = self.whole([part])[0]
+        if len(part) <= CACHED_LENGTH:
+            self.part_ids.put(part, ids)
+        return ids
+
     def lookup(self, chunks: set[str]) -> dict[str, bytes]:
         """Ids of chunks with the space before each."""
-        found, cut, parts = {}, {}, {}
+        found, split = {}, SAFE.split
         for chunk in chunks:
             ids = self.chunk_ids.find(chunk)
             if ids is None:
-                cut[chunk] = SAFE.split(" " + chunk)
-                for part in cut[chunk]:
-                    parts[part] = None
-            else:
-                found[chunk] = ids
-        unknown = []
-        for part in parts:
-            ids = self.part_ids.find(part)
-            if ids is None:
-                unknown.append(part)
-            else:
-                parts[part] = ids
-        for part, ids in zip(unknown, self.whole(unknown), strict=True):
-            parts[part] = ids
-            if len(part) <= CACHED_LENGTH:
-                self.part_ids.put(part, ids)
-        for chunk, own in cut.items():
-            ids = found[chunk] = parts[own[0]] if len(own) == 1 else b"".join(map(parts.__getitem__, own))
-            if len(chunk) <= CACHED_LENGTH:
-                self.chunk_ids.put(chunk, ids)
+                known = self.part_ids.new.get
+                parts = [known(part) or self._part(part) for part in split(" " + chunk)]
+                ids = parts[0] if len(parts) == 1 else b"".join(parts)
+                if len(chunk) <= CACHED_LENGTH:
+                    self.chunk_ids.put(chunk, ids)
+            found[chunk] = ids
         return found
 
     def encode(self, texts: list[str]) -> list[bytes]:

@@ -15,11 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str, *by: str) -> DataFrame:
+def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write a frame to the shared folder and read it back: the plan is cut and survives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    (df.write.partitionBy(*by) if by else df.write).parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

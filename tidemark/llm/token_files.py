@@ -6,8 +6,8 @@ a block number, the ids before the block in its part, the documents in it, and a
 the document that would not fit; only a document longer than a block spans several. Documents with the
 same id follow each other by text; a null id comes first.
 
-Writing takes two passes over the texts: one counts ids, the other deals texts by ranges of ``doc_id``
-and encodes them. Ids are never kept between, so the disk holds one shuffle of the texts and the output.
+Writing deals the texts by ranges of ``doc_id``, packs their ids into blocks (kept in the shared folder),
+counts the ids of all blocks for the shared table, and then compresses each block alone.
 """
 
 from __future__ import annotations
@@ -22,9 +22,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm.byte_bpe import encoder
 from tidemark.llm.rans import Decoder, Frequencies, encode
+from tidemark.llm.tables import stored
 
 BLOCK_TOKENS = 1 << 18
 ROWS = 256
+IDS = "<u2"
 BLOCKS = pa.schema(
     [
         ("part", pa.int32()),
@@ -54,21 +56,50 @@ PIECES = pa.schema(
 PIECES_DDL = "part int, block int, piece int, start long, doc_id long, n_tokens long, ids_crc32 long, ids binary"
 
 
-def id_counts(docs: DataFrame, tokenizer: str, end_id: int, text: str = "text") -> DataFrame:
-    """Occurrences of every id (``id``, ``n``) over all documents, each with ``end_id`` after it."""
+def _packed(docs: DataFrame, tokenizer: str, end_id: int, text: str, doc_id: str, block_tokens: int) -> DataFrame:
+    """Blocks in order, with the plain ids as payload."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = encoder(tokenizer)
-        counts = np.zeros(tool.library.get_vocab_size(), np.int64)
-        for whole in batches:
-            for at in range(0, whole.num_rows, ROWS):
-                texts = [t or "" for t in whole.column(0).slice(at, ROWS).to_pylist()]
-                counts += np.bincount(np.frombuffer(b"".join(tool.encode(texts)), tool.width), minlength=len(counts))
-                counts[end_id] += len(texts)
+        tool, part, start = encoder(tokenizer), TaskContext.get().partitionId(), 0
+        if tool.width.itemsize > np.dtype(IDS).itemsize:
+            raise ValueError("ids of this vocabulary need more than 16 bits")
+
+        def documents() -> Iterator[tuple[int | None, np.ndarray]]:
+            for whole in batches:
+                for at in range(0, whole.num_rows, ROWS):
+                    batch = whole.slice(at, ROWS)
+                    texts = [t or "" for t in batch.column(1).to_pylist()]
+                    for one, ids in zip(batch.column(0).to_pylist(), tool.encode(texts), strict=True):
+                        yield one, np.append(np.frombuffer(ids, tool.width), tool.width.type(end_id))
+
+        for number, (ids, lengths, piece, pieces, symbols) in enumerate(_blocks(documents(), block_tokens)):
+            row = [part], [number], [start], [len(symbols)], [ids], [lengths], [piece], [pieces], [symbols.astype(IDS).tobytes()]
+            yield pa.record_batch([pa.array(v, t) for v, t in zip(row, BLOCKS.types, strict=True)], schema=BLOCKS)
+            start += len(symbols)
+
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chosen = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return chosen.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(run, BLOCKS_DDL)
+
+
+def id_counts(blocks: DataFrame) -> np.ndarray:
+    """Occurrences of every id over all plain blocks; each task adds up its own first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << 16, np.int64)
+        for batch in batches:
+            for payload in batch.column(0):
+                own = np.bincount(np.frombuffer(payload.as_buffer(), IDS), minlength=len(counts))
+                own[: len(counts)] += counts
+                counts = own
         seen = np.flatnonzero(counts)
         yield pa.record_batch([pa.array(seen, pa.int64()), pa.array(counts[seen], pa.int64())], names=["id", "n"])
 
-    return docs.select(F.col(text)).mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    rows = blocks.select("payload").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()  # vocabulary-sized
+    counts = np.zeros(max([0, *(r["id"] for r in rows)]) + 1, np.int64)
+    for r in rows:
+        counts[r["id"]] = r["n"]
+    return counts
 
 
 def _blocks(docs: Iterator[tuple[int | None, np.ndarray]], most: int) -> Iterator[tuple[list, list, int, int, np.ndarray]]:
@@ -92,41 +123,27 @@ def _blocks(docs: Iterator[tuple[int | None, np.ndarray]], most: int) -> Iterato
 def write_token_files(
     docs: DataFrame, tokenizer: str, path: str, end_id: int = 0, text: str = "text", doc_id: str = "doc_id", block_tokens: int = BLOCK_TOKENS
 ) -> None:
-    """Encode the texts (null: empty) and write a folder; ``path`` must not exist. Other columns are not read."""
+    """Encode the texts (null: empty) and write a folder; ``path`` must not exist. Other columns are not read.
+
+    Ids must fit 16 bits, as those of the vocabularies at hand do.
+    """
     spark = docs.sparkSession
-    rows = id_counts(docs, tokenizer, end_id, text).collect()  # a row for each id of the vocabulary at most
-    counts = np.zeros(max([end_id, *(r["id"] for r in rows)]) + 1, np.int64)
-    for r in rows:
-        counts[r["id"]] = r["n"]
-    table = Frequencies.of_counts(counts)
+    plain = stored(_packed(docs, tokenizer, end_id, text, doc_id, block_tokens), "token-blocks", compression="zstd")
+    table = Frequencies.of_counts(id_counts(plain))
     used = np.flatnonzero(table.slots)
-    spark.createDataFrame([(int(s), int(table.slots[s])) for s in used], "symbol int, slots int").coalesce(1).write.parquet(f"{path}/frequencies")
+    frequencies = spark.createDataFrame([(int(s), int(table.slots[s])) for s in used], "symbol int, slots int")
+    frequencies.coalesce(1).write.parquet(f"{path}/frequencies")
     shared = spark.sparkContext.broadcast(table.slots.astype(np.uint32))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool, slots, part = encoder(tokenizer), Frequencies(shared.value), TaskContext.get().partitionId()
-
-        def documents() -> Iterator[tuple[int | None, np.ndarray]]:
-            for whole in batches:
-                for at in range(0, whole.num_rows, ROWS):
-                    batch = whole.slice(at, ROWS)
-                    texts = [t or "" for t in batch.column(1).to_pylist()]
-                    for one, ids in zip(batch.column(0).to_pylist(), tool.encode(texts), strict=True):
-                        yield one, np.append(np.frombuffer(ids, tool.width), tool.width.type(end_id))
-
-        start = 0
-        for number, (ids, lengths, piece, pieces, symbols) in enumerate(_blocks(documents(), block_tokens)):
-            row = [part], [number], [start], [len(symbols)], [ids], [lengths], [piece], [pieces], [encode(symbols, slots)]
-            yield pa.record_batch([pa.array(v, t) for v, t in zip(row, BLOCKS.types, strict=True)], schema=BLOCKS)
-            start += len(symbols)
+    def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slots, last = Frequencies(shared.value), len(BLOCKS) - 1
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1)
+                payload = encode(np.frombuffer(row.column(last)[0].as_buffer(), IDS), slots)
+                yield pa.record_batch([*row.columns[:last], pa.array([payload], pa.binary())], names=BLOCKS.names)
 
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (
-        docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-        .repartitionByRange(parts, "doc_id")
-        .sortWithinPartitions("doc_id", "text")
-    )
-    ordered.mapInArrow(run, BLOCKS_DDL).write.parquet(f"{path}/blocks")
+    plain.mapInArrow(compress, BLOCKS_DDL).write.parquet(f"{path}/blocks")
 
 
 def read_token_files(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
