@@ -22,7 +22,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -31,9 +30,11 @@ from tidemark.llm.components import components
 from tidemark.llm.tables import stored
 from tidemark.session import small_side
 
-AXES = 64
+AXES = 256
+COUNT = "<u4"
 LEAF, FANOUT = 16, 8
 BLOCK = 1024
+MINIMA = 4096  # pairs whose coordinate minima are held at once
 SEEN = 500_000
 SEEDS = 4
 ROWS = 512
@@ -217,7 +218,7 @@ def _points(docs: DataFrame, sets: DataFrame, nodes: DataFrame, join: Join, doc_
                 columns = [
                     pa.array([n for n, _ in found], pa.int64()),
                     pa.array([len(s) for _, s in found], pa.int64()),
-                    pa.array([_vector(s).astype("<i4").tobytes() for _, s in found], pa.binary()),
+                    pa.array([_vector(s).astype(COUNT).tobytes() for _, s in found], pa.binary()),
                     pa.array([s.astype("<u8").tobytes() for _, s in found], pa.binary()),
                 ]
                 yield pa.record_batch(columns, names=["node", "size", "counts", "shingles"])
@@ -232,7 +233,7 @@ def _overlaps(pairs: DataFrame, points: DataFrame, column: str, join: Join) -> D
         for batch in batches:
             sizes_a, sizes_b = batch.column(2).to_numpy(), batch.column(3).to_numpy()
             if column == "counts":
-                a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<i4").reshape(-1, AXES) for i in (4, 5))
+                a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), COUNT).reshape(-1, AXES) for i in (4, 5))
                 overlap = np.minimum(a, b).sum(axis=1)
             else:
                 sides = zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)
@@ -278,8 +279,8 @@ class CountTree:
             keep = (100 * highs_a[a] >= join.percent * lows_b[b]) & (100 * highs_b[b] >= join.percent * lows_a[a])
             a, b = a[keep], b[keep]
             keep = np.zeros(len(a), bool)
-            for at in range(0, len(a), 65_536):  # bounds the arrays of coordinate minima
-                part = slice(at, at + 65_536)
+            for at in range(0, len(a), MINIMA):
+                part = slice(at, at + MINIMA)
                 bound = np.minimum(tops_a[a[part]], tops_b[b[part]]).sum(axis=1)
                 keep[part] = join.reaches(bound, lows_a[a[part]], lows_b[b[part]])
             a, b = a[keep], b[keep]
@@ -298,23 +299,48 @@ class CountTree:
         return child[real], partner[real]
 
 
-def _block_pairs(members: pd.DataFrame, join: Join) -> pd.DataFrame:
-    """Pairs of a block whose bound reaches a link and whose components differ; ``side`` 0 meets side 1, or itself where there is no side 1."""
-    left = members[members["side"] == 0]
-    right = members[members["side"] == 1]
-    itself = right.empty
-    right = left if itself else right
+def _meeting_pairs(nodes: np.ndarray, parts: np.ndarray, sizes: np.ndarray, points: np.ndarray, side: np.ndarray, join: Join) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a block whose bound reaches a link and whose components differ; side 0 meets side 1, or itself where there is no side 1."""
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    itself = not len(right)
+    first = CountTree(points[left], sizes[left])
+    a, b = first.join(first if itself else CountTree(points[right], sizes[right]), join)
+    a, b = left[a], (left if itself else right)[b]
+    keep = parts[a] != parts[b]
+    if itself:
+        keep &= nodes[a] < nodes[b]
+    return nodes[a[keep]], nodes[b[keep]]
 
-    def tree(part: pd.DataFrame) -> CountTree:
-        points = np.frombuffer(b"".join(part["counts"]), "<i4").reshape(-1, AXES).astype(np.int64)
-        return CountTree(points, part["size"].to_numpy())
 
-    a, b = tree(left).join(tree(right), join)
-    nodes_a, nodes_b = left["node"].to_numpy()[a], right["node"].to_numpy()[b]
-    keep = left["component"].to_numpy()[a] != right["component"].to_numpy()[b]
-    if itself:
-        keep &= nodes_a < nodes_b
-    return pd.DataFrame({"a": nodes_a[keep], "b": nodes_b[keep]})
+def _block_pairs(join: Join):
+    """A ``mapInArrow`` function over rows sorted by block; a block goes on in the next batch until another one begins."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[np.ndarray] | None = None
+
+        def pairs(columns: list[np.ndarray]) -> pa.RecordBatch:
+            block = columns[0]
+            cuts = [0, *(np.flatnonzero((block[1:] != block[:-1]).any(axis=1)) + 1), len(block)]
+            found = [_meeting_pairs(*(c[i:j] for c in columns[1:]), join) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+            return pa.record_batch([pa.array(np.concatenate(x)) for x in zip(*found, strict=True)], names=["a", "b"])
+
+        for whole in batches:
+            for at in range(0, whole.num_rows, 4 * BLOCK):
+                batch = whole.slice(at, 4 * BLOCK)
+                block = np.stack([batch.column(i).to_numpy() for i in range(3)], axis=1)
+                points = np.frombuffer(b"".join(batch.column(7).to_pylist()), COUNT).reshape(-1, AXES).astype(np.int32)
+                columns = [block, *(batch.column(i).to_numpy() for i in (4, 5, 6)), points, batch.column(3).to_numpy()]
+                if waiting is not None:
+                    columns = [np.concatenate(x) for x in zip(waiting, columns, strict=True)]
+                last = columns[0][-1]
+                open_from = int(np.flatnonzero((columns[0] != last).any(axis=1))[-1]) + 1 if (columns[0] != last).any() else 0
+                if open_from:
+                    yield pairs([c[:open_from] for c in columns])
+                waiting = [c[open_from:] for c in columns]
+        if waiting is not None:
+            yield pairs(waiting)
+
+    return run
 
 
 def _open_pairs(meetings: DataFrame, found: DataFrame, points: DataFrame, join: Join, block: int) -> DataFrame:
@@ -331,7 +357,9 @@ def _open_pairs(meetings: DataFrame, found: DataFrame, points: DataFrame, join:
     # A member goes to the meeting of its block with itself and with every other block of a large meeting.
     others = F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda x: F.struct(F.least(x, own).alias("i"), F.greatest(x, own).alias("j"), (x < own).cast("int").alias("side")))
     dealt = members.withColumn("blocks", F.explode(others)).select("key", "blocks.i", "blocks.j", "blocks.side", "node", "component", "size", "counts")
-    pairs = dealt.groupBy("key", "i", "j").applyInPandas(lambda part: _block_pairs(part, join), "a long, b long")
+    parts = int(meetings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sorted_blocks = dealt.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j")
+    pairs = sorted_blocks.mapInArrow(_block_pairs(join), "a long, b long")
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
