@@ -8,9 +8,9 @@ from tests.conftest import rows
 from tidemark.operators import incremental as inc
 
 
-def fetch(spark, lookback, today, last=None):
+def fetch(spark, lookback, today, last=None, **bounds):
     loaded = spark.createDataFrame([(last,)], "max_date date")
-    return [r[0] for r in rows(inc.dates_to_fetch(loaded, lookback, today))]
+    return [r[0] for r in rows(inc.dates_to_fetch(loaded, lookback, today, **bounds))]
 
 
 def days(first, n):
@@ -30,7 +30,23 @@ def days(first, n):
     ],
 )
 def test_dates_to_fetch(spark, lookback, today, last, first, n):
-    assert fetch(spark, lookback, today, last) == days(first, n)
+    assert fetch(spark, lookback, today, last, retention_days=28) == days(first, n)
+
+
+def test_landed_days_have_no_retention(spark):
+    assert fetch(spark, 100, date(2024, 6, 30)) == days(date(2024, 3, 22), 100)
+    loaded = spark.createDataFrame([(None,)], "max_date date")
+    skipped = inc.days_past_retention(loaded, 100, date(2024, 6, 30), 28)
+    assert [r[0] for r in rows(skipped)] == days(date(2024, 3, 22), 72)
+
+
+def test_listed_and_joined_days_keep_the_same_rows(spark, monkeypatch):
+    data = spark.createDataFrame([(1, date(2024, 6, 1)), (2, None), (3, date(2024, 6, 3)), (4, date(2024, 6, 9))], "i int, day date")
+    wanted = spark.createDataFrame([(date(2024, 6, 1),), (None,), (date(2024, 6, 3),), (None,)], "day date")
+    listed = rows(inc.only_days(data, wanted), "i")
+    monkeypatch.setattr(inc, "MAX_LISTED_DAYS", 1)
+    assert inc.listed_days(wanted) is None
+    assert listed == rows(inc.only_days(data, wanted), "i") == [(1,), (2,), (3,)]
 
 
 @pytest.mark.parametrize(("cap", "n"), [(3, 3), (None, 10), (0, 10), (-5, 10), (50, 10)])

@@ -1,4 +1,5 @@
 import shutil
+import uuid
 from datetime import datetime
 
 import pytest
@@ -74,42 +75,81 @@ def test_commit_equals_merge(spark, stored, batch, tmp_path):
     assert rows(spark.table("merge_commit"), *COLUMNS) == EXPECTED
 
 
-def test_commit_survives_a_crash_while_days_are_replaced(spark, stored, batch, tmp_path, monkeypatch):
-    place = tmp_path / "t"
-    tables.create_table(spark, "merge_crash", tables.REFRESH_TABLE, str(place))
-    tables.append(spark, "merge_crash", stored, tables.REFRESH_TABLE)
-    original = tables.finish_commit
-    calls = []
-
-    def die_on_second_call(session, name):
-        calls.append(name)
-        if len(calls) == 2:
-            raise RuntimeError("driver lost")
-        original(session, name)
-
-    monkeypatch.setattr(tables, "finish_commit", die_on_second_call)
+@pytest.fixture
+def crashed(spark, stored, batch, tmp_path, monkeypatch):
+    """A table and folder whose commit was staged when the driver was lost."""
+    place, name = tmp_path / "t", f"merge_{uuid.uuid4().hex}"
+    tables.create_table(spark, name, tables.REFRESH_TABLE, str(place))
+    tables.append(spark, name, stored, tables.REFRESH_TABLE)
+
+    def die(*_):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(tables, "_apply_stage", die)
     with pytest.raises(RuntimeError):
-        tables.commit_refresh(spark, "merge_crash", batch)
+        tables.commit_refresh(spark, name, batch)
     monkeypatch.undo()
+    return name, place
+
+
+def only_stage(place):
+    (stage,) = (place / "_staged_merge").iterdir()
+    return stage
+
+
+def test_commit_survives_a_crash_while_days_are_replaced(spark, batch, crashed, tmp_path):
+    name, place = crashed
     # The old files of a day are gone and the new ones are not in place yet.
     shutil.move(place / "ingestion_date=2024-06-01", tmp_path / "gone")
-    spark.catalog.refreshTable("merge_crash")
-    assert spark.table("merge_crash").count() == 0
+    spark.catalog.refreshTable(name)
+    assert spark.table(name).count() == 0
 
-    tables.commit_refresh(spark, "merge_crash", batch.limit(0))
-    assert rows(spark.table("merge_crash"), *COLUMNS) == EXPECTED
+    tables.commit_refresh(spark, name, batch.limit(0))
+    assert rows(spark.table(name), *COLUMNS) == EXPECTED
     assert not (place / "_staged_merge").exists()
     assert rows(spark.read.parquet(str(place)), *COLUMNS) == EXPECTED
 
 
-def test_incomplete_stage_is_ignored(spark, stored, batch, tmp_path):
-    place = tmp_path / "t"
-    tables.create_table(spark, "merge_partial", tables.REFRESH_TABLE, str(place))
-    tables.append(spark, "merge_partial", stored, tables.REFRESH_TABLE)
-    stored.limit(1).write.partitionBy("ingestion_date").parquet(str(place / "_staged_merge"))
-    (place / "_staged_merge" / "_SUCCESS").unlink()
-    tables.commit_refresh(spark, "merge_partial", batch)
-    assert rows(spark.table("merge_partial"), *COLUMNS) == EXPECTED
+def test_append_finishes_a_staged_commit_first(spark, crashed):
+    name, _ = crashed
+    later = refresh(spark, {"request_id": "later", "status": "Failed", "dataset_name": "late", "ingestion_timestamp": T1})
+    tables.append(spark, name, later, tables.REFRESH_TABLE)
+    assert rows(spark.table(name), *COLUMNS) == sorted([*EXPECTED, ("later", "Failed", None, "late", T1, T1.date())])
+
+
+def test_a_day_that_changed_meanwhile_is_not_replaced(spark, crashed):
+    name, place = crashed
+    other = refresh(spark, {"request_id": "other"}, {"request_id": "more"}).select(spark.table(name).columns)
+    other.write.insertInto(name)
+    with pytest.raises(RuntimeError, match="changed after"):
+        tables.finish_commit(spark, name)
+    assert spark.table(name).count() == 5 and only_stage(place).exists()
+
+
+def test_a_half_removed_stage_deletes_nothing(spark, crashed):
+    name, place = crashed
+    stage = only_stage(place)
+    for file in list((stage / "rows" / "ingestion_date=2024-06-01").glob("*.parquet"))[:1]:
+        file.unlink()
+    before = rows(spark.table(name), *COLUMNS)
+    with pytest.raises(RuntimeError, match="lacks rows"):
+        tables.finish_commit(spark, name)
+    assert rows(spark.table(name), *COLUMNS) == before
+    (stage / "ready.json").unlink()  # what removal does first
+    tables.finish_commit(spark, name)
+    assert rows(spark.table(name), *COLUMNS) == before and not stage.exists()
+
+
+def test_commit_needs_no_success_markers(spark, stored, batch, tmp_path):
+    tables.create_table(spark, "merge_unmarked", tables.REFRESH_TABLE, str(tmp_path / "t"))
+    tables.append(spark, "merge_unmarked", stored, tables.REFRESH_TABLE)
+    hadoop, key = spark.sparkContext._jsc.hadoopConfiguration(), "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    hadoop.set(key, "false")
+    try:
+        tables.commit_refresh(spark, "merge_unmarked", batch)
+    finally:
+        hadoop.unset(key)
+    assert rows(spark.table("merge_unmarked"), *COLUMNS) == EXPECTED
 
 
 def test_commit_leaves_other_days_alone(spark, stored, tmp_path):

@@ -1,12 +1,14 @@
 """Every registered query against its SQL, and the plans of the reports on a stored table."""
 
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 
 import __spark_entry__ as entry_module
 from tests.conftest import plan_text, rows
 from tidemark.checks import adapters
+from tidemark.checks.oracles import ORACLES
+from tidemark.checks.queries import QUERIES
 from tidemark.checks.compare import connect, differences
 from tidemark.operators import incremental, merge, ranking, transform
 from tidemark.plans import reports
@@ -24,10 +26,11 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_module.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
     found = differences(spark, duck, name, SF)
     assert found == (["no rows"] if name in EMPTY else [])
@@ -91,6 +94,15 @@ def test_latest_status_neither_sorts_nor_shuffles_whole_rows(refresh_table):
     assert below_output_order.count("Exchange") == 1 and "Sort" not in below_output_order
 
 
+def test_latest_rows_are_the_same_either_way(spark, monkeypatch):
+    data = [("a", 1), ("a", 3), ("a", 3), ("b", 2), (None, 9), ("c", None)]
+    frame = spark.createDataFrame([(k, None if t is None else datetime(2024, 5, t)) for k, t in data], "key string, at timestamp")
+    joined = rows(ranking.latest_rows(frame, "key", "at"))
+    monkeypatch.setattr(ranking, "sized_side", lambda side: sized_side(side, max_rows=0))
+    assert joined == rows(ranking.latest_rows(frame, "key", "at"))
+    assert [k for k, _ in joined] == ["a", "a", "b"]
+
+
 def test_ranking_limits_groups_before_the_shuffle(refresh_table):
     plan = plan_text(ranking.latest_with_ties(refresh_table, "dataset_id", "start_time"))
     tree = plan.split("\n\n", 1)[0]

@@ -164,5 +164,5 @@ def test_probe_rows(spark):
     ok, denied, broken = found["ok"], found["denied"], found["broken"]
     assert (ok.status, ok.duration_ms, ok.row_count, ok.error_message) == ("Success", 123.4, 5, None)
     assert (denied.status, denied.duration_ms, denied.row_count, denied.error_message) == ("Failed", None, None, "HTTP 403")
-    assert broken.error_message == "x" * 500 and broken.is_critical is False and broken.workspace_name is None
+    assert broken.error_message == "x" * 600 and broken.is_critical is False and broken.workspace_name is None
     assert ok.probe_date == date(2024, 6, 1) and len({r.probe_id for r in found.values()}) == 3

@@ -94,14 +94,23 @@ def test_stats_of_other_ends(spark):
     assert found["quiet"].requests_made == 2 and found["quiet"].error is None
     assert found["quiet"].rate_limit_headers == {"X-RateLimit-Limit": "9"}
     assert found["denied"].error.startswith("HTTP 403 - authenticated but not authorized")
-    assert found["broken"].error == "HTTP 500: " + "x" * 200
+    assert found["broken"].error == "HTTP 500: " + "x" * 300
+    assert stats_of(spark, entries, body_chars=200)["broken"].error == "HTTP 500: " + "x" * 200
     assert found["cut"].error == "request #2 raised: timed out"
     assert (found["cut"].requests_made, found["cut"].max_latency_ms, found["cut"].status_counts) == (1, 10.0, {"200": 1})
 
 
-def test_burst_limit(spark):
-    assert stats_of(spark, burst(*[200] * 60))["e"].requests_made == triage.BURST_LIMIT
-    assert stats_of(spark, burst(*[200] * 60), max_requests=triage.ADMIN_BURST_LIMIT)["e"].requests_made == 30
+def test_every_landed_response_counts(spark):
+    found = stats_of(spark, burst(*[200] * 59, 429, *[200] * 19))["e"]
+    assert (found.requests_made, found.throttled, found.first_429_at_request) == (60, True, 60)
+    assert stats_of(spark, burst(*[200] * 60), max_requests=30)["e"].requests_made == 30
+
+
+def test_stats_without_headers_or_status(spark):
+    entries = burst(None, endpoint="gone")
+    entries[0].update(error="no route", headers=None)
+    found = stats_of(spark, entries)["gone"]
+    assert (found.requests_made, found.rate_limit_headers, found.status_counts) == (0, {}, {})
 
 
 def test_prefix_equals_running_definition(spark):

@@ -138,8 +138,8 @@ HALF_EVEN = """({0} // {1} + CASE WHEN 2 * ({0} % {1}) > {1}
 
 BURST = f"""{L},
 n AS (SELECT *, row_number() OVER (PARTITION BY endpoint ORDER BY seq) AS i FROM l),
-f AS (SELECT endpoint, min(i) AS stop_i FROM n WHERE i <= 50 AND {STOPS} GROUP BY endpoint),
-t AS (SELECT n.*, {HALF_EVEN.format('cast(round(latency_ms * 100) AS bigint)', '10')} AS tenths FROM n LEFT JOIN f USING (endpoint) WHERE i <= 50 AND (stop_i IS NULL OR i <= stop_i)),
+f AS (SELECT endpoint, min(i) AS stop_i FROM n WHERE {STOPS} GROUP BY endpoint),
+t AS (SELECT n.*, {HALF_EVEN.format('cast(round(latency_ms * 100) AS bigint)', '10')} AS tenths FROM n LEFT JOIN f USING (endpoint) WHERE stop_i IS NULL OR i <= stop_i),
 z AS (SELECT endpoint, count(*) FILTER (WHERE error IS NULL) AS requests_made,
   max(i) AS last_i,
   min(tenths) FILTER (WHERE error IS NULL) / 10.0::double AS min_latency_ms,
@@ -256,7 +256,7 @@ def _card() -> str:
 RAW_START = f"strftime(start_time, {ISO})"
 RAW_END = f"strftime(end_time, {ISO})"
 
-PROBE_ERROR = "repeat('x', least(400 + k * 2, 500))"
+PROBE_ERROR = "repeat('x', 400 + k * 2)"
 
 MARKS_BEFORE = """SELECT dataset_id, max(start_time) AS watermark FROM r
   WHERE is_critical {0} GROUP BY dataset_id"""
@@ -268,8 +268,7 @@ ORACLES = {
     "src_top_n_per_dataset": f"""WITH {B} SELECT dataset_id, request_id AS "requestId", {RAW_START} AS "startTime"
         FROM b QUALIFY row_number() OVER (PARTITION BY dataset_id ORDER BY start_time DESC, request_id) <= 60""",
     "src_dataset_listing": f"""WITH {X} SELECT 'w-' || wpos AS workspace_id, id, name, true AS is_refreshable FROM i""",
-    "src_workspace_listing": f"""WITH {U} SELECT 'g-' || user_id AS id, 'group ' || user_id AS name FROM u
-        ORDER BY id LIMIT 100""",
+    "src_workspace_listing": f"""WITH {U} SELECT 'g-' || user_id AS id, 'group ' || user_id AS name FROM u""",
     "src_activity_pages": """WITH g AS (SELECT event_id, cast(ts AS date) AS fetch_day, event_id // 50 AS page_no FROM events),
         m AS (SELECT fetch_day, max(page_no) AS last_page FROM g GROUP BY fetch_day),
         c AS (SELECT g.fetch_day, min(page_no) AS stop FROM g JOIN m ON g.fetch_day = m.fetch_day
@@ -297,7 +296,7 @@ ORACLES = {
         CASE WHEN throttled THEN requests_made END AS first_429_at_request,
         CASE WHEN throttled THEN y.wait END AS retry_after_seconds,
         CASE WHEN throttled THEN 'RateLimit-Remaining=0;Retry-After=' || y.wait || ';x-ms-throttle-scope=tenant'
-          WHEN requests_made > 0 THEN 'X-RateLimit-Limit=200' END AS rate_limit_headers,
+          WHEN requests_made > 0 THEN 'X-RateLimit-Limit=200' ELSE '' END AS rate_limit_headers,
         min_latency_ms, max_latency_ms, avg_latency_ms, {STATS_ERROR} AS error FROM y""",
     "triage_status_counts": f"WITH {L} {COUNTS.format('l')}",
     "triage_run_stats": f"""WITH {R},
@@ -461,6 +460,6 @@ ORACLES = {
         'activity_events_' || strftime(creation_date, '%Y_%m') AS file_key FROM a""",
     "sink_json_report": f"""WITH {BURST}, sc AS ({COUNTS.format('t')})
         SELECT y.endpoint, requests_made, CASE WHEN throttled THEN requests_made END AS first_429_at_request,
-          avg_latency_ms, status_counts, '50' AS max_requests FROM y LEFT JOIN sc ON y.endpoint = sc.endpoint""",
+          avg_latency_ms, coalesce(status_counts, '') AS status_counts, 'all' AS max_requests FROM y LEFT JOIN sc ON y.endpoint = sc.endpoint""",
     "sink_alerts": f"""WITH {R} SELECT *, cast(alert_time AS date) AS alert_date FROM ({ALL_ALERTS})""",
 }

@@ -63,7 +63,7 @@ def src_refresh_envelope(spark, sf):
 def src_top_n_per_dataset(spark, sf):
     records = a.raw_refresh(spark, sf)
     start = instants.parse_instant(F.col("startTime"))
-    return landing.newest_per_dataset(records, start, F.col("requestId")).select("dataset_id", "requestId", "startTime")
+    return landing.newest_per_dataset(records, start, F.col("requestId"), 60).select("dataset_id", "requestId", "startTime")
 
 
 @register
@@ -539,7 +539,7 @@ def alert_route(spark, sf):
 @register
 def inc_dates_to_fetch(spark, sf):
     loaded = incremental.max_activity_date(a.activity_events(spark, sf))
-    return incremental.dates_to_fetch(loaded, 28, TODAY_AFTER_LOAD)
+    return incremental.dates_to_fetch(loaded, 28, TODAY_AFTER_LOAD, retention_days=28)
 
 
 @register
@@ -610,7 +610,7 @@ def sink_csv_monthly(spark, sf):
 def sink_json_report(spark, sf):
     path = scratch_path(spark, "report")
     stats = triage.endpoint_stats(a.response_log(spark, sf))
-    files.write_json_report(stats, path, a.AS_OF_TS, {"max_requests": "50"})
+    files.write_json_report(stats, path, a.AS_OF_TS, {"max_requests": "all"})
     report = spark.read.schema(
         "endpoint string, requests_made long, first_429_at_request long, avg_latency_ms double, "
         "status_counts map<string,long>, settings map<string,string>"

@@ -12,6 +12,7 @@ from tidemark.session import small_side
 # The audit source keeps 28 days.
 RETENTION_DAYS = 28
 
+# Days listed as literals, which prunes partitions when the plan is made; more are joined.
 MAX_LISTED_DAYS = 2_000
 
 
@@ -97,18 +98,27 @@ def _day_rows(one_row: DataFrame, first: Column, last: Column) -> DataFrame:
     return one_row.select(F.explode(spread).alias("day"), last.alias("last")).filter("day <= last").select("day")
 
 
-def dates_to_fetch(last_loaded: DataFrame, lookback_days: int, today: date) -> DataFrame:
+def dates_to_fetch(
+    last_loaded: DataFrame, lookback_days: int, today: date, retention_days: int | None = None
+) -> DataFrame:
     """Days to fetch, ending yesterday; ``last_loaded`` is one row with ``max_date``.
 
-    The window opens ``lookback_days`` ago (clamped to the retention) or at the newest loaded day,
-    which is fetched again so that late events land.
+    The window opens ``lookback_days`` ago or at the newest loaded day, which is fetched again so
+    that late events land. ``retention_days`` bounds it to what a source still holds; landed data
+    needs no such bound. ``days_past_retention`` lists what the bound leaves out.
     """
-    back = max(1, min(lookback_days, RETENTION_DAYS))
+    back = max(1, lookback_days if retention_days is None else min(lookback_days, retention_days))
     opens, closes = F.lit(today - timedelta(days=back)), F.lit(today - timedelta(days=1))
     resume = F.when(F.col("max_date") >= opens, F.col("max_date")).otherwise(opens)
     return _day_rows(last_loaded, resume, closes)
 
 
+def days_past_retention(last_loaded: DataFrame, lookback_days: int, today: date, retention_days: int) -> DataFrame:
+    """Days that ``dates_to_fetch`` would name without ``retention_days``, but doesn't with it."""
+    wanted = dates_to_fetch(last_loaded, lookback_days, today)
+    return wanted.filter(F.col("day") < F.lit(today - timedelta(days=max(1, retention_days))))
+
+
 def limit_backfill(days: DataFrame, max_days: int | None) -> DataFrame:
     """The oldest ``max_days`` days; None or a non-positive number keeps all."""
     if not max_days or max_days <= 0:
@@ -150,10 +160,14 @@ def on_days(column: str, listed: list[date | None]) -> Column:
 
 
 def only_days(rows: DataFrame, days: DataFrame, column: str = "day") -> DataFrame:
-    """Rows on the days in the same-named column of ``days``: literals, or a semi-join for many."""
+    """Rows on the days in the same-named column of ``days``, null being a day of its own.
+
+    Few days become literals, many a semi-join; both keep the same rows.
+    """
     listed = listed_days(days, column)
     if listed is None:
-        return rows.join(days.select(column).distinct(), column, "left_semi")
+        wanted = days.select(F.col(column).alias("__day")).distinct()
+        return rows.join(wanted, F.col(column).eqNullSafe(F.col("__day")), "left_semi")
     return rows.filter(on_days(column, listed))
 
 

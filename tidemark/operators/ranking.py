@@ -37,17 +37,17 @@ def latest_semi_join(rows: DataFrame, key: str, instant: str) -> DataFrame:
 
 
 def latest_rows(rows: DataFrame, key: str, instant: str) -> DataFrame:
-    """Rows at the newest instant of their key, ties kept, by the cheaper way.
+    """Rows at the newest instant of their key, ties kept, by the cheaper way; rows without a key are left out.
 
     The newest instants come from a scan of two columns. If they are few enough to broadcast, a
     second scan keeps the rows that match, without a sort or shuffle of whole rows. Otherwise rows
     are ranked.
     """
-    filled = rows.filter(F.col(instant).isNotNull())
+    filled = rows.filter(F.col(key).isNotNull() & F.col(instant).isNotNull())
     newest = sized_side(filled.groupBy(key).agg(F.max(instant).alias(instant)))
     if newest.small:
-        return rows.join(newest.frame, [key, instant], "left_semi")
-    return latest_with_ties(rows, key, instant)
+        return filled.join(newest.frame, [key, instant], "left_semi")
+    return latest_with_ties(filled, key, instant)
 
 
 def remaining_order(rows: DataFrame, used: list[str]) -> list[Column]:

@@ -28,7 +28,6 @@ EVENT_FIELDS = {
     "object_id": ["ObjectId"],
     "result_status": ["ResultStatus"],
 }
-ERROR_TEXT_LENGTH = 500
 
 
 def with_ingestion_stamp(rows: DataFrame, run_at: datetime) -> DataFrame:
@@ -109,17 +108,19 @@ def activity_rows(
     return stamped.select(*schemas.ACTIVITY_EVENTS.fieldNames(), *keep)
 
 
-def probe_rows(responses: DataFrame) -> DataFrame:
+def probe_rows(responses: DataFrame, error_chars: int | None = None) -> DataFrame:
     """Logged probe responses as table rows.
 
     A response with a transport error or a status of 400 and above is ``Failed`` and has no
     measures. The id is a hash of what identifies a run, so a replay gives the same row.
+    ``error_chars`` cuts the text of an error, which is whole otherwise.
     """
+    error = F.col("error") if error_chars is None else F.substring("error", 1, error_chars)
     failed = F.col("error").isNotNull() | F.coalesce(F.col("http_status") >= 400, F.lit(True))
     message = F.when(
         F.col("error").isNull() & F.col("http_status").isNotNull(),
         F.concat(F.lit("HTTP "), F.col("http_status").cast("string")),
-    ).otherwise(F.substring("error", 1, ERROR_TEXT_LENGTH))
+    ).otherwise(error)
     identity = F.concat_ws(
         "|",
         "workspace_id",

@@ -17,8 +17,6 @@ from tidemark.operators.transform import tracked_activity
 from tidemark.session import materialize, small_side
 
 OK, SKIP_EMPTY, DENIED_EMPTY, THROTTLED, FAILED = "ok", "skip_empty", "denied_empty", "throttled", "failed"
-BURST_LIMIT = 50
-ADMIN_BURST_LIMIT = 30
 NO_DAY = date.max
 
 
@@ -96,9 +94,11 @@ def status_counts(log: DataFrame) -> DataFrame:
     )
 
 
-def _stop_error() -> Column:
+def _stop_error(body_chars: int | None) -> Column:
     """Text for the response that ended the burst; a 429 is not an error."""
     status = F.concat(F.lit("HTTP "), F.col("last.status").cast("string"))
+    body = F.coalesce("last.body", F.lit(""))
+    body = body if body_chars is None else F.substring(body, 1, body_chars)
     # Texts of the report.
     denied = F.lit(
         " - authenticated but not authorized for this endpoint (check tenant setting / workspace access)."
@@ -116,17 +116,19 @@ def _stop_error() -> Column:
         .when(F.col("last.status").isin(401, 403), F.concat(status, denied))
         .when(
             (F.col("last.status") >= 400) & ~F.col("throttled"),
-            F.concat(status, F.lit(": "), F.substring(F.coalesce("last.body", F.lit("")), 1, 200)),
+            F.concat(status, F.lit(": "), body),
         )
     )
 
 
-def endpoint_stats(log: DataFrame, max_requests: int | None = BURST_LIMIT) -> DataFrame:
+def endpoint_stats(log: DataFrame, max_requests: int | None = None, body_chars: int | None = None) -> DataFrame:
     """Per endpoint: how many requests ran before it throttled or failed, and how fast they were.
 
     Latencies are rounded to one digit before and after averaging; a transport error counts
     neither as a request nor as a latency. The quota headers are those of the 429, else of the
-    first response.
+    first response, and an empty map if there are none; so are the counts of an endpoint without a
+    status. ``max_requests`` reads the first so many responses of an endpoint only; ``body_chars``
+    cuts the body in an error text.
     """
     burst = until_first_stop(log, max_requests)
     answered = F.col("error").isNull()
@@ -143,6 +145,7 @@ def endpoint_stats(log: DataFrame, max_requests: int | None = BURST_LIMIT) -> Da
     )
     stats = stats.withColumn("throttled", F.coalesce(F.col("last.status") == 429, F.lit(False)))
     throttled = F.col("throttled")
+    no_headers = F.create_map().cast("map<string,string>")
     return stats.join(status_counts(burst.filter(answered)), "endpoint", "left").select(
         "endpoint",
         "requests_made",
@@ -150,13 +153,13 @@ def endpoint_stats(log: DataFrame, max_requests: int | None = BURST_LIMIT) -> Da
         F.when(throttled, F.col("requests_made")).alias("first_429_at_request"),
         F.when(throttled, retry_after_text(F.col("last.headers"))).alias("retry_after_seconds"),
         F.when(throttled, quota_headers(F.col("last.headers")))
-        .otherwise(F.col("first_quota"))
+        .otherwise(F.coalesce("first_quota", no_headers))
         .alias("rate_limit_headers"),
         "min_latency_ms",
         "max_latency_ms",
         "avg_latency_ms",
-        "status_counts",
-        _stop_error().alias("error"),
+        F.coalesce("status_counts", F.create_map().cast("map<string,bigint>")).alias("status_counts"),
+        _stop_error(body_chars).alias("error"),
     )
 
 

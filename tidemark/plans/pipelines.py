@@ -22,7 +22,8 @@ class UsageSettings:
     """Window and filter of the usage pipeline."""
 
     lookback_days: int = 28
-    max_days_per_run: int | None = 7
+    max_days_per_run: int | None = None
+    retention_days: int | None = None
     tracked_activities: tuple[str, ...] = ()
     incremental: bool = True
     stop_on_denied: bool = False
@@ -115,7 +116,8 @@ def run_usage(
         loaded = loaded.union(completed.select("max_date")).agg(F.max("max_date").alias("max_date"))
     window = materialize(
         incremental.limit_backfill(
-            incremental.dates_to_fetch(loaded, settings.lookback_days, today), settings.max_days_per_run
+            incremental.dates_to_fetch(loaded, settings.lookback_days, today, settings.retention_days),
+            settings.max_days_per_run,
         )
     )
     pages = incremental.only_days(landing.activity_pages(spark, landed), window)

@@ -38,7 +38,7 @@ def from_document(document: dict) -> PipelineSettings:
         probe_table=_table_name(document["query_performance_table"]),
         activity_table=_table_name(document["activity_events_table"]),
         incremental=document.get("extraction", {}).get("incremental", True),
-        alerts_enabled=alerting.get("enabled", False),
+        alerts_enabled=alerting.get("enabled", True),
         card_channel=bool(alerting.get("teams_webhook_url")),
         alerts=AlertSettings(
             check_failures=alerting.get("check_failures", base.check_failures),
@@ -50,7 +50,7 @@ def from_document(document: dict) -> PipelineSettings:
         ),
         usage=UsageSettings(
             lookback_days=usage.get("lookback_days", base_usage.lookback_days),
-            max_days_per_run=usage.get("max_backfill_days_per_run"),
+            max_days_per_run=usage.get("max_backfill_days_per_run", base_usage.max_days_per_run),
             tracked_activities=tuple(usage.get("tracked_activities") or ()),
             incremental=usage.get("incremental", True),
         ),

@@ -122,11 +122,37 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder this library wrote."""
+    """Delete a folder or file this library wrote."""
     files, hadoop_path = _file_system(spark, path)
     files.delete(hadoop_path, True)
 
 
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders inside a folder; none if it does not exist."""
+    files, hadoop_path = _file_system(spark, path)
+    if not files.exists(hadoop_path):
+        return []
+    return sorted(entry.getPath().getName() for entry in files.listStatus(hadoop_path) if entry.isDirectory())
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that is either absent or whole: it gets its name once it is written."""
+    files, hadoop_path = _file_system(spark, path)
+    _, unfinished = _file_system(spark, f"{path}.unfinished")
+    stream = files.create(unfinished, True)
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+    if not files.rename(unfinished, hadoop_path):
+        raise OSError(f"could not name {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """Text of a small file on the file system of its path."""
+    return "\n".join(row.value for row in spark.read.option("wholetext", True).text(path).collect())
+
+
 @contextmanager
 def session_conf(spark: SparkSession, **settings: str):
     """Set configuration keys (dots written as ``__``) for the duration of one action."""

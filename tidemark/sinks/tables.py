@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -10,7 +13,19 @@ from pyspark.sql.types import StructType
 from tidemark import schemas
 from tidemark.operators import merge
 from tidemark.operators.incremental import listed_days, on_days, only_days
-from tidemark.session import materialize, measured, path_exists, remove_folder, session_conf
+from tidemark.session import (
+    materialize,
+    measured,
+    path_exists,
+    read_text,
+    remove_folder,
+    session_conf,
+    subfolders,
+    write_text,
+)
+
+# Inside the folder of a staged commit.
+STAGED_ROWS, READY = "rows", "ready.json"
 
 
 @dataclass(frozen=True)
@@ -70,7 +85,8 @@ def _spread(rows: DataFrame, partition: str) -> DataFrame:
 
 
 def append(spark: SparkSession, name: str, rows: DataFrame, spec: TableSpec) -> None:
-    """Append rows; nothing happens for none."""
+    """Append rows; nothing happens for none. A merge that a lost driver left staged is finished first."""
+    finish_commit(spark, name)
     spread = _spread(_checked(rows, spec), spec.partition)
     spread.select(spark.table(name).columns).write.insertInto(name)
 
@@ -101,19 +117,49 @@ def _staging(spark: SparkSession, name: str) -> str:
     return f"{described.first().data_type}/_staged_merge"
 
 
+def _counts_by_day(rows: DataFrame) -> dict[str, int]:
+    """Rows of each day; a table's changed days are few enough for the driver."""
+    day = F.coalesce(F.col(REFRESH_TABLE.partition).cast("string"), F.lit(""))
+    return {row.day: row.n for row in rows.groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def _touched(target: DataFrame, days: list[str]) -> DataFrame:
+    listed = [date.fromisoformat(day) if day else None for day in days]
+    return target.filter(on_days(REFRESH_TABLE.partition, listed))
+
+
 def finish_commit(spark: SparkSession, name: str) -> None:
-    """Put staged days into place, if a complete stage is there.
+    """Put staged days into place, if a complete stage is there; drop an incomplete one.
 
-    Replacing partitions deletes the old files before it moves the new ones in. The staged copy
-    stays until that is done, so a run that died in between is completed by the next one.
+    A stage is complete once it has its marker, which lists the rows of each day before and after.
+    Replacing partitions deletes the old files before it moves the new ones in, so a run that died
+    in between is completed by the next one. One writer at a time is allowed for each table.
     """
     staging = _staging(spark, name)
-    if not path_exists(spark, f"{staging}/_SUCCESS"):
-        return
-    staged = spark.read.schema(REFRESH_TABLE.schema).parquet(staging)
+    for stage in subfolders(spark, staging):
+        if path_exists(spark, f"{staging}/{stage}/{READY}"):
+            _apply_stage(spark, name, f"{staging}/{stage}")
+        else:
+            remove_folder(spark, f"{staging}/{stage}")
+
+
+def _apply_stage(spark: SparkSession, name: str, stage: str) -> None:
+    """Replace the staged days; raises, and leaves everything as it is, if stage or table are not as the marker says."""
+    days = json.loads(read_text(spark, f"{stage}/{READY}"))
+    staged = spark.read.schema(REFRESH_TABLE.schema).parquet(f"{stage}/{STAGED_ROWS}")
+    if _counts_by_day(staged) != {day: after for day, (_, after) in days.items()}:
+        raise RuntimeError(f"{stage} lacks rows of its commit")
+    spark.catalog.refreshTable(name)
+    found = _counts_by_day(_touched(spark.table(name), list(days)))
+    for day, (before, after) in days.items():
+        if found.get(day, 0) not in (before, after, 0):
+            raise RuntimeError(f"{day} of {name} changed after {stage} was made")
     with session_conf(spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
         staged.select(spark.table(name).columns).write.insertInto(name, overwrite=True)
-    remove_folder(spark, staging)
+    remove_folder(spark, f"{stage}/{READY}")  # first, so that a half removed stage is never applied
+    remove_folder(spark, stage)
+    if not subfolders(spark, _staging(spark, name)):
+        remove_folder(spark, _staging(spark, name))
     spark.catalog.refreshTable(name)
 
 
@@ -122,7 +168,7 @@ def commit_refresh(spark: SparkSession, name: str, source: DataFrame) -> None:
 
     Stored requests of the batch are found through a scan of two columns, past a broadcast of the
     batch's ids where they are few. The changed days, with updates and inserts applied, are staged
-    and then replace their partitions; a repeated run gives the same table.
+    in a folder of this commit and then replace their partitions; a repeated run gives the same table.
     """
     finish_commit(spark, name)
     day = REFRESH_TABLE.partition
@@ -134,14 +180,18 @@ def commit_refresh(spark: SparkSession, name: str, source: DataFrame) -> None:
     finished = batch.filter(merge.finished(F.col("status"))).select("request_id")
     updated_days = stored.join(finished, "request_id", "left_semi").select(day)
     inserted = batch.join(stored, "request_id", "left_anti").select(target.columns)
-    changed = updated_days.union(inserted.select(day))
+    changed = updated_days.union(inserted.select(day)).distinct()
     listed = listed_days(changed, day)
     if listed == []:
         return
-    touched = target.filter(on_days(day, listed)) if listed else target.join(changed.distinct(), day, "left_semi")
+    touched = target.filter(on_days(day, listed)) if listed else only_days(target, changed, day)
     rows = merge.apply_updates(touched, marked).unionByName(inserted)
-    _spread(_checked(rows, REFRESH_TABLE), day).write.mode("overwrite").partitionBy(day).parquet(_staging(spark, name))
-    finish_commit(spark, name)
+    stage = f"{_staging(spark, name)}/{uuid.uuid4().hex}"
+    _spread(_checked(rows, REFRESH_TABLE), day).write.partitionBy(day).parquet(f"{stage}/{STAGED_ROWS}")
+    before = _counts_by_day(touched)
+    after = _counts_by_day(spark.read.schema(REFRESH_TABLE.schema).parquet(f"{stage}/{STAGED_ROWS}"))
+    write_text(spark, f"{stage}/{READY}", json.dumps({one: (before.get(one, 0), n) for one, n in after.items()}))
+    _apply_stage(spark, name, stage)
 
 
 def append_alerts(alerts: DataFrame, path: str) -> None:

@@ -32,7 +32,7 @@ def refresh_records(spark: SparkSession, path: str, multi_line: bool = False) ->
     ).select("workspace_id", "dataset_id", "source_file", "record.*")
 
 
-def newest_per_dataset(records: DataFrame, instant: Column, tie: Column, top: int = 60) -> DataFrame:
+def newest_per_dataset(records: DataFrame, instant: Column, tie: Column, top: int) -> DataFrame:
     """At most ``top`` newest records per dataset."""
     return first_per_key(records, ["dataset_id"], [instant.desc_nulls_last(), tie.asc()], top)
 
@@ -56,9 +56,9 @@ def dataset_listing(
 
 
 def workspace_listing(
-    spark: SparkSession, path: str, top: int | None = 100, multi_line: bool = False
+    spark: SparkSession, path: str, top: int | None = None, multi_line: bool = False
 ) -> DataFrame:
-    """Visible workspaces; ``top`` is the page size of the listing, None lists all."""
+    """Visible workspaces, or the first ``top`` of them by id."""
     listing = read_json(spark, path, schemas.WORKSPACE_LISTING, multi_line)
     found = listing.select(F.explode("value").alias("item")).select(
         F.col("item.id").alias("id"), F.col("item.name").alias("name")
