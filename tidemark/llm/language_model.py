@@ -23,9 +23,9 @@ from tidemark.llm.context_trees import Level, code_lengths, keys_of, levels, top
 from tidemark.llm.tables import stored
 
 ROWS = 512
-HELD = 400_000
-FREQUENT_WORDS = 100_000
-MOST_KEYS = 8_000_000
+HELD = 1_000_000
+FREQUENT_WORDS = 60_000
+MOST_KEYS = 3_000_000
 CACHED = 300_000
 
 
@@ -110,9 +110,9 @@ def _fit_top(dealt: DataFrame) -> dict[int, dict[int, Level]]:
             )
 
     parts = dealt.mapInArrow(run, "bit long, node long, zeros double, ones double, block double")
-    rows = parts.groupBy("bit", "node").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "block")]).collect()  # 256 contexts of 255 nodes at most
-    column = lambda name, kind: np.array([r[name] for r in rows], kind)
-    return top_levels(column("node", np.uint64), column("bit", np.int64), column("zeros", float), column("ones", float), column("block", float))
+    rows = parts.groupBy("bit", "node").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "block")]).toArrow()  # 256 contexts of 255 nodes at most
+    nodes, bits, zeros, ones, blocks = (rows[c].to_numpy() for c in ("node", "bit", "zeros", "ones", "block"))
+    return top_levels(nodes.view(np.uint64), bits, zeros, ones, blocks)
 
 
 def fit_contexts(keys: DataFrame) -> DataFrame:
@@ -129,7 +129,7 @@ def fit_contexts(keys: DataFrame) -> DataFrame:
 
 
 def _costs(frame: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    got = frame.toPandas()
+    got = frame.toArrow()
     keys = got["key"].to_numpy().view(np.uint64)
     order = np.argsort(keys)
     return keys[order], got["cost"].to_numpy()[order]
@@ -160,8 +160,8 @@ def score_texts(docs: DataFrame, training: Column, text: str = "text", doc_id: s
     train_tokens = (total or 0) + texts
     outcomes = train_tokens + distinct + (texts > 0) + 1
     ends = (texts + 0.5) / (texts + spaces + 1)
-    top = words.orderBy(F.col("n").desc(), "word").limit(frequent).collect()  # bounded by ``frequent``
-    table = {bytes(r["word"]): float(np.log10((r["n"] + 1) / outcomes)) for r in top}
+    top = words.orderBy(F.col("n").desc(), "word").limit(frequent).toArrow()  # bounded by ``frequent``
+    table = dict(zip(top["word"].to_pylist(), np.log10((top["n"].to_numpy() + 1) / outcomes).tolist(), strict=True))
     small = costs.count() <= most_keys
     shared = spark.sparkContext.broadcast((table, _costs(costs) if small else None))
     stops = float(np.log10(1 - ends)), float(np.log10(ends))
