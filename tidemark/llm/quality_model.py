@@ -129,8 +129,8 @@ def train(labelled: DataFrame, text: str = "text", label: str = "label", order:
 
     frame = labelled.select(F.col(text), F.col(label).cast("int"), F.col(order)).repartition(1).sortWithinPartitions(order, text)
     weights = np.zeros((1 << settings.bits) + 1)
-    for r in frame.mapInArrow(run, "bucket long, weight double").collect():  # one row a bucket at most
-        weights[r["bucket"]] = r["weight"]
+    used = frame.mapInArrow(run, "bucket long, weight double").toArrow()  # one row a bucket at most
+    weights[used["bucket"].to_numpy()] = used["weight"].to_numpy()
     return weights
 
 
