@@ -1,29 +1,31 @@
 """Byte-level BPE by stretches of text that the library encodes alike alone and in place.
 
 The pre-tokenizer always cuts before a space that a non-space follows, whatever surrounds it. So a text
-is cut into chunks there, and a worker encodes each distinct chunk once. A chunk it doesn't know is cut
-again where a cut is as certain (``SAFE``), since words recur more often than words with their
-punctuation. A part that is a single word of Latin letters needs merges only: tiktoken does these over
-the ranks of the same vocabulary file, the tokenizers library encodes everything else. Texts that hold a
-special string go to that library whole, because it cuts those strings out before anything else.
+is cut into chunks there. A chunk that is no word is cut again where a cut is as certain (before a mark
+that ends it, and by ``SAFE``), since words recur more often than words with their punctuation; workers
+keep the ids of words. A word of Latin letters needs merges only: tiktoken does these over the ranks of
+the same vocabulary file, the tokenizers library encodes everything else. Texts that hold a special string
+go to that library whole, because it cuts those strings out before anything else.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import string
 from array import array
 from functools import lru_cache
 
 import numpy as np
 
-CACHED_CHUNKS = 200_000
-CACHED_PARTS = 150_000
+CACHED_CHUNKS = 300_000
+CACHED_PARTS = 50_000
 CACHED_LENGTH = 64
 AMBIGUOUS = re.compile(r" (?:\s|$)")
 CUT = re.compile(r" (?=\S)")
 _LETTER = "[A-Za-zÀ-ÖØ-öø-ÿ]"
-ONE_WORD = re.compile(rf" ?{_LETTER}+\Z")
+LETTERS = frozenset(c for c in map(chr, range(0x100)) if re.match(_LETTER, c))
+WORD = re.compile(rf"{_LETTER}+\Z")
 # Between a Latin letter and an ASCII character that is none, after a lone line break before a Latin
 # letter, and between ASCII punctuation and a line break.
 SAFE = re.compile(rf"(?<={_LETTER})(?=[\x00-@\[-`{{-\x7f])|(?<=\S\n)(?={_LETTER})|(?<=[!-/:-@])(?=\n)")
@@ -75,6 +77,7 @@ class ChunkEncoder:
         self.width = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = "H" if self.width.itemsize == 2 else "I"
         self.chunk_ids, self.part_ids = Recent(CACHED_CHUNKS), Recent(CACHED_PARTS)
+        self.mark_ids = dict(zip(string.punctuation, self.whole(list(string.punctuation)), strict=True))
 
     def chunks(self, text: str) -> list[str] | None:
         """Chunks in order, all but the first without the space before them; None: not to be cut."""
@@ -86,45 +89,54 @@ class ChunkEncoder:
         """Ids as the library gives them, as little-endian integers of ``width``."""
         return [np.array(e.ids, self.width).tobytes() for e in self.library.encode_batch(texts, add_special_tokens=False)]
 
+    def _kept(self, cache: Recent, key: str, ids: bytes) -> bytes:
+        if len(key) <= CACHED_LENGTH:
+            cache.put(key, ids)
+        return ids
+
     def _part(self, part: str) -> bytes:
-        """Ids of a part, which the older generation or nobody knows."""
-        ids = self.part_ids.old.get(part)
+        """Ids of a part; one that begins with a space and is a word is a chunk of its own."""
+        if part[0] == " " and WORD.match(part, 1):
+            return self.chunk_ids.new.get(part[1:]) or self.chunk(part[1:])
+        ids = self.part_ids.find(part)
         if ids is None:
-            if ONE_WORD.match(part):
-                ids = array(self.code, self.merges.encode_ordinary(part)).tobytes()
-            else:
-                ids = self.whole([part])[0]
-        if len(part) <= CACHED_LENGTH:
-            self.part_ids.put(part, ids)
+            ids = self._merged(part) if WORD.match(part) else self.whole([part])[0]
+            self._kept(self.part_ids, part, ids)
         return ids
 
-    def lookup(self, chunks: set[str]) -> dict[str, bytes]:
-        """Ids of chunks with the space before each."""
-        found, split = {}, SAFE.split
-        for chunk in chunks:
-            ids = self.chunk_ids.find(chunk)
-            if ids is None:
-                known = self.part_ids.new.get
-                parts = [known(part) or self._part(part) for part in split(" " + chunk)]
-                ids = parts[0] if len(parts) == 1 else b"".join(parts)
-                if len(chunk) <= CACHED_LENGTH:
-                    self.chunk_ids.put(chunk, ids)
-            found[chunk] = ids
-        return found
+    def _merged(self, word: str) -> bytes:
+        return array(self.code, self.merges.encode_ordinary(word)).tobytes()
+
+    def chunk(self, chunk: str) -> bytes:
+        """Ids of a chunk with the space before it. Words are kept, and words with a mark after them if the word was known."""
+        mark = self.mark_ids.get(chunk[-1])
+        if mark is None:
+            if WORD.match(chunk):
+                ids = self.chunk_ids.find(chunk)
+                return self._kept(self.chunk_ids, chunk, self._merged(" " + chunk)) if ids is None else ids
+        elif chunk[-2:-1] in LETTERS:  # the cut before the mark is certain, whatever stands before the letter
+            stem = self.chunk_ids.new.get(chunk[:-1])
+            if stem is not None:
+                return self._kept(self.chunk_ids, chunk, stem + mark)
+            return self.chunk(chunk[:-1]) + mark
+        return b"".join(map(self._part, SAFE.split(" " + chunk)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text as little-endian integers of ``width``."""
         cut = [self.chunks(t) for t in texts]
-        got = [None if chunks is None else list(map(self.chunk_ids.new.get, chunks[1:])) for chunks in cut]
-        unknown = {c for chunks, ids in zip(cut, got, strict=True) if ids and None in ids for c, i in zip(chunks[1:], ids, strict=True) if i is None}
-        found = self.lookup(unknown)
-        firsts = iter(self.whole([t if chunks is None else chunks[0] for t, chunks in zip(texts, cut, strict=True)]))
+        heads = self.whole([t if chunks is None else chunks[0] for t, chunks in zip(texts, cut, strict=True)])
         out = []
-        for chunks, ids in zip(cut, got, strict=True):
-            head = next(firsts)
-            if ids and None in ids:
-                ids = [found[c] if i is None else i for c, i in zip(chunks[1:], ids, strict=True)]
-            out.append(head + b"".join(ids) if ids else head)
+        for head, chunks in zip(heads, cut, strict=True):
+            if chunks is None:
+                out.append(head)
+                continue
+            chunks[0] = ""
+            ids = list(map(self.chunk_ids.new.get, chunks))
+            ids[0] = head
+            if None in ids:
+                for at in [i for i, found in enumerate(ids) if found is None]:
+                    ids[at] = self.chunk(chunks[at])
+            out.append(b"".join(ids))
         return out
 
 

@@ -67,11 +67,11 @@ def count_tokens(
                 cut = [tool.chunks(t) for t in texts]
                 got = [[] if chunks is None else list(map(first_tier.get, chunks[1:])) for chunks in cut]
                 missed = [[c for c, n in zip(chunks[1:], own, strict=True) if n is None] if None in own else [] for chunks, own in zip(cut, got, strict=True)]
-                second_tier = tool.lookup({c for own in missed for c in own})
+                second_tier = tool.chunk_ids.new
                 heads = tool.whole([t if chunks is None else chunks[0] for t, chunks in zip(texts, cut, strict=True)])
                 counts = []
                 for head, own, rest in zip(heads, got, missed, strict=True):
-                    encoded = len(head) + sum(len(second_tier[c]) for c in rest)
+                    encoded = len(head) + sum(len(second_tier.get(c) or tool.chunk(c)) for c in rest)
                     counts.append(encoded // tool.width.itemsize + sum(filter(None, own)))
                 out = [batch.column(i) for i in range(len(keep))]
                 sizes = [len(t.encode()) for t in texts]
