@@ -1,9 +1,11 @@
+import csv
 import json
 from datetime import date, datetime, timedelta
 
 import pytest
 
 from tests.conftest import rows
+from tidemark import schemas
 from tidemark.operators import incremental, registry, transform
 from tidemark.plans import pipelines, settings
 from tidemark.sources import config, landing, tables as stored
@@ -163,6 +165,67 @@ def test_single_document_envelope_and_corrupt_document(spark, tmp_path):
     (tmp_path / "bad").mkdir()
     (tmp_path / "bad" / "a.json").write_text("broken{\n" + json.dumps(envelope("a", record("a1", 1))) + "\n")
     assert rows(landing.refresh_records(spark, str(tmp_path / "bad")), "requestId") == [("a1",)]
+    lost = landing.malformed_documents(spark, str(tmp_path / "bad"), schemas.REFRESH_ENVELOPE)
+    assert rows(lost, "reason", "content") == [("malformed document", "broken{")]
+
+
+def test_nothing_landed_vanishes(spark, tmp_path, datasets):
+    write(tmp_path / "land", "x.json", envelope("a", record("a1", 1), record("", 3), record("a2", 2)), envelope("b", record("b1", 1)))
+    with open(tmp_path / "land" / "x.json", "a") as file:
+        file.write('{"workspace_id": "ws", "dataset_id": "b", "value": [{"reque\n')
+    options = {"location": str(tmp_path / "t"), "alerts_path": str(tmp_path / "alerts"), "quarantine": str(tmp_path / "q"), "card_channel": True}
+    stats = pipelines.run_refresh(spark, str(tmp_path / "land"), datasets, "pipe_whole", RUN + timedelta(days=9), **options)
+    assert rows(stats, "datasets_processed", "datasets_skipped") == [(2, 0)]
+    held = rows(spark.read.parquet(str(tmp_path / "q")), "reason", "content")
+    assert [reason for reason, _ in held] == ["malformed document", "missing requestId"] and "reque" in held[0][1]
+    alert = spark.read.parquet(str(tmp_path / "alerts")).first()
+    assert (alert.log_level, alert.channel) == ("CRITICAL", "log+card") and json.loads(alert.card)["type"] == "message"
+
+
+def test_a_damaged_first_page_keeps_its_day_open(spark, tmp_path):
+    land = tmp_path / "pages"
+    write(land / "day=2024-06-08", "p.json", page(1, "d8a", more=False))
+    write(land / "day=2024-06-09", "p.json", page(2, "d9b", more=False))
+    (land / "day=2024-06-09" / "first.json").write_text('{"page_no": 1, "activityEve\n')
+
+    def run(**options):
+        counts = pipelines.run_usage(
+            spark, str(land), fetch_log(spark, {8: 200, 9: 200}), "pipe_damaged", RUN, date(2024, 6, 10),
+            pipelines.UsageSettings(lookback_days=2, **options), location=str(tmp_path / "t"), quarantine=str(tmp_path / "q"),
+        )
+        return [r[0] for r in rows(spark.table("pipe_damaged"), "event_id")], rows(counts)
+
+    loaded, counts = run()
+    assert loaded == ["d8a"] and counts == [(date(2024, 6, 8), 1, 1, 1)]
+    assert spark.read.parquet(str(tmp_path / "q")).first().reason == "malformed document"
+    (land / "day=2024-06-09" / "first.json").unlink()  # now the first page is missing altogether
+    assert run(first_page=1)[0] == ["d8a"]
+    write(land / "day=2024-06-09", "first.json", page(1, "d9a"))
+    assert run(first_page=1)[0] == ["d8a", "d9a", "d9b"]
+
+
+def test_csv_is_standard(spark, tmp_path):
+    path = str(tmp_path / "export")
+    names = ['say "hi", then', "two\nlines", "plain", 'end"']
+    raw = [{"Id": f"e{i}", "CreationTime": "2024-05-01T00:00:00Z" if i else None, "ReportName": n} for i, n in enumerate(names)]
+    events = transform.activity_rows(
+        spark.createDataFrame([(json.dumps(e), date(2024, 7, 3)) for e in raw], "raw string, fetch_day date"), RUN, keep=("fetch_day",)
+    )
+    for _ in range(2):
+        files.append_monthly_csv(events, path)
+    assert rows(stored.csv_history(spark, path), "event_id", "report_name") == [(f"e{i}", n) for i, n in enumerate(names)]
+    assert sum(r[1] for r in rows(files.file_summary(spark, path))) == 4
+    found = []
+    for file in (tmp_path / "export").rglob("*.csv"):
+        with file.open(newline="") as text:
+            found += [(r["event_id"], r["report_name"], file.parent.name[-7:]) for r in csv.DictReader(text)]
+    assert sorted(found) == [(f"e{i}", n, "2024_05" if i else "2024_07") for i, n in enumerate(names)]
+
+
+def test_settings_are_read_through_spark(spark, tmp_path):
+    names = {k: {"table_name": k[0]} for k in ("delta_table", "query_performance_table", "activity_events_table")}
+    (tmp_path / "s.json").write_text(json.dumps(names, indent=2))
+    assert settings.load(spark, f"file://{tmp_path}/s.json").refresh_table == "d"
 
 
 def test_monthly_csv(spark, tmp_path):

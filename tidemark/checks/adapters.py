@@ -141,7 +141,8 @@ def land_refresh(spark: SparkSession, sf_dir: str) -> str:
         .select(F.to_json(F.struct("workspace_id", "dataset_id", "value")).alias("line"))
     )
     path = scratch_path(spark, "refresh-envelopes")
-    envelopes.write.text(path)
+    cut_off = spark.range(1).select(F.lit('{"workspace_id":"ws-0","dataset_id":"ds-0","value":[{"requ').alias("line"))
+    envelopes.unionByName(cut_off).write.text(path)
     return path
 
 
@@ -190,9 +191,10 @@ def land_activity(spark: SparkSession, sf_dir: str) -> str:
         .otherwise(',"continuationToken":"t","continuationUri":"u"}'),
     )
     path = scratch_path(spark, "activity-pages")
+    landed = pages.join(last, "fetch_day").select(F.col("fetch_day").alias("day"), line.alias("line"))
+    cut_off = last.agg(F.min("fetch_day").alias("day")).select("day", F.lit('{"page_no":1,"activ').alias("line"))
     (
-        pages.join(last, "fetch_day")
-        .select(F.col("fetch_day").alias("day"), line.alias("line"))
+        landed.unionByName(cut_off)
         .write.partitionBy("day")
         .text(path)
     )

@@ -455,7 +455,7 @@ ORACLES = {
     "sink_create_table": ACTIVITY_ROWS,
     "sink_append": f"""WITH {P} SELECT * FROM p""",
     "sink_merge_commit": MERGED_REFRESH,
-    "sink_csv_monthly": f"""WITH {A} SELECT event_id, activity, user_id, report_name,
+    "sink_csv_monthly": f"""WITH {A} SELECT event_id, activity, user_id, 'a "' || report_name || '",' || chr(10) || 'b' AS report_name,
         strftime(creation_date, '%Y-%m-%d') AS creation_date,
         'activity_events_' || strftime(creation_date, '%Y_%m') AS file_key FROM a""",
     "sink_json_report": f"""WITH {BURST}, sc AS ({COUNTS.format('t')})

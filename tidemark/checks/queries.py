@@ -44,6 +44,12 @@ def map_text(entries: Column) -> Column:
     return F.array_join(F.array_sort(pairs), ";")
 
 
+def quoted_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Events whose report names hold quotes, commas and line breaks."""
+    name = F.concat(F.lit('a "'), F.col("report_name"), F.lit('",\nb'))
+    return a.activity_events(spark, sf).withColumn("report_name", name)
+
+
 def scratch_table(spark: SparkSession, spec: tables.TableSpec) -> str:
     """A new, empty table under the shared folder."""
     name = f"tidemark_{uuid.uuid4().hex}"
@@ -118,7 +124,7 @@ def src_table_scan(spark, sf):
 @register
 def src_csv_history(spark, sf):
     path = scratch_path(spark, "csv")
-    files.append_monthly_csv(a.activity_events(spark, sf), path)
+    files.append_monthly_csv(quoted_events(spark, sf), path)
     return stored.csv_known_ids(spark, path)
 
 
@@ -414,7 +420,7 @@ def agg_probe_summary(spark, sf):
 @register
 def agg_file_summary(spark, sf):
     path = scratch_path(spark, "csv")
-    files.append_monthly_csv(a.activity_events(spark, sf), path)
+    files.append_monthly_csv(quoted_events(spark, sf), path)
     key = F.regexp_extract("file_path", "activity_events_[0-9]{4}_[0-9]{2}", 0)
     return files.file_summary(spark, path).groupBy(key.alias("file_key")).agg(
         F.sum("n_rows").alias("n_rows"), (F.min("size_kb") > 0).alias("has_size")
@@ -601,8 +607,8 @@ def sink_merge_commit(spark, sf):
 def sink_csv_monthly(spark, sf):
     path = scratch_path(spark, "csv")
     for _ in range(2):
-        files.append_monthly_csv(a.activity_events(spark, sf), path)
-    text = spark.read.option("header", True).csv(path)
+        files.append_monthly_csv(quoted_events(spark, sf), path)
+    text = spark.read.options(**stored.CSV_READ).csv(path)
     return text.select("event_id", "activity", "user_id", "report_name", "creation_date", files.FILE_KEY)
 
 

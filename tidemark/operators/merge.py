@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.operators.ranking import first_per_key, remaining_order
+from tidemark.session import sized_side
 
 RUNNING = "Unknown"
 
@@ -61,10 +62,14 @@ def _same_request() -> Column:
 def merge_refresh(target: DataFrame, source: DataFrame) -> DataFrame:
     """Update stored requests that have finished since, insert unseen ones.
 
-    Matched rows take the update columns as they are, nulls included, and keep everything else.
+    Matched rows take the update columns as they are, nulls included, and keep everything else. A
+    batch proven small is broadcast, so the stored rows are not moved; a large one is joined outright.
     """
-    new = one_per_request(source).alias("new")
-    joined = target.alias("old").join(new, _same_request(), "full_outer")
+    batch = sized_side(one_per_request(source))
+    if batch.small:
+        inserted = unseen(target, batch.frame, "request_id").select(target.columns)
+        return apply_updates(target, batch.frame).unionByName(inserted)
+    joined = target.alias("old").join(batch.frame.alias("new"), _same_request(), "full_outer")
     return joined.select(_merged(target.columns))
 
 
@@ -91,8 +96,8 @@ def unseen(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
 
 
 def new_events(target: DataFrame, source: DataFrame) -> DataFrame:
-    """Events to insert: one per id, stored ids left out."""
-    return unseen(target, one_per_event(source), "event_id").select(target.columns)
+    """Events to insert: one per id, stored ids left out. The source is reduced once."""
+    return unseen(target, sized_side(one_per_event(source)).frame, "event_id").select(target.columns)
 
 
 def merge_events(target: DataFrame, source: DataFrame) -> DataFrame:

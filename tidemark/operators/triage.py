@@ -49,15 +49,26 @@ def before_throttling(log: DataFrame, stop_on_denied: bool = False) -> DataFrame
 
 
 def loadable_days(
-    days: DataFrame, log: DataFrame, cut_off: DataFrame, stop_on_denied: bool = False
+    days: DataFrame,
+    log: DataFrame,
+    cut_off: DataFrame,
+    stop_on_denied: bool = False,
+    landed: DataFrame | None = None,
 ) -> DataFrame:
     """The leading days that were fetched in full; the first other day ends the list.
 
-    A day is open if it is missing from the log, was throttled or failed, or is in ``cut_off``.
+    A day is open if it is missing from the log, was throttled or failed, is in ``cut_off``, or has
+    fewer pages in ``landed`` (a row a page, with ``day``) than responses with content in the log.
     Loading past an open day would move the high-water mark over a gap.
     """
     stops = [THROTTLED, FAILED, DENIED_EMPTY] if stop_on_denied else [THROTTLED, FAILED]
-    fetched = with_outcome(log).groupBy("day").agg(F.max(F.col("outcome").isin(stops)).alias("stopped"))
+    fetched = with_outcome(log).groupBy("day").agg(
+        F.max(F.col("outcome").isin(stops)).alias("stopped"), F.count_if(F.col("outcome") == OK).alias("n_ok")
+    )
+    if landed is not None:
+        pages = landed.groupBy("day").agg(F.count(F.lit(1)).alias("n_pages"))
+        lost = F.col("n_ok") > F.coalesce("n_pages", F.lit(0))
+        fetched = fetched.join(pages, "day", "left").withColumn("stopped", F.col("stopped") | lost).drop("n_pages")
     state = days.join(fetched, "day", "left").join(
         cut_off.select("day").distinct().withColumn("cut_off", F.lit(True)), "day", "left"
     )

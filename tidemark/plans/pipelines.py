@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark import schemas
 from tidemark.functions.instants import parse_instant
 from tidemark.operators import incremental, merge, registry, transform, triage
-from tidemark.plans.alerts import AlertSettings, all_alerts
+from tidemark.plans.alerts import AlertSettings, all_alerts, routed, with_cards
 from tidemark.session import materialize, small_side
 from tidemark.sinks import files, tables
 from tidemark.sources import landing
@@ -27,6 +27,7 @@ class UsageSettings:
     tracked_activities: tuple[str, ...] = ()
     incremental: bool = True
     stop_on_denied: bool = False
+    first_page: int | None = None
 
 
 def new_refresh_rows(
@@ -76,18 +77,33 @@ def run_refresh(
     location: str | None = None,
     top: int | None = None,
     ingested_after_start: bool = False,
-) -> None:
-    """Load landed refresh envelopes and raise alerts.
+    card_channel: bool = False,
+    quarantine: str | None = None,
+) -> DataFrame:
+    """Load landed refresh envelopes and raise alerts; returns the row of ``triage.run_stats``.
+
+    Datasets with a malformed document count as failed where the document still names them.
+    Documents that do not fit and records without an id are listed in the folder ``quarantine``.
+    Stored alerts carry log level, channel and card.
 
     Alerts are checked on every run, so staleness shows even when nothing arrives.
     ``ingested_after_start`` prunes what they read, see ``reports.started_since``.
     """
     tables.create_table(spark, table, tables.REFRESH_TABLE, location)
     rows = new_refresh_rows(spark, landed, datasets, table, run_at, incremental_mode, top)
+    rows = materialize(rows)
+    known = merge.known_ids(spark.table(table), rows.select("request_id"), "request_id")
+    new = materialize(rows.select("dataset_id", "request_id").join(known, "request_id", "left_anti").select("dataset_id"))
     tables.commit_refresh(spark, table, rows)
+    if quarantine is not None:
+        files.append_quarantine(landing.malformed_documents(spark, landed, schemas.REFRESH_ENVELOPE), quarantine, run_at)
+        nameless = landing.records_without_id(landing.refresh_records(spark, landed), "requestId")
+        files.append_quarantine(nameless, quarantine, run_at)
     if alerts_path is not None:
-        alerts = all_alerts(spark.table(table), run_at.date(), run_at, alert_settings, ingested_after_start)
-        tables.append_alerts(alerts, alerts_path)
+        found = all_alerts(spark.table(table), run_at.date(), run_at, alert_settings, ingested_after_start)
+        tables.append_alerts(with_cards(routed(found, card_channel)), alerts_path)
+    failed = landing.read_json(spark, landed, schemas.REFRESH_ENVELOPE).filter(F.col(schemas.CORRUPT).isNotNull())
+    return triage.run_stats(datasets, new, failed.select("dataset_id", schemas.CORRUPT))
 
 
 def run_usage(
@@ -100,8 +116,11 @@ def run_usage(
     settings: UsageSettings = UsageSettings(),
     completed: DataFrame | None = None,
     location: str | None = None,
-) -> None:
-    """Load the landed activity pages of the due days.
+    quarantine: str | None = None,
+) -> DataFrame:
+    """Load the landed activity pages of the due days; returns ``triage.day_counts`` of what was loaded.
+
+    Malformed pages keep their day open and, if ``quarantine`` names a folder, are listed there.
 
     ``fetch_log`` holds this run's responses (day, kind, status, error). Loading ends before the
     first day that was throttled, failed, not fetched or cut off between pages; that day is due
@@ -122,10 +141,16 @@ def run_usage(
     )
     pages = incremental.only_days(landing.activity_pages(spark, landed), window)
     index = landing.page_index(pages)
-    due = triage.loadable_days(window, fetch_log, landing.unfinished_days(index), settings.stop_on_denied)
+    cut_off = landing.unfinished_days(index, settings.first_page)
+    due = triage.loadable_days(window, fetch_log, cut_off, settings.stop_on_denied, pages.select("day"))
     whole = landing.follow_continuation(incremental.only_days(pages, due), index)
-    rows = transform.activity_rows(landing.page_events(whole), run_at, list(settings.tracked_activities))
-    tables.commit_events(spark, table, rows)
+    raw, tracked = landing.page_events(whole), list(settings.tracked_activities)
+    known = spark.table(table).select("event_id")
+    counts = materialize(triage.day_counts(raw, known, tracked))
+    tables.commit_events(spark, table, transform.activity_rows(raw, run_at, tracked))
+    if quarantine is not None:
+        files.append_quarantine(landing.malformed_documents(spark, landed, schemas.ACTIVITY_PAGE), quarantine, run_at)
+    return counts
 
 
 def export_refresh(spark: SparkSession, landed: str, listing: DataFrame, path: str, run_at: datetime) -> None:
@@ -144,7 +169,8 @@ def export_refresh(spark: SparkSession, landed: str, listing: DataFrame, path: s
 def export_activity(spark: SparkSession, landed: str, days: DataFrame, path: str, run_at: datetime) -> None:
     """Append the events of the given days that were not exported before to the monthly files."""
     pages = landing.follow_continuation(incremental.only_days(landing.activity_pages(spark, landed), days))
-    files.append_monthly_csv(transform.activity_rows(landing.page_events(pages), run_at), path)
+    rows = transform.activity_rows(landing.page_events(pages), run_at, keep=("fetch_day",))
+    files.append_monthly_csv(rows, path)
 
 
 def run_probes(

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass, field
-from pathlib import Path
+
+from pyspark.sql import SparkSession
 
 from tidemark.plans.alerts import AlertSettings
 from tidemark.plans.pipelines import UsageSettings
+from tidemark.session import read_text
 
 
 @dataclass(frozen=True)
@@ -18,7 +20,7 @@ class PipelineSettings:
     probe_table: str
     activity_table: str
     incremental: bool = True
-    alerts_enabled: bool = True
+    alerts_enabled: bool = False
     card_channel: bool = False
     alerts: AlertSettings = field(default_factory=AlertSettings)
     usage: UsageSettings = field(default_factory=UsageSettings)
@@ -38,7 +40,7 @@ def from_document(document: dict) -> PipelineSettings:
         probe_table=_table_name(document["query_performance_table"]),
         activity_table=_table_name(document["activity_events_table"]),
         incremental=document.get("extraction", {}).get("incremental", True),
-        alerts_enabled=alerting.get("enabled", True),
+        alerts_enabled=alerting.get("enabled", False),
         card_channel=bool(alerting.get("teams_webhook_url")),
         alerts=AlertSettings(
             check_failures=alerting.get("check_failures", base.check_failures),
@@ -57,6 +59,6 @@ def from_document(document: dict) -> PipelineSettings:
     )
 
 
-def load(path: str) -> PipelineSettings:
-    """Settings of a JSON file."""
-    return from_document(json.loads(Path(path).read_text(encoding="utf-8")))
+def load(spark: SparkSession, path: str) -> PipelineSettings:
+    """Settings of a JSON file on any file system Spark reads."""
+    return from_document(json.loads(read_text(spark, path)))

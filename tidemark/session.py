@@ -92,10 +92,10 @@ class Side:
 def measured(kept: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> Side:
     """Measure a materialized frame and mark it for broadcast only if it is proven small.
 
-    A frame over either bound stays unhinted, so joins with it are shuffled and adaptive execution
+    Reading ends one row past the bound, so ``rows`` is exact up to it. A frame over either bound stays unhinted, so joins with it are shuffled and adaptive execution
     splits their hot keys.
     """
-    rows, size = kept.agg(F.count(F.lit(1)), F.sum(_row_bytes(kept))).first()
+    rows, size = kept.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(_row_bytes(kept))).first()
     small = rows <= max_rows and (size or 0) <= max_bytes
     return Side(F.broadcast(kept) if small else kept, rows, small)
 

@@ -9,14 +9,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.functions.instants import month_bucket
 from tidemark.operators import merge
 from tidemark.session import materialize, measured, path_exists
-from tidemark.sources.tables import csv_history
+from tidemark.sources.tables import CSV_WRITE, csv_history
 
 FILE_KEY = "file_key"
 
 
 def write_refresh_csv(rows: DataFrame, path: str) -> None:
     """Replace the refresh export."""
-    rows.write.mode("overwrite").option("header", True).csv(path)
+    rows.write.mode("overwrite").options(**CSV_WRITE).csv(path)
 
 
 def new_for_export(events: DataFrame, known_ids: DataFrame) -> DataFrame:
@@ -27,21 +27,25 @@ def new_for_export(events: DataFrame, known_ids: DataFrame) -> DataFrame:
 def append_monthly_csv(events: DataFrame, path: str) -> None:
     """Append new events to the folder of their month, ``file_key=activity_events_YYYY_MM``.
 
-    The ids of the batch are looked up in the history, whose ids are only streamed past them.
+    An event without a usable time goes to the month of ``fetch_day``, if the events have that
+    column, which is not written. The ids of the batch are looked up in the history, whose ids are
+    only streamed past them.
     """
     spark = events.sparkSession
+    columns = [name for name in events.columns if name != "fetch_day"]
     new = merge.one_per_event(events)
     if path_exists(spark, path):
         batch = materialize(new)
         ids = measured(batch).frame.select("event_id")
-        known = merge.known_ids(csv_history(spark, path, events.columns), ids, "event_id")
-        new = batch.join(known, "event_id", "left_anti").select(events.columns)
-    bucketed = new.withColumn(FILE_KEY, month_bucket(F.col("creation_date")))
+        known = merge.known_ids(csv_history(spark, path, columns), ids, "event_id")
+        new = batch.join(known, "event_id", "left_anti")
+    day = F.coalesce("creation_date", "fetch_day") if "fetch_day" in events.columns else F.col("creation_date")
+    bucketed = new.withColumn(FILE_KEY, month_bucket(day)).select(*columns, FILE_KEY)
     (
         bucketed.hint("rebalance", F.col(FILE_KEY))
         .write.mode("append")
         .partitionBy(FILE_KEY)
-        .option("header", True)
+        .options(**CSV_WRITE)
         .csv(path)
     )
 
@@ -57,6 +61,11 @@ def file_summary(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def append_quarantine(found: DataFrame, path: str, run_at: datetime) -> None:
+    """Append landed input that could not be loaded: file, reason, content and the time of the run."""
+    found.withColumn("run_at", F.lit(run_at).cast("timestamp")).write.mode("append").parquet(path)
+
+
 def write_json_report(stats: DataFrame, path: str, generated_at: datetime, settings: dict[str, str]) -> None:
     """Write endpoint statistics with the settings of their run, one document per endpoint."""
     pairs = [F.lit(text) for item in settings.items() for text in item]

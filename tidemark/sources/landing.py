@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidemark import schemas
 from tidemark.functions.payloads import payload_row_count
 from tidemark.operators.ranking import first_per_key
+from tidemark.operators.transform import missing_id
 from tidemark.session import materialize, small_side
 
 
@@ -32,6 +33,23 @@ def refresh_records(spark: SparkSession, path: str, multi_line: bool = False) ->
     ).select("workspace_id", "dataset_id", "source_file", "record.*")
 
 
+def malformed_documents(spark: SparkSession, path: str, schema: str, multi_line: bool = False) -> DataFrame:
+    """Documents that do not fit their schema: file, ``reason`` and the text as it was landed."""
+    landed = spark.read.option("wholetext", multi_line).text(path)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}
+    corrupt = F.from_json("value", schema, options)[schemas.CORRUPT]
+    found = landed.select(F.col("_metadata.file_path").alias("source_file"), corrupt.alias("content"))
+    return found.filter(F.col("content").isNotNull()).select("source_file", F.lit("malformed document").alias("reason"), "content")
+
+
+def records_without_id(records: DataFrame, id_column: str) -> DataFrame:
+    """Landed records whose id is missing, in the columns of ``malformed_documents``."""
+    kept = [name for name in records.columns if name != "source_file"]
+    return missing_id(records, id_column).select(
+        "source_file", F.lit(f"missing {id_column}").alias("reason"), F.to_json(F.struct(*kept)).alias("content")
+    )
+
+
 def newest_per_dataset(records: DataFrame, instant: Column, tie: Column, top: int) -> DataFrame:
     """At most ``top`` newest records per dataset."""
     return first_per_key(records, ["dataset_id"], [instant.desc_nulls_last(), tie.asc()], top)
@@ -77,12 +95,14 @@ def _continues() -> Column:
 
 
 def page_index(pages: DataFrame) -> DataFrame:
-    """One row per day and page number, with whether the chain goes on after it.
+    """One row per day and page number, with whether the chain goes on after it and whether a page is damaged.
 
     Computed once: it is far smaller than the pages, whose text is then read only for the events.
-    A page fetched twice goes on if either copy does.
+    A page fetched twice goes on if either copy does. A malformed page has no number.
     """
-    return materialize(pages.groupBy("day", "page_no").agg(F.max(_continues()).alias("goes_on")))
+    damaged = F.col(schemas.CORRUPT).isNotNull() if schemas.CORRUPT in pages.columns else F.lit(False)
+    found = pages.groupBy("day", "page_no").agg(F.max(_continues()).alias("goes_on"), F.max(damaged).alias("damaged"))
+    return materialize(found)
 
 
 def _chains(index: DataFrame) -> DataFrame:
@@ -105,16 +125,24 @@ def follow_continuation(pages: DataFrame, index: DataFrame | None = None) -> Dat
     )
 
 
-def unfinished_days(index: DataFrame) -> DataFrame:
-    """Days of a page index whose chain has no last page or a gap: the fetch was cut off."""
+def unfinished_days(index: DataFrame, first_page: int | None = None) -> DataFrame:
+    """Days of a page index that are not whole.
+
+    Their chain has no last page or a gap, does not begin at ``first_page`` or before it (if given),
+    or a page of the day is malformed or has no number, so that nobody knows what it held.
+    """
+    within = F.col("last_page").isNull() | (F.col("page_no") <= F.col("last_page"))
     spans = (
         index.join(small_side(_chains(index)), "day")
-        .filter(F.col("last_page").isNull() | (F.col("page_no") <= F.col("last_page")))
         .groupBy("day", "first_page", "last_page")
-        .agg(F.count(F.lit(1)).alias("n_pages"))
+        .agg(
+            F.count_if(within & F.col("page_no").isNotNull()).alias("n_pages"),
+            F.max(F.col("damaged") | F.col("page_no").isNull()).alias("damaged"),
+        )
     )
     whole = F.col("n_pages") == F.col("last_page") - F.col("first_page") + 1
-    return spans.filter(F.col("last_page").isNull() | ~whole).select("day")
+    late = F.lit(False) if first_page is None else F.col("first_page") > first_page
+    return spans.filter(F.col("damaged") | F.col("last_page").isNull() | ~whole | late).select("day")
 
 
 def page_events(pages: DataFrame) -> DataFrame:

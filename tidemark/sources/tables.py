@@ -46,13 +46,18 @@ def split_on_required(rows: DataFrame, schema: StructType) -> tuple[DataFrame, D
     return rows.filter(required), rows.filter(~required)
 
 
+# One dialect for writing and reading: quotes are doubled, and values may hold line breaks.
+CSV_WRITE = {"header": "true", "quote": '"', "escape": '"'}
+CSV_READ = {**CSV_WRITE, "multiLine": "true"}
+
+
 def csv_history(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """All rows of an earlier export as text; a file with other columns is an error.
 
     With ``columns`` given the header of a file need not be looked up first, and an export without
     rows reads as empty.
     """
-    reader = spark.read.option("header", True).option("enforceSchema", False)
+    reader = spark.read.options(**CSV_READ).option("enforceSchema", False)
     if columns is not None:
         reader = reader.schema(StructType([StructField(name, StringType()) for name in columns]))
     return reader.csv(path)
