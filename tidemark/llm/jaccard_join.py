@@ -35,6 +35,7 @@ COUNT = "<u4"
 LEAF, FANOUT = 16, 8
 BLOCK = 1024
 MINIMA = 4096  # pairs whose coordinate minima are held at once
+MOST_MARKS = 50_000_000  # of members and keys of one block
 SEEN = 500_000
 SEEDS = 4
 ROWS = 512
@@ -299,8 +300,27 @@ class CountTree:
         return child[real], partner[real]
 
 
-def _meeting_pairs(nodes: np.ndarray, parts: np.ndarray, sizes: np.ndarray, points: np.ndarray, side: np.ndarray, join: Join) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a block whose bound reaches a link and whose components differ; side 0 meets side 1, or itself where there is no side 1."""
+def _met_before(key: int, keys: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether two members of the meeting ``key`` also meet under a smaller key (``keys`` has those of each member)."""
+    lower = [k[k < key] for k in keys]
+    columns, at = np.unique(np.concatenate(lower), return_inverse=True)
+    if not len(columns) or len(columns) * len(keys) > MOST_MARKS:
+        return np.zeros(len(a), bool)  # a pair may then come out more than once
+    marks = np.zeros((len(keys), len(columns)), bool)
+    marks[np.repeat(np.arange(len(keys)), [len(k) for k in lower]), at] = True
+    packed = np.packbits(marks, axis=1)
+    out = np.zeros(len(a), bool)
+    for start in range(0, len(a), MINIMA):
+        part = slice(start, start + MINIMA)
+        out[part] = (packed[a[part]] & packed[b[part]]).any(axis=1)
+    return out
+
+
+def _meeting_pairs(key: int, nodes: np.ndarray, parts: np.ndarray, sizes: np.ndarray, points: np.ndarray, side: np.ndarray, keys: np.ndarray, join: Join) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a block whose bound reaches a link, whose components differ and that meet here first.
+
+    Side 0 meets side 1, or itself where there is no side 1.
+    """
     left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
     itself = not len(right)
     first = CountTree(points[left], sizes[left])
@@ -309,6 +329,8 @@ def _meeting_pairs(nodes: np.ndarray, parts: np.ndarray, sizes: np.ndarray, poin
     keep = parts[a] != parts[b]
     if itself:
         keep &= nodes[a] < nodes[b]
+    a, b = a[keep], b[keep]
+    keep = ~_met_before(key, keys, a, b)
     return nodes[a[keep]], nodes[b[keep]]
 
 
@@ -321,7 +343,7 @@ def _block_pairs(join: Join):
         def pairs(columns: list[np.ndarray]) -> pa.RecordBatch:
             block = columns[0]
             cuts = [0, *(np.flatnonzero((block[1:] != block[:-1]).any(axis=1)) + 1), len(block)]
-            found = [_meeting_pairs(*(c[i:j] for c in columns[1:]), join) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+            found = [_meeting_pairs(block[i, 0], *(c[i:j] for c in columns[1:]), join) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
             return pa.record_batch([pa.array(np.concatenate(x)) for x in zip(*found, strict=True)], names=["a", "b"])
 
         for whole in batches:
@@ -329,7 +351,9 @@ def _block_pairs(join: Join):
                 batch = whole.slice(at, 4 * BLOCK)
                 block = np.stack([batch.column(i).to_numpy() for i in range(3)], axis=1)
                 points = np.frombuffer(b"".join(batch.column(7).to_pylist()), COUNT).reshape(-1, AXES).astype(np.int32)
-                columns = [block, *(batch.column(i).to_numpy() for i in (4, 5, 6)), points, batch.column(3).to_numpy()]
+                keys = np.empty(batch.num_rows, object)
+                keys[:] = [np.asarray(k, np.int64) for k in batch.column(8).to_pylist()]
+                columns = [block, *(batch.column(i).to_numpy() for i in (4, 5, 6)), points, batch.column(3).to_numpy(), keys]
                 if waiting is not None:
                     columns = [np.concatenate(x) for x in zip(waiting, columns, strict=True)]
                 last = columns[0][-1]
@@ -351,12 +375,14 @@ def _open_pairs(meetings: DataFrame, found: DataFrame, points: DataFrame, join:
     )
     # Many keys hold the same members; one of them is enough.
     open_keys = spans.where("low <> high and n > 2").groupBy("n", "who").agg(F.min("key").alias("key"))
-    members = stored(named.join(open_keys.select("key", "n"), "key"), "jaccard-open").join(points.select("node", "size", "counts"), "node")
+    members = stored(named.join(open_keys.select("key", "n"), "key"), "jaccard-open")
+    keys = members.groupBy("node").agg(F.sort_array(F.collect_list("key")).alias("keys"))  # as many as a set has groups
+    members = members.join(points.select("node", "size", "counts").join(keys, "node"), "node")
     blocks = F.ceil(F.col("n") / block).cast("long")
     own = F.pmod(F.xxhash64("node"), blocks)
     # A member goes to the meeting of its block with itself and with every other block of a large meeting.
     others = F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda x: F.struct(F.least(x, own).alias("i"), F.greatest(x, own).alias("j"), (x < own).cast("int").alias("side")))
-    dealt = members.withColumn("blocks", F.explode(others)).select("key", "blocks.i", "blocks.j", "blocks.side", "node", "component", "size", "counts")
+    dealt = members.withColumn("blocks", F.explode(others)).select("key", "blocks.i", "blocks.j", "blocks.side", "node", "component", "size", "counts", "keys")
     parts = int(meetings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sorted_blocks = dealt.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j")
     pairs = sorted_blocks.mapInArrow(_block_pairs(join), "a long, b long")
