@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 STEP = np.uint64(0x9E3779B97F4A7C15)
 BASE = np.uint64(0xD1342543DE82EF95)
 BASE_INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))

@@ -21,9 +21,9 @@ import numpy as np
 
 SPACE = "▁"
 CUT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-CACHED_WORDS = 250_000
+CACHED_WORDS = 200_000
 CACHED_LENGTH = 64
-CACHED_PAIRS = 400_000
+CACHED_PAIRS = 250_000
 NEVER = float("inf")
 
 
