@@ -3,6 +3,7 @@
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
 from tests.conftest import plan_text, rows
@@ -87,6 +88,20 @@ def test_start_bound_can_prune_ingestion_days(refresh_table, report):
     assert rows(pruned) == rows(report(refresh_table, today, 3))
 
 
+def test_overlap_can_prune_ingestion_days(refresh_table):
+    today = date(2024, 1, 20)
+    pruned = reports.overlapping_refreshes(refresh_table, today, 5, ingested_after_start=True, longest_days=2)
+    assert "ingestion_date" in scan_part(plan_text(pruned), "PartitionFilters: [")
+    assert rows(pruned) == rows(reports.overlapping_refreshes(refresh_table, today, 5))
+
+
+def test_merges_leave_the_stored_rows_in_place(spark, refresh_table):
+    batch = refresh_table.limit(20).withColumn("status", F.lit("Completed"))
+    tree = plan_text(merge.merge_refresh(refresh_table, batch)).split("\n\n", 1)[0]
+    assert "FullOuter" not in tree and "Window" not in tree
+    assert "BroadcastHashJoin LeftOuter" in tree and "BroadcastHashJoin LeftSemi" in tree
+
+
 def test_latest_status_neither_sorts_nor_shuffles_whole_rows(refresh_table):
     tree = plan_text(reports.latest_status(refresh_table)).split("\n\n", 1)[0]
     below_output_order = tree.split("Exchange", 1)[1]

@@ -54,6 +54,14 @@ def test_overlap_equals_theta_join(spark, data, finest, since_second):
     assert found_pairs(frame, finest_seconds=finest, first_since=since) == brute_force(made, since)
 
 
+def test_far_off_ends_stay_one_row(spark):
+    years = 60 * 60 * 24 * 365
+    frame, made = intervals(spark, [(0, 7000 * years), (50, 60), (55, 70), (90 * years, 95 * years), (-5, 3000 * years)])
+    assert found_pairs(frame) == brute_force(made)
+    covered = plan_text(overlapping_pairs(frame, "id", "s", "e", []))
+    assert "CartesianProduct" not in covered and "NestedLoop" not in covered
+
+
 def test_overlap_edges(spark):
     frame, made = intervals(spark, [(0, 10), (10, 20), (0, 10), (5, 5), (30, 1), (0, 0), (-5, 40)])
     assert found_pairs(frame) == brute_force(made)

@@ -347,7 +347,7 @@ def join_watermark_lookup(spark, sf):
 
 @register
 def join_latest_semi(spark, sf):
-    latest = ranking.latest_semi_join(a.refresh_history(spark, sf), "dataset_id", "start_time")
+    latest = ranking.latest_rows(a.refresh_history(spark, sf), "dataset_id", "start_time")
     return latest.select("dataset_id", "request_id", "start_time", "status")
 
 

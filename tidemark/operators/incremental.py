@@ -46,33 +46,27 @@ def newer_than_watermark(
 def midpoint_watermarks(refresh: DataFrame, chunk_seconds: int = 3600) -> DataFrame:
     """Element ``n div 2`` of the sorted starts of each dataset (the upper median), exact.
 
-    Counts per time chunk locate the chunk that holds the element; only that chunk is sorted, so
-    a dataset with a large share of the rows is never gathered in one task.
+    Counts per time chunk locate the chunk that holds the element, counts per second inside it the
+    second, counts per instant inside that the element. Rows are only ever counted, so a dataset
+    with all its rows in one minute is neither sorted nor gathered in one task.
     """
     starts = refresh.filter(F.col("start_time").isNotNull()).select(
-        "dataset_id",
-        "start_time",
-        F.floor(F.unix_micros("start_time") / F.lit(chunk_seconds * 1_000_000)).alias("chunk"),
+        "dataset_id", F.unix_micros("start_time").alias("at")
     )
-    chunks = starts.groupBy("dataset_id", "chunk").agg(F.count(F.lit(1)).alias("n"))
     whole = Window.partitionBy("dataset_id")
-    before = F.coalesce(
-        F.sum("n").over(whole.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-    )
-    target = F.expr("total div 2")
-    located = (
-        chunks.withColumn("total", F.sum("n").over(whole))
-        .withColumn("before", before)
-        .filter((target >= F.col("before")) & (target < F.col("before") + F.col("n")))
-        .select("dataset_id", "chunk", (target - F.col("before")).alias("offset"))
-    )
-    position = F.row_number().over(Window.partitionBy("dataset_id", "chunk").orderBy("start_time")) - 1
-    return (
-        starts.join(small_side(located), ["dataset_id", "chunk"])
-        .withColumn("position", position)
-        .filter(F.col("position") == F.col("offset"))
-        .select("dataset_id", F.col("start_time").alias("watermark"))
-    )
+    within, offset = starts, F.expr("total div 2")
+    for width in (chunk_seconds * 1_000_000, 1_000_000, 1):
+        bins = within.groupBy(*[name for name in within.columns if name != "at"], F.floor(F.col("at") / width).alias("bin"))
+        counts = bins.agg(F.count(F.lit(1)).alias("n")).withColumn("total", F.sum("n").over(whole))
+        before = F.sum("n").over(whole.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1))
+        counts = counts.withColumn("before", F.coalesce(before, F.lit(0)))
+        holds = (offset >= F.col("before")) & (offset < F.col("before") + F.col("n"))
+        located = counts.filter(holds).select("dataset_id", "bin", (offset - F.col("before")).alias("offset"))
+        if width > 1:
+            place = F.floor(F.col("at") / width).alias("bin")
+            within = starts.select("*", place).join(small_side(located), ["dataset_id", "bin"]).drop("bin")
+            offset = F.col("offset")
+    return located.select("dataset_id", F.timestamp_micros("bin").alias("watermark"))
 
 
 def max_activity_date(events: DataFrame) -> DataFrame:

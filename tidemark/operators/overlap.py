@@ -2,8 +2,8 @@
 
 Of two overlapping intervals the later start lies inside the earlier interval. Intervals are
 therefore spread over time bins once, starts are looked up in their bin, and every pair is found
-exactly once. The bin width grows with the interval: each interval covers three bins at most, except
-on the coarsest level. Hot bins are split by adaptive skew-join handling, as both sides are shuffled
+exactly once. The bin width grows with the interval: each interval covers three bins at most.
+Intervals too long for the coarsest width share one bin that all later starts are looked up in. Hot bins are split by adaptive skew-join handling, as both sides are shuffled
 on an equality. Intervals that end before they start can only be the later one, which the lookup
 covers, so the result equals the theta join for any input.
 """
@@ -26,18 +26,16 @@ def _widths(finest_seconds: float) -> list[int]:
 
 
 def _level(length: Column, widths: list[int]) -> Column:
-    level = F.lit(len(widths) - 1)
-    for number in range(len(widths) - 2, -1, -1):
+    level = F.lit(len(widths))
+    for number in range(len(widths) - 1, -1, -1):
         level = F.when(length <= 2 * widths[number], F.lit(number)).otherwise(level)
     return level
 
 
-def _width(level: Column, widths: list[int]) -> Column:
-    return F.element_at(F.array(*[F.lit(width) for width in widths]), level + 1)
-
-
-def _bin(micros: Column, width: Column) -> Column:
-    return F.floor(micros / width)
+def _bin(micros: Column, level: Column, widths: list[int]) -> Column:
+    """Bin of an instant; the level past the last width has a single bin."""
+    width = F.element_at(F.array(*[F.lit(width) for width in widths]), F.least(level, F.lit(len(widths) - 1)) + 1)
+    return F.when(level < len(widths), F.floor(micros / width)).otherwise(F.lit(0))
 
 
 def overlapping_pairs(
@@ -71,13 +69,13 @@ def overlapping_pairs(
         later = later.filter(F.col("row.start") >= since)
 
     levelled = earlier.withColumn("level", _level(F.col("ends") - F.col("starts"), widths))
-    width = _width(F.col("level"), widths)
+    level = F.col("level")
     covers = levelled.select(
         F.col("row").alias("e"),
         F.col("starts").alias("e_starts"),
         F.col("ends").alias("e_ends"),
         "level",
-        F.explode(F.sequence(_bin(F.col("starts"), width), _bin(F.col("ends") - 1, width))).alias("bin"),
+        F.explode(F.sequence(_bin(F.col("starts"), level, widths), _bin(F.col("ends") - 1, level, widths))).alias("bin"),
     )
     levels_in_use = levelled.agg(F.collect_set("level")).scalar()
     points = later.select(
@@ -85,7 +83,7 @@ def overlapping_pairs(
         F.col("starts").alias("l_starts"),
         F.col("ends").alias("l_ends"),
         F.explode(levels_in_use).alias("level"),
-    ).withColumn("bin", _bin(F.col("l_starts"), _width(F.col("level"), widths)))
+    ).withColumn("bin", _bin(F.col("l_starts"), level, widths))
 
     starts_first = (F.col("e_starts") < F.col("l_starts")) | (
         (F.col("e_starts") == F.col("l_starts")) & (F.col("e.id") < F.col("l.id"))

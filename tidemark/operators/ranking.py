@@ -27,15 +27,6 @@ def latest_with_ties(rows: DataFrame, key: str, instant: str) -> DataFrame:
     )
 
 
-def latest_semi_join(rows: DataFrame, key: str, instant: str) -> DataFrame:
-    """Same rows as ``latest_with_ties`` through a semi-join on (key, instant).
-
-    Both columns are join keys, so the rows of one large key still spread over tasks.
-    """
-    newest = rows.groupBy(key).agg(F.max(instant).alias(instant))
-    return rows.join(newest, [key, instant], "left_semi")
-
-
 def latest_rows(rows: DataFrame, key: str, instant: str) -> DataFrame:
     """Rows at the newest instant of their key, ties kept, by the cheaper way; rows without a key are left out.
 

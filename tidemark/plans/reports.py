@@ -160,8 +160,21 @@ def week_over_week(refresh: DataFrame, as_of: date, ingested_after_start: bool =
     )
 
 
-def overlapping_refreshes(refresh: DataFrame, as_of: date, days: int = 1) -> DataFrame:
-    """Completed refreshes that ran at the same time; the date bound is on the first of a pair."""
+def overlapping_refreshes(
+    refresh: DataFrame,
+    as_of: date,
+    days: int = 1,
+    ingested_after_start: bool = False,
+    longest_days: int | None = None,
+) -> DataFrame:
+    """Completed refreshes that ran at the same time; the date bound is on the first of a pair.
+
+    Both runs of a pair end after the bound. If none lasts longer than ``longest_days``, none
+    started earlier than that before the bound, and with ``ingested_after_start`` (see
+    ``started_since``) older partitions are not read.
+    """
+    if ingested_after_start and longest_days is not None:
+        refresh = refresh.filter(F.col("ingestion_date") >= _days_before(as_of, days + longest_days + 1))
     pairs = overlapping_pairs(
         _completed(refresh),
         "request_id",

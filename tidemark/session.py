@@ -28,7 +28,9 @@ def build_session(app_name: str = "tidemark", master: str | None = None, **conf:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SESSION_CONF, **conf}.items():
+    # Checkpoints nobody can reach any more are deleted.
+    cleaning = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
+    for key, value in {**SESSION_CONF, **cleaning, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
