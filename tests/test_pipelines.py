@@ -173,8 +173,11 @@ def test_nothing_landed_vanishes(spark, tmp_path, datasets):
     write(tmp_path / "land", "x.json", envelope("a", record("a1", 1), record("", 3), record("a2", 2)), envelope("b", record("b1", 1)))
     with open(tmp_path / "land" / "x.json", "a") as file:
         file.write('{"workspace_id": "ws", "dataset_id": "b", "value": [{"reque\n')
-    options = {"location": str(tmp_path / "t"), "alerts_path": str(tmp_path / "alerts"), "quarantine": str(tmp_path / "q"), "card_channel": True}
-    stats = pipelines.run_refresh(spark, str(tmp_path / "land"), datasets, "pipe_whole", RUN + timedelta(days=9), **options)
+    document = {k: {"table_name": f"pipe_{k}"} for k in ("delta_table", "query_performance_table", "activity_events_table")}
+    (tmp_path / "settings.json").write_text(json.dumps({**document, "alerting": {"enabled": True, "teams_webhook_url": "https://x"}}, indent=1))
+    chosen = settings.load(spark, str(tmp_path / "settings.json"))
+    options = {"location": str(tmp_path / "t"), "quarantine": str(tmp_path / "q")}
+    stats = settings.run_refresh(spark, chosen, str(tmp_path / "land"), datasets, RUN + timedelta(days=9), str(tmp_path / "alerts"), **options)
     assert rows(stats, "datasets_processed", "datasets_skipped") == [(2, 0)]
     held = rows(spark.read.parquet(str(tmp_path / "q")), "reason", "content")
     assert [reason for reason, _ in held] == ["malformed document", "missing requestId"] and "reque" in held[0][1]

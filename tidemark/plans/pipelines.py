@@ -91,10 +91,7 @@ def run_refresh(
     """
     tables.create_table(spark, table, tables.REFRESH_TABLE, location)
     rows = new_refresh_rows(spark, landed, datasets, table, run_at, incremental_mode, top)
-    rows = materialize(rows)
-    known = merge.known_ids(spark.table(table), rows.select("request_id"), "request_id")
-    new = materialize(rows.select("dataset_id", "request_id").join(known, "request_id", "left_anti").select("dataset_id"))
-    tables.commit_refresh(spark, table, rows)
+    new = tables.commit_refresh(spark, table, rows)
     if quarantine is not None:
         files.append_quarantine(landing.malformed_documents(spark, landed, schemas.REFRESH_ENVELOPE), quarantine, run_at)
         nameless = landing.records_without_id(landing.refresh_records(spark, landed), "requestId")
@@ -145,9 +142,10 @@ def run_usage(
     due = triage.loadable_days(window, fetch_log, cut_off, settings.stop_on_denied, pages.select("day"))
     whole = landing.follow_continuation(incremental.only_days(pages, due), index)
     raw, tracked = landing.page_events(whole), list(settings.tracked_activities)
-    known = spark.table(table).select("event_id")
+    rows = materialize(transform.activity_rows(raw, run_at, tracked))
+    known = incremental.only_days(spark.table(table), rows, "creation_date").select("event_id")
     counts = materialize(triage.day_counts(raw, known, tracked))
-    tables.commit_events(spark, table, transform.activity_rows(raw, run_at, tracked))
+    tables.commit_events(spark, table, rows, immutable_days=True)
     if quarantine is not None:
         files.append_quarantine(landing.malformed_documents(spark, landed, schemas.ACTIVITY_PAGE), quarantine, run_at)
     return counts

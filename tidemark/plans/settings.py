@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass, field
+from datetime import date, datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.plans import pipelines
 from tidemark.plans.alerts import AlertSettings
 from tidemark.plans.pipelines import UsageSettings
 from tidemark.session import read_text
@@ -62,3 +64,28 @@ def from_document(document: dict) -> PipelineSettings:
 def load(spark: SparkSession, path: str) -> PipelineSettings:
     """Settings of a JSON file on any file system Spark reads."""
     return from_document(json.loads(read_text(spark, path)))
+
+
+def run_refresh(
+    spark: SparkSession, settings: PipelineSettings, landed: str, datasets: DataFrame, run_at: datetime, alerts_path: str, **options
+) -> DataFrame:
+    """``pipelines.run_refresh`` with the table, checks and channels of the settings."""
+    return pipelines.run_refresh(
+        spark,
+        landed,
+        datasets,
+        settings.refresh_table,
+        run_at,
+        settings.incremental,
+        alerts_path if settings.alerts_enabled else None,
+        settings.alerts,
+        card_channel=settings.card_channel,
+        **options,
+    )
+
+
+def run_usage(
+    spark: SparkSession, settings: PipelineSettings, landed: str, fetch_log: DataFrame, run_at: datetime, today: date, **options
+) -> DataFrame:
+    """``pipelines.run_usage`` with the table and window of the settings."""
+    return pipelines.run_usage(spark, landed, fetch_log, settings.activity_table, run_at, today, settings.usage, **options)

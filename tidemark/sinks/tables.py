@@ -163,8 +163,8 @@ def _apply_stage(spark: SparkSession, name: str, stage: str) -> None:
     spark.catalog.refreshTable(name)
 
 
-def commit_refresh(spark: SparkSession, name: str, source: DataFrame) -> None:
-    """Merge refresh rows into the table, rewriting only the days that change.
+def commit_refresh(spark: SparkSession, name: str, source: DataFrame) -> DataFrame:
+    """Merge refresh rows into the table, rewriting only the days that change; returns the rows that were inserted.
 
     Stored requests of the batch are found through a scan of two columns, past a broadcast of the
     batch's ids where they are few. The changed days, with updates and inserts applied, are staged
@@ -179,11 +179,12 @@ def commit_refresh(spark: SparkSession, name: str, source: DataFrame) -> None:
 
     finished = batch.filter(merge.finished(F.col("status"))).select("request_id")
     updated_days = stored.join(finished, "request_id", "left_semi").select(day)
+    # Batch and stored ids are materialized, so this reads no table, now or later.
     inserted = batch.join(stored, "request_id", "left_anti").select(target.columns)
     changed = updated_days.union(inserted.select(day)).distinct()
     listed = listed_days(changed, day)
     if listed == []:
-        return
+        return inserted
     touched = target.filter(on_days(day, listed)) if listed else only_days(target, changed, day)
     rows = merge.apply_updates(touched, marked).unionByName(inserted)
     stage = f"{_staging(spark, name)}/{uuid.uuid4().hex}"
@@ -192,6 +193,7 @@ def commit_refresh(spark: SparkSession, name: str, source: DataFrame) -> None:
     after = _counts_by_day(spark.read.schema(REFRESH_TABLE.schema).parquet(f"{stage}/{STAGED_ROWS}"))
     write_text(spark, f"{stage}/{READY}", json.dumps({one: (before.get(one, 0), n) for one, n in after.items()}))
     _apply_stage(spark, name, stage)
+    return inserted
 
 
 def append_alerts(alerts: DataFrame, path: str) -> None:
