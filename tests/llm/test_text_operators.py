@@ -282,6 +282,13 @@ def test_sets_with_empty_groups_deal_again(monkeypatch):
         assert len(np.intersect1d(jaccard_join.meeting_keys(a, join, tops), jaccard_join.meeting_keys(b, join, tops)))
 
 
+def test_counts_in_bytes_never_lower_a_bound():
+    vector = np.zeros(jaccard_join.AXES, np.int64)
+    vector[:4] = 0, 7, 254, 4000
+    found = jaccard_join._read([jaccard_join._shown(vector)], np.array([vector.sum()]))[0]
+    assert found[:4].tolist() == [0, 7, 254, 4261] and (found >= vector).all()
+
+
 @pytest.mark.parametrize(("n", "m"), [(1, 1), (40, 3), (300, 200)])
 def test_tree_join_equals_all_pairs(n, m):
     pick, join = np.random.default_rng(n), Join()

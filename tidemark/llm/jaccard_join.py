@@ -31,7 +31,7 @@ from tidemark.llm.tables import stored
 from tidemark.session import small_side
 
 AXES = 256
-COUNT = "<u4"
+FULL = 255  # stands for this count or more
 LEAF, FANOUT = 16, 8
 BLOCK = 1024
 MINIMA = 4096  # pairs whose coordinate minima are held at once
@@ -108,6 +108,17 @@ def _vector(shingles: np.ndarray) -> np.ndarray:
     return np.bincount((shingles & np.uint64(AXES - 1)).astype(np.int64), minlength=AXES)
 
 
+def _shown(vector: np.ndarray) -> bytes:
+    """A count vector in bytes."""
+    return np.minimum(vector, FULL).astype(np.uint8).tobytes()
+
+
+def _read(vectors: list[bytes], sizes: np.ndarray) -> np.ndarray:
+    """Count vectors; a count too large for a byte is read as the size of its set, which bounds it."""
+    counts = np.frombuffer(b"".join(vectors), np.uint8).reshape(-1, AXES).astype(np.int32)
+    return np.where(counts == FULL, sizes[:, None].astype(np.int32), counts)
+
+
 def meeting_keys(shingles: np.ndarray, join: Join, tops: np.ndarray) -> np.ndarray:
     """Keys by which a set meets every set it may link with."""
     own = int(np.searchsorted(tops, len(shingles)))
@@ -219,7 +230,7 @@ def _points(docs: DataFrame, sets: DataFrame, nodes: DataFrame, join: Join, doc_
                 columns = [
                     pa.array([n for n, _ in found], pa.int64()),
                     pa.array([len(s) for _, s in found], pa.int64()),
-                    pa.array([_vector(s).astype(COUNT).tobytes() for _, s in found], pa.binary()),
+                    pa.array([_shown(_vector(s)) for _, s in found], pa.binary()),
                     pa.array([s.astype("<u8").tobytes() for _, s in found], pa.binary()),
                 ]
                 yield pa.record_batch(columns, names=["node", "size", "counts", "shingles"])
@@ -234,7 +245,7 @@ def _overlaps(pairs: DataFrame, points: DataFrame, column: str, join: Join) -> D
         for batch in batches:
             sizes_a, sizes_b = batch.column(2).to_numpy(), batch.column(3).to_numpy()
             if column == "counts":
-                a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), COUNT).reshape(-1, AXES) for i in (4, 5))
+                a, b = (_read(batch.column(i).to_pylist(), n) for i, n in ((4, sizes_a), (5, sizes_b)))
                 overlap = np.minimum(a, b).sum(axis=1)
             else:
                 sides = zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)
@@ -350,7 +361,7 @@ def _block_pairs(join: Join):
             for at in range(0, whole.num_rows, 4 * BLOCK):
                 batch = whole.slice(at, 4 * BLOCK)
                 block = np.stack([batch.column(i).to_numpy() for i in range(3)], axis=1)
-                points = np.frombuffer(b"".join(batch.column(7).to_pylist()), COUNT).reshape(-1, AXES).astype(np.int32)
+                points = _read(batch.column(7).to_pylist(), batch.column(6).to_numpy())
                 keys = np.empty(batch.num_rows, object)
                 keys[:] = [np.asarray(k, np.int64) for k in batch.column(8).to_pylist()]
                 columns = [block, *(batch.column(i).to_numpy() for i in (4, 5, 6)), points, batch.column(3).to_numpy(), keys]
