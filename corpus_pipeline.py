@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import quality_model
-from tidemark.llm.jaccard_join import jaccard_components
+from tidemark.llm.jaccard_join import Join, jaccard_components
 from tidemark.llm.line_rules import clean_lines
 from tidemark.llm.mixing import mixed_documents
 from tidemark.llm.pieces import encode_pieces
@@ -18,6 +18,8 @@ from tidemark.llm.tables import stored, table
 from tidemark.session import small_side
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+# Near copies share 80 % of their five-word shingles or more.
+NEAR = Join(width=5, percent=80)
 # Tokenizers and a classifier are beyond SQL.
 ORACLE_SQL = None
 
@@ -41,7 +43,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked ones: that with the smallest id. Documents without an id stay."""
-    found = stored(jaccard_components(docs), "pipeline-groups")
+    found = stored(jaccard_components(docs, NEAR), "pipeline-groups")
     dropped = small_side(found.where("doc_id <> component_id").select("doc_id").distinct())
     repeated = small_side(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"))
     left = docs.join(dropped, "doc_id", "left_anti").select(*COLUMNS)
