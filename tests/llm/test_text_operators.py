@@ -302,3 +302,40 @@ def test_tree_join_equals_all_pairs(n, m):
     bound = np.minimum(p[:, None], q[None]).sum(axis=2)
     expected = np.argwhere(join.reaches(bound, p.sum(axis=1)[:, None], q.sum(axis=1)[None]))
     assert {*zip(a.tolist(), b.tolist(), strict=True)} == {*map(tuple, expected.tolist())}
+
+
+def test_contexts_run_across_spaces_and_stay_in_their_text():
+    texts = [b"a lake by", b"", b"x", b" two  gaps "]
+    keys, sizes = context_trees.keys_of(texts)
+    expected = []
+    for text in texts:
+        line = bytes(context_trees.DEPTH) + b" " + text + b" "
+        for p in range(context_trees.DEPTH + 1, len(line)):
+            expected.append(int.from_bytes(line[p - context_trees.DEPTH : p][::-1] + line[p : p + 1], "big"))
+    assert keys.tolist() == expected and sizes.tolist() == [len(t) + 1 for t in texts]
+
+
+def test_key_counts_and_costs():
+    pick = np.random.Generator(np.random.PCG64(4))
+    rounds = [pick.integers(0, 500, 300).astype(np.uint64) << np.uint64(40) for _ in range(8)]
+    counts = context_trees.KeyCounts(least=400)
+    for i, keys in enumerate(rounds):
+        counts.add(keys, i % 2 == 0)
+    found, n = counts.merge()
+    known = Counter(np.concatenate(rounds[::2]).tolist())
+    assert found.tolist() == sorted(set(np.concatenate(rounds).tolist())) and n.tolist() == [known[k] for k in found.tolist()]
+    table = context_trees.CostTable(found[::-1], np.arange(len(found))[::-1].astype(float))
+    at = pick.integers(0, len(found), 5000)
+    assert (table.find(found[at]) == at).all() and len(table.find(found[:0])) == 0
+
+
+@pytest.mark.parametrize("most_keys", [0, 10**6])
+def test_fluent_text_costs_less_than_the_same_words_shuffled(spark, most_keys):
+    words = [f"{c}{d}" for c in "abcdefgh" for d in "klmn"]
+    fluent = " ".join(words * 4)
+    shuffled = fluent.split()
+    random.Random(1).shuffle(shuffled)
+    rows = [(i, fluent, True) for i in range(20)] + [(90, fluent, False), (91, " ".join(shuffled), False)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, learns boolean")
+    found = {r.doc_id: r.score for r in language_model.score_texts(frame, F.col("learns"), most_keys=most_keys).collect()}
+    assert found[90] > found[91] + 20

@@ -1,8 +1,9 @@
 """Context-tree weighting over bytes, with block counts instead of a sequential pass.
 
-A text is a row of chunks, each ended by a space and a choice between one more chunk and the end. A byte is
-eight binary decisions; each of its 255 decision nodes has a context tree of its own over the bytes before
-it in the chunk (the space before the chunk included), nearest first, ``DEPTH`` deep. Every tree node holds
+A text has a space before and after it, and after each of its spaces a choice between going on and the end.
+A byte is eight binary decisions; each of its 255 decision nodes has a context tree of its own over the bytes
+before it in the text (the space before the text included), nearest first, ``DEPTH`` deep. Contexts run
+across spaces, so the end of one word speaks for the begin of the next. Every tree node holds
 zeros and ones seen there. Its block probability is half the Krichevsky-Trofimov estimate of its counts
 and half the product of its children's block probabilities, so every pruning of the tree is weighed; a
 prediction mixes the estimates along the path with the weights that follow. A context never seen in
@@ -16,23 +17,85 @@ from __future__ import annotations
 import numpy as np
 
 DEPTH = 5
-SPACE = 0x20
+FREE = np.uint64(0xFFFFFFFFFFFFFFFF)  # keys have six bytes
 LOG_HALF = np.log(0.5)
 _LOG_PI = np.log(np.pi)
 
 
-def keys_of(chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of every byte of the chunks and of the space after each, and the number of keys of each chunk."""
-    line = np.frombuffer(b" " + b" ".join(chunks) + b" ", np.uint8)
+def keys_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of every byte of the texts and of the space after each, and the number of keys of each text."""
+    line = np.frombuffer(b" " + b" ".join(texts) + b" ", np.uint8)
     n = len(line) - 1
-    keys, alive = line[1:].astype(np.uint64), np.ones(n, bool)
-    for distance in range(1, DEPTH + 1):
-        before = np.zeros(n, np.uint64)
-        before[distance - 1 :] = line[: len(line) - distance]
-        before[~alive] = 0
-        keys |= before << np.uint64(8 * (DEPTH + 1 - distance))
-        alive &= before != SPACE
-    return keys, np.array([len(c) + 1 for c in chunks])
+    keys = line[1:].astype(np.uint64)
+    for distance in range(1, min(DEPTH, n) + 1):
+        keys[distance - 1 :] |= line[: n + 1 - distance].astype(np.uint64) << np.uint64(8 * (DEPTH + 1 - distance))
+    sizes = np.array([len(t) + 1 for t in texts])
+    starts = np.cumsum(sizes) - sizes
+    for p in range(DEPTH - 1):  # the space before a text is the last of its context; beyond it there is nothing
+        keys[starts[sizes > p] + p] &= ~np.uint64((1 << 8 * (DEPTH - p)) - (1 << 8))
+    return keys, sizes
+
+
+def distinct(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys, and how often each is there or the sum of its counts."""
+    order = None if counts is None else np.argsort(keys)
+    keys = np.sort(keys) if order is None else keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
+    sums = np.diff(np.append(first, len(keys))) if order is None else np.add.reduceat(counts[order], first) if len(keys) else counts
+    return keys[first], sums
+
+
+class KeyCounts:
+    """Counts of keys, added slice by slice and merged when as many are waiting as were merged before."""
+
+    def __init__(self, least: int = 1 << 20):
+        self.least, self.parts, self.waiting, self.merged = least, [], 0, 0
+
+    def add(self, keys: np.ndarray, learns: bool) -> None:
+        keys, counts = distinct(keys)
+        self.parts.append((keys, counts if learns else np.zeros(len(keys), np.int64)))
+        self.waiting += len(keys)
+        if self.waiting > max(self.least, self.merged):
+            self.merge()
+
+    def merge(self) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.parts) > 1:
+            self.parts = [distinct(np.concatenate([k for k, _ in self.parts]), np.concatenate([n for _, n in self.parts]))]
+        self.waiting, self.merged = 0, sum(len(k) for k, _ in self.parts)
+        return self.parts[0] if self.parts else (np.empty(0, np.uint64), np.empty(0, np.int64))
+
+
+class CostTable:
+    """Costs by key in a hash table of arrays with linear probing; every key that is looked up must be there."""
+
+    def __init__(self, keys: np.ndarray, costs: np.ndarray):
+        self.size = len(keys) + len(keys) // 2 + 1
+        self.keys, self.costs = np.full(self.size, FREE), np.zeros(self.size)
+        left, at = np.arange(len(keys)), self._slots(keys)
+        while len(left):
+            free = np.flatnonzero(self.keys[at] == FREE)
+            slots, first = np.unique(at[free], return_index=True)
+            placed = free[first]
+            self.keys[slots], self.costs[slots] = keys[left[placed]], costs[left[placed]]
+            rest = np.ones(len(left), bool)
+            rest[placed] = False
+            left, at = left[rest], at[rest] + 1
+            at[at == self.size] = 0
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        spread = keys * np.uint64(0x9E3779B97F4A7C15)
+        spread = (spread ^ (spread >> np.uint64(32))) * np.uint64(0xD1342543DE82EF95)
+        return ((spread >> np.uint64(32)) * np.uint64(self.size) >> np.uint64(32)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        at = self._slots(keys)
+        left = np.flatnonzero(self.keys[at] != keys)
+        while len(left):
+            moved = at[left] + 1
+            moved[moved == self.size] = 0
+            at[left] = moved
+            left = left[self.keys[moved] != keys[left]]
+        return self.costs[at]
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:

@@ -1,10 +1,9 @@
 """Scoring texts with a word model and with context trees, both learned from the corpus itself.
 
-One pass counts words and chunks in every task, adds up equal ones there, and hands counts of words and of
-context keys to a shuffle, so what moves grows with the vocabulary of a task and not with its text. Trees are
+One pass counts words and context keys in every task, adds up equal ones there, and hands the counts to a shuffle, so what moves grows with the vocabulary of a task and not with its text. Trees are
 fitted by ranges of the two nearest context bytes; only their two top depths (bounded by 256 contexts) meet
 on the driver. The result is one number for each distinct context and byte. That table is broadcast when it
-is proven small; otherwise each task's distinct chunks are scored by a join. The words most frequent in the
+is proven small; otherwise each text's distinct keys are scored by a join. The words most frequent in the
 corpus are broadcast as a table of bounded size, the others are looked up by a join.
 """
 
@@ -17,52 +16,45 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.arrays import utf8
-from tidemark.llm.byte_bpe import Recent
-from tidemark.llm.context_trees import Level, code_lengths, keys_of, levels, top_levels
+from tidemark.llm.arrays import slices, utf8
+from tidemark.llm.context_trees import CostTable, KeyCounts, Level, code_lengths, keys_of, levels, top_levels
 from tidemark.llm.tables import stored
 
 ROWS = 512
 HELD = 1_000_000
 FREQUENT_WORDS = 60_000
 MOST_KEYS = 3_000_000
-CACHED = 300_000
 
 
 def _counts(docs: DataFrame, training: Column, text: str) -> DataFrame:
-    """Partial counts: rows with ``word`` (training words), or ``key`` (context keys of all chunks, ``n`` from training ones), or neither (texts, chunks)."""
+    """Partial counts: rows with ``word`` (training words), or ``key`` (context keys of all texts, ``n`` from training ones), or neither (texts, spaces)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, chunks, others, texts, spaces = Counter(), Counter(), set(), 0, 0
+        words, keys, texts, spaces = Counter(), KeyCounts(), 0, 0
 
         def rows() -> Iterator[pa.RecordBatch]:
-            nonlocal texts, spaces
+            nonlocal keys, texts, spaces
             yield _record(words=list(words), n=list(words.values()))
-            known = list(chunks)
-            fresh = list(others.difference(known))
-            if known or fresh:
-                keys, sizes = keys_of([*known, *fresh])
-                counts = np.repeat(np.array([*chunks.values(), *[0] * len(fresh)], np.int64), sizes)
-                unique, where = np.unique(keys, return_inverse=True)
-                yield _record(keys=unique.view(np.int64), n=np.bincount(where, counts, len(unique)).astype(np.int64))
+            found, n = keys.merge()
+            yield _record(keys=found.view(np.int64), n=n)
             yield _record(texts=texts, spaces=spaces)
-            words.clear(), chunks.clear(), others.clear()
-            texts = spaces = 0
+            words.clear()
+            keys, texts, spaces = KeyCounts(), 0, 0
 
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(at, ROWS)
-                for value, learns in zip(utf8(batch.column(0)), batch.column(1).to_pylist(), strict=True):
-                    value = value.lower()
-                    parts = value.split(b" ")
-                    if learns:
-                        words.update(value.split())
-                        chunks.update(parts)
-                        texts += 1
-                        spaces += len(parts) - 1
-                    else:
-                        others.update(parts)
-                if len(words) + len(chunks) + len(others) > HELD:
+                values = [v.lower() for v in utf8(batch.column(0))]
+                learns = batch.column(1).to_pylist()
+                for chosen in (True, False):
+                    for _, part in slices(v for v, x in zip(values, learns, strict=True) if x is chosen):
+                        keys.add(keys_of(part)[0], chosen)
+                        if chosen:
+                            for value in part:
+                                words.update(value.split())
+                            texts += len(part)
+                            spaces += sum(v.count(b" ") for v in part)
+                if len(words) + keys.merged > HELD:
                     yield from rows()
         yield from rows()
 
@@ -128,17 +120,9 @@ def fit_contexts(keys: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "key long, cost double")
 
 
-def _costs(frame: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+def _costs(frame: DataFrame) -> CostTable:
     got = frame.toArrow()
-    keys = got["key"].to_numpy().view(np.uint64)
-    order = np.argsort(keys)
-    return keys[order], got["cost"].to_numpy()[order]
-
-
-def _chunk_costs(chunks: list[bytes], keys: np.ndarray, costs: np.ndarray) -> np.ndarray:
-    own, sizes = keys_of(chunks)
-    found = costs[np.searchsorted(keys, own)]
-    return np.add.reduceat(found, np.cumsum(sizes) - sizes)
+    return CostTable(got["key"].to_numpy().view(np.uint64), got["cost"].to_numpy())
 
 
 def score_texts(docs: DataFrame, training: Column, text: str = "text", doc_id: str = "doc_id", most_keys: int = MOST_KEYS, frequent: int = FREQUENT_WORDS) -> DataFrame:
@@ -171,34 +155,23 @@ def score_texts(docs: DataFrame, training: Column, text: str = "text", doc_id: s
         from pyspark import TaskContext
 
         known, model = shared.value
-        cache, number = Recent(CACHED), TaskContext.get().partitionId() << 40
+        number = TaskContext.get().partitionId() << 40
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(at, ROWS)
                 values = [v.lower() for v in utf8(batch.column(1))]
-                split = [v.split(b" ") for v in values]
-                prices: dict[bytes, float] = {}
+                prices = [0.0] * len(values)
                 if model is not None:
-                    fresh = []
-                    for chunk in set().union(*split):
-                        price = cache.find(chunk)
-                        if price is None:
-                            fresh.append(chunk)
-                        else:
-                            prices[chunk] = price
-                    if fresh:
-                        for chunk, price in zip(fresh, _chunk_costs(fresh, *model).tolist(), strict=True):
-                            prices[chunk] = price
-                            if len(chunk) <= 64:
-                                cache.put(chunk, price)
+                    for start, part in slices(values):
+                        keys, sizes = keys_of(part)
+                        prices[start : start + len(part)] = np.add.reduceat(model.find(keys), np.cumsum(sizes) - sizes).tolist()
                 out: list[tuple] = []
-                for value, chunks in zip(values, split, strict=True):
+                for value, price in zip(values, prices, strict=True):
                     own = value.split()
                     found = list(map(known.get, own))
                     rare = [w for w, p in zip(own, found, strict=True) if p is None] if None in found else []
                     base = sum(p for p in found if p is not None) if rare else sum(found)
-                    score = sum(map(prices.__getitem__, chunks)) if model is not None else 0.0
-                    score += (len(chunks) - 1) * stops[0] + stops[1]
+                    score = price + value.count(b" ") * stops[0] + stops[1]
                     out.append((number, len(own) + 1, len(own) - len(rare) + (texts > 0), base + end_score, score, len(value), rare))
                     number += 1
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.list_(pa.binary())]
@@ -231,7 +204,7 @@ def score_texts(docs: DataFrame, training: Column, text: str = "text", doc_id: s
 
 
 def _joined_scores(scored: DataFrame, kept: DataFrame, costs: DataFrame) -> DataFrame:
-    """Rows with the cost of their chunks added by a join on context keys, for a table too large to broadcast."""
+    """Rows with the cost of their bytes added by a join on context keys, for a table too large to broadcast."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -239,7 +212,7 @@ def _joined_scores(scored: DataFrame, kept: DataFrame, costs: DataFrame) -> Data
         number = TaskContext.get().partitionId() << 40
         for whole in batches:
             for value in utf8(whole.column(1)):
-                keys, counts = np.unique(keys_of(value.lower().split(b" "))[0], return_counts=True)
+                keys, counts = np.unique(keys_of([value.lower()])[0], return_counts=True)
                 yield pa.record_batch([pa.array(np.full(len(keys), number)), pa.array(keys.view(np.int64)), pa.array(counts)], names=["row", "key", "n"])
                 number += 1
 
