@@ -42,12 +42,24 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked ones: that with the smallest id. Documents without an id stay."""
-    found = stored(jaccard_components(docs, NEAR), "pipeline-groups")
-    dropped = small_side(found.where("doc_id <> component_id").select("doc_id").distinct())
-    repeated = small_side(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"))
-    left = docs.join(dropped, "doc_id", "left_anti").select(*COLUMNS)
-    return left.join(repeated, "doc_id", "left_anti").unionByName(left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(*COLUMNS)
+    """One row of each group of linked ones: that with the smallest id. Rows without an id stay.
+
+    Rows are told apart by a 64-bit hash of id and text, so rows that share an id but are not linked all stay.
+    Of rows with the same id and text the least one stays.
+    """
+    keyed = docs.select(*COLUMNS, F.xxhash64("doc_id", F.col("text").isNull(), "text").alias("_key"))
+    named = keyed.where("doc_id is not null")
+    found = stored(jaccard_components(named, NEAR, doc_id="_key"), "pipeline-groups")
+    others = found.where("doc_id <> component_id").select("component_id", F.col("doc_id").alias("_key")).distinct()
+    linked = small_side(others.unionByName(others.select("component_id", F.col("component_id").alias("_key")).distinct()))
+    owned = stored(named.select("_key", "doc_id").join(linked, "_key").distinct(), "pipeline-owned")
+    first = small_side(owned.groupBy("component_id").agg(F.min(F.struct("doc_id", "_key")).alias("first")))
+    dropped = small_side(owned.join(first, "component_id").where("_key <> first._key").select("_key"))
+    repeated = small_side(found.groupBy(F.col("doc_id").alias("_key")).count().where("count > 1").select("_key"))
+    left = keyed.join(dropped, "_key", "left_anti")
+    once = left.where("doc_id is not null").join(repeated, "_key", "left_semi").groupBy("_key").agg(F.min(F.struct(*COLUMNS)).alias("row")).select("row.*")
+    unnamed = left.where("doc_id is null")
+    return left.where("doc_id is not null").join(repeated, "_key", "left_anti").select(*COLUMNS).unionByName(once).unionByName(unnamed.select(*COLUMNS))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

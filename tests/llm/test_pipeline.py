@@ -29,3 +29,12 @@ def test_near_duplicates_are_five_words_and_four_fifths(spark):
     assert groups != plain_components(rows, width=4, percent=85)
     kept = corpus_pipeline.near_duplicates(spark, frame(spark, rows), SF)
     assert sorted(r.doc_id for r in kept.collect()) == sorted({g for _, g in groups.values()})
+
+
+def test_near_duplicates_decide_by_row(spark):
+    one, two, three, four = (" ".join(words(c, 60)) for c in "abcd")
+    rows = [(7, one), (7, two), (7, two + " more"), (3, one), (9, three), (9, three), (9, four), (5, None), (5, ""), (None, one), (None, one)]
+    kept = corpus_pipeline.near_duplicates(spark, frame(spark, rows).repartition(3), SF).collect()
+    found = sorted(((r.doc_id or 0, r.text or "") for r in kept), key=str)
+    two = next(t for t in (two, two + " more") if (7, t) in found)
+    assert found == sorted([(7, two), (3, one), (9, three), (9, four), (5, ""), (5, ""), (0, one), (0, one)], key=str)
