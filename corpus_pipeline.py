@@ -13,7 +13,7 @@ from tidemark.llm import quality_model
 from tidemark.llm.jaccard_join import Join, jaccard_components
 from tidemark.llm.line_rules import clean_lines
 from tidemark.llm.mixing import mixed_documents
-from tidemark.llm.pieces import encode_pieces
+from tidemark.llm.pieces import decode_pieces, encode_pieces
 from tidemark.llm.tables import stored, table
 from tidemark.session import small_side
 
@@ -68,9 +68,10 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every document of the mix (``piece_ids``, little-endian unsigned 32-bit integers) and their number."""
-    encoded = encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"))
-    return encoded.select("doc_id", "lang", "source", (F.octet_length("piece_ids") / 4).cast("long").alias("n_tokens"), "piece_ids")
+    """Ids of every document of the mix (``piece_ids``, little-endian unsigned 32-bit integers), their number, and the digest of the text decoded from them."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    decoded = decode_pieces(encode_pieces(docs, model).select("doc_id", "lang", "source", "piece_ids"), model)
+    return decoded.select("doc_id", "lang", "source", (F.octet_length("piece_ids") / 4).cast("long").alias("n_tokens"), "piece_ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [

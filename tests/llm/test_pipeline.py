@@ -1,5 +1,11 @@
 """Stages of the pipeline against plain definitions."""
 
+import hashlib
+
+import numpy as np
+import public_tokenizers
+from sentencepiece import SentencePieceProcessor
+
 import corpus_pipeline
 from tests.llm.test_text_operators import plain_components
 from tidemark.llm.tables import table
@@ -38,3 +44,11 @@ def test_near_duplicates_decide_by_row(spark):
     found = sorted(((r.doc_id or 0, r.text or "") for r in kept), key=str)
     two = next(t for t in (two, two + " more") if (7, t) in found)
     assert found == sorted([(7, two), (3, one), (9, three), (9, four), (5, ""), (5, ""), (0, one), (0, one)], key=str)
+
+
+def test_sentencepiece_decodes_what_it_encodes(spark):
+    rows = [(1, "The lake was still. déjà vu 中文 😀"), (2, " two  gaps "), (3, ""), (4, None)]
+    tool = SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    for r in corpus_pipeline.sentencepiece(spark, frame(spark, rows), SF).collect():
+        ids = np.frombuffer(r.piece_ids, "<u4").tolist()
+        assert len(ids) == r.n_tokens and r.decoded_sha256 == hashlib.sha256(tool.decode(ids).encode()).hexdigest()
