@@ -84,6 +84,14 @@ def test_classifier_on_odd_texts_and_without_labels(spark, docs, texts):
     assert quality_model.score(docs.limit(0), weights, ("doc_id",)).count() == 0
 
 
+def test_sample_has_one_text_an_id(spark):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(50)] + [(2, "other"), (3, "third")], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, quality int")
+    found = quality_model.sample_labelled(docs, labels, "quality", 10).collect()
+    assert sorted((r.text, r.label) for r in found) == [("other", 0), ("text 0", 1), ("third", 1)]
+    assert quality_model.sample_labelled(docs, labels, "quality", 2).count() == 2
+
+
 def test_features_are_unit_vectors_and_see_repetition():
     owner, buckets, values = quality_model.features([b"a b a", b"", b"a b c"], 12)
     assert set(owner.tolist()) == {0, 2}

@@ -138,12 +138,14 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, target: str, most: int,
     """At most ``most`` labelled texts (``text``, ``label``, ``_order``), chosen by a hash of the id.
 
     Ids are chosen before texts are read, so the join side is bounded by ``most``. An id labelled more
-    than once has the mean label, 0.5 counting as 1; null labels and ids without a text row are left out.
+    than once has the mean label, 0.5 counting as 1; null labels and ids without a text row are left out. Of
+    the texts of one id the least one is taken, so that ``most`` bounds rows too.
     """
     ids = labels.where(F.col(target).isNotNull() & F.col(doc_id).isNotNull()).groupBy(doc_id).agg(F.avg(target).alias("label"))
     ids = ids.select(doc_id, (F.col("label") >= 0.5).cast("int").alias("label"), F.xxhash64(doc_id).alias("_order"))
     chosen = F.broadcast(ids.orderBy("_order", doc_id).limit(most))
-    return docs.select(F.col(doc_id), F.col(text).alias("text")).join(chosen, doc_id).select("text", "label", "_order")
+    joined = docs.select(F.col(doc_id), F.col(text).alias("text")).join(chosen, doc_id)
+    return joined.groupBy(doc_id, "label", "_order").agg(F.min("text").alias("text")).select("text", "label", "_order")
 
 
 def score(docs: DataFrame, weights: np.ndarray, keep: tuple[str, ...], text: str = "text", settings: Settings | None = None) -> DataFrame:
