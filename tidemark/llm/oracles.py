@@ -151,4 +151,69 @@ SELECT w.conv_id, n_turns, turns_sha256, length(loss)::BIGINT AS loss_chars, sha
 FROM whole w JOIN written f ON w.conv_id IS NOT DISTINCT FROM f.conv_id
 """
 
-ORACLES: dict[str, str] = {"op1_vector_search": VECTOR_SEARCH, "op2_quality_rules": QUALITY_RULES, "op6_source_mix": SOURCE_MIX, "op8_jaccard_join": JACCARD_JOIN, "op10_chat_windows": CHAT_WINDOWS}
+
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII text."""
+    step = "list_reduce(list_prepend(xor(a, b), [0::UBIGINT for _ in range(8)]), lambda x, _: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::UBIGINT) ELSE x >> 1 END)"
+    codes = f"[ascii(c)::UBIGINT for c in string_split({text}, '')]"
+    return f"xor(list_reduce(list_prepend(4294967295::UBIGINT, {codes}), lambda a, b: {step}), 4294967295::UBIGINT)"
+
+
+def _record(*columns: str) -> str:
+    return " || ".join(f"coalesce(octet_length(encode({c}::VARCHAR))::VARCHAR || ':' || {c}, '-')" for c in columns)
+
+
+def _levels(name: str, leaves: str) -> str:
+    """Nodes of every level (``tree``, ``h``, ``i``, ``n``, ``digest``), and the texts of the siblings on either side."""
+    run = "PARTITION BY tree, h, i // 16 ORDER BY i"
+    return f"""
+{name} AS (
+  SELECT tree, 0 AS h, i, n, leaf AS digest FROM {leaves}
+  UNION ALL
+  SELECT tree, h + 1, i // 16, (any_value(n) + 15) // 16, sha256(string_agg(digest, '' ORDER BY i)) FROM {name} WHERE n > 1 GROUP BY tree, h, i // 16),
+{name}_sides AS (
+  SELECT tree, h, i, n, digest,
+    coalesce(string_agg(digest, '') OVER ({run} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(digest, '') OVER ({run} ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM {name} WHERE n > 1)"""
+
+
+def _walk(name: str, start: str, sides: str) -> str:
+    """From each leaf up: the siblings so far and the digest that the shown leaf leads to."""
+    return f"""
+{name} AS (
+  SELECT id, tree, 0 AS h, i, proof, found FROM {start}
+  UNION ALL
+  SELECT w.id, w.tree, w.h + 1, w.i // 16, w.proof || s.l || s.r, sha256(s.l || w.found || s.r)
+  FROM {name} w JOIN {sides} s ON s.tree = w.tree AND s.h = w.h AND s.i = w.i),
+{name}_done AS (SELECT id, tree, max_by(proof, h) AS proof, max_by(found, h) AS found FROM {name} GROUP BY id, tree)"""
+
+
+MERKLE_MANIFEST = f"""
+WITH RECURSIVE records AS (
+  SELECT doc_id, coalesce('+' || source, '') AS tree, sha256({_record("doc_id", "source", "lang", "n_chars", "text")}) AS leaf,
+    CASE WHEN {_crc32("doc_id::VARCHAR")} % 5 = 0 THEN sha256({_record("doc_id", "source", "lang", "n_chars", "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}) END AS shown
+  FROM documents),
+leaves AS (
+  SELECT *, row_number() OVER (ORDER BY tree, doc_id NULLS FIRST, leaf) AS id,
+    row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY tree) AS n FROM records),
+{_levels("up", "leaves")},
+tops AS (
+  SELECT tree AS name, 'all' AS tree, digest AS leaf, row_number() OVER (ORDER BY tree) - 1 AS i, count(*) OVER () AS n FROM up WHERE n = 1),
+{_levels("over", "tops")},
+begin_low AS (SELECT id, tree, i, '' AS proof, coalesce(shown, leaf) AS found FROM leaves),
+{_walk("low", "begin_low", "up_sides")},
+begin_high AS (SELECT l.id, 'all' AS tree, t.i, l.proof, l.found FROM low_done l JOIN tops t ON t.name = l.tree),
+{_walk("high", "begin_high", "over_sides")}
+SELECT l.doc_id, l.leaf, t.leaf AS subroot, o.digest AS root, sha256(h.proof) AS proof_sha256, h.found AS folded_root, h.found = o.digest AS verified
+FROM leaves l JOIN high_done h USING (id) JOIN tops t ON t.name = l.tree JOIN over o ON o.n = 1
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_vector_search": VECTOR_SEARCH,
+    "op2_quality_rules": QUALITY_RULES,
+    "op6_source_mix": SOURCE_MIX,
+    "op8_jaccard_join": JACCARD_JOIN,
+    "op10_chat_windows": CHAT_WINDOWS,
+    "op12_merkle_manifest": MERKLE_MANIFEST,
+}

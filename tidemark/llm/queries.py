@@ -10,6 +10,7 @@ from tidemark.llm.chat_windows import chat_windows, conversation_digests
 from tidemark.llm.jaccard_join import jaccard_components
 from tidemark.llm.language_model import score_texts
 from tidemark.llm.line_rules import clean_lines
+from tidemark.llm.merkle import folded, merkle_proofs, proof_text, record_digest
 from tidemark.llm.mixing import apply_mix, plan_mix, word_count
 from tidemark.llm.pieces import piece_digests
 from tidemark.llm.tables import stored, table
@@ -92,4 +93,16 @@ def op10_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_digests(windows)
 
 
-QUERIES = {f.__name__: f for f in (op1_vector_search, op2_quality_rules, op3_quality_classifier, op4_language_model, op5_sentencepiece, op6_source_mix, op7_token_counts, op8_jaccard_join, op9_token_files, op10_chat_windows)}
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and whether lower-casing some texts is noticed."""
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    tampered = [*fields[:4], F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")]
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    docs = table(spark, sf_dir, "documents")
+    records = docs.select("doc_id", "source", record_digest(fields).alias("leaf"), F.when(chosen, record_digest(tampered)).alias("shown"))
+    proofs = merkle_proofs(records, "source", "doc_id")
+    proved = proofs.select("doc_id", "leaf", "subroot", "root", F.sha2(proof_text(), 256).alias("proof_sha256"), folded(F.coalesce("shown", "leaf")).alias("folded_root"))
+    return proved.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+QUERIES = {f.__name__: f for f in (op1_vector_search, op2_quality_rules, op3_quality_classifier, op4_language_model, op5_sentencepiece, op6_source_mix, op7_token_counts, op8_jaccard_join, op9_token_files, op10_chat_windows, op12_merkle_manifest)}
