@@ -8,6 +8,9 @@ from tidemark.llm.tables import stored
 from tidemark.session import small_side
 
 
+HOT_KEYS = 4096
+
+
 def placed(df: DataFrame, *order: str) -> DataFrame:
     """The rows written in one order, with ``_at``: ascending along it, and consecutive inside each of its parts.
 
@@ -31,3 +34,16 @@ def numbered(df: DataFrame, group: str, *order: str) -> DataFrame:
     spans = spans.select(group, "_part", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"), F.sum("_rows").over(whole).alias("n"))
     joined = rows.join(small_side(spans), [group, "_part"])
     return joined.withColumn("index", F.col("_at") - F.col("_first") + F.col("_offset")).drop("_at", "_part", "_first", "_offset")
+
+
+def join_hot(rows: DataFrame, side: DataFrame, key: str, n: str) -> DataFrame:
+    """Left join of rows with a stored side that has one row a key and, in ``n``, how many rows have it.
+
+    A key with a 4096th of all rows or more is hot; there are at most 4096 of them, so they are broadcast. The
+    others are joined by a shuffle in which no key is large.
+    """
+    total = side.agg(F.sum(n)).first()[0] or 0
+    hot = F.broadcast(side.where(F.col(n) * HOT_KEYS >= total))
+    others = side.where(F.col(n) * HOT_KEYS < total)
+    cold = rows.join(hot.select(key), key, "left_anti").join(others, key, "left")
+    return rows.join(hot, key).unionByName(cold)
