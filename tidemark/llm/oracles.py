@@ -209,11 +209,64 @@ SELECT l.doc_id, l.leaf, t.leaf AS subroot, o.digest AS root, sha256(h.proof) AS
 FROM leaves l JOIN high_done h USING (id) JOIN tops t ON t.name = l.tree JOIN over o ON o.n = 1
 """
 
+CONVERSATION_REPAIR = rf"""
+WITH RECURSIVE filled AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS kind FROM conversations),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM filled WHERE kind <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, left(role, 64), left(text, 64), role, text) AS k FROM damaged),
+faulty AS (
+  SELECT *, left(role, 1) AS initial, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) AS nth,
+    rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS shown FROM placed),
+judged AS (
+  SELECT conv_id, turn, role, text, k, initial,
+    CASE WHEN shown = '' THEN 'b' WHEN nth > 1 THEN 'd' WHEN right(shown, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
+    lag(initial) OVER (PARTITION BY conv_id ORDER BY k) AS previous FROM faulty),
+inserts(p, q, cost, letters) AS (VALUES (0, 0, 0, ''), (1, 1, 0, ''), (2, 2, 0, ''), (3, 3, 0, ''), (0, 2, 3, 'I'), (1, 2, 3, 'I'), (3, 2, 3, 'I'), (2, 3, 3, 'I'), (0, 3, 6, 'II'), (1, 3, 6, 'II')),
+roles(initial, p, q) AS (VALUES ('s', 0, 1), ('u', 0, 2), ('u', 1, 2), ('u', 3, 2), ('a', 2, 3)),
+edits AS (
+  SELECT j.conv_id, j.k, r.p, r.q, CASE WHEN j.initial = r.initial THEN 0 ELSE 3 END + CASE WHEN j.fault = 't' THEN 3 ELSE 0 END AS cost,
+    CASE WHEN j.initial = r.initial THEN 'K' ELSE 'R' END AS letter
+  FROM judged j JOIN roles r ON j.fault IN ('', 't') AND (j.initial = r.initial OR r.initial <> 's')
+  UNION ALL SELECT conv_id, k, s.p, s.p, 4, 'D' FROM judged, (SELECT DISTINCT p FROM inserts) s),
+best(conv_id, k, q, found) AS (
+  SELECT DISTINCT conv_id, 0::BIGINT, 0, struct_pack(cost := 0, audit := '') FROM judged
+  UNION ALL
+  SELECT b.conv_id, b.k + 1, e.q, min(struct_pack(cost := b.found.cost + i.cost + e.cost, audit := b.found.audit || i.letters || e.letter))
+  FROM best b JOIN inserts i ON i.p = b.q JOIN edits e ON e.conv_id IS NOT DISTINCT FROM b.conv_id AND e.k = b.k + 1 AND e.p = i.q GROUP BY b.conv_id, b.k + 1, e.q),
+ends AS (
+  SELECT b.conv_id, min(struct_pack(cost := b.found.cost + i.cost, audit := b.found.audit || i.letters)) AS found
+  FROM best b JOIN inserts i ON i.p = b.q AND i.q IN (0, 3) JOIN (SELECT conv_id, max(k) AS k FROM judged GROUP BY conv_id) l ON l.conv_id IS NOT DISTINCT FROM b.conv_id AND l.k = b.k
+  GROUP BY b.conv_id),
+letters AS (SELECT conv_id, unnest(string_split(found.audit, '')) AS letter, generate_subscripts(string_split(found.audit, ''), 1) AS place FROM ends WHERE found.audit <> ''),
+counted AS (SELECT *, sum(CASE WHEN letter = 'I' THEN 0 ELSE 1 END) OVER (PARTITION BY conv_id ORDER BY place) AS k FROM letters),
+left_over AS (
+  SELECT c.conv_id, c.place, c.letter, j.role, j.initial, CASE WHEN c.letter = 'I' THEN '' ELSE j.text END AS text
+  FROM counted c LEFT JOIN judged j ON j.conv_id IS NOT DISTINCT FROM c.conv_id AND j.k = c.k AND c.letter <> 'I' WHERE c.letter <> 'D'),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY place) AS m FROM left_over),
+headed AS (SELECT *, coalesce(bool_or(m = 1 AND letter = 'K' AND initial = 's') OVER (PARTITION BY conv_id), false) AS system FROM numbered),
+repaired AS (
+  SELECT conv_id, sha256(string_agg(CASE WHEN letter = 'K' THEN role WHEN (m - system::INT) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY m)) AS hash
+  FROM headed GROUP BY conv_id),
+totals AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+    count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (k > 1 AND previous || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, coalesce(e.found.cost, 0)::BIGINT AS cost, coalesce(e.found.audit, '') AS audit, coalesce(r.hash, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN totals t ON t.conv_id IS NOT DISTINCT FROM o.conv_id
+  LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
 ORACLES: dict[str, str] = {
     "op1_vector_search": VECTOR_SEARCH,
     "op2_quality_rules": QUALITY_RULES,
     "op6_source_mix": SOURCE_MIX,
     "op8_jaccard_join": JACCARD_JOIN,
     "op10_chat_windows": CHAT_WINDOWS,
+    "op11_conversation_repair": CONVERSATION_REPAIR,
     "op12_merkle_manifest": MERKLE_MANIFEST,
 }

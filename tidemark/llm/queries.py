@@ -7,12 +7,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import quality_model
 from tidemark.llm.chat_windows import chat_windows, conversation_digests
+from tidemark.llm.conversation_repair import repair, repaired_digests
 from tidemark.llm.jaccard_join import jaccard_components
 from tidemark.llm.language_model import score_texts
 from tidemark.llm.line_rules import clean_lines
 from tidemark.llm.merkle import folded, merkle_proofs, proof_text, record_digest
 from tidemark.llm.mixing import apply_mix, plan_mix, word_count
 from tidemark.llm.pieces import piece_digests
+from tidemark.llm.simhash_trie import simhash_components
 from tidemark.llm.tables import stored, table
 from tidemark.llm.token_counts import count_tokens
 from tidemark.llm.token_files import read_token_files, write_token_files
@@ -93,6 +95,27 @@ def op10_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_digests(windows)
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Turns with faults by the checksum of ``conv_id:turn``: dropped, emptied, without end marks, repeated, or a user's. Nulls are one space."""
+    filled = turns.select("conv_id", "turn", *[F.coalesce(c, F.lit(" ")).alias(c) for c in ("role", "text")])
+    name = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    kind = F.crc32(name.cast("binary")) % 20
+    text = F.when(kind == 1, "").when(kind == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    copies = F.explode(F.when(kind == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    return filled.where(kind != 0).select("conv_id", "turn", F.when(kind == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"), copies.alias("copy")).drop("copy")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired text of every conversation after damage."""
+    turns = table(spark, sf_dir, "conversations")
+    found = repair(damaged(turns))
+    ids = turns.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
+    both = ids.unionByName(found.plan, allowMissingColumns=True).unionByName(repaired_digests(found), allowMissingColumns=True)
+    counts = [F.coalesce(F.max(c), F.lit(0)).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    texts = [F.coalesce(F.max("audit"), F.lit("")).alias("audit"), F.coalesce(F.max("repaired_sha256"), F.sha2(F.lit(""), 256)).alias("repaired_sha256")]
+    return both.groupBy("conv_id").agg(*counts, *texts)
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, roots and proof of every document, and whether lower-casing some texts is noticed."""
     fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
@@ -105,4 +128,9 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return proved.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
-QUERIES = {f.__name__: f for f in (op1_vector_search, op2_quality_rules, op3_quality_classifier, op4_language_model, op5_sentencepiece, op6_source_mix, op7_token_counts, op8_jaccard_join, op9_token_files, op10_chat_windows, op12_merkle_manifest)}
+def op13_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents whose fingerprints differ in two bits at most."""
+    return simhash_components(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_vector_search, op2_quality_rules, op3_quality_classifier, op4_language_model, op5_sentencepiece, op6_source_mix, op7_token_counts, op8_jaccard_join, op9_token_files, op10_chat_windows, op11_conversation_repair, op12_merkle_manifest, op13_simhash_trie)}
