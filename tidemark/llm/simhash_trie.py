@@ -2,11 +2,13 @@
 
 All distinct fingerprints are the leaves of one binary trie over their 64 bits, the most evenly split bits
 first. Pairs of nodes of equal depth are walked together from (root, root): the bits in which the two paths
-differ are counted, and a pair is dropped once they exceed the budget. The upper trie is a table: a round
-takes the pairs whose nodes hold more than ``LEAVES`` fingerprints ``STEP`` levels down, by equality joins on
-paths with up to the budget of their bits flipped. Smaller pairs are walked to the end inside a task, over
-sorted arrays, and give a spanning forest of their links, so that a dense group costs no more rows than it
-has members in a pair. Distinct fingerprints have at most 2,080 neighbours within two bits.
+differ are counted, and a pair is dropped once they exceed the budget. The upper trie is a table. Its first
+``FIRST`` levels are taken at once, which spreads the work at any size; then each round takes the pairs whose
+nodes hold more than ``LEAVES`` fingerprints ``STEP`` levels down. Both are equality joins on paths with up to
+the budget of their bits flipped. Smaller pairs are walked to the end inside a task, over sorted arrays: a task
+holds the fingerprints below one node, and those below each of its partners pass by. Every pair gives a
+spanning forest of its links, so that a dense group costs no more rows than it has members in a pair.
+Distinct fingerprints have at most 2,080 neighbours within two bits.
 """
 
 from __future__ import annotations
@@ -29,7 +31,8 @@ BITS = 64
 WIDTH = 3
 BUDGET = 2
 SEED = 42
-LEAVES = 16_384
+LEAVES = 32_768
+FIRST = 8
 STEP = 4
 TINY = 64  # products of node sizes up to this are compared at once
 PAIRS = 1 << 15  # node pairs walked at once
@@ -110,7 +113,7 @@ def even_bits(prints: DataFrame) -> list[int]:
 
 
 def _permuted(values: np.ndarray, order: list[int]) -> np.ndarray:
-    """Bits of values in another order, ``order[0]`` as the highest; the reverse with ``order`` as places."""
+    """Bits of values in another order, ``order[0]`` as the highest."""
     out = np.zeros(len(values), np.uint64)
     for place, bit in enumerate(order):
         out |= ((values >> np.uint64(bit)) & np.uint64(1)) << np.uint64(BITS - 1 - place)
@@ -138,17 +141,22 @@ def _masks(bits: int, budget: int) -> list[tuple[int, int]]:
     return [(m, m.bit_count()) for m in range(1 << bits) if m.bit_count() <= budget]
 
 
-def node_pairs(paths: DataFrame, budget: int = BUDGET, leaves: int = LEAVES, step: int = STEP) -> DataFrame:
-    """Pairs of trie nodes left to walk inside a task: ``depth``, ``a`` <= ``b`` (paths so far).
+def _flips(bits: int, budget: int):
+    """An array of masks of at most ``budget`` of ``bits`` bits, with their number of ones."""
+    return F.array(*[F.struct(F.lit(m).cast("long").alias("mask"), F.lit(n).alias("ones")) for m, n in _masks(bits, budget)])
+
+
+def node_pairs(paths: DataFrame, budget: int = BUDGET, leaves: int = LEAVES) -> DataFrame:
+    """Pairs of trie nodes left to walk inside a task: ``depth``, ``a``, ``b`` (paths so far).
 
     Every two fingerprints within the budget lie below exactly one pair. The rounds end at depth 64, where a
     node holds one fingerprint.
     """
-    spark = paths.sparkSession
-    total = paths.count()
-    pairs = spark.createDataFrame([(0, 0, 0, total, total)], "a long, b long, apart int, n_a long, n_b long")
-    done, depth = None, 0
-    flips = F.array(*[F.struct(F.lit(m).cast("long").alias("mask"), F.lit(n).alias("ones")) for m, n in _masks(step, budget)])
+    nodes = stored(paths.groupBy(_prefix(FIRST).alias("x")).agg(F.count(F.lit(1)).alias("n_x")), "trie-nodes")
+    right = nodes.select(F.col("x").alias("y"), F.col("n_x").alias("n_y"))
+    met = nodes.withColumn("flip", F.explode(_flips(FIRST, budget))).withColumn("y", F.col("x").bitwiseXOR(F.col("flip.mask"))).where("x <= y").join(right, "y")
+    pairs = met.select(F.col("x").alias("a"), F.col("y").alias("b"), F.col("flip.ones").alias("apart"), F.col("n_x").alias("n_a"), F.col("n_y").alias("n_b"))
+    done, depth, pairs = None, FIRST, stored(pairs, "trie-pairs")
     while True:
         large = (F.col("n_a") + F.when(F.col("a") == F.col("b"), F.lit(0)).otherwise(F.col("n_b")) > leaves) if depth < BITS else F.lit(False)
         small = pairs.where(~large).select(F.lit(depth).alias("depth"), "a", "b")
@@ -156,16 +164,16 @@ def node_pairs(paths: DataFrame, budget: int = BUDGET, leaves: int = LEAVES, ste
         pairs = pairs.where(large)
         if pairs.isEmpty():
             return done
-        nodes = small_side(pairs.select(F.explode(F.array("a", "b")).alias("parent")).distinct())
-        below = paths.withColumn("parent", _prefix(depth)).join(nodes, "parent")
-        depth += step
+        parents = small_side(pairs.select(F.explode(F.array("a", "b")).alias("parent")).distinct())
+        below = paths.withColumn("parent", _prefix(depth)).join(parents, "parent")
+        depth += STEP
         children = stored(below.groupBy("parent", _prefix(depth).alias("child")).agg(F.count(F.lit(1)).alias("n")), "trie-nodes")
         left = children.select(F.col("parent").alias("a"), F.col("child").alias("x"), F.col("n").alias("n_x"))
         right = children.select(F.col("child").alias("y"), F.col("n").alias("n_y"))
-        reached = pairs.join(left, "a").withColumn("flip", F.explode(flips)).where(F.col("apart") + F.col("flip.ones") <= budget)
+        reached = pairs.join(left, "a").withColumn("flip", F.explode(_flips(STEP, budget))).where(F.col("apart") + F.col("flip.ones") <= budget)
         # The partner's path: the other node's, then the bits of this child with some flipped.
-        low = F.col("x").bitwiseAND((1 << step) - 1).bitwiseXOR(F.col("flip.mask"))
-        reached = reached.withColumn("y", F.shiftleft("b", step).bitwiseOR(low)).where("a <> b or x <= y")
+        low = F.col("x").bitwiseAND((1 << STEP) - 1).bitwiseXOR(F.col("flip.mask"))
+        reached = reached.withColumn("y", F.shiftleft("b", STEP).bitwiseOR(low)).where("a <> b or x <= y")
         joined = reached.join(right, "y")
         pairs = stored(joined.select(F.col("x").alias("a"), F.col("y").alias("b"), (F.col("apart") + F.col("flip.ones")).alias("apart"), F.col("n_x").alias("n_a"), F.col("n_y").alias("n_b")), "trie-pairs")
 
@@ -270,29 +278,40 @@ def _compare(a: np.ndarray, b: np.ndarray, pairs: np.ndarray, budget: int, insid
             forest.link(i[near], j[near] + shift)
 
 
+OWN_WALKED, OWN, OTHER = range(3)
+
+
 def _walked(budget: int):
-    """A ``mapInArrow`` function over rows (depth, a, b, side, path) sorted by the first four, which name a pair and its side."""
+    """A ``mapInArrow`` function over rows (depth, home, turn, other, path) sorted by all but the path.
 
-    def links(rows: np.ndarray) -> np.ndarray:
-        cut = int(np.searchsorted(rows[:, 3], 1))
-        paths = np.ascontiguousarray(rows[:, 4]).view(np.uint64)
-        paths = np.concatenate([np.sort(paths[:cut]), np.sort(paths[cut:])])
-        found = walk(paths[:cut], paths[cut:] if cut < len(paths) else None, int(rows[0, 0]), budget)
-        return paths[np.array(found, np.int64).reshape(-1, 2)].view(np.int64)
+    A home node's own fingerprints come first and are held; each of its partners' follow.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
+        home = np.empty(0, np.uint64)
 
         def given() -> pa.RecordBatch:
-            found = links(np.concatenate(held))
-            return pa.record_batch([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+            nonlocal home
+            rows = np.concatenate(held)
+            depth, turn = int(rows[0, 0]), int(rows[0, 2])
+            paths = np.sort(np.ascontiguousarray(rows[:, 4]).view(np.uint64))
+            found: list[tuple[int, int]] = []
+            if turn == OTHER:
+                found, both = walk(home, paths, depth, budget), np.concatenate([home, paths])
+            else:
+                home = both = paths
+                if turn == OWN_WALKED:
+                    found = walk(home, None, depth, budget)
+            links = both[np.array(found, np.int64).reshape(-1, 2)].view(np.int64)
+            return pa.record_batch([pa.array(links[:, 0]), pa.array(links[:, 1])], names=["a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
             rows = np.stack([batch.column(i).to_numpy() for i in range(5)], axis=1)
-            for part in np.split(rows, np.flatnonzero((rows[1:, :3] != rows[:-1, :3]).any(axis=1)) + 1):
-                if held and (held[-1][0, :3] != part[0, :3]).any():
+            for part in np.split(rows, np.flatnonzero((rows[1:, :4] != rows[:-1, :4]).any(axis=1)) + 1):
+                if held and (held[-1][0, :4] != part[0, :4]).any():
                     yield given()
                     held = []
                 held.append(part)
@@ -305,13 +324,15 @@ def _walked(budget: int):
 def trie_links(paths: DataFrame, budget: int = BUDGET, leaves: int = LEAVES) -> DataFrame:
     """``a``, ``b``: links of distinct paths that span the same components as all pairs within the budget."""
     pairs = stored(node_pairs(paths, budget, leaves), "trie-leaves")
-    own = pairs.select("depth", F.col("a").alias("node"), "a", "b", F.lit(0).cast("long").alias("side"))
-    other = pairs.where("a <> b").select("depth", F.col("b").alias("node"), "a", "b", F.lit(1).cast("long").alias("side"))
+    own = pairs.groupBy("depth", "a").agg(F.min(F.when(F.col("a") == F.col("b"), OWN_WALKED).otherwise(OWN)).alias("turn"))
+    own = own.select("depth", F.col("a").alias("node"), F.col("a").alias("home"), "turn", F.col("a").alias("other"))
+    partners = pairs.where("a <> b").select("depth", F.col("b").alias("node"), F.col("a").alias("home"), F.lit(OTHER).alias("turn"), F.col("b").alias("other"))
     depths = sorted(r.depth for r in pairs.select("depth").distinct().collect())  # one each STEP levels at most
-    nodes = F.explode(F.array(*[F.struct(F.lit(d).alias("depth"), _prefix(d).alias("node")) for d in depths]))
-    dealt = paths.select("path", nodes.alias("at")).select("path", "at.*").join(small_side(own.unionByName(other)), ["depth", "node"])
-    sorted_pairs = dealt.select(F.col("depth").cast("long"), "a", "b", "side", "path").repartition("depth", "a", "b").sortWithinPartitions("depth", "a", "b", "side")
-    return sorted_pairs.mapInArrow(_walked(budget), "a long, b long")
+    nodes = F.explode(F.array(*[F.struct(F.lit(d).alias("depth"), _prefix(d).alias("node")) for d in depths or [FIRST]]))
+    dealt = paths.select("path", nodes.alias("at")).select("path", "at.*").join(small_side(own.unionByName(partners)), ["depth", "node"])
+    keys = [F.col("depth").cast("long").alias("depth"), "home", F.col("turn").cast("long").alias("turn"), "other", "path"]
+    sorted_homes = dealt.select(*keys).repartition("depth", "home").sortWithinPartitions("depth", "home", "turn", "other")
+    return sorted_homes.mapInArrow(_walked(budget), "a long, b long")
 
 
 def simhash_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = WIDTH, budget: int = BUDGET, leaves: int = LEAVES) -> DataFrame:
