@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm.byte_bpe import encoder
+from tidemark.llm.byte_bpe import text_encoder
 from tidemark.llm.rans import Decoder, Frequencies, encode
 from tidemark.llm.tables import stored
 
@@ -57,67 +57,68 @@ PIECES_DDL = "part int, block int, piece int, start long, doc_id long, n_tokens
 
 
 def _packed(docs: DataFrame, tokenizer: str, end_id: int, text: str, doc_id: str, block_tokens: int) -> DataFrame:
-    """Blocks in order, with the plain ids as payload."""
+    """Blocks in order, with the plain ids as payload; at the end of each part a row of block -1 counts its ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool, part, start = encoder(tokenizer), TaskContext.get().partitionId(), 0
+        tool, part, start = text_encoder(tokenizer), TaskContext.get().partitionId(), 0
         if tool.width.itemsize > np.dtype(IDS).itemsize:
             raise ValueError("ids of this vocabulary need more than 16 bits")
+        end, counts = np.array([end_id], IDS).tobytes(), np.zeros(1 << 16, np.int64)
 
-        def documents() -> Iterator[tuple[int | None, np.ndarray]]:
+        def documents() -> Iterator[tuple[int | None, bytes]]:
             for whole in batches:
                 for at in range(0, whole.num_rows, ROWS):
                     batch = whole.slice(at, ROWS)
-                    texts = [t or "" for t in batch.column(1).to_pylist()]
-                    for one, ids in zip(batch.column(0).to_pylist(), tool.encode(texts), strict=True):
-                        yield one, np.append(np.frombuffer(ids, tool.width), tool.width.type(end_id))
+                    for one, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                        yield one, tool.encode(value or "")
 
-        for number, (ids, lengths, piece, pieces, symbols) in enumerate(_blocks(documents(), block_tokens)):
-            row = [part], [number], [start], [len(symbols)], [ids], [lengths], [piece], [pieces], [symbols.astype(IDS).tobytes()]
-            yield pa.record_batch([pa.array(v, t) for v, t in zip(row, BLOCKS.types, strict=True)], schema=BLOCKS)
-            start += len(symbols)
+        def row(*values) -> pa.RecordBatch:
+            return pa.record_batch([pa.array([v], t) for v, t in zip(values, BLOCKS.types, strict=True)], schema=BLOCKS)
 
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chosen = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return chosen.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(run, BLOCKS_DDL)
+        for number, (ids, lengths, piece, pieces, payload) in enumerate(_blocks(documents(), end, block_tokens)):
+            n = sum(lengths)
+            counts += np.bincount(np.frombuffer(payload, IDS), minlength=len(counts))
+            yield row(part, number, start, n, ids, lengths, piece, pieces, payload)
+            start += n
+        seen = np.flatnonzero(counts)
+        yield row(part, -1, 0, 0, seen, counts[seen], 0, 0, b"")
 
+    # As many parts as the session deals; the further keys split an id that many rows share.
+    chosen = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("_key"), F.monotonically_increasing_id().alias("_row"))
+    dealt = chosen.repartitionByRange("doc_id", "_key", "_row").sortWithinPartitions("doc_id", "_key", "_row")
+    return dealt.select("doc_id", "text").mapInArrow(run, BLOCKS_DDL)
 
-def id_counts(blocks: DataFrame) -> np.ndarray:
-    """Occurrences of every id over all plain blocks; each task adds up its own first."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << 16, np.int64)
-        for batch in batches:
-            for payload in batch.column(0):
-                own = np.bincount(np.frombuffer(payload.as_buffer(), IDS), minlength=len(counts))
-                own[: len(counts)] += counts
-                counts = own
-        seen = np.flatnonzero(counts)
-        yield pa.record_batch([pa.array(seen, pa.int64()), pa.array(counts[seen], pa.int64())], names=["id", "n"])
-
-    rows = blocks.select("payload").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()  # vocabulary-sized
-    counts = np.zeros(max([0, *(r["id"] for r in rows)]) + 1, np.int64)
+def id_counts(blocks: DataFrame) -> np.ndarray:
+    """Occurrences of every id over all plain blocks, from the counts of the parts."""
+    pairs = F.explode(F.arrays_zip("doc_ids", "doc_tokens")).alias("pair")
+    rows = blocks.where("block = -1").select(pairs).groupBy("pair.doc_ids").agg(F.sum("pair.doc_tokens").alias("n")).collect()  # vocabulary-sized
+    counts = np.zeros(max([0, *(r["doc_ids"] for r in rows)]) + 1, np.int64)
     for r in rows:
-        counts[r["id"]] = r["n"]
+        counts[r["doc_ids"]] = r["n"]
     return counts
 
 
-def _blocks(docs: Iterator[tuple[int | None, np.ndarray]], most: int) -> Iterator[tuple[list, list, int, int, np.ndarray]]:
-    """Documents packed into blocks: ids, lengths, which piece of how many of a long document, symbols."""
-    ids, held, size = [], [], 0
+def _blocks(docs: Iterator[tuple[int | None, bytes]], end: bytes, most: int) -> Iterator[tuple[list, list, int, int, bytes]]:
+    """Documents and an end each packed into blocks: doc ids, lengths, which piece of how many of a long document, token ids."""
+    width = len(end)
+    ids, lengths, held, size = [], [], [], 0
     for doc_id, tokens in docs:
-        if held and size + len(tokens) > most:
-            yield ids, [len(h) for h in held], 0, 1, np.concatenate(held)
-            ids, held, size = [], [], 0
-        if len(tokens) > most:
-            for piece, at in enumerate(range(0, len(tokens), most)):
-                yield [doc_id], [len(tokens[at : at + most])], piece, -(-len(tokens) // most), tokens[at : at + most]
+        n = len(tokens) // width + 1
+        if ids and size + n > most:
+            yield ids, lengths, 0, 1, b"".join(held)
+            ids, lengths, held, size = [], [], [], 0
+        if n > most:
+            whole = tokens + end
+            for piece, at in enumerate(range(0, n, most)):
+                yield [doc_id], [min(most, n - at)], piece, -(-n // most), whole[width * at : width * (at + most)]
             continue
         ids.append(doc_id)
-        held.append(tokens)
-        size += len(tokens)
-    if held:
-        yield ids, [len(h) for h in held], 0, 1, np.concatenate(held)
+        lengths.append(n)
+        held += (tokens, end)
+        size += n
+    if ids:
+        yield ids, lengths, 0, 1, b"".join(held)
 
 
 def write_token_files(
@@ -143,7 +144,7 @@ def write_token_files(
                 payload = encode(np.frombuffer(row.column(last)[0].as_buffer(), IDS), slots)
                 yield pa.record_batch([*row.columns[:last], pa.array([payload], pa.binary())], names=BLOCKS.names)
 
-    plain.mapInArrow(compress, BLOCKS_DDL).write.parquet(f"{path}/blocks")
+    plain.where("block >= 0").mapInArrow(compress, BLOCKS_DDL).write.parquet(f"{path}/blocks")
 
 
 def read_token_files(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
@@ -173,7 +174,9 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = False) ->
                 yield pa.record_batch([pa.array(v, t) for v, t in zip(zip(*out, strict=True), PIECES.types, strict=True)], schema=PIECES)
 
     whole = blocks.where("pieces = 1").mapInArrow(run, PIECES_DDL).select("part", "start", "doc_id", "n_tokens", "ids_crc32", "ids")
-    joined = F.aggregate(F.array_sort(F.collect_list(F.struct("piece", "ids"))), F.lit(b""), lambda a, x: F.concat(a, x["ids"]))
+    # Each piece in hexadecimal, so that a document is put together once and not copied for every piece.
+    pieces = F.transform(F.array_sort(F.collect_list(F.struct("piece", "ids"))), lambda x: F.hex(x["ids"]))
+    joined = F.unhex(F.array_join(pieces, ""))
     long = (
         blocks.where("pieces > 1")
         .mapInArrow(run, PIECES_DDL)
