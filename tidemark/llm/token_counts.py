@@ -1,8 +1,8 @@
 """Token counts by a map-side two-tier lookup.
 
-Tier 1 is a broadcast table from frequent chunks of text to their token counts. It is taken from a
-bounded sample and holds at most ``table_size`` entries, so its size is bounded; it changes the speed
-and never a count. Tier 2 is a bounded cache in every worker for the chunks the table lacks. No chunk
+Tier 1 is a broadcast table from frequent chunks of text to their token counts. Every task counts the
+chunks of all its texts in a bounded counter and gives the most frequent ones; their sums fill the table,
+which holds at most ``table_size`` entries, so its size is bounded. It changes the speed and never a count. Tier 2 is a bounded cache in every worker for the chunks the table lacks. No chunk
 is ever shuffled.
 """
 
@@ -17,36 +17,32 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.llm.byte_bpe import CACHED_LENGTH, encoder
 
 TABLE_SIZE = 65_536
-SAMPLE_TEXTS = 2_000
-SAMPLE_CHARS = 4_000_000
+COUNTED = 200_000
 ROWS = 256
 
 
-def frequent_lengths(
-    docs: DataFrame, tokenizer: str, text: str = "text", table_size: int = TABLE_SIZE, sample_texts: int = SAMPLE_TEXTS
-) -> dict[str, int]:
-    """Token counts of the chunks that are frequent in a sample of at most ``sample_texts`` texts.
+def frequent_lengths(docs: DataFrame, tokenizer: str, text: str = "text", table_size: int = TABLE_SIZE, counted: int = COUNTED) -> dict[str, int]:
+    """Token counts of the chunks that are most frequent in all texts.
 
-    The sample only fills the table. Texts are read up to ``SAMPLE_CHARS`` characters in total here, so
-    that very long ones can't make the table costly.
+    A task holds at most ``counted`` chunks: when there are more, the rarer half is forgotten. It gives at most
+    ``table_size`` of them, seen twice or more.
     """
 
     def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool, seen, left = encoder(tokenizer), Counter(), SAMPLE_CHARS
-        for batch in batches:
-            for value in batch.column(0).to_pylist():
-                if value and left > 0:
-                    seen.update(p for p in (tool.chunks(value[:left]) or [])[1:] if len(p) <= CACHED_LENGTH)
-                    left -= len(value)
-        top = sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:table_size]
-        ids = tool.whole([" " + p for p, _ in top])
-        yield pa.record_batch(
-            [pa.array([p for p, _ in top], pa.string()), pa.array([len(i) // tool.width.itemsize for i in ids], pa.int32())], names=["chunk", "n"]
-        )
-
-    # one small task: a limit of rows, moved to one partition
-    rows = docs.select(F.col(text)).limit(sample_texts).coalesce(1).mapInArrow(frequent, "chunk string, n int").collect()
-    return {r["chunk"]: r["n"] for r in rows}
+        tool, seen = encoder(tokenizer), Counter()
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                for value in whole.column(0).slice(at, ROWS).to_pylist():
+                    seen.update((tool.chunks(value) or ())[1:] if value else ())
+                if len(seen) > counted:
+                    seen = Counter(dict(seen.most_common(counted // 2)))
+        top = [(p, n) for p, n in seen.most_common(table_size) if n > 1 and len(p) <= CACHED_LENGTH]
+        yield pa.record_batch([pa.array([p for p, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], names=["chunk", "n"])
+
+    summed = docs.select(F.col(text)).mapInArrow(frequent, "chunk string, n long").groupBy("chunk").agg(F.sum("n").alias("n"))
+    rows = summed.orderBy(F.desc("n"), "chunk").limit(table_size).collect()
+    tool = encoder(tokenizer)
+    return {r["chunk"]: len(tool.chunk(r["chunk"])) // tool.width.itemsize for r in rows}
 
 
 def count_tokens(
@@ -58,6 +54,7 @@ def count_tokens(
     Rows are independent, so repeated rows repeat and hot sources cost nothing; other columns are not read.
     """
     table = docs.sparkSession.sparkContext.broadcast(frequent_lengths(docs, tokenizer, text, table_size))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool, first_tier = encoder(tokenizer), table.value
         for whole in batches:
