@@ -148,18 +148,20 @@ def clean_lines(docs: DataFrame, rules: LineRules | None = None, text: str = "te
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(at, ROWS)
-                texts = utf8(batch.column(batch.num_columns - 1))
+                texts = utf8(batch.column(at_text))
                 n, chars, symbols, repeated = _counts(texts)
                 lines = [cleaned(t.decode(), rules) for t in texts]
                 left = np.array([x[1] for x in lines], np.int64)
                 failed = (n < rules.min_words) | (100 * repeated > rules.max_repeated_percent * n)
                 verdict = ~failed & (n - left <= rules.max_lost * n)
                 counts = [n, chars, symbols, np.array([x[3] for x in lines]), repeated, left, *np.array([x[2] for x in lines]).T]
-                out = [*batch.columns[:-1], *([pa.array([x[0] for x in lines], pa.string())] if with_text else [])]
+                out = [*batch.columns[: len(kept_columns)], *([pa.array([x[0] for x in lines], pa.string())] if with_text else [])]
                 out += [pa.array(c, pa.int64()) for c in counts] + [pa.array(failed), pa.array(verdict)]
                 yield pa.record_batch(out, names=[*kept_columns, *["cleaned"] * with_text, *COUNTS, "base_failed", "kept"])
 
-    selected = docs.select(*[F.col(f"`{c}`") for c in kept_columns], F.col(f"`{text}`").alias("_text"))
+    # The text is handed over once, whether it is kept or not.
+    at_text = kept_columns.index(text) if text in kept_columns else len(kept_columns)
+    selected = docs.select(*[F.col(f"`{c}`") for c in kept_columns], *([] if text in kept_columns else [F.col(f"`{text}`").alias("_text")]))
     schema = docs.select(*[F.col(f"`{c}`") for c in kept_columns]).schema
     for name in ["cleaned"] * with_text:
         schema = schema.add(name, "string")

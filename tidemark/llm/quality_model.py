@@ -158,18 +158,20 @@ def score(docs: DataFrame, weights: np.ndarray, keep: tuple[str, ...], text: str
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(at, ROWS)
-                texts = utf8(batch.column(batch.num_columns - 1))
+                texts = utf8(batch.column(at_text))
                 margin = np.full(len(texts), w[-1])
                 for start, part in slices(texts):
                     owner, buckets, values = features(part, settings.bits)
                     margin[start : start + len(part)] += np.bincount(owner, w[buckets] * values, len(part))
                 got = _probability(margin)
-                out = [*batch.columns[:-1], pa.array(got), pa.array((got >= 0.5).astype(np.int32))]
+                out = [*batch.columns[: len(keep)], pa.array(got), pa.array((got >= 0.5).astype(np.int32))]
                 yield pa.record_batch(out, names=[*keep, "score", "predicted"])
 
     kept = [c for c in keep if c not in ("score", "predicted")]
     if len(kept) != len(keep):
         raise ValueError("score and predicted are results")
-    selected = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("_text"))
+    # The text is handed over once, whether it is kept or not.
+    at_text = keep.index(text) if text in keep else len(keep)
+    selected = docs.select(*[F.col(f"`{c}`") for c in keep], *([] if text in keep else [F.col(f"`{text}`").alias("_text")]))
     schema = docs.select(*[F.col(f"`{c}`") for c in keep]).schema.add("score", "double").add("predicted", "integer")
     return selected.mapInArrow(run, schema)

@@ -10,8 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.session import scratch_path
 
 
+# Texts that are handed to a Python worker at once.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches in bytes, so that long texts don't make a worker's batches large."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of a test folder."""
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
