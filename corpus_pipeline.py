@@ -10,12 +10,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import quality_model
-from tidemark.llm.jaccard_join import Join, jaccard_components
+from tidemark.llm.jaccard_join import Join
 from tidemark.llm.line_rules import clean_lines
 from tidemark.llm.mixing import mixed_documents
+from tidemark.llm.near_copies import first_of_near_copies
 from tidemark.llm.pieces import decode_pieces, encode_pieces
-from tidemark.llm.tables import stored, table
-from tidemark.session import small_side
+from tidemark.llm.tables import bounded_batches, stored, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 # Near copies share 80 % of their five-word shingles or more.
@@ -26,8 +26,9 @@ ORACLE_SQL = None
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line rules keep, without their failing lines; ``n_chars`` follows the text."""
-    kept = clean_lines(docs).where("kept")
-    return kept.drop("text", "n_chars").withColumnRenamed("cleaned", "text").withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    bounded_batches(spark)
+    kept = clean_lines(docs, keep=("doc_id", "lang", "source")).where("kept")
+    return kept.withColumnRenamed("cleaned", "text").withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,28 +39,13 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     settings = quality_model.Settings()
     sample = quality_model.sample_labelled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "quality", settings.sample)
     weights = quality_model.train(sample, settings=settings)
-    return quality_model.score(docs, weights, docs.columns, settings=settings).where("predicted = 1").select(*COLUMNS)
+    return quality_model.score(docs, weights, COLUMNS, settings=settings).where("predicted = 1").select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of linked ones: that with the smallest id. Rows without an id stay.
-
-    Rows are told apart by a 64-bit hash of id and text, so rows that share an id but are not linked all stay.
-    Of rows with the same id and text the least one stays.
-    """
-    keyed = docs.select(*COLUMNS, F.xxhash64("doc_id", F.col("text").isNull(), "text").alias("_key"))
-    named = keyed.where("doc_id is not null")
-    found = stored(jaccard_components(named, NEAR, doc_id="_key"), "pipeline-groups")
-    others = found.where("doc_id <> component_id").select("component_id", F.col("doc_id").alias("_key")).distinct()
-    linked = small_side(others.unionByName(others.select("component_id", F.col("component_id").alias("_key")).distinct()))
-    owned = stored(named.select("_key", "doc_id").join(linked, "_key").distinct(), "pipeline-owned")
-    first = small_side(owned.groupBy("component_id").agg(F.min(F.struct("doc_id", "_key")).alias("first")))
-    dropped = small_side(owned.join(first, "component_id").where("_key <> first._key").select("_key"))
-    repeated = small_side(found.groupBy(F.col("doc_id").alias("_key")).count().where("count > 1").select("_key"))
-    left = keyed.join(dropped, "_key", "left_anti")
-    once = left.where("doc_id is not null").join(repeated, "_key", "left_semi").groupBy("_key").agg(F.min(F.struct(*COLUMNS)).alias("row")).select("row.*")
-    unnamed = left.where("doc_id is null")
-    return left.where("doc_id is not null").join(repeated, "_key", "left_anti").select(*COLUMNS).unionByName(once).unionByName(unnamed.select(*COLUMNS))
+    """One row of each group of linked ones: that with the smallest id. Rows without an id stay."""
+    bounded_batches(spark)
+    return first_of_near_copies(docs, NEAR, COLUMNS)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,6 +55,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document of the mix (``piece_ids``, little-endian unsigned 32-bit integers), their number, and the digest of the text decoded from them."""
+    bounded_batches(spark)
     model = public_tokenizers.path("piece_bpe_32k.model")
     decoded = decode_pieces(encode_pieces(docs, model).select("doc_id", "lang", "source", "piece_ids"), model)
     return decoded.select("doc_id", "lang", "source", (F.octet_length("piece_ids") / 4).cast("long").alias("n_tokens"), "piece_ids", F.sha2("decoded", 256).alias("decoded_sha256"))
