@@ -7,7 +7,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidemark.functions.instants import day_bounds
-from tidemark.session import small_side
+from tidemark.session import materialize, small_side
 
 # The audit source keeps 28 days.
 RETENTION_DAYS = 28
@@ -43,29 +43,31 @@ def newer_than_watermark(
     return with_watermark(records, marks).filter(keep).drop("watermark")
 
 
+def _holding(bins: DataFrame, offset: Column) -> DataFrame:
+    """Of the counted bins (``bin``, ``n``) of each dataset the one that holds the element at ``offset``, and its place there."""
+    whole = Window.partitionBy("dataset_id")
+    before = F.coalesce(F.sum("n").over(whole.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = bins.withColumn("total", F.sum("n").over(whole)).withColumn("place", offset - before)
+    return placed.filter((F.col("place") >= 0) & (F.col("place") < F.col("n"))).select("dataset_id", "bin", F.col("place").alias("offset"))
+
+
 def midpoint_watermarks(refresh: DataFrame, chunk_seconds: int = 3600) -> DataFrame:
     """Element ``n div 2`` of the sorted starts of each dataset (the upper median), exact.
 
-    Counts per time chunk locate the chunk that holds the element, counts per second inside it the
-    second, counts per instant inside that the element. Rows are only ever counted, so a dataset
-    with all its rows in one minute is neither sorted nor gathered in one task.
+    Starts are counted by second once. Sums of these counts by chunk locate the chunk that holds the element,
+    the counts inside it the second; only the rows of that second are read again. Rows are only ever counted, so
+    a dataset with all its rows in one minute is neither sorted nor gathered in one task.
     """
-    starts = refresh.filter(F.col("start_time").isNotNull()).select(
-        "dataset_id", F.unix_micros("start_time").alias("at")
-    )
-    whole = Window.partitionBy("dataset_id")
-    within, offset = starts, F.expr("total div 2")
-    for width in (chunk_seconds * 1_000_000, 1_000_000, 1):
-        bins = within.groupBy(*[name for name in within.columns if name != "at"], F.floor(F.col("at") / width).alias("bin"))
-        counts = bins.agg(F.count(F.lit(1)).alias("n")).withColumn("total", F.sum("n").over(whole))
-        before = F.sum("n").over(whole.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1))
-        counts = counts.withColumn("before", F.coalesce(before, F.lit(0)))
-        holds = (offset >= F.col("before")) & (offset < F.col("before") + F.col("n"))
-        located = counts.filter(holds).select("dataset_id", "bin", (offset - F.col("before")).alias("offset"))
-        if width > 1:
-            place = F.floor(F.col("at") / width).alias("bin")
-            within = starts.select("*", place).join(small_side(located), ["dataset_id", "bin"]).drop("bin")
-            offset = F.col("offset")
+    starts = refresh.filter(F.col("start_time").isNotNull()).select("dataset_id", F.unix_micros("start_time").alias("at"))
+    second = F.floor(F.col("at") / 1_000_000)
+    seconds = materialize(starts.groupBy("dataset_id", second.alias("second")).agg(F.count(F.lit(1)).alias("n")), "seconds")
+    chunk = F.floor(F.col("second") / chunk_seconds)
+    chunks = seconds.groupBy("dataset_id", chunk.alias("bin")).agg(F.sum("n").alias("n"))
+    in_chunk = _holding(chunks, F.expr("total div 2")).withColumnRenamed("bin", "chunk")
+    near = seconds.withColumn("chunk", chunk).join(in_chunk, ["dataset_id", "chunk"]).withColumnRenamed("second", "bin")
+    in_second = small_side(_holding(near, F.col("offset")).withColumnRenamed("bin", "second"))
+    instants = starts.withColumn("second", second).join(in_second, ["dataset_id", "second"]).groupBy("dataset_id", F.col("at").alias("bin"), "offset").agg(F.count(F.lit(1)).alias("n"))
+    located = _holding(instants, F.col("offset"))
     return located.select("dataset_id", F.timestamp_micros("bin").alias("watermark"))
 
 

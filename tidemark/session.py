@@ -28,9 +28,7 @@ def build_session(app_name: str = "tidemark", master: str | None = None, **conf:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    # Checkpoints nobody can reach any more are deleted.
-    cleaning = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true"}
-    for key, value in {**SESSION_CONF, **cleaning, **conf}.items():
+    for key, value in {**SESSION_CONF, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -62,10 +60,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute once and cut the lineage; survives the loss of any executor."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, label: str = "kept") -> DataFrame:
+    """Write a frame to the shared folder and read it back.
+
+    The plan is computed once and cut, columns are pruned when it is read, and the loss of any executor is survived.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _row_bytes(df: DataFrame) -> Column:
@@ -84,7 +86,7 @@ def _row_bytes(df: DataFrame) -> Column:
 
 @dataclass(frozen=True)
 class Side:
-    """A materialized join side: its frame (marked for broadcast if small), and what was measured."""
+    """A stored join side: its frame (marked for broadcast if small), and what was measured."""
 
     frame: DataFrame
     rows: int
@@ -92,23 +94,23 @@ class Side:
 
 
 def measured(kept: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> Side:
-    """Measure a materialized frame and mark it for broadcast only if it is proven small.
+    """Measure a stored frame and mark it for broadcast only if it is proven small.
 
-    Reading ends one row past the bound, so ``rows`` is exact up to it. A frame over either bound stays unhinted, so joins with it are shuffled and adaptive execution
-    splits their hot keys.
+    Rows and bytes are added up where they lie, so a large side costs one pass and moves no rows. A frame over
+    either bound stays unhinted: joins with it are shuffled and adaptive execution splits their hot keys.
     """
-    rows, size = kept.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(_row_bytes(kept))).first()
+    rows, size = kept.agg(F.count(F.lit(1)), F.sum(_row_bytes(kept))).first()
     small = rows <= max_rows and (size or 0) <= max_bytes
     return Side(F.broadcast(kept) if small else kept, rows, small)
 
 
 def sized_side(df: DataFrame, **bounds: int) -> Side:
-    """Materialize a join side and measure it."""
-    return measured(materialize(df), **bounds)
+    """Store a join side and measure it."""
+    return measured(materialize(df, "side"), **bounds)
 
 
 def small_side(df: DataFrame, **bounds: int) -> DataFrame:
-    """A materialized join side, marked for broadcast only if it is proven small."""
+    """A stored join side, marked for broadcast only if it is proven small."""
     return sized_side(df, **bounds).frame
 
 
@@ -150,6 +152,29 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         raise OSError(f"could not name {path}")
 
 
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small file; a reader between the two steps finds the new text under its unfinished name."""
+    files, hadoop_path = _file_system(spark, path)
+    _, spare = _file_system(spark, f"{path}.next")
+    write_text(spark, f"{path}.next.made", text)
+    _, made = _file_system(spark, f"{path}.next.made")
+    files.delete(spare, False)
+    files.rename(made, spare)
+    files.delete(hadoop_path, False)
+    if not files.rename(spare, hadoop_path):
+        raise OSError(f"could not name {path}")
+
+
+def read_replaced(spark: SparkSession, path: str) -> str | None:
+    """The text that ``replace_text`` wrote last, whole; None if there is none. Finishes a replacement that died."""
+    files, hadoop_path = _file_system(spark, path)
+    _, spare = _file_system(spark, f"{path}.next")
+    if files.exists(spare):
+        files.delete(hadoop_path, False)
+        files.rename(spare, hadoop_path)
+    return read_text(spark, path) if files.exists(hadoop_path) else None
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """Text of a small file on the file system of its path."""
     return "\n".join(row.value for row in spark.read.option("wholetext", True).text(path).collect())
