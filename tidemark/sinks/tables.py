@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 from tidemark import schemas
 from tidemark.operators import merge
 from tidemark.operators.incremental import listed_days, on_days, only_days
+from tidemark.sinks.id_index import BUCKETS, IdIndex
 from tidemark.session import (
     materialize,
     measured,
@@ -20,6 +21,7 @@ from tidemark.session import (
     read_text,
     remove_folder,
     session_conf,
+    small_side,
     subfolders,
     write_text,
 )
@@ -30,20 +32,21 @@ STAGED_ROWS, READY = "rows", "ready.json"
 
 @dataclass(frozen=True)
 class TableSpec:
-    """Schema, partition column and description of a stored table."""
+    """Schema, partition column, description and id column of a stored table."""
 
     schema: StructType
     partition: str
     comment: str
+    key: str
 
 
-REFRESH_TABLE = TableSpec(schemas.REFRESH_HISTORY, "ingestion_date", "Refresh attempts of the registered datasets.")
-PROBE_TABLE = TableSpec(schemas.QUERY_PERFORMANCE, "probe_date", "Response times of the probe queries.")
-ACTIVITY_TABLE = TableSpec(schemas.ACTIVITY_EVENTS, "creation_date", "Audit events, inserted once per event id.")
+REFRESH_TABLE = TableSpec(schemas.REFRESH_HISTORY, "ingestion_date", "Refresh attempts of the registered datasets.", "request_id")
+PROBE_TABLE = TableSpec(schemas.QUERY_PERFORMANCE, "probe_date", "Response times of the probe queries.", "probe_id")
+ACTIVITY_TABLE = TableSpec(schemas.ACTIVITY_EVENTS, "creation_date", "Audit events, inserted once per event id.", "event_id")
 
 
-def create_table_sql(name: str, spec: TableSpec, location: str | None = None) -> str:
-    """The statement that creates a table if it is absent."""
+def create_table_sql(name: str, spec: TableSpec, location: str | None = None, buckets: int | None = None) -> str:
+    """The statement that creates a table if it is absent; ``buckets`` deals each day's rows to files by hash of the id."""
 
     def quoted(text: str) -> str:
         return "'" + text.replace("'", "\\'") + "'"
@@ -55,15 +58,26 @@ def create_table_sql(name: str, spec: TableSpec, location: str | None = None) ->
         for field in spec.schema.fields
     )
     place = f" LOCATION {quoted(location)}" if location else ""
+    clustered = f"CLUSTERED BY ({spec.key}) INTO {buckets} BUCKETS " if buckets else ""
     return (
         f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
-        f"PARTITIONED BY ({spec.partition}) COMMENT {quoted(spec.comment)}{place}"
+        f"PARTITIONED BY ({spec.partition}) {clustered}COMMENT {quoted(spec.comment)}{place}"
     )
 
 
-def create_table(spark: SparkSession, name: str, spec: TableSpec, location: str | None = None) -> None:
-    """Create a table if it is absent."""
-    spark.sql(create_table_sql(name, spec, location))
+def create_table(spark: SparkSession, name: str, spec: TableSpec, location: str | None = None, buckets: int | None = None) -> None:
+    """Create a table if it is absent.
+
+    A table in ``buckets`` merges batches too large to broadcast without a shuffle of stored rows: only the batch
+    is dealt to the buckets. It has that many files a day at least, so a day should be large.
+    """
+    spark.sql(create_table_sql(name, spec, location, buckets))
+
+
+def _buckets(spark: SparkSession, name: str) -> int | None:
+    """Number of buckets of a table; None if it has none."""
+    found = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Num Buckets'").first()
+    return int(found.data_type) if found else None
 
 
 def _checked(rows: DataFrame, spec: TableSpec) -> DataFrame:
@@ -84,10 +98,16 @@ def _spread(rows: DataFrame, partition: str) -> DataFrame:
     return rows.hint("rebalance", F.col(partition))
 
 
+def _dealt(spark: SparkSession, name: str, rows: DataFrame, spec: TableSpec) -> DataFrame:
+    """Rows as a table's files want them: a task a bucket, or spread by day."""
+    buckets = _buckets(spark, name)
+    return rows.repartition(buckets, spec.key) if buckets else _spread(rows, spec.partition)
+
+
 def append(spark: SparkSession, name: str, rows: DataFrame, spec: TableSpec) -> None:
     """Append rows; nothing happens for none. A merge that a lost driver left staged is finished first."""
     finish_commit(spark, name)
-    spread = _spread(_checked(rows, spec), spec.partition)
+    spread = _dealt(spark, name, _checked(rows, spec), spec)
     spread.select(spark.table(name).columns).write.insertInto(name)
 
 
@@ -96,13 +116,51 @@ def append_probes(spark: SparkSession, name: str, rows: DataFrame) -> None:
     append(spark, name, rows, PROBE_TABLE)
 
 
+def _location(spark: SparkSession, name: str) -> str:
+    return spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first().data_type
+
+
+def id_index(spark: SparkSession, name: str) -> IdIndex:
+    """The id index of a table, whether it exists or not."""
+    return IdIndex(spark, _location(spark, name))
+
+
+def create_id_index(spark: SparkSession, name: str, spec: TableSpec, buckets: int = BUCKETS) -> IdIndex:
+    """Index the ids of a table; from then on its commits look ids up there instead of scanning the table, and keep it."""
+    finish_commit(spark, name)
+    index = id_index(spark, name)
+    index.create(spark.table(name).select(spec.key, spec.partition), spec.key, spec.partition, buckets)
+    return index
+
+
+def _settle(spark: SparkSession, name: str, spec: TableSpec, index: IdIndex) -> None:
+    """Finish what died before: a staged merge, and announced ids."""
+    finish_commit(spark, name)
+    spark.catalog.refreshTable(name)
+
+    def stored(pending: DataFrame) -> DataFrame:
+        kept = materialize(pending, "pending")
+        return merge.known_ids(only_days(spark.table(name), kept, spec.partition), kept.select(spec.key), spec.key)
+
+    index.settle(stored)
+
+
 def commit_events(spark: SparkSession, name: str, source: DataFrame, immutable_days: bool = False) -> None:
     """Insert unseen events; a repeated run inserts none.
 
-    ``immutable_days`` states that an event keeps its creation day, so only the days of the batch
-    are searched for known ids; otherwise the id column of the whole table is.
+    With an id index the ids of the batch are looked up there. Without one, ``immutable_days`` states that an
+    event keeps its creation day, so only the days of the batch are searched for known ids; otherwise the id
+    column of the whole table is.
     """
     batch = materialize(merge.one_per_event(source))
+    index = id_index(spark, name)
+    if index.exists():
+        _settle(spark, name, ACTIVITY_TABLE, index)
+        new = materialize(batch.join(small_side(index.lookup(batch)), "event_id", "left_anti").select(batch.columns), "new-events")
+        announced = index.announce(new)
+        append(spark, name, new, ACTIVITY_TABLE)
+        index.record(announced)
+        return
     target = spark.table(name)
     if immutable_days:
         target = only_days(target, batch, ACTIVITY_TABLE.partition)
@@ -113,8 +171,7 @@ def commit_events(spark: SparkSession, name: str, source: DataFrame, immutable_d
 
 def _staging(spark: SparkSession, name: str) -> str:
     # Readers skip folders that start with an underscore.
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'")
-    return f"{described.first().data_type}/_staged_merge"
+    return f"{_location(spark, name)}/_staged_merge"
 
 
 def _counts_by_day(rows: DataFrame) -> dict[str, int]:
@@ -155,7 +212,8 @@ def _apply_stage(spark: SparkSession, name: str, stage: str) -> None:
         if found.get(day, 0) not in (before, after, 0):
             raise RuntimeError(f"{day} of {name} changed after {stage} was made")
     with session_conf(spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
-        staged.select(spark.table(name).columns).write.insertInto(name, overwrite=True)
+        dealt = staged.repartition(buckets, REFRESH_TABLE.key) if (buckets := _buckets(spark, name)) else staged
+        dealt.select(spark.table(name).columns).write.insertInto(name, overwrite=True)
     remove_folder(spark, f"{stage}/{READY}")  # first, so that a half removed stage is never applied
     remove_folder(spark, stage)
     if not subfolders(spark, _staging(spark, name)):
@@ -166,16 +224,20 @@ def _apply_stage(spark: SparkSession, name: str, stage: str) -> None:
 def commit_refresh(spark: SparkSession, name: str, source: DataFrame) -> DataFrame:
     """Merge refresh rows into the table, rewriting only the days that change; returns the rows that were inserted.
 
-    Stored requests of the batch are found through a scan of two columns, past a broadcast of the
-    batch's ids where they are few. The changed days, with updates and inserts applied, are staged
+    Stored requests of the batch are found in the table's id index, if it has one, and otherwise through a scan of
+    two columns, past a broadcast of the batch's ids where they are few. The changed days, with updates and inserts applied, are staged
     in a folder of this commit and then replace their partitions; a repeated run gives the same table.
     """
     finish_commit(spark, name)
-    day = REFRESH_TABLE.partition
+    day, index = REFRESH_TABLE.partition, id_index(spark, name)
     batch = materialize(merge.one_per_request(source))
     marked = measured(batch).frame
+    indexed = index.exists()
+    if indexed:
+        _settle(spark, name, REFRESH_TABLE, index)
     target = spark.table(name)
-    stored = materialize(merge.known_ids(target, marked.select("request_id"), "request_id", carry=(day,)))
+    found = index.lookup(batch) if indexed else merge.known_ids(target, marked.select("request_id"), "request_id", carry=(day,))
+    stored = materialize(found)
 
     finished = batch.filter(merge.finished(F.col("status"))).select("request_id")
     updated_days = stored.join(finished, "request_id", "left_semi").select(day)
@@ -191,8 +253,11 @@ def commit_refresh(spark: SparkSession, name: str, source: DataFrame) -> DataFra
     _spread(_checked(rows, REFRESH_TABLE), day).write.partitionBy(day).parquet(f"{stage}/{STAGED_ROWS}")
     before = _counts_by_day(touched)
     after = _counts_by_day(spark.read.schema(REFRESH_TABLE.schema).parquet(f"{stage}/{STAGED_ROWS}"))
+    announced = index.announce(inserted) if indexed else None
     write_text(spark, f"{stage}/{READY}", json.dumps({one: (before.get(one, 0), n) for one, n in after.items()}))
     _apply_stage(spark, name, stage)
+    if announced:
+        index.record(announced)
     return inserted
 
 

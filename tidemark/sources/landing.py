@@ -25,12 +25,13 @@ def read_json(spark: SparkSession, path: str, schema: str, multi_line: bool = Fa
 def refresh_records(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Refresh records of all envelopes; an envelope without ``value`` gives no rows."""
     envelopes = read_json(spark, path, schemas.REFRESH_ENVELOPE, multi_line)
-    return envelopes.select(
-        "workspace_id",
-        "dataset_id",
-        F.col("_metadata.file_path").alias("source_file"),
-        F.explode("value").alias("record"),
-    ).select("workspace_id", "dataset_id", "source_file", "record.*")
+    return records_of(envelopes.select("*", F.col("_metadata.file_path").alias("source_file")))
+
+
+def records_of(envelopes: DataFrame) -> DataFrame:
+    """The records of envelopes that carry the name of their file."""
+    exploded = envelopes.select("workspace_id", "dataset_id", "source_file", F.explode("value").alias("record"))
+    return exploded.select("workspace_id", "dataset_id", "source_file", "record.*")
 
 
 def malformed_documents(spark: SparkSession, path: str, schema: str, multi_line: bool = False) -> DataFrame:
@@ -89,7 +90,8 @@ def activity_pages(spark: SparkSession, path: str, multi_line: bool = False) ->
     return read_json(spark, path, schemas.ACTIVITY_PAGE, multi_line)
 
 
-def _continues() -> Column:
+def continues() -> Column:
+    """Whether a page names a page after it."""
     token, uri = F.col("continuationToken"), F.col("continuationUri")
     return F.coalesce((token != "") & (uri != ""), F.lit(False))
 
@@ -101,11 +103,12 @@ def page_index(pages: DataFrame) -> DataFrame:
     A page fetched twice goes on if either copy does. A malformed page has no number.
     """
     damaged = F.col(schemas.CORRUPT).isNotNull() if schemas.CORRUPT in pages.columns else F.lit(False)
-    found = pages.groupBy("day", "page_no").agg(F.max(_continues()).alias("goes_on"), F.max(damaged).alias("damaged"))
+    found = pages.groupBy("day", "page_no").agg(F.max(continues()).alias("goes_on"), F.max(damaged).alias("damaged"))
     return materialize(found)
 
 
-def _chains(index: DataFrame) -> DataFrame:
+def chains(index: DataFrame) -> DataFrame:
+    """First page of each day, and the first one that does not go on."""
     return index.groupBy("day").agg(
         F.min("page_no").alias("first_page"),
         F.min(F.when(~F.col("goes_on"), F.col("page_no"))).alias("last_page"),
@@ -117,9 +120,9 @@ def follow_continuation(pages: DataFrame, index: DataFrame | None = None) -> Dat
 
     The end of each chain is a small per-day minimum, so no day is gathered in one task.
     """
-    chains = small_side(_chains(page_index(pages) if index is None else index))
+    ends = small_side(chains(page_index(pages) if index is None else index))
     return (
-        pages.join(chains.select("day", "last_page"), "day", "left")
+        pages.join(ends.select("day", "last_page"), "day", "left")
         .filter(F.col("last_page").isNull() | (F.col("page_no") <= F.col("last_page")))
         .drop("last_page")
     )
@@ -133,7 +136,7 @@ def unfinished_days(index: DataFrame, first_page: int | None = None) -> DataFram
     """
     within = F.col("last_page").isNull() | (F.col("page_no") <= F.col("last_page"))
     spans = (
-        index.join(small_side(_chains(index)), "day")
+        index.join(small_side(chains(index)), "day")
         .groupBy("day", "first_page", "last_page")
         .agg(
             F.count_if(within & F.col("page_no").isNotNull()).alias("n_pages"),
@@ -145,6 +148,11 @@ def unfinished_days(index: DataFrame, first_page: int | None = None) -> DataFram
     return spans.filter(F.col("damaged") | F.col("last_page").isNull() | ~whole | late).select("day")
 
 
+def whole_chains(index: DataFrame, first_page: int | None = None) -> DataFrame:
+    """First and last page of the days of a page index that are whole."""
+    return chains(index).join(unfinished_days(index, first_page), "day", "left_anti")
+
+
 def page_events(pages: DataFrame) -> DataFrame:
     """Raw events of the pages as JSON text, with the day they were fetched for."""
     return pages.select(F.col("day").alias("fetch_day"), F.explode("activityEventEntities").alias("raw"))
