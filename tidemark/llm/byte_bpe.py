@@ -18,6 +18,8 @@ from functools import lru_cache
 
 import numpy as np
 
+from tidemark.llm.workers import keeps
+
 # The published pattern of byte-level pre-tokenizers; runs are possessive, which cuts alike and scans faster.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"
 CACHED_CHUNKS = 300_000
@@ -173,3 +175,7 @@ def text_encoder(path: str) -> TextEncoder:
 def encoder(path: str) -> ChunkEncoder:
     """The encoder of this worker process."""
     return ChunkEncoder(path)
+
+
+keeps("texts", text_encoder.cache_clear)
+keeps("chunks", encoder.cache_clear)

@@ -341,7 +341,7 @@ def segment_parts(segments: DataFrame, rules: list[str]) -> DataFrame:
 
 
 def folded(parts: DataFrame, by: Column) -> DataFrame:
-    """Neighbouring parts of a conversation multiplied wherever ``by`` is equal; a bounded number each."""
+    """Neighbouring parts of a conversation multiplied wherever ``by``, the new segment, is equal; a bounded number each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -363,7 +363,7 @@ def conversation_parts(parts: DataFrame) -> DataFrame:
     """One part a conversation: segments are multiplied 16 by 16 until none has more than ``FOLD``."""
     parts = stored(parts, "repair-parts")
     while (parts.groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0) > FOLD:
-        parts = stored(folded(parts, F.shiftright("segment", FOLD_BITS)).withColumn("segment", F.shiftright("segment", FOLD_BITS)), "repair-parts")
+        parts = stored(folded(parts, F.shiftright("segment", FOLD_BITS)), "repair-parts")
     return folded(parts, F.lit(0).cast("long"))
 
 

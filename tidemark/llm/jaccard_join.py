@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.llm.arrays import BASE, mixed, slices, utf8, windows, words_of
 from tidemark.llm.components import components
 from tidemark.llm.tables import stored
+from tidemark.llm.workers import claim
 from tidemark.session import small_side
 
 AXES = 256
@@ -36,7 +37,7 @@ LEAF, FANOUT = 16, 8
 BLOCK = 1024
 MINIMA = 4096  # pairs whose coordinate minima are held at once
 MOST_MARKS = 50_000_000  # of members and keys of one block
-SEEN = 500_000
+SEEN = 200_000
 SEEDS = 4
 ROWS = 512
 
@@ -144,6 +145,7 @@ def meeting_keys(shingles: np.ndarray, join: Join, tops: np.ndarray) -> np.ndarr
 
 def _sets(docs: DataFrame, join: Join, doc_id: str, text: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim()
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(at, ROWS)
@@ -163,6 +165,7 @@ def _meetings(docs: DataFrame, join: Join, text: str, largest: int) -> DataFrame
     tops = join.classes(max(1, largest))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim()
         seen: set[int] = set()
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.arrays import mixed, slices, utf8, windows, words_of
+from tidemark.llm.workers import claim
 
 ENDS = r"""[.!?:;…"'”’»)\]][\x20\x09-\x0D]*$"""
 SENTENCE = r"[.!?…][\x20\x09-\x0D]"
@@ -145,6 +146,7 @@ def clean_lines(docs: DataFrame, rules: LineRules | None = None, text: str = "te
     kept_columns = [c for c in (docs.columns if keep is None else keep) if c not in named]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim()
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(at, ROWS)

@@ -19,11 +19,13 @@ from functools import lru_cache
 import ahocorasick
 import numpy as np
 
+from tidemark.llm.workers import keeps
+
 SPACE = "▁"
 CUT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-CACHED_WORDS = 200_000
+CACHED_WORDS = 100_000
 CACHED_LENGTH = 64
-CACHED_PAIRS = 250_000
+CACHED_PAIRS = 150_000
 NEVER = float("inf")
 
 
@@ -222,3 +224,6 @@ def _repaired(data: bytes) -> str:
 def tokenizer(path: str) -> PieceTokenizer:
     """The tokenizer of this worker process."""
     return PieceTokenizer(path)
+
+
+keeps("pieces", tokenizer.cache_clear)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
 from tidemark.llm.piece_bpe import tokenizer
+from tidemark.llm.workers import claim
 
 ROWS = 256
 
@@ -23,6 +24,7 @@ def encode_pieces(docs: DataFrame, model: str, text: str = "text", ids: str = "p
     at = kept.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("pieces")
         tool = tokenizer(model)
         for whole in batches:
             for start in range(0, whole.num_rows, ROWS):
@@ -42,6 +44,7 @@ def decode_pieces(encoded: DataFrame, model: str, ids: str = "piece_ids", text:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
+        claim("pieces")
         tool = tokenizer(model)
         for whole in batches:
             for start in range(0, whole.num_rows, ROWS):
@@ -60,6 +63,7 @@ def piece_digests(docs: DataFrame, model: str, text: str = "text", keep: tuple[s
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("pieces")
         tool = tokenizer(model)
         for whole in batches:
             for start in range(0, whole.num_rows, ROWS):

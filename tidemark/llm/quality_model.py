@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.arrays import BASE, Words, mixed, slices, utf8
+from tidemark.llm.workers import claim
 
 ROWS = 512
 _SPACE, _WORD, _PUNCTUATION = 0, 1, 2
@@ -107,6 +108,7 @@ def train(labelled: DataFrame, text: str = "text", label: str = "label", order:
     settings = settings or Settings()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim()
         rows = []
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
@@ -154,6 +156,7 @@ def score(docs: DataFrame, weights: np.ndarray, keep: tuple[str, ...], text: str
     shared = docs.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim()
         w = shared.value
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.byte_bpe import CACHED_LENGTH, encoder
+from tidemark.llm.workers import claim
 
 TABLE_SIZE = 65_536
 COUNTED = 200_000
@@ -29,6 +30,7 @@ def frequent_lengths(docs: DataFrame, tokenizer: str, text: str = "text", table_
     """
 
     def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("chunks")
         tool, seen = encoder(tokenizer), Counter()
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
@@ -56,6 +58,7 @@ def count_tokens(
     table = docs.sparkSession.sparkContext.broadcast(frequent_lengths(docs, tokenizer, text, table_size))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("chunks")
         tool, first_tier = encoder(tokenizer), table.value
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):

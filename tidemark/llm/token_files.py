@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.llm.byte_bpe import text_encoder
 from tidemark.llm.rans import Decoder, Frequencies, encode
 from tidemark.llm.tables import stored
+from tidemark.llm.workers import claim
 
 BLOCK_TOKENS = 1 << 18
 ROWS = 256
@@ -60,6 +61,7 @@ def _packed(docs: DataFrame, tokenizer: str, end_id: int, text: str, doc_id: str
     """Blocks in order, with the plain ids as payload; at the end of each part a row of block -1 counts its ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("texts")
         tool, part, start = text_encoder(tokenizer), TaskContext.get().partitionId(), 0
         if tool.width.itemsize > np.dtype(IDS).itemsize:
             raise ValueError("ids of this vocabulary need more than 16 bits")
