@@ -261,6 +261,10 @@ PROBE_ERROR = "repeat('x', 400 + k * 2)"
 MARKS_BEFORE = """SELECT dataset_id, max(start_time) AS watermark FROM r
   WHERE is_critical {0} GROUP BY dataset_id"""
 
+MERGED_EVENTS = f"""WITH {A} SELECT {ACTIVITY_COLUMNS} FROM a UNION ALL
+    SELECT 'e-' || n AS event_id, {ACTIVITY_COLUMNS.split(', ', 1)[1]}
+    FROM (SELECT *, cast(substr(event_id, 3) AS bigint) * 2 AS n FROM a) WHERE n > (SELECT max(event_id) FROM events)"""
+
 ORACLES = {
     "src_refresh_envelope": f"""WITH {B} SELECT workspace_id, dataset_id, request_id AS "requestId",
         refresh_type AS "refreshType", {RAW_START} AS "startTime", {RAW_END} AS "endTime", status,
@@ -274,6 +278,11 @@ ORACLES = {
         c AS (SELECT g.fetch_day, min(page_no) AS stop FROM g JOIN m ON g.fetch_day = m.fetch_day
           WHERE page_no = last_page OR page_no % 7 = 6 GROUP BY g.fetch_day)
         SELECT g.fetch_day, 'e-' || event_id AS event_id FROM g JOIN c ON g.fetch_day = c.fetch_day WHERE page_no <= stop""",
+    "src_activity_pages_streamed": """WITH g AS (SELECT event_id, cast(ts AS date) AS fetch_day, event_id // 50 AS page_no FROM events),
+        m AS (SELECT fetch_day, max(page_no) AS last_page FROM g GROUP BY fetch_day),
+        c AS (SELECT g.fetch_day, min(page_no) AS stop FROM g JOIN m ON g.fetch_day = m.fetch_day
+          WHERE page_no = last_page OR page_no % 7 = 6 GROUP BY g.fetch_day)
+        SELECT g.fetch_day AS creation_date, 'e-' || event_id AS event_id FROM g JOIN c ON g.fetch_day = c.fetch_day WHERE page_no <= stop""",
     "src_probe_payload_rows": f"WITH {E} SELECT event_id, {ROWS} AS row_count FROM e",
     "src_config_registry": f"""WITH {X} SELECT workspace_id, workspace_name, dataset_id, dataset_name, is_critical,
         is_active FROM x""",
@@ -374,10 +383,10 @@ ORACLES = {
     "join_anti_known_ids": f"""WITH {A} SELECT {ACTIVITY_COLUMNS} FROM a
         WHERE event_id NOT IN (SELECT 'e-' || (event_id * 2) FROM events)""",
     "merge_refresh": MERGED_REFRESH,
-    "merge_events": f"""WITH {A} SELECT {ACTIVITY_COLUMNS} FROM a UNION ALL
-        SELECT 'e-' || n AS event_id, {ACTIVITY_COLUMNS.split(', ', 1)[1]}
-        FROM (SELECT *, cast(substr(event_id, 3) AS bigint) * 2 AS n FROM a) WHERE n > (SELECT max(event_id) FROM events)""",
+    "merge_events": MERGED_EVENTS,
     "agg_watermarks": f"""WITH {R} SELECT dataset_id, max(start_time) AS watermark FROM r GROUP BY dataset_id""",
+    "agg_watermarks_kept": f"SELECT dataset_id, max(start_time) AS watermark FROM ({MERGED_REFRESH}) GROUP BY dataset_id",
+    "agg_max_activity_date_listed": "SELECT max(cast(ts AS date)) AS max_date FROM events",
     "agg_max_activity_date": "SELECT max(cast(ts AS date)) AS max_date FROM events",
     "agg_dedup_events": f"""WITH {A} SELECT 'e-' || n AS event_id, {ACTIVITY_COLUMNS.split(', ', 1)[1]}
         FROM (SELECT *, cast(substr(event_id, 3) AS bigint) // 3 AS n FROM a)
@@ -455,6 +464,8 @@ ORACLES = {
     "sink_create_table": ACTIVITY_ROWS,
     "sink_append": f"""WITH {P} SELECT * FROM p""",
     "sink_merge_commit": MERGED_REFRESH,
+    "sink_merge_bucketed": MERGED_REFRESH,
+    "sink_merge_indexed": MERGED_EVENTS,
     "sink_csv_monthly": f"""WITH {A} SELECT event_id, activity, user_id, 'a "' || report_name || '",' || chr(10) || 'b' AS report_name,
         strftime(creation_date, '%Y-%m-%d') AS creation_date,
         'activity_events_' || strftime(creation_date, '%Y_%m') AS file_key FROM a""",
@@ -463,3 +474,7 @@ ORACLES = {
           avg_latency_ms, coalesce(status_counts, '') AS status_counts, 'all' AS max_requests FROM y LEFT JOIN sc ON y.endpoint = sc.endpoint""",
     "sink_alerts": f"""WITH {R} SELECT *, cast(alert_time AS date) AS alert_date FROM ({ALL_ALERTS})""",
 }
+
+# The same questions answered from roll-ups.
+for _name in ("rpt_daily_views", "rpt_most_viewed", "rpt_top_users"):
+    ORACLES[f"{_name}_rolled"] = ORACLES[_name]

@@ -13,10 +13,11 @@ from tidemark import schemas
 from tidemark.checks import adapters as a
 from tidemark.functions import headers, instants, payloads
 from tidemark.operators import incremental, merge, overlap, ranking, registry, transform, triage
-from tidemark.plans import alerts, pipelines, reports
+from tidemark.plans import alerts, pipelines, reports, rollups
 from tidemark.session import pin_settings, scratch_path, small_side
 from tidemark.sinks import files, tables
 from tidemark.sources import config, landing, tables as stored
+from tidemark.streaming.pages import ingest_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -57,6 +58,13 @@ def scratch_table(spark: SparkSession, spec: tables.TableSpec) -> str:
     return name
 
 
+def stored_form(events: DataFrame) -> DataFrame:
+    """Events with all columns of the stored table."""
+    stamps = {"ingestion_timestamp": F.lit(a.RUN_AT), "ingestion_date": F.lit(a.RUN_AT.date())}
+    fields = tables.ACTIVITY_TABLE.schema.fields
+    return events.select(*[(F.col(f.name) if f.name in events.columns else stamps.get(f.name, F.lit(None))).cast(f.dataType).alias(f.name) for f in fields])
+
+
 # Sources
 
 
@@ -89,6 +97,13 @@ def src_activity_pages(spark, sf):
     return events.select("fetch_day", payloads.event_fields(F.col("raw"))["Id"].alias("event_id"))
 
 
+@register
+def src_activity_pages_streamed(spark, sf):
+    name = scratch_table(spark, tables.ACTIVITY_TABLE)
+    ingest_pages(spark, a.land_activity(spark, sf), name, scratch_path(spark, "pages-progress"), first_page=None)
+    return spark.table(name).select("event_id", "creation_date")
+
+
 @register
 def src_probe_payload_rows(spark, sf):
     return landing.probe_row_counts(a.probe_responses(spark, sf)).select("event_id", "row_count")
@@ -402,6 +417,22 @@ def agg_max_activity_date(spark, sf):
     return incremental.max_activity_date(a.activity_events(spark, sf))
 
 
+@register
+def agg_watermarks_kept(spark, sf):
+    name = scratch_table(spark, tables.REFRESH_TABLE)
+    tables.create_watermarks(spark, name)
+    tables.append(spark, name, a.refresh_history(spark, sf), tables.REFRESH_TABLE)
+    tables.commit_refresh(spark, name, a.refresh_source(spark, sf))
+    return tables.watermarks(spark, name)
+
+
+@register
+def agg_max_activity_date_listed(spark, sf):
+    name = scratch_table(spark, tables.ACTIVITY_TABLE)
+    tables.append(spark, name, stored_form(a.activity_events(spark, sf)), tables.ACTIVITY_TABLE)
+    return tables.max_activity_date(spark, name)
+
+
 @register
 def agg_dedup_events(spark, sf):
     return merge.one_per_event(a.activity_copies(spark, sf))
@@ -495,6 +526,30 @@ def rpt_top_users(spark, sf):
     return reports.top_users(a.activity_events(spark, sf), a.AS_OF)
 
 
+def rolled_up(spark: SparkSession, sf: str) -> rollups.Rollups:
+    """Roll-ups of all events, made in two runs of which the second brings late events for days of the first."""
+    found = rollups.Rollups(spark, scratch_path(spark, "rollups"))
+    events = a.activity_events(spark, sf)
+    found.roll_up(events.filter(F.xxhash64("event_id") % 2 == 0))
+    found.roll_up(events)
+    return found
+
+
+@register
+def rpt_daily_views_rolled(spark, sf):
+    return rollups.daily_views(rolled_up(spark, sf))
+
+
+@register
+def rpt_most_viewed_rolled(spark, sf):
+    return rollups.most_viewed(rolled_up(spark, sf), a.AS_OF)
+
+
+@register
+def rpt_top_users_rolled(spark, sf):
+    return rollups.top_users(rolled_up(spark, sf), a.AS_OF)
+
+
 # Alerts
 
 ALERT_COLUMNS = ["severity", "alert_type", "dataset_name", "workspace_name", "message", "alert_time"]
@@ -603,6 +658,27 @@ def sink_merge_commit(spark, sf):
     return spark.table(name)
 
 
+@register
+def sink_merge_indexed(spark, sf):
+    name = scratch_table(spark, tables.ACTIVITY_TABLE)
+    events = a.activity_events(spark, sf)
+    tables.append(spark, name, stored_form(events), tables.ACTIVITY_TABLE)
+    tables.create_id_index(spark, name, tables.ACTIVITY_TABLE, buckets=64)
+    for _ in range(2):
+        tables.commit_events(spark, name, stored_form(a.activity_source(spark, sf)))
+    return spark.table(name).select(events.columns)
+
+
+@register
+def sink_merge_bucketed(spark, sf):
+    name = f"tidemark_{uuid.uuid4().hex}"
+    tables.create_table(spark, name, tables.REFRESH_TABLE, scratch_path(spark, name), buckets=4)
+    tables.append(spark, name, a.refresh_history(spark, sf), tables.REFRESH_TABLE)
+    for _ in range(2):
+        tables.commit_refresh(spark, name, a.refresh_source(spark, sf))
+    return spark.table(name)
+
+
 @register
 def sink_csv_monthly(spark, sf):
     path = scratch_path(spark, "csv")

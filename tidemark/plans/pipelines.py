@@ -51,7 +51,7 @@ def new_refresh_rows(
         records = landing.newest_per_dataset(records, start, F.col("requestId"), top)
     if incremental_mode:
         stored = scan_if_present(spark, table, schemas.REFRESH_HISTORY)
-        marks = small_side(incremental.watermarks(stored))
+        marks = small_side(tables.watermarks(spark, table) if spark.catalog.tableExists(table) else incremental.watermarks(stored))
         running = stored.filter(F.col("status") == merge.RUNNING).select(
             F.col("request_id").alias("requestId"), F.lit(True).alias("was_running")
         )
@@ -127,7 +127,7 @@ def run_usage(
     """
     tables.create_table(spark, table, tables.ACTIVITY_TABLE, location)
     stored = spark.table(table)
-    loaded = incremental.max_activity_date(stored if settings.incremental else stored.limit(0))
+    loaded = tables.max_activity_date(spark, table) if settings.incremental else incremental.max_activity_date(stored.limit(0))
     if completed is not None and settings.incremental:
         loaded = loaded.union(completed.select("max_date")).agg(F.max("max_date").alias("max_date"))
     window = materialize(

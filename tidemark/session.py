@@ -139,6 +139,13 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     return sorted(entry.getPath().getName() for entry in files.listStatus(hadoop_path) if entry.isDirectory())
 
 
+def folder_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the data files in a folder; names that begin with a mark are not data."""
+    files, hadoop_path = _file_system(spark, path)
+    names = [entry.getPath().getName() for entry in files.listStatus(hadoop_path) if not entry.isDirectory()]
+    return sorted(name for name in names if name[0] not in "._")
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small file that is either absent or whole: it gets its name once it is written."""
     files, hadoop_path = _file_system(spark, path)

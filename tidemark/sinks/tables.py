@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from tidemark import schemas
-from tidemark.operators import merge
+from tidemark.operators import incremental, merge
 from tidemark.operators.incremental import listed_days, on_days, only_days
 from tidemark.sinks.id_index import BUCKETS, IdIndex
+from tidemark.sinks.marks import Watermarks, newest_day
 from tidemark.session import (
     materialize,
     measured,
@@ -107,8 +108,14 @@ def _dealt(spark: SparkSession, name: str, rows: DataFrame, spec: TableSpec) ->
 def append(spark: SparkSession, name: str, rows: DataFrame, spec: TableSpec) -> None:
     """Append rows; nothing happens for none. A merge that a lost driver left staged is finished first."""
     finish_commit(spark, name)
+    marks = Watermarks(spark, _location(spark, name)) if spec is REFRESH_TABLE else None
+    if marks and marks.exists():
+        rows = materialize(rows)
+        marks.begin()
     spread = _dealt(spark, name, _checked(rows, spec), spec)
     spread.select(spark.table(name).columns).write.insertInto(name)
+    if marks:
+        marks.end(rows)
 
 
 def append_probes(spark: SparkSession, name: str, rows: DataFrame) -> None:
@@ -133,6 +140,24 @@ def create_id_index(spark: SparkSession, name: str, spec: TableSpec, buckets: in
     return index
 
 
+def create_watermarks(spark: SparkSession, name: str) -> None:
+    """Keep the watermarks of a table of refreshes beside it; from then on its commits keep them current."""
+    finish_commit(spark, name)
+    Watermarks(spark, _location(spark, name)).build(spark.table(name))
+
+
+def watermarks(spark: SparkSession, name: str) -> DataFrame:
+    """Newest start of each dataset: those kept beside the table, or from a scan where none are kept."""
+    finish_commit(spark, name)
+    kept = Watermarks(spark, _location(spark, name))
+    return kept.read(spark.table(name)) if kept.exists() else incremental.watermarks(spark.table(name))
+
+
+def max_activity_date(spark: SparkSession, name: str) -> DataFrame:
+    """One row: the newest day of the table of events, from its partitions alone."""
+    return newest_day(spark, _location(spark, name), ACTIVITY_TABLE.partition)
+
+
 def _settle(spark: SparkSession, name: str, spec: TableSpec, index: IdIndex) -> None:
     """Finish what died before: a staged merge, and announced ids."""
     finish_commit(spark, name)
@@ -255,7 +280,10 @@ def commit_refresh(spark: SparkSession, name: str, source: DataFrame) -> DataFra
     after = _counts_by_day(spark.read.schema(REFRESH_TABLE.schema).parquet(f"{stage}/{STAGED_ROWS}"))
     announced = index.announce(inserted) if indexed else None
     write_text(spark, f"{stage}/{READY}", json.dumps({one: (before.get(one, 0), n) for one, n in after.items()}))
+    marks = Watermarks(spark, _location(spark, name))
+    marks.begin()
     _apply_stage(spark, name, stage)
+    marks.end(inserted)
     if announced:
         index.record(announced)
     return inserted

@@ -28,7 +28,7 @@ def page_stream(spark: SparkSession, landed: str, max_files_per_batch: int = 10_
     return pages.select("*", F.col("_metadata.file_path").alias("source_file"))
 
 
-def due_pages(index: DataFrame, first_page: int) -> DataFrame:
+def due_pages(index: DataFrame, first_page: int | None) -> DataFrame:
     """Pages of the index (``INDEX``) that are not loaded and can be: day, page number and batch.
 
     A day can be loaded once its chain is whole from ``first_page`` to a page that does not go on. Pages that
@@ -46,7 +46,7 @@ def ingest_pages(
     landed: str,
     table: str,
     progress_path: str,
-    first_page: int = 1,
+    first_page: int | None = 1,
     tracked: tuple[str, ...] = (),
     quarantine: str | None = None,
     max_files_per_batch: int = 10_000,
