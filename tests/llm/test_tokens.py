@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 from tidemark.llm import rans, token_files
 from tidemark.llm.byte_bpe import ChunkEncoder
 from tidemark.llm.piece_bpe import PieceTokenizer
-from tidemark.llm.pieces import decode_pieces, encode_pieces, piece_digests
+from tidemark.llm.pieces import decode_pieces, encode_pieces, piece_digests, round_trip
 from tidemark.llm.token_counts import count_tokens
 
 BPE, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -136,3 +136,8 @@ def test_piece_columns(spark, docs, texts, sentencepiece):
         assert (bytes(decoded[i].piece_ids), decoded[i].decoded) == (raw, back)
     assert piece_digests(docs.limit(0), PIECES).count() == 0
     assert encode_pieces(docs, PIECES, ids="n_tokens").schema["n_tokens"].dataType.simpleString() == "binary"
+
+
+def test_round_trip_equals_encoding_then_decoding(spark, docs):
+    both = decode_pieces(encode_pieces(docs, PIECES), PIECES).select("doc_id", "source", "piece_ids", "decoded")
+    assert sorted(round_trip(docs, PIECES, keep=("doc_id", "source")).collect(), key=lambda r: r.doc_id) == sorted(both.collect(), key=lambda r: r.doc_id)

@@ -56,6 +56,27 @@ def decode_pieces(encoded: DataFrame, model: str, ids: str = "piece_ids", text:
     return selected.mapInArrow(run, StructType([*selected.schema.fields, StructField(text, StringType())]))
 
 
+def round_trip(docs: DataFrame, model: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), ids: str = "piece_ids", decoded: str = "decoded") -> DataFrame:
+    """Columns ``keep`` with ``ids`` as ``encode_pieces`` gives them and ``decoded`` as ``decode_pieces`` makes it of them.
+
+    Both happen in one worker, so that a task needs one tokenizer instead of two.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("pieces")
+        tool = tokenizer(model)
+        for whole in batches:
+            for start in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(start, ROWS)
+                got = [tool.encode(t or "") for t in batch.column(batch.num_columns - 1).to_pylist()]
+                columns = [pa.array([g.tobytes() for g in got], pa.binary()), pa.array([tool.decode(g).decode() for g in got], pa.string())]
+                yield pa.record_batch([*batch.columns[: len(keep)], *columns], names=[*keep, ids, decoded])
+
+    selected = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("_text"))
+    fields = selected.schema.fields[: len(keep)]
+    return selected.mapInArrow(run, StructType([*fields, StructField(ids, BinaryType()), StructField(decoded, StringType())]))
+
+
 def piece_digests(docs: DataFrame, model: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Columns ``keep`` with ``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` (of the text decoded from those ids).
 
