@@ -14,7 +14,7 @@ from tidemark.llm.jaccard_join import Join
 from tidemark.llm.line_rules import clean_lines
 from tidemark.llm.mixing import mixed_documents
 from tidemark.llm.near_copies import first_of_near_copies
-from tidemark.llm.pieces import decode_pieces, encode_pieces
+from tidemark.llm.pieces import round_trip
 from tidemark.llm.tables import bounded_batches, stored, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -57,7 +57,7 @@ def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Ids of every document of the mix (``piece_ids``, little-endian unsigned 32-bit integers), their number, and the digest of the text decoded from them."""
     bounded_batches(spark)
     model = public_tokenizers.path("piece_bpe_32k.model")
-    decoded = decode_pieces(encode_pieces(docs, model).select("doc_id", "lang", "source", "piece_ids"), model)
+    decoded = round_trip(docs, model, keep=("doc_id", "lang", "source"))
     return decoded.select("doc_id", "lang", "source", (F.octet_length("piece_ids") / 4).cast("long").alias("n_tokens"), "piece_ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
