@@ -12,7 +12,7 @@ from tests.conftest import rows
 from tests.test_pipelines import datasets, envelope, record, write  # noqa: F401
 from tidemark.plans import pipelines
 from tidemark.sinks import tables
-from tidemark.streaming import ingest, pages, state
+from tidemark.streaming import events, ingest, pages, state
 
 DAYS = [date(2024, 6, d) for d in (1, 2, 3, 4)]
 
@@ -153,3 +153,36 @@ def test_refresh_stream_quarantines_and_waits_for_registration(spark, tmp_path,
     write(source, "4.json", envelope("b", record("b3", 4)))
     assert run() == ["a1", "a2", "b1", "b2", "b3"]
     shutil.rmtree(source)
+
+
+def test_late_and_repeated_events_land_once(spark, tmp_path):
+    source, progress = tmp_path / "land", str(tmp_path / "progress")
+    source.mkdir()
+    tables.create_table(spark, "stream_late", tables.ACTIVITY_TABLE, str(tmp_path / "t"))
+    tables.create_id_index(spark, "stream_late", tables.ACTIVITY_TABLE, buckets=4)
+
+    def arrive(name, *found):
+        lines = [{"Id": i, "CreationTime": f"2024-{day}T01:00:00Z", "Activity": "ViewReport"} for i, day in found]
+        (source / name).write_text("".join(json.dumps(e) + "\n" for e in lines))
+        events.ingest_events(spark, str(source), "stream_late", progress)
+        return rows(spark.table("stream_late"), "event_id", "creation_date")
+
+    first = [("a", date(2024, 6, 9)), ("b", date(2024, 6, 9))]
+    assert arrive("1.json", ("a", "06-09"), ("b", "06-09"), ("a", "06-09")) == first
+    # A repeat, an event of months before, and a repeat of that.
+    assert arrive("2.json", ("b", "06-09"), ("c", "01-02"), ("c", "01-02")) == [*first, ("c", date(2024, 1, 2))]
+
+
+def test_the_state_of_repeats_is_bounded(spark, tmp_path):
+    source = tmp_path / "land"
+    source.mkdir()
+    minutes = F.to_timestamp(F.get_json_object("raw", "$.At"))
+    seen = []
+    for hour in range(4):
+        lines = [{"Id": f"{hour}-{i}", "At": f"2024-06-09 {hour + 1:02}:00:00"} for i in range(50)] + [{"Id": f"{hour}-1", "At": f"2024-06-09 {hour + 1:02}:01:00"}]
+        (source / f"{hour}.json").write_text("".join(json.dumps(e) + "\n" for e in lines))
+        stream = events.first_arrivals(events.event_stream(spark, str(source)), "10 minutes", arrived=minutes)
+        query = stream.writeStream.foreachBatch(lambda batch, _: seen.append(batch.count())).option("checkpointLocation", str(tmp_path / "p")).trigger(availableNow=True).start()
+        query.awaitTermination()
+        held = query.lastProgress["stateOperators"][0]["numRowsTotal"]
+    assert sum(seen) == 200 and held <= 100
