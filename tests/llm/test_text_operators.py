@@ -84,6 +84,49 @@ def test_classifier_on_odd_texts_and_without_labels(spark, docs, texts):
     assert quality_model.score(docs.limit(0), weights, ("doc_id",)).count() == 0
 
 
+def test_updates_equal_plain_loops():
+    """The update of each coordinate written out over dictionaries."""
+    settings = quality_model.Settings(bits=6, alpha=0.3, beta=0.7, l1=0.05, l2=0.2)
+    pick, learner, z, n, bias = random.Random(4), quality_model.Learner(settings), Counter(), Counter(), 1 << 6
+
+    def weight(i):
+        if abs(z[i]) <= settings.l1:
+            return 0.0
+        sign = 1 if z[i] > 0 else -1
+        return -(z[i] - sign * settings.l1) / ((settings.beta + math.sqrt(n[i])) / settings.alpha + settings.l2)
+
+    for _ in range(200):
+        row = {i: pick.random() for i in pick.sample(range(1 << 6), pick.randint(0, 6))}
+        label = pick.randint(0, 1)
+        learner.learn(np.array(list(row), np.int64), np.array(list(row.values())), label)
+        row[bias] = 1.0
+        old = {i: weight(i) for i in row}
+        p = 1 / (1 + math.exp(-sum(old[i] * x for i, x in row.items())))
+        for i, x in row.items():
+            g = (p - label) * x
+            sigma = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / settings.alpha
+            z[i] += g - sigma * old[i]
+            n[i] += g * g
+    assert np.allclose(learner.weights(slice(None)), [weight(i) for i in range(bias + 1)], atol=1e-12)
+
+
+def test_scores_are_dot_products_of_plain_counts(spark):
+    """Weights of single buckets, met by counting tokens, neighbours and distances in dictionaries."""
+    texts, bits = ["a b a!", "", "b b b c.", "x"], 10
+    settings = quality_model.Settings(bits=bits)
+    weights = np.random.default_rng(2).normal(size=(1 << bits) + 1)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.score for r in quality_model.score(docs, weights, ("doc_id",), settings=settings).collect()}
+    for i, text in enumerate(texts):
+        owner, buckets, values = quality_model.features([text.encode()], bits)
+        tokens = re.findall(r"[a-z]+|[!.]", text)
+        margin = weights[-1]
+        if tokens:
+            assert abs((values**2).sum() - 1) < 1e-9
+            margin += sum(weights[b] * v for b, v in zip(buckets.tolist(), values.tolist(), strict=True))
+        assert abs(found[i] - 1 / (1 + math.exp(-margin))) < 1e-9
+
+
 def test_sample_has_one_text_an_id(spark):
     docs = spark.createDataFrame([(1, f"text {i}") for i in range(50)] + [(2, "other"), (3, "third")], "doc_id long, text string").repartition(4)
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, quality int")
@@ -125,14 +168,7 @@ def plain_trees(chunks, keys):
     for chunk in chunks:
         line = b" " + chunk + b" "
         for p in range(1, len(line)):
-            context, at = [], p - 1
-            while len(context) < depth:
-                context.append(line[at] if at >= 0 and (not context or (context[-1] != 32 and context[-1] is not None)) else 0)
-                if context[-1] == 0:
-                    context[-1:] = [0] * (depth - len(context) + 1)
-                    break
-                at -= 1
-            context = context[:depth]
+            context = [line[p - 1 - i] if p - 1 - i >= 0 else 0 for i in range(depth)]  # across spaces
             for d in range(depth + 1):
                 for bit in range(8):
                     node = (tuple(context[:d]), (line[p] | 256) >> (8 - bit))
@@ -173,8 +209,8 @@ def plain_trees(chunks, keys):
 
 
 def test_context_trees_equal_the_plain_recursion(spark):
-    training = [b"lake", b"lakes", b"take", b"", b"a"]
-    keys, sizes = context_trees.keys_of([*training, b"lane", b"zoo"])
+    training = [b"lake", b"lakes", b"take", b"", b"a", b"at the lake", b"a lake", b"  two  gaps ", b"the lakes at"]
+    keys, sizes = context_trees.keys_of([*training, b"lane at", b"zoo"])
     counts = np.repeat([1] * len(training) + [0, 0], sizes)
     unique, where = np.unique(keys, return_inverse=True)
     rows = list(zip(unique.view(np.int64).tolist(), np.bincount(where, counts).astype(int).tolist(), strict=True))
