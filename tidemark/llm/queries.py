@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.llm import quality_model
 from tidemark.llm.chat_windows import chat_windows, conversation_digests
@@ -25,6 +25,11 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def held_out_by(parts: int, rest: int) -> Column:
+    """Whether the checksum of the id leaves ``rest``; a row without an id is not held out."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts == rest, F.lit(False))
+
+
 def op1_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten nearest vectors of every hundredth vector, among all others."""
     vectors = quantized(table(spark, sf_dir, "embeddings"))
@@ -40,7 +45,7 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents, learned from the labelled rows that are not held out."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    held_out = held_out_by(3, 1)
     settings = quality_model.Settings()
     sample = quality_model.sample_labelled(docs, labels.where(~held_out), "quality", settings.sample)
     scored = quality_model.score(docs, quality_model.train(sample, settings=settings), ("doc_id",), settings=settings)
@@ -50,7 +55,7 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents by a word model and by context trees, learned from those that are not held out."""
     docs = table(spark, sf_dir, "documents")
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    held_out = held_out_by(7, 2)
     scored = score_texts(docs, ~held_out)
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
