@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.byte_bpe import CACHED_LENGTH, encoder
+from tidemark.llm.tables import stored
 from tidemark.llm.workers import claim
 
 TABLE_SIZE = 65_536
@@ -42,7 +43,8 @@ def frequent_lengths(docs: DataFrame, tokenizer: str, text: str = "text", table_
         yield pa.record_batch([pa.array([p for p, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], names=["chunk", "n"])
 
     summed = docs.select(F.col(text)).mapInArrow(frequent, "chunk string, n long").groupBy("chunk").agg(F.sum("n").alias("n"))
-    rows = summed.orderBy(F.desc("n"), "chunk").limit(table_size).collect()
+    # Written first: a collected limit would bring that many rows of every partition to the driver.
+    rows = stored(summed.orderBy(F.desc("n"), "chunk").limit(table_size), "frequent-chunks").collect()
     tool = encoder(tokenizer)
     return {r["chunk"]: len(tool.chunk(r["chunk"])) // tool.width.itemsize for r in rows}
 
