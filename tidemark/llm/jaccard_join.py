@@ -315,7 +315,7 @@ class CountTree:
 
 
 def _met_before(key: int, keys: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Whether two members of the meeting ``key`` also meet under a smaller key (``keys`` has those of each member)."""
+    """Whether two members of the meeting ``key`` also meet under a smaller key (``keys`` has the smaller ones of each member)."""
     lower = [k[k < key] for k in keys]
     columns, at = np.unique(np.concatenate(lower), return_inverse=True)
     if not len(columns) or len(columns) * len(keys) > MOST_MARKS:
@@ -396,6 +396,8 @@ def _open_pairs(meetings: DataFrame, found: DataFrame, points: DataFrame, join:
     own = F.pmod(F.xxhash64("node"), blocks)
     # A member goes to the meeting of its block with itself and with every other block of a large meeting.
     others = F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda x: F.struct(F.least(x, own).alias("i"), F.greatest(x, own).alias("j"), (x < own).cast("int").alias("side")))
+    # Only smaller keys tell whether two members met before.
+    members = members.withColumn("keys", F.filter("keys", lambda x: x < F.col("key")))
     dealt = members.withColumn("blocks", F.explode(others)).select("key", "blocks.i", "blocks.j", "blocks.side", "node", "component", "size", "counts", "keys")
     parts = int(meetings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sorted_blocks = dealt.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j")
