@@ -173,3 +173,61 @@ def test_days_of_a_bucketed_table_have_a_file_a_bucket(spark, tmp_path):
     tables.append(spark, "events_bucketed", events(spark, *[f"e{i}" for i in range(60)]), tables.ACTIVITY_TABLE)
     names = [f for f in spark.table("events_bucketed").filter(F.col("creation_date") == date(2024, 6, 1)).inputFiles()]
     assert len(names) == 4
+
+
+def test_buckets_follow_the_expected_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "BUCKET_ROWS", 10)
+    for number, (rows_expected, wanted) in enumerate([(0, 4), (40, 4), (41, 5), (730, 73)]):
+        name = f"events_expected_{number}"
+        tables.create_table(spark, name, tables.ACTIVITY_TABLE, str(tmp_path / name), buckets=4, rows=rows_expected)
+        assert tables._buckets(spark, name) == wanted
+    tables.create_table(spark, "events_unbucketed", tables.ACTIVITY_TABLE, str(tmp_path / "plain"), rows=730)
+    assert tables._buckets(spark, "events_unbucketed") is None
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_path):
+    tables.create_table(spark, "events_split", tables.ACTIVITY_TABLE, str(tmp_path / "t"), buckets=2)
+    many = events(spark, *[f"e{i}" for i in range(3000)]).repartition(8)
+    with session.session_conf(spark, spark__sql__adaptive__advisoryPartitionSizeInBytes="4kb"):
+        tables.append(spark, "events_split", many, tables.ACTIVITY_TABLE)
+    stored = spark.table("events_split")
+    assert len(stored.filter(F.col("creation_date") == date(2024, 6, 1)).inputFiles()) > 2
+    # Each file is named after the bucket of its rows, so joins that read bucket by bucket find every id.
+    with session.session_conf(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        found = merge.known_ids(stored, many.select("event_id"), "event_id")
+        assert "SelectedBucketsCount: 2 out of 2" in plan_text(found)
+        assert found.count() == 3000
+
+
+@pytest.mark.parametrize("outgrown", [False, True])
+def test_merges_deal_the_rows_of_outgrown_buckets(spark, tmp_path, monkeypatch, outgrown):
+    name = f"refresh_outgrown_{outgrown}"
+    history, source = adapters.refresh_history(spark, SF), adapters.refresh_source(spark, SF)
+    expected = rows(merge.merge_refresh(history, source))
+    tables.create_table(spark, name, tables.REFRESH_TABLE, str(tmp_path / "t"), buckets=2)
+    tables.append(spark, name, history, tables.REFRESH_TABLE)
+    seen, apply_updates = [], merge.apply_updates
+
+    def watched(target, batch):
+        joined = apply_updates(target, batch)
+        seen.append(_exchanges(joined))
+        return joined
+
+    monkeypatch.setattr(merge, "apply_updates", watched)
+    monkeypatch.setattr(tables, "measured", lambda kept, **bounds: session.Side(kept, 0, False))
+    if outgrown:
+        monkeypatch.setattr(tables, "BUCKET_MAX_ROWS", 10)
+    with session.session_conf(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        for _ in range(2):
+            tables.commit_refresh(spark, name, source)
+    assert seen == ([2, 2] if outgrown else [1, 1])
+    assert rows(spark.table(name).select(history.columns)) == expected
+
+
+def test_outgrown_buckets_of_events(spark, tmp_path, monkeypatch):
+    tables.create_table(spark, "events_outgrown", tables.ACTIVITY_TABLE, str(tmp_path / "t"), buckets=2)
+    monkeypatch.setattr(tables, "measured", lambda kept, **bounds: session.Side(kept, 0, False))
+    monkeypatch.setattr(tables, "BUCKET_MAX_ROWS", 1)
+    for ids in (["a", "b", "c", "d"], ["c", "e"], ["e", "a"]):
+        tables.commit_events(spark, "events_outgrown", events(spark, *ids))
+    assert [r[0] for r in rows(spark.table("events_outgrown"), "event_id")] == ["a", "b", "c", "d", "e"]

@@ -672,8 +672,9 @@ def sink_merge_indexed(spark, sf):
 @register
 def sink_merge_bucketed(spark, sf):
     name = f"tidemark_{uuid.uuid4().hex}"
-    tables.create_table(spark, name, tables.REFRESH_TABLE, scratch_path(spark, name), buckets=4)
-    tables.append(spark, name, a.refresh_history(spark, sf), tables.REFRESH_TABLE)
+    history = a.refresh_history(spark, sf)
+    tables.create_table(spark, name, tables.REFRESH_TABLE, scratch_path(spark, name), buckets=4, rows=history.count())
+    tables.append(spark, name, history, tables.REFRESH_TABLE)
     for _ in range(2):
         tables.commit_refresh(spark, name, a.refresh_source(spark, sf))
     return spark.table(name)

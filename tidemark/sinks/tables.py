@@ -30,6 +30,9 @@ from tidemark.session import (
 # Inside the folder of a staged commit.
 STAGED_ROWS, READY = "rows", "ready.json"
 
+# Rows of a bucket: those a new table plans for, and the most that a merge sorts where they lie.
+BUCKET_ROWS, BUCKET_MAX_ROWS = 500_000, 2_000_000
+
 
 @dataclass(frozen=True)
 class TableSpec:
@@ -66,12 +69,17 @@ def create_table_sql(name: str, spec: TableSpec, location: str | None = None, bu
     )
 
 
-def create_table(spark: SparkSession, name: str, spec: TableSpec, location: str | None = None, buckets: int | None = None) -> None:
+def create_table(
+    spark: SparkSession, name: str, spec: TableSpec, location: str | None = None, buckets: int | None = None, rows: int = 0
+) -> None:
     """Create a table if it is absent.
 
     A table in ``buckets`` merges batches too large to broadcast without a shuffle of stored rows: only the batch
-    is dealt to the buckets. It has that many files a day at least, so a day should be large.
+    is dealt to the buckets. It has that many files a day at least, so a day should be large. ``rows`` expected in
+    the table raise the number of buckets to one for each ``BUCKET_ROWS``, as one task sorts a bucket in a merge.
     """
+    if buckets:
+        buckets = max(buckets, -(-rows // BUCKET_ROWS))
     spark.sql(create_table_sql(name, spec, location, buckets))
 
 
@@ -99,10 +107,22 @@ def _spread(rows: DataFrame, partition: str) -> DataFrame:
     return rows.hint("rebalance", F.col(partition))
 
 
+def _in_buckets(rows: DataFrame, spec: TableSpec, buckets: int) -> DataFrame:
+    """Group rows by partition value and bucket into tasks of the advisory size; a large bucket gets several."""
+    dealt = rows.withColumn("__bucket", F.pmod(F.hash(spec.key), F.lit(buckets)))
+    return dealt.hint("rebalance", F.col(spec.partition), F.col("__bucket")).drop("__bucket")
+
+
 def _dealt(spark: SparkSession, name: str, rows: DataFrame, spec: TableSpec) -> DataFrame:
-    """Rows as a table's files want them: a task a bucket, or spread by day."""
+    """Rows as a table's files want them: by day and bucket, or spread by day."""
+    buckets = _buckets(spark, name)
+    return _in_buckets(rows, spec, buckets) if buckets else _spread(rows, spec.partition)
+
+
+def _outgrown(spark: SparkSession, name: str) -> bool:
+    """Whether the buckets of a table hold more rows than one task should sort; the count reads no column."""
     buckets = _buckets(spark, name)
-    return rows.repartition(buckets, spec.key) if buckets else _spread(rows, spec.partition)
+    return bool(buckets) and spark.table(name).count() > buckets * BUCKET_MAX_ROWS
 
 
 def append(spark: SparkSession, name: str, rows: DataFrame, spec: TableSpec) -> None:
@@ -189,8 +209,10 @@ def commit_events(spark: SparkSession, name: str, source: DataFrame, immutable_d
     target = spark.table(name)
     if immutable_days:
         target = only_days(target, batch, ACTIVITY_TABLE.partition)
-    marked = measured(batch).frame
-    stored = merge.known_ids(target, marked.select("event_id"), "event_id")
+    side = measured(batch)
+    if not side.small and _outgrown(spark, name):
+        target = target.repartition("event_id")
+    stored = merge.known_ids(target, side.frame.select("event_id"), "event_id")
     append(spark, name, batch.join(stored, "event_id", "left_anti"), ACTIVITY_TABLE)
 
 
@@ -237,7 +259,7 @@ def _apply_stage(spark: SparkSession, name: str, stage: str) -> None:
         if found.get(day, 0) not in (before, after, 0):
             raise RuntimeError(f"{day} of {name} changed after {stage} was made")
     with session_conf(spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
-        dealt = staged.repartition(buckets, REFRESH_TABLE.key) if (buckets := _buckets(spark, name)) else staged
+        dealt = _in_buckets(staged, REFRESH_TABLE, buckets) if (buckets := _buckets(spark, name)) else staged
         dealt.select(spark.table(name).columns).write.insertInto(name, overwrite=True)
     remove_folder(spark, f"{stage}/{READY}")  # first, so that a half removed stage is never applied
     remove_folder(spark, stage)
@@ -251,17 +273,24 @@ def commit_refresh(spark: SparkSession, name: str, source: DataFrame) -> DataFra
 
     Stored requests of the batch are found in the table's id index, if it has one, and otherwise through a scan of
     two columns, past a broadcast of the batch's ids where they are few. The changed days, with updates and inserts applied, are staged
-    in a folder of this commit and then replace their partitions; a repeated run gives the same table.
+    in a folder of this commit and then replace their partitions; a repeated run gives the same table. Stored rows
+    stay in their buckets for a large batch too, unless these have outgrown a task; then they are dealt by id.
     """
     finish_commit(spark, name)
     day, index = REFRESH_TABLE.partition, id_index(spark, name)
     batch = materialize(merge.one_per_request(source))
-    marked = measured(batch).frame
+    side = measured(batch)
+    marked = side.frame
     indexed = index.exists()
     if indexed:
         _settle(spark, name, REFRESH_TABLE, index)
     target = spark.table(name)
-    found = index.lookup(batch) if indexed else merge.known_ids(target, marked.select("request_id"), "request_id", carry=(day,))
+    outgrown = not side.small and _outgrown(spark, name)
+
+    def joinable(stored: DataFrame) -> DataFrame:
+        return stored.repartition("request_id") if outgrown else stored
+
+    found = index.lookup(batch) if indexed else merge.known_ids(joinable(target), marked.select("request_id"), "request_id", carry=(day,))
     stored = materialize(found)
 
     finished = batch.filter(merge.finished(F.col("status"))).select("request_id")
@@ -273,7 +302,7 @@ def commit_refresh(spark: SparkSession, name: str, source: DataFrame) -> DataFra
     if listed == []:
         return inserted
     touched = target.filter(on_days(day, listed)) if listed else only_days(target, changed, day)
-    rows = merge.apply_updates(touched, marked).unionByName(inserted)
+    rows = merge.apply_updates(joinable(touched), marked).unionByName(inserted)
     stage = f"{_staging(spark, name)}/{uuid.uuid4().hex}"
     _spread(_checked(rows, REFRESH_TABLE), day).write.partitionBy(day).parquet(f"{stage}/{STAGED_ROWS}")
     before = _counts_by_day(touched)
