@@ -1,8 +1,11 @@
 """Line rules, classifier, language model and Jaccard join against plain definitions."""
 
+import contextlib
 import math
+import os
 import random
 import re
+import threading
 import zlib
 from collections import Counter
 
@@ -11,9 +14,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import sentence
-from tidemark.llm import context_trees, jaccard_join, language_model, quality_model
+from tidemark.llm import context_trees, jaccard_join, language_model, quality_model, rare_keys
 from tidemark.llm.jaccard_join import CountTree, Join, jaccard_components
 from tidemark.llm.line_rules import LineRules, clean_lines, failing_rule
+from tidemark.session import session_conf, shared_dir
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -383,3 +387,71 @@ def test_fluent_text_costs_less_than_the_same_words_shuffled(spark, most_keys):
     frame = spark.createDataFrame(rows, "doc_id long, text string, learns boolean")
     found = {r.doc_id: r.score for r in language_model.score_texts(frame, F.col("learns"), most_keys=most_keys).collect()}
     assert found[90] > found[91] + 20
+
+
+def paired_words(spark, n):
+    """Texts whose words follow each other in any order, so that most contexts across a space are rare; null and blank ones, and some that training doesn't see."""
+    pick = random.Random(5)
+    words = ["".join(pick.choices("abcdefgh", k=pick.randint(3, 8))) for _ in range(60)]
+    weights = [1 / (i + 1) for i in range(60)]
+    made = [" ".join(pick.choices(words, weights, k=600)) for _ in range(n)]
+    rows = [(i, t, i % 5 != 0) for i, t in enumerate([None, "", " ", "zz", made[0], *made])]
+    return spark.createDataFrame(rows, "doc_id long, text string, learns boolean").repartition(6)
+
+
+@pytest.mark.parametrize("block", [1 << 21, 700])
+def test_costs_of_rare_contexts_are_the_broadcast_ones(spark, monkeypatch, block):
+    def scores(most):
+        return {r.doc_id: r.score for r in language_model.score_texts(frame, F.col("learns"), most_keys=most).collect()}
+
+    monkeypatch.setattr(rare_keys, "BIN_KEYS", 900)
+    monkeypatch.setattr(rare_keys, "BLOCK_KEYS", block)
+    frame = paired_words(spark, 40).localCheckpoint()
+    whole = scores(10**6)
+    for most in (3000, 0):
+        found = scores(most)
+        assert found.keys() == whole.keys() and all(abs(found[i] - whole[i]) < 1e-7 for i in whole)
+
+
+def test_blocks_hand_out_every_missed_key_of_a_text():
+    keys = np.array([7, 5, 7, 1 << 40, 5, 9 << 30], np.uint64)
+    rows = np.array([3, 3, 3, 8, 8, 11], np.int64)
+    blocks = rare_keys.Blocks(5, most=4)
+    assert blocks.take() == []
+    blocks.add(rows[:3], keys[:3])
+    assert not blocks.full()
+    blocks.add(rows[3:], keys[3:])
+    assert blocks.full()
+    *bins, (block, none, (texts, sizes, places)) = blocks.take()
+    held = np.concatenate([np.cumsum(rare_keys.unpacked(p[0], np.uint64)) for _, _, p in bins])
+    assert (block, none) == (3, None) and [b for _, b, _ in bins] == sorted({*rare_keys.bins_of(keys, 5).tolist()})
+    assert np.repeat(np.cumsum(rare_keys.unpacked(texts, np.int64)), rare_keys.unpacked(sizes, np.int64)).tolist() == rows.tolist()
+    assert held[rare_keys.unpacked(places, np.int32)].tolist() == keys.tolist() and blocks.held == 0
+
+
+def test_a_large_table_of_contexts_takes_little_disk(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    folders, sizes, over = [*manager.localDirsString(), shared_dir(spark).removeprefix("file:")], {}, threading.Event()
+
+    def look():
+        for path in (os.path.join(d, f) for folder in folders for d, _, names in os.walk(folder) for f in names):
+            with contextlib.suppress(OSError):  # shuffles go when nothing refers to them any more
+                sizes[path] = max(sizes.get(path, 0), os.path.getsize(path))
+
+    def watch():
+        while not over.wait(0.05):
+            look()
+
+    frame = paired_words(spark, 400).localCheckpoint()
+    size = frame.agg(F.sum(F.octet_length("text"))).first()[0]
+    look()
+    before, watcher = {*sizes}, threading.Thread(target=watch)
+    watcher.start()
+    try:
+        with session_conf(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+            assert language_model.score_texts(frame, F.col("learns"), most_keys=5000).where("score < 0").count() == 405
+    finally:
+        over.set()
+        watcher.join()
+    look()
+    assert sum(n for f, n in sizes.items() if f not in before) < 2 * size

@@ -66,11 +66,11 @@ class KeyCounts:
 
 
 class CostTable:
-    """Costs by key in a hash table of arrays with linear probing; every key that is looked up must be there."""
+    """Costs by key in a hash table of arrays with linear probing; a key that is not there costs NaN."""
 
     def __init__(self, keys: np.ndarray, costs: np.ndarray):
         self.size = len(keys) + len(keys) // 2 + 1
-        self.keys, self.costs = np.full(self.size, FREE), np.zeros(self.size)
+        self.keys, self.costs = np.full(self.size, FREE), np.full(self.size, np.nan)
         left, at = np.arange(len(keys)), self._slots(keys)
         while len(left):
             free = np.flatnonzero(self.keys[at] == FREE)
@@ -89,12 +89,14 @@ class CostTable:
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         at = self._slots(keys)
-        left = np.flatnonzero(self.keys[at] != keys)
+        held = self.keys[at]
+        left = np.flatnonzero((held != keys) & (held != FREE))
         while len(left):
             moved = at[left] + 1
             moved[moved == self.size] = 0
             at[left] = moved
-            left = left[self.keys[moved] != keys[left]]
+            held = self.keys[moved]
+            left = left[(held != keys[left]) & (held != FREE)]
         return self.costs[at]
 
 

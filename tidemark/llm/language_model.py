@@ -2,9 +2,9 @@
 
 One pass counts words and context keys in every task, adds up equal ones there, and hands the counts to a shuffle, so what moves grows with the vocabulary of a task and not with its text. Trees are
 fitted by ranges of the two nearest context bytes; only their two top depths (bounded by 256 contexts) meet
-on the driver. The result is one number for each distinct context and byte. That table is broadcast when it
-is proven small; otherwise each text's distinct keys are scored by a join. The words most frequent in the
-corpus are broadcast as a table of bounded size, the others are looked up by a join.
+on the driver. The result is one number for each distinct context and byte. Those most frequent in the corpus are
+broadcast as a table of bounded size; the others are looked up once for each block of texts (``rare_keys``). The
+words most frequent in the corpus are broadcast likewise, the others are looked up by a join.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.llm import rare_keys
 from tidemark.llm.arrays import slices, utf8
 from tidemark.llm.context_trees import CostTable, KeyCounts, Level, code_lengths, keys_of, levels, top_levels
 from tidemark.llm.tables import stored
@@ -108,28 +109,38 @@ def _fit_top(dealt: DataFrame) -> dict[int, dict[int, Level]]:
 
 
 def fit_contexts(keys: DataFrame) -> DataFrame:
-    """Rows ``key``, ``cost``: the log10 probability of a byte in its context, for every key of ``keys`` (``key``, ``n``)."""
+    """Rows ``key``, ``cost``, ``n``: the log10 probability of a byte in its context, for every key of ``keys`` (``key``, ``n``)."""
     dealt = stored(_subtrees(keys), "ctw-keys")
     dealt = _subtrees(dealt)
     top = dealt.sparkSession.sparkContext.broadcast(_fit_top(dealt))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, counts = _gathered(batches)
-        yield pa.record_batch([pa.array(found.view(np.int64)), pa.array(code_lengths(found, counts, top.value))], names=["key", "cost"])
+        costs = code_lengths(found, counts, top.value)
+        yield pa.record_batch([pa.array(found.view(np.int64)), pa.array(costs), pa.array(counts.astype(np.int64))], names=["key", "cost", "n"])
 
-    return dealt.mapInArrow(run, "key long, cost double")
+    return dealt.mapInArrow(run, "key long, cost double, n long")
 
 
 def _costs(frame: DataFrame) -> CostTable:
-    got = frame.toArrow()
+    got = frame.select("key", "cost").toArrow()
     return CostTable(got["key"].to_numpy().view(np.uint64), got["cost"].to_numpy())
 
 
+def _by_frequency(costs: DataFrame, most: int) -> tuple[DataFrame, DataFrame, int]:
+    """The most frequent keys, ``most`` at most, the others, and the number of those; keys of like counts stay together."""
+    like = F.floor(F.log2(F.col("n") + 1) * 8)
+    sizes = sorted(((r.like, r.n) for r in costs.groupBy(like.alias("like")).agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True)  # 8 for each doubling
+    taken = np.cumsum([n for _, n in sizes]) <= most
+    least = min((k for (k, _), fits in zip(sizes, taken, strict=True) if fits), default=float("inf"))
+    return costs.where(like >= least), costs.where(like < least), sum(n for (_, n), fits in zip(sizes, taken, strict=True) if not fits)
+
+
 def score_texts(docs: DataFrame, training: Column, text: str = "text", doc_id: str = "doc_id", most_keys: int = MOST_KEYS, frequent: int = FREQUENT_WORDS) -> DataFrame:
     """One row a document: ``doc_id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``, ``n_bytes``, ``bits_per_byte``.
 
     Both models learn from the rows where ``training`` holds (null: not) and score all rows. A-Z are
-    lower-cased; null texts count as empty. ``base_score`` is the add-one log10 probability of the words and
+    lower-cased; null texts count as empty. The costs of ``most_keys`` keys at most are broadcast. ``base_score`` is the add-one log10 probability of the words and
     an end; ``score`` is the log10 probability of the text under the context trees. Repeated rows and ids are
     scored row by row. Without training rows the base model knows one outcome and each byte costs eight bits.
     """
@@ -146,8 +157,9 @@ def score_texts(docs: DataFrame, training: Column, text: str = "text", doc_id: s
     ends = (texts + 0.5) / (texts + spaces + 1)
     top = words.orderBy(F.col("n").desc(), "word").limit(frequent).toArrow()  # bounded by ``frequent``
     table = dict(zip(top["word"].to_pylist(), np.log10((top["n"].to_numpy() + 1) / outcomes).tolist(), strict=True))
-    small = costs.count() <= most_keys
-    shared = spark.sparkContext.broadcast((table, _costs(costs) if small else None))
+    common, others, n_others = _by_frequency(costs, most_keys)
+    bins, block = 1 + n_others // rare_keys.BIN_KEYS, rare_keys.BLOCK_KEYS
+    shared = spark.sparkContext.broadcast((table, _costs(common)))
     stops = float(np.log10(1 - ends)), float(np.log10(ends))
     end_score = float(np.log10((texts + 1) / outcomes))
 
@@ -156,15 +168,31 @@ def score_texts(docs: DataFrame, training: Column, text: str = "text", doc_id: s
 
         known, model = shared.value
         number = TaskContext.get().partitionId() << 40
+        blocks = rare_keys.Blocks(bins, block)
+        names = ["doc_id", "row", "n_tokens", "known", "base", "score", "n_bytes", "rare"]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.list_(pa.binary())]
+
+        def missed(ids: pa.DataType) -> Iterator[pa.RecordBatch]:
+            if rows := blocks.take():
+                empty = [pa.nulls(len(rows), t) for t in (ids, *kinds)]
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), rare_keys.COLUMNS.values(), strict=True)]
+                yield pa.record_batch([*empty, *columns], names=[*names, *rare_keys.COLUMNS])
+
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(at, ROWS)
                 values = [v.lower() for v in utf8(batch.column(1))]
                 prices = [0.0] * len(values)
-                if model is not None:
-                    for start, part in slices(values):
-                        keys, sizes = keys_of(part)
-                        prices[start : start + len(part)] = np.add.reduceat(model.find(keys), np.cumsum(sizes) - sizes).tolist()
+                for start, part in slices(values):
+                    keys, sizes = keys_of(part)
+                    each, last = model.find(keys), np.cumsum(sizes)
+                    lacking = np.flatnonzero(np.isnan(each))
+                    if len(lacking):
+                        each[lacking] = 0
+                        blocks.add(number + start + np.searchsorted(last, lacking, "right"), keys[lacking])
+                    prices[start : start + len(part)] = np.add.reduceat(each, last - sizes).tolist()
+                    if blocks.full():
+                        yield from missed(batch.column(0).type)
                 out: list[tuple] = []
                 for value, price in zip(values, prices, strict=True):
                     own = value.split()
@@ -174,23 +202,24 @@ def score_texts(docs: DataFrame, training: Column, text: str = "text", doc_id: s
                     score = price + value.count(b" ") * stops[0] + stops[1]
                     out.append((number, len(own) + 1, len(own) - len(rare) + (texts > 0), base + end_score, score, len(value), rare))
                     number += 1
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.list_(pa.binary())]
                 columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)]
-                yield pa.record_batch([batch.column(0), *columns], names=["doc_id", "row", "n_tokens", "known", "base", "score", "n_bytes", "rare"])
+                empty = [pa.nulls(len(out), t) for t in rare_keys.COLUMNS.values()]
+                yield pa.record_batch([batch.column(0), *columns, *empty], names=[*names, *rare_keys.COLUMNS])
+        if blocks.held:
+            yield from missed(whole.column(0).type)
 
     chosen = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = docs.schema[doc_id].dataType.simpleString()
-    ddl = f"doc_id {kind}, row long, n_tokens long, known long, base double, score double, n_bytes long, rare array<binary>"
-    if small:
-        scored = stored(chosen.mapInArrow(run, ddl), "lm-rows")
-    else:
-        kept = stored(chosen, "lm-texts")  # rows must keep their numbers from one pass to the next
-        scored = stored(kept.mapInArrow(run, ddl), "lm-rows")
-        scored = _joined_scores(scored, kept, costs)
+    ddl = f"doc_id {kind}, row long, n_tokens long, known long, base double, score double, n_bytes long, rare array<binary>, {rare_keys.DDL}"
+    rows = stored(chosen.mapInArrow(run, ddl), "lm-rows")
+    scored = rows.where("block is null").drop(*rare_keys.COLUMNS)
     rare = scored.select("row", F.explode("rare").alias("word")).join(words, "word", "left")
     odds = F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(float(outcomes)))
     rare = rare.groupBy("row").agg(F.sum(odds).alias("rare_base"), F.count("n").alias("rare_known"))
     joined = scored.drop("rare").join(rare, "row", "left")
+    if n_others:
+        added = rare_keys.added_costs(rows.where("block is not null").select(*rare_keys.COLUMNS), others, bins)
+        joined = joined.join(added, "row", "left").withColumn("score", F.col("score") + F.coalesce("added", F.lit(0.0)))
     return joined.select(
         "doc_id",
         "n_tokens",
@@ -201,21 +230,3 @@ def score_texts(docs: DataFrame, training: Column, text: str = "text", doc_id: s
         "n_bytes",
         (F.col("score") / F.when(F.col("n_bytes") > 0, F.col("n_bytes")) * F.lit(float(-np.log2(10)))).alias("bits_per_byte"),
     )
-
-
-def _joined_scores(scored: DataFrame, kept: DataFrame, costs: DataFrame) -> DataFrame:
-    """Rows with the cost of their bytes added by a join on context keys, for a table too large to broadcast."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        number = TaskContext.get().partitionId() << 40
-        for whole in batches:
-            for value in utf8(whole.column(1)):
-                keys, counts = np.unique(keys_of([value.lower()])[0], return_counts=True)
-                yield pa.record_batch([pa.array(np.full(len(keys), number)), pa.array(keys.view(np.int64)), pa.array(counts)], names=["row", "key", "n"])
-                number += 1
-
-    parts = kept.mapInArrow(run, "row long, key long, n long").join(costs, "key")
-    added = parts.groupBy("row").agg(F.sum(F.col("n") * F.col("cost")).alias("added"))
-    return stored(scored.join(added, "row").withColumn("score", F.col("score") + F.col("added")).drop("added"), "lm-scored")

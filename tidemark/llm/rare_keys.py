@@ -1,0 +1,108 @@
+"""Costs of the context keys that a broadcast table leaves out, looked up by blocks of texts.
+
+A task collects the keys it misses. A block of them is its distinct keys, dealt to bins and compressed, and for each
+text the places of its keys among them; the texts themselves stay where they are. A bin meets the costs of its keys
+and hands them back in the order of the block's keys, so a key moves once a block, whatever number of texts holds
+it, and only its cost comes back.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
+
+from tidemark.llm.arrays import mixed
+
+BLOCK_KEYS = 1 << 21
+BIN_KEYS = 50_000
+COLUMNS = {"block": pa.int64(), "bin": pa.int64(), "packed": pa.list_(pa.binary())}
+DDL = "block long, bin long, packed array<binary>"
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Numbers as planes of their bytes, compressed, after their number."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T)
+    return len(values).to_bytes(8, "little") + pa.Codec("zstd").compress(planes.tobytes(), asbytes=True)
+
+
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    n, width = int.from_bytes(data[:8], "little"), np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.Codec("zstd").decompress(data[8:], n * width), np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, n).T).view(kind).reshape(n)
+
+
+def steps(values: np.ndarray) -> bytes:
+    """Ascending numbers by their differences."""
+    return packed(np.diff(values, prepend=values.dtype.type(0)))
+
+
+def bins_of(keys: np.ndarray, bins: int) -> np.ndarray:
+    """Keys with the same three nearest bytes share a bin, so that neighbours are written as small differences."""
+    return (mixed(keys >> np.uint64(24)) % np.uint64(bins)).astype(np.int64)
+
+
+class Blocks:
+    """Missed keys of the texts of a task, handed out as rows of ``COLUMNS``.
+
+    A row with a ``bin`` holds the block's keys in that bin; one without holds row numbers of texts, how many keys
+    each has, and the keys' places in the order of bin and key.
+    """
+
+    def __init__(self, bins: int, most: int = BLOCK_KEYS):
+        self.bins, self.most, self.rows, self.keys, self.held = bins, most, [], [], 0
+
+    def add(self, rows: np.ndarray, keys: np.ndarray) -> None:
+        """Keys and the numbers of their texts, which ascend and are not those of earlier keys."""
+        self.rows.append(rows)
+        self.keys.append(keys)
+        self.held += len(keys)
+
+    def full(self) -> bool:
+        return self.held >= self.most
+
+    def take(self) -> list[tuple[int, int | None, list[bytes]]]:
+        if not self.held:
+            return []
+        keys, where = np.unique(np.concatenate(self.keys), return_inverse=True)
+        texts, sizes = np.unique(np.concatenate(self.rows), return_counts=True)
+        self.rows, self.keys, self.held = [], [], 0
+        bins = bins_of(keys, self.bins)
+        order = np.argsort(bins, kind="stable")
+        place = np.empty(len(keys), np.int32)
+        place[order] = np.arange(len(keys), dtype=np.int32)
+        keys, bins = keys[order], bins[order]
+        first = np.flatnonzero(np.diff(bins, prepend=-1))
+        block = int(texts[0])
+        out = [(block, int(bins[a]), [steps(keys[a:b])]) for a, b in zip(first, np.append(first[1:], len(keys)), strict=True)]
+        return [*out, (block, None, [steps(texts), packed(sizes), packed(place[where])])]
+
+
+def added_costs(blocks: DataFrame, costs: DataFrame, bins: int) -> DataFrame:
+    """Rows ``row``, ``added``: the summed costs of the missed keys of each text that has some; ``costs`` has all of these."""
+
+    def deal(batches):
+        for batch in batches:
+            keys = batch.column(0).to_numpy().view(np.uint64)
+            yield pa.record_batch([pa.array(bins_of(keys, bins)), batch.column(0), batch.column(1)], names=["bin", "key", "cost"])
+
+    def price(asked: pa.Table, known: pa.Table) -> pa.Table:
+        keys = known["key"].to_numpy().view(np.uint64)
+        order = np.argsort(keys)
+        keys, values = keys[order], known["cost"].to_numpy()[order]
+        found = [packed(values[np.searchsorted(keys, np.cumsum(unpacked(p[0], np.uint64)))]) for p in asked["packed"].to_pylist()]
+        return pa.table([asked["block"], asked["bin"], pa.array(found, pa.binary())], names=["block", "bin", "costs"])
+
+    def add(texts: pa.Table, found: pa.Table) -> pa.Table:
+        rows, sizes, places = texts["packed"][0].as_py()
+        parts = found["costs"].to_pylist()
+        values = np.concatenate([unpacked(parts[i], np.float64) for i in np.argsort(found["bin"].to_numpy())])
+        sizes = unpacked(sizes, np.int64)
+        sums = np.add.reduceat(values[unpacked(places, np.int32)], np.cumsum(sizes) - sizes)
+        return pa.table([pa.array(np.cumsum(unpacked(rows, np.int64))), pa.array(sums)], names=["row", "added"])
+
+    dealt = costs.select("key", "cost").mapInArrow(deal, "bin long, key long, cost double")
+    asked = blocks.where("bin is not null").groupBy("bin")
+    found = asked.cogroup(dealt.groupBy("bin")).applyInArrow(price, "block long, bin long, costs binary")
+    texts = blocks.where("bin is null").select("block", "packed").groupBy("block")
+    return texts.cogroup(found.groupBy("block")).applyInArrow(add, "row long, added double")
