@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import sentence
-from tidemark.llm import context_trees, jaccard_join, language_model, quality_model, rare_keys
+from tidemark.llm import context_trees, jaccard_join, language_model, quality_model, rare_lookups
 from tidemark.llm.jaccard_join import CountTree, Join, jaccard_components
 from tidemark.llm.line_rules import LineRules, clean_lines, failing_rule
 from tidemark.session import session_conf, shared_dir
@@ -404,8 +404,8 @@ def test_costs_of_rare_contexts_are_the_broadcast_ones(spark, monkeypatch, block
     def scores(most):
         return {r.doc_id: r.score for r in language_model.score_texts(frame, F.col("learns"), most_keys=most).collect()}
 
-    monkeypatch.setattr(rare_keys, "BIN_KEYS", 900)
-    monkeypatch.setattr(rare_keys, "BLOCK_KEYS", block)
+    monkeypatch.setattr(rare_lookups, "BIN_KEYS", 900)
+    monkeypatch.setattr(rare_lookups, "BLOCK_KEYS", block)
     frame = paired_words(spark, 40).localCheckpoint()
     whole = scores(10**6)
     for most in (3000, 0):
@@ -416,17 +416,32 @@ def test_costs_of_rare_contexts_are_the_broadcast_ones(spark, monkeypatch, block
 def test_blocks_hand_out_every_missed_key_of_a_text():
     keys = np.array([7, 5, 7, 1 << 40, 5, 9 << 30], np.uint64)
     rows = np.array([3, 3, 3, 8, 8, 11], np.int64)
-    blocks = rare_keys.Blocks(5, most=4)
+    blocks = rare_lookups.Blocks(5, most=4)
     assert blocks.take() == []
     blocks.add(rows[:3], keys[:3])
     assert not blocks.full()
     blocks.add(rows[3:], keys[3:])
     assert blocks.full()
-    *bins, (block, none, (texts, sizes, places)) = blocks.take()
-    held = np.concatenate([np.cumsum(rare_keys.unpacked(p[0], np.uint64)) for _, _, p in bins])
-    assert (block, none) == (3, None) and [b for _, b, _ in bins] == sorted({*rare_keys.bins_of(keys, 5).tolist()})
-    assert np.repeat(np.cumsum(rare_keys.unpacked(texts, np.int64)), rare_keys.unpacked(sizes, np.int64)).tolist() == rows.tolist()
-    assert held[rare_keys.unpacked(places, np.int32)].tolist() == keys.tolist() and blocks.held == 0
+    *bins, (kind, block, none, (texts, sizes, places)) = blocks.take()
+    held = np.concatenate([np.cumsum(rare_lookups.unpacked(p[0], np.uint64)) for *_, p in bins])
+    assert (kind, block, none) == ("key", 3, None) and [b for _, _, b, _ in bins] == sorted({*rare_lookups.bins_of(keys, 5).tolist()})
+    assert np.repeat(np.cumsum(rare_lookups.unpacked(texts, np.int64)), rare_lookups.unpacked(sizes, np.int64)).tolist() == rows.tolist()
+    assert held[rare_lookups.unpacked(places, np.int32)].tolist() == keys.tolist() and blocks.held == 0
+
+
+def test_blocks_hand_out_every_missed_word_of_a_text():
+    blocks = rare_lookups.WordBlocks(3, most=12)
+    given = {4: [b"moon", b"lake", b"moon"], 9: [b"\xc3\xa9t\xc3\xa9", b"lake"]}
+    for row, words in given.items():
+        assert not blocks.full()
+        blocks.add(row, words)
+    assert blocks.full()
+    *bins, (kind, block, none, (texts, sizes, places)) = blocks.take()
+    held = [w for *_, p in bins for w in rare_lookups.unpacked(p[0], np.uint8).tobytes().split(b" ")]
+    assert (kind, block, none) == ("word", 4, None) and [b for _, _, b, _ in bins] == sorted({zlib.crc32(w) % 3 for w in held})
+    assert np.cumsum(rare_lookups.unpacked(texts, np.int64)).tolist() == [4, 9] and rare_lookups.unpacked(sizes, np.int64).tolist() == [3, 2]
+    assert [held[i] for i in rare_lookups.unpacked(places, np.int32)] == [w for words in given.values() for w in words]
+    assert blocks.take() == [] and not blocks.full()
 
 
 def test_a_large_table_of_contexts_takes_little_disk(spark):

@@ -3,8 +3,8 @@
 One pass counts words and context keys in every task, adds up equal ones there, and hands the counts to a shuffle, so what moves grows with the vocabulary of a task and not with its text. Trees are
 fitted by ranges of the two nearest context bytes; only their two top depths (bounded by 256 contexts) meet
 on the driver. The result is one number for each distinct context and byte. Those most frequent in the corpus are
-broadcast as a table of bounded size; the others are looked up once for each block of texts (``rare_keys``). The
-words most frequent in the corpus are broadcast likewise, the others are looked up by a join.
+broadcast as a table of bounded size; the others are looked up once for each block of texts (``rare_lookups``). So are
+words.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm import rare_keys
+from tidemark.llm import rare_lookups
 from tidemark.llm.arrays import slices, utf8
 from tidemark.llm.context_trees import CostTable, KeyCounts, Level, code_lengths, keys_of, levels, top_levels
 from tidemark.llm.tables import stored
@@ -35,7 +35,8 @@ def _counts(docs: DataFrame, training: Column, text: str) -> DataFrame:
 
         def rows() -> Iterator[pa.RecordBatch]:
             nonlocal keys, texts, spaces
-            yield _record(words=list(words), n=list(words.values()))
+            known = sorted(words)  # sorted, they take less room
+            yield _record(words=known, n=[words[w] for w in known])
             found, n = keys.merge()
             yield _record(keys=found.view(np.int64), n=n)
             yield _record(texts=texts, spaces=spaces)
@@ -158,7 +159,8 @@ def score_texts(docs: DataFrame, training: Column, text: str = "text", doc_id: s
     top = words.orderBy(F.col("n").desc(), "word").limit(frequent).toArrow()  # bounded by ``frequent``
     table = dict(zip(top["word"].to_pylist(), np.log10((top["n"].to_numpy() + 1) / outcomes).tolist(), strict=True))
     common, others, n_others = _by_frequency(costs, most_keys)
-    bins, block = 1 + n_others // rare_keys.BIN_KEYS, rare_keys.BLOCK_KEYS
+    bins, block = 1 + n_others // rare_lookups.BIN_KEYS, rare_lookups.BLOCK_KEYS
+    word_bins = 1 + counts.where("word is not null").count() // rare_lookups.BIN_WORDS
     shared = spark.sparkContext.broadcast((table, _costs(common)))
     stops = float(np.log10(1 - ends)), float(np.log10(ends))
     end_score = float(np.log10((texts + 1) / outcomes))
@@ -168,15 +170,15 @@ def score_texts(docs: DataFrame, training: Column, text: str = "text", doc_id: s
 
         known, model = shared.value
         number = TaskContext.get().partitionId() << 40
-        blocks = rare_keys.Blocks(bins, block)
-        names = ["doc_id", "row", "n_tokens", "known", "base", "score", "n_bytes", "rare"]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.list_(pa.binary())]
+        blocks, word_blocks = rare_lookups.Blocks(bins, block), rare_lookups.WordBlocks(word_bins, block)
+        names = ["doc_id", "row", "n_tokens", "known", "base", "score", "n_bytes"]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()]
 
-        def missed(ids: pa.DataType) -> Iterator[pa.RecordBatch]:
-            if rows := blocks.take():
+        def missed(rows: rare_lookups.Rows, ids: pa.DataType) -> Iterator[pa.RecordBatch]:
+            if rows:
                 empty = [pa.nulls(len(rows), t) for t in (ids, *kinds)]
-                columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), rare_keys.COLUMNS.values(), strict=True)]
-                yield pa.record_batch([*empty, *columns], names=[*names, *rare_keys.COLUMNS])
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), rare_lookups.COLUMNS.values(), strict=True)]
+                yield pa.record_batch([*empty, *columns], names=[*names, *rare_lookups.COLUMNS])
 
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
@@ -192,7 +194,7 @@ def score_texts(docs: DataFrame, training: Column, text: str = "text", doc_id: s
                         blocks.add(number + start + np.searchsorted(last, lacking, "right"), keys[lacking])
                     prices[start : start + len(part)] = np.add.reduceat(each, last - sizes).tolist()
                     if blocks.full():
-                        yield from missed(batch.column(0).type)
+                        yield from missed(blocks.take(), batch.column(0).type)
                 out: list[tuple] = []
                 for value, price in zip(values, prices, strict=True):
                     own = value.split()
@@ -200,25 +202,28 @@ def score_texts(docs: DataFrame, training: Column, text: str = "text", doc_id: s
                     rare = [w for w, p in zip(own, found, strict=True) if p is None] if None in found else []
                     base = sum(p for p in found if p is not None) if rare else sum(found)
                     score = price + value.count(b" ") * stops[0] + stops[1]
-                    out.append((number, len(own) + 1, len(own) - len(rare) + (texts > 0), base + end_score, score, len(value), rare))
+                    if rare:
+                        word_blocks.add(number, rare)
+                    out.append((number, len(own) + 1, len(own) - len(rare) + (texts > 0), base + end_score, score, len(value)))
                     number += 1
                 columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)]
-                empty = [pa.nulls(len(out), t) for t in rare_keys.COLUMNS.values()]
-                yield pa.record_batch([batch.column(0), *columns, *empty], names=[*names, *rare_keys.COLUMNS])
-        if blocks.held:
-            yield from missed(whole.column(0).type)
+                empty = [pa.nulls(len(out), t) for t in rare_lookups.COLUMNS.values()]
+                yield pa.record_batch([batch.column(0), *columns, *empty], names=[*names, *rare_lookups.COLUMNS])
+                if word_blocks.full():
+                    yield from missed(word_blocks.take(), batch.column(0).type)
+        for rest in (blocks, word_blocks):
+            if rest.rows:
+                yield from missed(rest.take(), whole.column(0).type)
 
     chosen = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = docs.schema[doc_id].dataType.simpleString()
-    ddl = f"doc_id {kind}, row long, n_tokens long, known long, base double, score double, n_bytes long, rare array<binary>, {rare_keys.DDL}"
+    ddl = f"doc_id {kind}, row long, n_tokens long, known long, base double, score double, n_bytes long, {rare_lookups.DDL}"
     rows = stored(chosen.mapInArrow(run, ddl), "lm-rows")
-    scored = rows.where("block is null").drop(*rare_keys.COLUMNS)
-    rare = scored.select("row", F.explode("rare").alias("word")).join(words, "word", "left")
-    odds = F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(float(outcomes)))
-    rare = rare.groupBy("row").agg(F.sum(odds).alias("rare_base"), F.count("n").alias("rare_known"))
-    joined = scored.drop("rare").join(rare, "row", "left")
+    missing = rows.where("kind is not null").select(*rare_lookups.COLUMNS)
+    rare = rare_lookups.added_words(missing, words, word_bins, outcomes)
+    joined = rows.where("kind is null").drop(*rare_lookups.COLUMNS).join(rare, "row", "left")
     if n_others:
-        added = rare_keys.added_costs(rows.where("block is not null").select(*rare_keys.COLUMNS), others, bins)
+        added = rare_lookups.added_costs(missing, others, bins)
         joined = joined.join(added, "row", "left").withColumn("score", F.col("score") + F.coalesce("added", F.lit(0.0)))
     return joined.select(
         "doc_id",
